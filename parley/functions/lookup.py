@@ -103,15 +103,17 @@ def map_tokens(
     dictionary: Dictionary,
     out: str,
     value_type: str,
+    body: Callable[[Column, Column], Column],
     limit: int = INLINE_LIMIT,
 ) -> DataFrame:
-    """Adds ``out``: for each token its dictionary value or null."""
+    """Adds ``out``: ``body(token, value)`` of each token, the value null where absent."""
     entries = as_small_mapping(dictionary, limit)
     if entries is not None:
         find = inline_lookup(entries, value_type)
-        return df.withColumn(out, F.transform(tokens, lambda t: find(t)))
+        return df.withColumn(out, F.transform(tokens, lambda t: body(t, find(t))))
     if isinstance(dictionary, Mapping):
         dictionary = df.sparkSession.createDataFrame(
             list(dictionary.items()), f"word string, value {value_type}"
         )
-    return join_lookup(df, tokens, dictionary, out, value_type)
+    found = join_lookup(df, tokens, dictionary, "_value", value_type)
+    return found.withColumn(out, F.zip_with(tokens, "_value", body)).drop("_value")

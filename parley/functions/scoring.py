@@ -17,12 +17,10 @@ DAMPING = (1.0, 0.95, 0.9)
 
 
 def adjusted_valences(
-    tokens: Column | str,
-    valences: Column | str,
-    boosters: Mapping[str, float],
-    negators: Collection[str],
+    valued: Column | str, boosters: Mapping[str, float], negators: Collection[str]
 ) -> Column:
-    """array<double>: each token's valence after the three tokens before it had their say.
+    """array<double> from array<struct<word, value>>: each token's valence after the three tokens
+    before it had their say.
 
     A degree word scores nothing itself and moves its follower away from (or towards) zero; a
     negator flips it. A word of the lexicon does neither. "least" flips the word right after it.
@@ -34,14 +32,14 @@ def adjusted_valences(
         return word.isin(negating) | word.contains("n't") if negating else F.lit(False)
 
     def scored(row: Column) -> Column:
-        words, values, boosts = row["words"], row["values"], row["boosts"]
+        words, values = row["word"], row["value"]
 
         def at(array: Column, i: Column) -> Column:
             return F.when(i >= 0, F.get(array, i))
 
         def moved_by(value: Column, i: Column, back: int) -> Column:
             before = at(words, i - back)
-            push = F.coalesce(at(boosts, i - back), F.lit(0.0)) * DAMPING[back - 1]
+            push = F.coalesce(boost(before), F.lit(0.0)) * DAMPING[back - 1]
             moved = value + F.when(value < 0, -push).otherwise(push)
             spared = F.lit(False)
             if back == 2:
@@ -59,36 +57,28 @@ def adjusted_valences(
                 value = step(value, i, back)
             least = (at(words, i - 1) == "least") & at(values, i - 1).isNull()
             value = F.when(least, value * NEGATION).otherwise(value)
-            plain = F.get(values, i).isNull() | F.get(boosts, i).isNotNull()
+            plain = F.get(values, i).isNull() | boost(word).isNotNull()
             return F.when(plain, F.lit(0.0)).otherwise(value)
 
         return F.transform(words, one)
 
-    row = F.struct(
-        (F.col(tokens) if isinstance(tokens, str) else tokens).alias("words"),
-        (F.col(valences) if isinstance(valences, str) else valences).alias("values"),
-        F.transform(tokens, boost).alias("boosts"),
-    )
-    return let(row, scored)
-
-
+    return let(F.col(valued) if isinstance(valued, str) else valued, scored)
 
 
 def polarity(valences: Column | str) -> Column:
     """struct<compound, positive, neutral, negative> of one text's valences; zeros when empty."""
     zero = F.lit(0.0)
 
-    def total(keep: Callable[[Column], Column], add: float) -> Column:
-        return F.aggregate(
-            F.filter(valences, keep), zero, lambda acc, v: acc + F.abs(v) + F.lit(add)
-        )
+    def sums(values: Column) -> Column:
+        def total(keep: Callable[[Column], Column]) -> Column:
+            return F.aggregate(F.filter(values, keep), zero, lambda acc, v: acc + F.abs(v) + 1.0)
 
-    sums = F.struct(
-        F.aggregate(valences, zero, lambda acc, v: acc + v).alias("s"),
-        total(lambda v: v > 0, 1.0).alias("pos"),
-        total(lambda v: v < 0, 1.0).alias("neg"),
-        F.size(F.filter(valences, lambda v: v == 0)).cast("double").alias("neu"),
-    )
+        return F.struct(
+            F.aggregate(values, zero, lambda acc, v: acc + v).alias("s"),
+            total(lambda v: v > 0).alias("pos"),
+            total(lambda v: v < 0).alias("neg"),
+            F.size(F.filter(values, lambda v: v == 0)).cast("double").alias("neu"),
+        )
 
     def scores(t: Column) -> Column:
         whole = t["pos"] + t["neg"] + t["neu"]
@@ -101,4 +91,5 @@ def polarity(valences: Column | str) -> Column:
             ],
         )
 
-    return let(sums, scores)
+    column = F.col(valences) if isinstance(valences, str) else valences
+    return let(let(column, sums), scores)

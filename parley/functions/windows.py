@@ -33,13 +33,20 @@ def pane(ts: Column | str, size: str, slide: str) -> Column:
     return F.window(ts, pane_width(size, slide))["start"]
 
 
-def sliding(ts: Column | str, size: str, slide: str) -> Column:
-    """The windows over ``ts``; also right for a pane start, which stands for its whole pane."""
-    return F.window(ts, size, slide)
+def window_starts(ts: Column | str, size: str, slide: str) -> Column:
+    """Start of each window over ``ts``, one row per window; also right for a pane start, which
+    stands for its whole pane. A start is all that grouping needs; ``bounds`` adds the end."""
+    return F.window(ts, size, slide)["start"]
 
 
-def bounds(window: str = "window") -> list[Column]:
-    return [
-        F.col(f"{window}.start").alias("window_start"),
-        F.col(f"{window}.end").alias("window_end"),
-    ]
+def bounds(size: str, start: str = "window_start") -> list[Column]:
+    """(window_start, window_end) columns."""
+    end = F.col(start) + F.expr(f"INTERVAL {duration_seconds(size)} seconds")
+    return [F.col(start).alias("window_start"), end.alias("window_end")]
+
+
+def panes_of_window(size: str, slide: str, start: str = "window_start") -> Column:
+    """Starts of the panes of the window that begins at ``start``."""
+    width = pane_width(size, slide)
+    last = f"INTERVAL {duration_seconds(size)} seconds - INTERVAL {width}"
+    return F.sequence(F.col(start), F.col(start) + F.expr(last), F.expr(f"INTERVAL {width}"))

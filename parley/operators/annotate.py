@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.functions import text as tx
@@ -42,12 +42,14 @@ def lemmatize(
     df: DataFrame, lemmas: Dictionary = LEMMAS, inline_limit: int = INLINE_LIMIT
 ) -> DataFrame:
     """Adds ``lemmatized``: each normal form's lemma, or the form itself."""
-    return (
-        map_tokens(df, "normalized", lemmas, "_lemma", "string", inline_limit)
-        .withColumn(
-            "lemmatized", F.zip_with("normalized", "_lemma", lambda t, m: F.coalesce(m, t))
-        )
-        .drop("_lemma")
+    return map_tokens(
+        df,
+        "normalized",
+        lemmas,
+        "lemmatized",
+        "string",
+        lambda token, lemma: F.coalesce(lemma, token),
+        inline_limit,
     )
 
 
@@ -65,14 +67,16 @@ def clean_stopwords(
         marked = stop_words.select(F.lower(F.col(stop_words.columns[0])), F.lit(True))
     else:
         marked = {w.lower(): True for w in stop_words}
-    return (
-        map_tokens(df, "lemmatized", marked, "_stop", "boolean", inline_limit)
-        .withColumn(
-            "no_stop_lemmatized",
-            F.filter("lemmatized", lambda t, i: F.get("_stop", i).isNull()),
-        )
-        .drop("_stop")
+    kept = map_tokens(
+        df,
+        "lemmatized",
+        marked,
+        "no_stop_lemmatized",
+        "boolean",
+        lambda token, stop: F.when(stop.isNull(), token),
+        inline_limit,
     )
+    return kept.withColumn("no_stop_lemmatized", F.array_compact("no_stop_lemmatized"))
 
 
 def pos_tag(
@@ -82,10 +86,14 @@ def pos_tag(
     inline_limit: int = INLINE_LIMIT,
 ) -> DataFrame:
     """Adds ``pos``: one tag per token, a noun where the table has none."""
-    return (
-        map_tokens(df, tokens, tags, "_tag", "string", inline_limit)
-        .withColumn("pos", F.transform("_tag", lambda t: F.coalesce(t, F.lit(DEFAULT_TAG))))
-        .drop("_tag")
+    return map_tokens(
+        df,
+        tokens,
+        tags,
+        "pos",
+        "string",
+        lambda token, tag: F.coalesce(tag, F.lit(DEFAULT_TAG)),
+        inline_limit,
     )
 
 
@@ -96,19 +104,30 @@ def chunk(
 ) -> DataFrame:
     """Adds ``ngrams``: the phrases of each shape, shape by shape, in order of appearance.
 
-    Tokens and tags are written as ``token/TAG `` and each shape is one pattern over that line.
+    Tokens and tags are written as ``token/TAG `` and the longest runs are cut from that line, so
+    the work grows with the length of the text only. Tokens must not hold "/" or a blank.
     """
     tagged = F.array_join(
         F.zip_with(tokens, "pos", lambda t, p: F.concat(t, F.lit("/"), p, F.lit(" "))), ""
     )
-    phrases = [
-        F.regexp_extract_all("_tagged", F.lit(rf"(?:[^/ ]+/{many} )+[^/ ]+/{last} "), F.lit(0))
-        for many, last in shapes
-    ]
+
+    def phrases(line: Column) -> Column:
+        return F.concat(*[_runs(line, many, last) for many, last in shapes])
+
     bare = F.transform(
-        F.concat(*phrases), lambda p: F.rtrim(F.regexp_replace(p, r"/[A-Z$]+ ", " "))
+        tx.let(tagged, phrases), lambda p: F.rtrim(F.regexp_replace(p, r"/[A-Z$]+ ", " "))
     )
-    return df.withColumn("_tagged", tagged).withColumn("ngrams", bare).drop("_tagged")
+    return df.withColumn("ngrams", bare)
+
+
+def _runs(line: Column, many: str, last: str) -> Column:
+    """Runs of ``many`` with the ``last`` that ends them; of one tag alone, runs of two or more."""
+    run = rf"(?:[^/ ]+/{many} )++"
+    if many == last:
+        found = F.regexp_extract_all(line, F.lit(run), F.lit(0))
+        return F.filter(found, lambda r: r.rlike(r"^[^ ]+ [^ ]"))
+    found = F.regexp_extract_all(line, F.lit(rf"{run}(?:[^/ ]+/{last} )?"), F.lit(0))
+    return F.filter(found, lambda r: r.endswith(f"/{last} "))
 
 
 def finish(df: DataFrame) -> DataFrame:

@@ -60,7 +60,8 @@ def compound_histogram(
 ) -> DataFrame:
     """(bin, bin_start, bin_end, count): equal widths over [min, max], the last bin closed.
 
-    Bins with no value are listed with count 0. Equal values are counted together first.
+    Bins with no value are listed with count 0. Equal values are counted together first. The input
+    is read twice, for the range and for the bins: store computed scores beforehand.
     """
     counts = _value_counts(df, value)
     stats = _stats(counts).alias("stats")
@@ -72,7 +73,7 @@ def compound_histogram(
         .groupBy(
             F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)).cast("bigint").alias("bin")
         )
-        .agg(F.sum("n").alias("count"))
+        .agg(F.sum(F.when(F.col("x").isNotNull(), F.col("n"))).alias("count"))
     )
     return (
         df.sparkSession.range(bins)
@@ -90,7 +91,7 @@ def compound_histogram(
 
 def _stats(counts: DataFrame) -> Column:
     """struct<low, high, total, mean> of all values, as one scalar subquery."""
-    total = F.sum("n")
+    total = F.sum(F.when(F.col("x").isNotNull(), F.col("n")))
     return counts.agg(
         F.struct(
             F.min("x").alias("low"),
@@ -102,11 +103,9 @@ def _stats(counts: DataFrame) -> Column:
 
 
 def _value_counts(df: DataFrame, value: str) -> DataFrame:
-    return (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(F.col(value).cast("double").alias("x"))
-        .agg(F.count("*").alias("n"))
-    )
+    """How often each value occurs, null included: a filter on a computed score would be pushed
+    below it and score every text twice."""
+    return df.groupBy(F.col(value).cast("double").alias("x")).agg(F.count("*").alias("n"))
 
 
 def compound_density(
@@ -116,7 +115,8 @@ def compound_density(
 
     The bandwidth is Scott's rule, std * n^(-1/5). Scores are rounded to four decimals, so the
     values are few; they are counted first and the kernel is summed over distinct values, each task
-    adding up its own grid before anything is shuffled.
+    adding up its own grid before anything is shuffled. Store computed scores beforehand, as the
+    input is read for the range, the variance and the curve.
     """
     counts = _value_counts(df, value)
     measured = counts.select("*", _stats(counts).alias("stats"))

@@ -6,7 +6,7 @@ from collections.abc import Collection
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, CountVectorizer, Tokenizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.functions import text as tx
@@ -76,9 +76,9 @@ def window_texts(
 
     The bag stays rows: a busy window held as one array would have to fit in one task.
     """
-    return df.select(win.sliding(ts, size, slide).alias("window"), *columns).select(
-        *win.bounds(), *columns
-    )
+    return df.select(
+        win.window_starts(ts, size, slide).alias("window_start"), *columns
+    ).select(*win.bounds(size), *columns)
 
 
 def _pane_terms(df: DataFrame, size: str, slide: str, ts: str, text: str, extra: list, **options):
@@ -118,22 +118,26 @@ def windowed_vocabulary(
         .agg(F.count("*").alias("df"), F.sum("tf").alias("tf"))
     )
     per_window = (
-        per_pane.groupBy(win.sliding("pane", size, slide).alias("window"), "word")
+        per_pane.select(
+            win.window_starts("pane", size, slide).alias("window_start"), "word", "df", "tf"
+        )
+        .groupBy("window_start", "word")
         .agg(F.sum("df").alias("df"), F.sum("tf").alias("total_tf"))
         .filter((F.col("df") >= min_df) | (F.col("word") == ""))
-        .select(*win.bounds(), "word", "df", "total_tf")
-    )
-    by_frequency = Window.partitionBy(*WINDOW).orderBy(
-        (F.col("word") == "").desc(), F.col("total_tf").desc(), "word"
     )
+    # Nulls sort first, and the marker must not be cut off.
+    marker_first = F.when(F.col("word") != "", -F.col("total_tf"))
+    by_frequency = Window.partitionBy("window_start").orderBy(marker_first, "word")
     kept = per_window.withColumn("place", F.row_number().over(by_frequency)).filter(
         F.col("place") <= vocab_size + 1
     )
-    texts = F.max(F.when(F.col("word") == "", F.col("df"))).over(Window.partitionBy(*WINDOW))
+    texts = F.max(F.when(F.col("word") == "", F.col("df"))).over(
+        Window.partitionBy("window_start")
+    )
     return (
         kept.withColumn("n_docs", texts)
         .filter(F.col("word") != "")
-        .select(*WINDOW, "word", "total_tf", "df", "n_docs")
+        .select(*win.bounds(size), "word", "total_tf", "df", "n_docs")
         .transform(inverse_doc_freq)
     )
 
@@ -164,48 +168,53 @@ def windowed_top_keywords(
     smaller id.
 
     Within a window all pairs of one word share the idf, so only its k highest tf can place. That
-    also holds within each pane, so all but k pairs per (pane, word) drop out before the pairs are
-    spread over the windows and joined with the vocabulary.
+    also holds within each pane, so all but k pairs per (pane, word) drop out before the pairs meet
+    the vocabulary.
     """
     if grain not in ("doc_word", "word"):
         raise ValueError(f"grain is 'doc_word' or 'word', not {grain!r}")
     vocabulary = windowed_vocabulary(df, size, slide, ts, text, vocab_size, min_df, **options)
-    pairs = _pane_terms(df, size, slide, ts, text, [id] if grain == "doc_word" else [], **options)
-    pairs = pairs.filter(F.col("word") != "")
+    extra = [id] if grain == "doc_word" else []
+    pairs = _pane_terms(df, size, slide, ts, text, extra, **options).filter(F.col("word") != "")
     if grain == "word":
         best = pairs.groupBy("pane", "word").agg(F.max("tf").alias("tf"))
-        per_window = best.groupBy(win.sliding("pane", size, slide).alias("window"), "word").agg(
-            F.max("tf").alias("tf")
+        scored = (
+            _score(best, vocabulary, size, slide)
+            .groupBy(*WINDOW, "word")
+            .agg(F.max("tfidf").alias("tfidf"))
         )
-        order = [F.round("tfidf", TIE_DECIMALS).desc(), F.col("word")]
+        ties = ["word"]
     else:
         in_pane = Window.partitionBy("pane", "word").orderBy(F.col("tf").desc(), id)
         best = pairs.withColumn("place", F.row_number().over(in_pane)).filter(
             F.col("place") <= k
         )
-        per_window = best.select(
-            win.sliding("pane", size, slide).alias("window"), id, "word", "tf"
-        )
-        order = [
-            F.round("tfidf", TIE_DECIMALS).desc(),
-            F.col("word"),
-            F.col("tf").desc(),
-            F.col(id),
-        ]
-    scored = (
-        per_window.withColumns({"window_start": F.col("window.start"), "window_end": F.col("window.end")})
-        .drop("window")
-        .join(vocabulary.select(*WINDOW, "word", "idf"), [*WINDOW, "word"])
-        .withColumn("tfidf", F.col("tf") * F.col("idf"))
-    )
-    rank = F.row_number().over(Window.partitionBy(*WINDOW).orderBy(*order))
+        scored = _score(best, vocabulary, size, slide)
+        ties = ["word", F.col("tf").desc(), id]
     return (
-        scored.withColumn("rank", rank)
+        scored.withColumn("rank", _rank("window_start", ties=ties))
         .filter(F.col("rank") <= k)
         .select("word", "tfidf", "rank", *WINDOW)
     )
 
 
+def _score(pairs: DataFrame, vocabulary: DataFrame, size: str, slide: str) -> DataFrame:
+    """(pane, word, tf, ..) pairs with the idf of each window that covers the pane and holds the word.
+
+    The vocabulary is spread over panes, and not the many pairs over windows: the pairs are
+    shuffled once, and words outside every vocabulary drop out in the join.
+    """
+    by_pane = vocabulary.select(
+        *WINDOW, "word", "idf", F.explode(win.panes_of_window(size, slide)).alias("pane")
+    )
+    return pairs.join(by_pane, ["pane", "word"]).withColumn("tfidf", F.col("tf") * F.col("idf"))
+
+
+def _rank(*group: str, ties: list) -> Column:
+    best_first = F.round("tfidf", TIE_DECIMALS).desc()
+    return F.row_number().over(Window.partitionBy(*group).orderBy(best_first, *ties))
+
+
 def doc_top_keywords(
     df: DataFrame,
     size: str = SIZE,
@@ -221,34 +230,16 @@ def doc_top_keywords(
     """(window_start, window_end, id, word, tfidf, rank): each text's k best words in each window.
 
     Ids must be unique; run ``dedup_records`` or ``latest_snapshot`` first where polls repeat.
-    The vocabulary is turned to one row per (pane, word) that lists its windows, so a text's terms
-    are shuffled once and not once per window. Words outside every vocabulary drop out in the join;
-    a word that most texts share is split by adaptive skew handling.
+    A word that most texts share is split by adaptive skew handling in the join.
     """
     vocabulary = windowed_vocabulary(df, size, slide, ts, text, vocab_size, min_df, **options)
-    step = F.expr(f"INTERVAL {win.pane_width(size, slide)}")
-    panes = F.explode(F.sequence("window_start", F.col("window_end") - step, step))
-    by_pane = (
-        vocabulary.withColumn("pane", panes)
-        .groupBy("pane", "word")
-        .agg(F.collect_list(F.struct(*WINDOW, "idf")).alias("windows"))
-    )
-    scored = (
-        _pane_terms(df, size, slide, ts, text, [id], **options)
-        .join(by_pane, ["pane", "word"])
-        .select(id, "word", "tf", F.explode("windows").alias("w"))
-        .select(
-            F.col("w.window_start").alias("window_start"),
-            F.col("w.window_end").alias("window_end"),
-            id,
-            "word",
-            (F.col("tf") * F.col("w.idf")).alias("tfidf"),
-        )
-    )
-    rank = F.row_number().over(
-        Window.partitionBy(*WINDOW, id).orderBy(F.round("tfidf", TIE_DECIMALS).desc(), "word")
+    pairs = _pane_terms(df, size, slide, ts, text, [id], **options).filter(F.col("word") != "")
+    return (
+        _score(pairs, vocabulary, size, slide)
+        .withColumn("rank", _rank("window_start", id, ties=["word"]))
+        .filter(F.col("rank") <= k)
+        .select(*WINDOW, id, "word", "tfidf", "rank")
     )
-    return scored.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
 def tfidf_pipeline(vocab_size: int = VOCAB_SIZE, min_df: float = 1.0) -> Pipeline:

@@ -85,9 +85,15 @@ def windowed_ref_counts(
     per_pane = refs.groupBy(win.pane(ts, size, slide).alias("pane"), "reference").agg(
         F.count("*").alias("n")
     )
-    counts = per_pane.groupBy(
-        win.sliding("pane", size, slide).alias("window"), "reference"
-    ).agg(F.sum("n").alias("count"))
-    if nested:
+    counts = (
+        per_pane.select(
+            win.window_starts("pane", size, slide).alias("window_start"), "reference", "n"
+        )
+        .groupBy("window_start", "reference")
+        .agg(F.sum("n").alias("count"))
+        .select(*win.bounds(size), "reference", "count")
+    )
+    if not nested:
         return counts
-    return counts.select(*win.bounds(), "reference", "count")
+    window = F.struct(F.col("window_start").alias("start"), F.col("window_end").alias("end"))
+    return counts.select(window.alias("window"), "reference", "count")

@@ -30,16 +30,20 @@ def sentiment(
     ``rules=False`` takes the plain sum of valences: no degree words, no negation. Texts are
     scored as cleaned; pass another token column to score raw ones.
     """
-    valued = map_tokens(df, tokens, lexicon, "_valence", "double", inline_limit)
+    valued = map_tokens(
+        df,
+        tokens,
+        lexicon,
+        "_valued",
+        "double",
+        lambda word, value: F.struct(word.alias("word"), value.alias("value")),
+        inline_limit,
+    )
     if rules:
-        values = scoring.adjusted_valences(tokens, "_valence", boosters, negators)
+        values = scoring.adjusted_valences("_valued", boosters, negators)
     else:
-        values = F.transform("_valence", lambda v: F.coalesce(v, F.lit(0.0)))
-    return (
-        valued.withColumn("_scored", values)
-        .withColumn("sentiment", scoring.polarity("_scored"))
-        .drop("_valence", "_scored")
-    )
+        values = F.transform("_valued", lambda v: F.coalesce(v["value"], F.lit(0.0)))
+    return valued.withColumn("sentiment", scoring.polarity(values)).drop("_valued")
 
 
 def sentiment_table(

@@ -10,7 +10,7 @@ from parley.operators import annotate as an
 from parley.operators import insights, keywords, references, snapshots
 from parley.operators.sentiment import sentiment_table
 from parley.schemas import COMMENT_FIELDS, COMMENT_SCHEMA
-from parley.session import work_dir
+from parley.session import staged, work_dir
 from parley.sources import files, records, tables
 from parley.streaming import live
 
@@ -342,15 +342,20 @@ def word_frequencies(spark, sf_dir):
     return _rounded(insights.word_frequencies(annotated), "weight")
 
 
-def compound_histogram(spark, sf_dir):
+def _compounds(spark, sf_dir):
+    """The scores alone, stored: a range and then the values are read from them."""
     scored = _scored(tables.documents(spark, sf_dir), spark, sf_dir)
-    bins = insights.compound_histogram(scored)
+    return staged(scored.select("compound"), "compounds")
+
+
+def compound_histogram(spark, sf_dir):
+    bins = insights.compound_histogram(_compounds(spark, sf_dir))
     return bins.transform(_rounded, "bin_start").transform(_rounded, "bin_end")
 
 
 def compound_density(spark, sf_dir):
-    scored = _scored(tables.documents(spark, sf_dir), spark, sf_dir)
-    return insights.compound_density(scored).transform(_rounded, "x").transform(_rounded, "density")
+    curve = insights.compound_density(_compounds(spark, sf_dir))
+    return curve.transform(_rounded, "x").transform(_rounded, "density")
 
 
 def simulated_sentiment(spark, sf_dir):

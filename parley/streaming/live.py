@@ -27,9 +27,14 @@ def live_ref_counts(
     """Windowed reference counts; a window is emitted once, when the watermark passes its end."""
     refs = all_refs(df.withWatermark(ts, delay), text, ts, mode)
     return (
-        refs.groupBy(win.sliding(ts, size, slide).alias("window"), "reference")
+        refs.groupBy(F.window(ts, size, slide).alias("window"), "reference")
         .agg(F.count("*").alias("count"))
-        .select(*win.bounds(), "reference", "count")
+        .select(
+            F.col("window.start").alias("window_start"),
+            F.col("window.end").alias("window_end"),
+            "reference",
+            "count",
+        )
     )
 
 
@@ -58,9 +63,11 @@ def keyword_refresher(
     def refresh(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         touched = (
-            batch.select(win.sliding(win.pane(ts, size, slide), size, slide).alias("window"))
-            .select(*win.bounds())
+            batch.select(win.pane(ts, size, slide).alias("pane"))
+            .distinct()
+            .select(win.window_starts("pane", size, slide).alias("window_start"))
             .distinct()
+            .select(*win.bounds(size))
         )
         span = touched.agg(
             F.min("window_start").alias("low"), F.max("window_end").alias("high")
