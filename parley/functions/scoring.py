@@ -32,35 +32,34 @@ def adjusted_valences(
         return word.isin(negating) | word.contains("n't") if negating else F.lit(False)
 
     def scored(row: Column) -> Column:
-        words, values = row["word"], row["value"]
-
-        def at(array: Column, i: Column) -> Column:
-            return F.when(i >= 0, F.get(array, i))
+        def at(field: str, i: Column) -> Column:
+            # get() before the field: row[field] would copy the whole text's field each time.
+            return F.get(row, i)[field]
 
         def moved_by(value: Column, i: Column, back: int) -> Column:
-            before = at(words, i - back)
+            before = at("word", i - back)
             push = F.coalesce(boost(before), F.lit(0.0)) * DAMPING[back - 1]
             moved = value + F.when(value < 0, -push).otherwise(push)
             spared = F.lit(False)
             if back == 2:
-                spared = (before == "without") & (at(words, i - 1) == "doubt")
+                spared = (before == "without") & (at("word", i - 1) == "doubt")
             flipped = F.when(flips(before) & ~spared, moved * NEGATION).otherwise(moved)
-            heard = before.isNotNull() & at(values, i - back).isNull()
+            heard = before.isNotNull() & at("value", i - back).isNull()
             return F.when(heard, flipped).otherwise(value)
 
         def step(value: Column, i: Column, back: int) -> Column:
             return let(value, lambda v: moved_by(v, i, back))
 
-        def one(word: Column, i: Column) -> Column:
-            value = F.get(values, i)
+        def one(token: Column, i: Column) -> Column:
+            value = token["value"]
             for back in (1, 2, 3):
                 value = step(value, i, back)
-            least = (at(words, i - 1) == "least") & at(values, i - 1).isNull()
+            least = (at("word", i - 1) == "least") & at("value", i - 1).isNull()
             value = F.when(least, value * NEGATION).otherwise(value)
-            plain = F.get(values, i).isNull() | boost(word).isNotNull()
+            plain = token["value"].isNull() | boost(token["word"]).isNotNull()
             return F.when(plain, F.lit(0.0)).otherwise(value)
 
-        return F.transform(words, one)
+        return F.transform(row, one)
 
     return let(F.col(valued) if isinstance(valued, str) else valued, scored)
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from parley.functions import text as tx
 from parley.functions.lookup import INLINE_LIMIT, Dictionary, map_tokens
+from parley.functions.rows import each
 from parley.sources.wordlists import DEFAULT_TAG, LEMMAS, STOP_WORDS, TAGS
 
 # Phrase shapes. One or more of the first tag, then one of the second.
@@ -122,11 +123,11 @@ def chunk(
 
 def _runs(line: Column, many: str, last: str) -> Column:
     """Runs of ``many`` with the ``last`` that ends them; of one tag alone, runs of two or more."""
-    run = rf"(?:[^/ ]+/{many} )++"
+    run = rf"(?<![^ ])(?:[^/ ]++/{many} )++"
     if many == last:
         found = F.regexp_extract_all(line, F.lit(run), F.lit(0))
         return F.filter(found, lambda r: r.rlike(r"^[^ ]+ [^ ]"))
-    found = F.regexp_extract_all(line, F.lit(rf"{run}(?:[^/ ]+/{last} )?"), F.lit(0))
+    found = F.regexp_extract_all(line, F.lit(rf"{run}(?:[^/ ]++/{last} )?"), F.lit(0))
     return F.filter(found, lambda r: r.endswith(f"/{last} "))
 
 
@@ -175,7 +176,7 @@ def noun_chunks(
     inline_limit: int = INLINE_LIMIT,
 ) -> DataFrame:
     """(id, chunk): one row per phrase."""
-    return (
+    chunked = (
         df.select(id, text)
         .transform(assemble_documents, text)
         .transform(nlp_tokenize)
@@ -183,5 +184,5 @@ def noun_chunks(
         .transform(lemmatize, lemmas, inline_limit)
         .transform(pos_tag, tags, "lemmatized", inline_limit)
         .transform(chunk)
-        .select(id, F.explode("ngrams").alias("chunk"))
     )
+    return each(chunked, "chunk", F.col("ngrams"), id)

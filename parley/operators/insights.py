@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.functions import text as tx
+from parley.functions.rows import each
 from parley.sources.files import read_dir_concat
 
 SENTIMENTS = ["neutral", "positive", "negative"]
@@ -45,9 +46,8 @@ def word_frequencies(
 
     ``k=None`` keeps every token.
     """
-    counts = (
-        df.select(F.explode(tokens).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    )
+    words = each(df, "word", F.col(tokens))
+    counts = words.groupBy("word").agg(F.count("*").alias("n"))
     if k is None:
         top = counts.agg(F.max("n").alias("n")).scalar()
         return counts.withColumn("weight", F.col("n") / top)
@@ -103,8 +103,7 @@ def _stats(counts: DataFrame) -> Column:
 
 
 def _value_counts(df: DataFrame, value: str) -> DataFrame:
-    """How often each value occurs, null included: a filter on a computed score would be pushed
-    below it and score every text twice."""
+    """How often each value occurs, null included."""
     return df.groupBy(F.col(value).cast("double").alias("x")).agg(F.count("*").alias("n"))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from parley.functions import text as tx
 from parley.functions import windows as win
+from parley.functions.rows import best, each
 from parley.sources.wordlists import STOP_WORDS
 
 VOCAB_SIZE = 1000
@@ -58,11 +59,8 @@ def tokenize(
 
 def term_counts(df: DataFrame, id: str = "id", text: str = "text", **options) -> DataFrame:
     """(id, word, tf): how often each term occurs in each text. Counted inside the row."""
-    return (
-        tokenize(df, text, **options)
-        .select(id, F.explode(tx.term_runs("words")).alias("t"))
-        .select(id, "t.word", "t.tf")
-    )
+    terms = tokenize(df, text, **options)
+    return each(terms, "t", tx.term_runs("words"), id).select(id, "t.word", "t.tf")
 
 
 def window_texts(
@@ -84,15 +82,11 @@ def window_texts(
 def _pane_terms(df: DataFrame, size: str, slide: str, ts: str, text: str, extra: list, **options):
     """(pane, extra..., word, tf). Every text also gives ('', 0), so df of '' counts texts."""
     text_marker = F.array(F.struct(F.lit("").alias("word"), F.lit(0).cast("bigint").alias("tf")))
-    return (
-        tokenize(df, text, **options)
-        .select(
-            win.pane(ts, size, slide).alias("pane"),
-            *extra,
-            F.explode(F.concat(text_marker, tx.term_runs("words"))).alias("t"),
-        )
-        .select("pane", *extra, "t.word", "t.tf")
+    terms = tokenize(df, text, **options).select(
+        win.pane(ts, size, slide).alias("pane"), *extra, "words"
     )
+    runs = F.concat(text_marker, tx.term_runs("words"))
+    return each(terms, "t", runs, "pane", *extra).select("pane", *extra, "t.word", "t.tf")
 
 
 def windowed_vocabulary(
@@ -108,9 +102,8 @@ def windowed_vocabulary(
     """(window, word, total_tf, df, n_docs, idf): the most frequent terms of each window.
 
     Document and term frequencies add up from panes to windows, so texts are counted once and not
-    once per overlapping window. The marker row sorts first in its window and brings the number of
-    texts along, which saves a join; per window at most ``vocab_size + 1`` rows per task reach the
-    ranking.
+    once per overlapping window. The marker is ranked apart from the words and brings the number of
+    texts along, which saves a join.
     """
     per_pane = (
         _pane_terms(df, size, slide, ts, text, [], **options)
@@ -125,18 +118,20 @@ def windowed_vocabulary(
         .agg(F.sum("df").alias("df"), F.sum("tf").alias("total_tf"))
         .filter((F.col("df") >= min_df) | (F.col("word") == ""))
     )
-    # Nulls sort first, and the marker must not be cut off.
-    marker_first = F.when(F.col("word") != "", -F.col("total_tf"))
-    by_frequency = Window.partitionBy("window_start").orderBy(marker_first, "word")
-    kept = per_window.withColumn("place", F.row_number().over(by_frequency)).filter(
-        F.col("place") <= vocab_size + 1
+    kept = best(
+        per_window.withColumn("is_marker", F.col("word") == ""),
+        ["window_start", "is_marker"],
+        [F.col("total_tf").desc(), "word"],
+        vocab_size,
+        "place",
+        "word",
     )
-    texts = F.max(F.when(F.col("word") == "", F.col("df"))).over(
+    texts = F.max(F.when(F.col("is_marker"), F.col("df"))).over(
         Window.partitionBy("window_start")
     )
     return (
         kept.withColumn("n_docs", texts)
-        .filter(F.col("word") != "")
+        .filter(~F.col("is_marker"))
         .select(*win.bounds(size), "word", "total_tf", "df", "n_docs")
         .transform(inverse_doc_freq)
     )
@@ -177,25 +172,19 @@ def windowed_top_keywords(
     extra = [id] if grain == "doc_word" else []
     pairs = _pane_terms(df, size, slide, ts, text, extra, **options).filter(F.col("word") != "")
     if grain == "word":
-        best = pairs.groupBy("pane", "word").agg(F.max("tf").alias("tf"))
+        per_pane = pairs.groupBy("pane", "word").agg(F.max("tf").alias("tf"))
         scored = (
-            _score(best, vocabulary, size, slide)
+            _score(per_pane, vocabulary, size, slide)
             .groupBy(*WINDOW, "word")
             .agg(F.max("tfidf").alias("tfidf"))
         )
         ties = ["word"]
     else:
-        in_pane = Window.partitionBy("pane", "word").orderBy(F.col("tf").desc(), id)
-        best = pairs.withColumn("place", F.row_number().over(in_pane)).filter(
-            F.col("place") <= k
-        )
-        scored = _score(best, vocabulary, size, slide)
+        per_pane = best(pairs, ["pane", "word"], [F.col("tf").desc(), id], k, "place", id)
+        scored = _score(per_pane, vocabulary, size, slide)
         ties = ["word", F.col("tf").desc(), id]
-    return (
-        scored.withColumn("rank", _rank("window_start", ties=ties))
-        .filter(F.col("rank") <= k)
-        .select("word", "tfidf", "rank", *WINDOW)
-    )
+    ranked = best(scored, ["window_start"], [_best_first(), *ties], k, "rank", "word")
+    return ranked.select("word", "tfidf", "rank", *WINDOW)
 
 
 def _score(pairs: DataFrame, vocabulary: DataFrame, size: str, slide: str) -> DataFrame:
@@ -210,9 +199,8 @@ def _score(pairs: DataFrame, vocabulary: DataFrame, size: str, slide: str) -> Da
     return pairs.join(by_pane, ["pane", "word"]).withColumn("tfidf", F.col("tf") * F.col("idf"))
 
 
-def _rank(*group: str, ties: list) -> Column:
-    best_first = F.round("tfidf", TIE_DECIMALS).desc()
-    return F.row_number().over(Window.partitionBy(*group).orderBy(best_first, *ties))
+def _best_first() -> Column:
+    return F.round("tfidf", TIE_DECIMALS).desc()
 
 
 def doc_top_keywords(
@@ -234,12 +222,9 @@ def doc_top_keywords(
     """
     vocabulary = windowed_vocabulary(df, size, slide, ts, text, vocab_size, min_df, **options)
     pairs = _pane_terms(df, size, slide, ts, text, [id], **options).filter(F.col("word") != "")
-    return (
-        _score(pairs, vocabulary, size, slide)
-        .withColumn("rank", _rank("window_start", id, ties=["word"]))
-        .filter(F.col("rank") <= k)
-        .select(*WINDOW, id, "word", "tfidf", "rank")
-    )
+    scored = _score(pairs, vocabulary, size, slide)
+    ranked = best(scored, ["window_start", id], [_best_first(), "word"], k, "rank", "word")
+    return ranked.select(*WINDOW, id, "word", "tfidf", "rank")
 
 
 def tfidf_pipeline(vocab_size: int = VOCAB_SIZE, min_df: float = 1.0) -> Pipeline:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.functions import windows as win
+from parley.functions.rows import each
 
 # What counts as a reference.
 PATTERNS = {
@@ -40,7 +41,7 @@ def all_refs(
     """
     hits = F.concat(*[_found(text, kind, mode) for kind in kinds])
     return (
-        df.select(F.col(ts), F.explode(hits).alias("hit"))
+        each(df, "hit", hits, ts)
         .select(ts, "hit.kind", "hit.reference")
         .filter(F.col("reference") != "")
     )
@@ -60,12 +61,12 @@ def url_refs(df: DataFrame, text: str = "text", mode: str = "first") -> DataFram
 
 def _one_kind(df: DataFrame, text: str, kind: str, mode: str) -> DataFrame:
     """All input columns plus ``reference``, for the texts that have one."""
-    if mode == "first":
-        found = df.withColumn("reference", F.regexp_extract(text, PATTERNS[kind], 0))
-    else:
-        hits = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
-        found = df.withColumn("reference", F.explode(hits))
-    return found.filter(F.col("reference") != "")
+    return (
+        each(df, "hit", _found(text, kind, mode), *df.columns)
+        .withColumn("reference", F.col("hit.reference"))
+        .drop("hit")
+        .filter(F.col("reference") != "")
+    )
 
 
 def windowed_ref_counts(

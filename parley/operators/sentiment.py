@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from parley.functions import scoring
 from parley.functions.lookup import INLINE_LIMIT, Dictionary, map_tokens
+from parley.functions.rows import once
 from parley.operators.annotate import annotate
 from parley.sources.records import lift_fields
 from parley.sources.wordlists import BOOSTERS, LEXICON, NEGATORS
@@ -43,7 +44,7 @@ def sentiment(
         values = scoring.adjusted_valences("_valued", boosters, negators)
     else:
         values = F.transform("_valued", lambda v: F.coalesce(v["value"], F.lit(0.0)))
-    return valued.withColumn("sentiment", scoring.polarity(values)).drop("_valued")
+    return once(valued, "sentiment", scoring.polarity(values)).drop("_valued")
 
 
 def sentiment_table(

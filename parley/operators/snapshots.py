@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parley.functions.rows import best
+
 
 def dedup_records(df: DataFrame, key: str = "id", order: str = "timestamp") -> DataFrame:
     """The earliest row per key."""
@@ -17,12 +19,7 @@ def latest_snapshot(df: DataFrame, key: str = "id", ingested: str = "ingest_ts")
 
 
 def _best(df: DataFrame, key: str, order, ascending: bool) -> DataFrame:
-    """One row per key; ties settled by the other columns so that a re-run picks the same row.
-
-    Spark cuts each map task's rows to one per key before the shuffle, so a key that fills much of
-    the table does not pile up in one task.
-    """
+    """One row per key; ties settled by the other columns so that a re-run picks the same row."""
     rest = [F.col(c) for c in df.columns if c != key]
     ties = [c.asc() if ascending else c.desc() for c in rest]
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(order, *ties))
-    return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
+    return best(df, [key], [order, *ties], 1, "_place", key).drop("_place")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from parley.functions.rows import once
 from parley.schemas import COMMENT_FIELDS, COMMENT_SCHEMA, POST_FIELDS, RECORD_SCHEMA
 
 DELETED = "deleted"
@@ -39,7 +40,7 @@ def parse_records(
     A bad field is null; a line that yields nothing is left out unless ``keep_malformed``
     (``malformed_lines`` returns exactly those).
     """
-    parsed = lines.select(F.from_json("value", schema).alias("data"))
+    parsed = once(lines, "data", F.from_json("value", schema))
     if not keep_malformed:
         parsed = parsed.filter(~_nothing_parsed("data", schema))
     return flatten(parsed, "data").withColumn("timestamp", epoch_timestamp("created_utc"))
@@ -48,7 +49,7 @@ def parse_records(
 def malformed_lines(lines: DataFrame, schema: StructType = RECORD_SCHEMA) -> DataFrame:
     """The lines that yield no field at all, for a quarantine output."""
     return (
-        lines.withColumn("data", F.from_json("value", schema))
+        once(lines, "data", F.from_json("value", schema))
         .filter(_nothing_parsed("data", schema))
         .select("value")
     )
