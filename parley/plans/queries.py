@@ -381,8 +381,9 @@ def reference_view(spark, sf_dir):
 
 
 def _stream(spark, sf_dir, name, columns):
-    schema = tables.table(spark, sf_dir, name).select(*columns).schema
-    return files.read_raw_stream(spark, f"{sf_dir}/{name}.parquet*", schema)
+    scan = tables.table(spark, sf_dir, name).select(*columns)
+    stream = files.read_raw_stream(spark, f"{sf_dir}/{name}.parquet*", scan.schema)
+    return tables.spread(stream, columns[0], scan)
 
 
 def _comment_stream(spark, sf_dir):

@@ -16,13 +16,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("string").alias("id"), "text")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame, key: str, scan: DataFrame | None = None) -> DataFrame:
     """Hash out a scan that has fewer splits than there are cores; leave any larger scan alone.
 
-    A table of one row group would otherwise run in one task however many cores there are.
+    A table of one row group would otherwise run in one task however many cores there are. For a
+    stream, ``scan`` is the same table as a batch.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if (df if scan is None else scan).rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, key)
 
