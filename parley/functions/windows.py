@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
@@ -45,8 +45,18 @@ def bounds(size: str, start: str = "window_start") -> list[Column]:
     return [F.col(start).alias("window_start"), end.alias("window_end")]
 
 
-def panes_of_window(size: str, slide: str, start: str = "window_start") -> Column:
-    """Starts of the panes of the window that begins at ``start``."""
-    width = pane_width(size, slide)
-    last = f"INTERVAL {duration_seconds(size)} seconds - INTERVAL {width}"
-    return F.sequence(F.col(start), F.col(start) + F.expr(last), F.expr(f"INTERVAL {width}"))
+def block(ts: Column | str, size: str) -> Column:
+    """Start of the window-sized stretch of time that holds ``ts``."""
+    return F.window(ts, f"{duration_seconds(size)} seconds")["start"]
+
+
+def with_blocks(df: DataFrame, size: str, slide: str) -> DataFrame:
+    """Adds ``block``: one row for each of the one or two blocks that a row's window reaches into."""
+    first = F.col("window_start")
+    last_pane = F.expr(
+        f"INTERVAL {duration_seconds(size)} seconds - INTERVAL {pane_width(size, slide)}"
+    )
+    ends = F.array_distinct(F.array(first, first + last_pane))
+    edges = df.withColumn("_edge", F.explode(ends))
+    blocks = edges.withColumn("block", block("_edge", size))
+    return blocks.filter((F.col("_edge") == first) | (F.col("block") > first)).drop("_edge")

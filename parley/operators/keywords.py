@@ -190,13 +190,18 @@ def windowed_top_keywords(
 def _score(pairs: DataFrame, vocabulary: DataFrame, size: str, slide: str) -> DataFrame:
     """(pane, word, tf, ..) pairs with the idf of each window that covers the pane and holds the word.
 
-    The vocabulary is spread over panes, and not the many pairs over windows: the pairs are
-    shuffled once, and words outside every vocabulary drop out in the join.
+    Both sides meet in window-sized blocks of time: a pair lies in one block, a window reaches into
+    two at most. So neither the pairs nor the vocabulary are copied once per overlapping window
+    before the shuffle, and words outside every vocabulary drop out in the join.
     """
-    by_pane = vocabulary.select(
-        *WINDOW, "word", "idf", F.explode(win.panes_of_window(size, slide)).alias("pane")
+    by_block = win.with_blocks(vocabulary.select(*WINDOW, "word", "idf"), size, slide)
+    pairs = pairs.withColumn("block", win.block("pane", size))
+    covered = (F.col("pane") >= F.col("window_start")) & (F.col("pane") < F.col("window_end"))
+    return (
+        pairs.join(by_block, ["block", "word"])
+        .filter(covered)
+        .withColumn("tfidf", F.col("tf") * F.col("idf"))
     )
-    return pairs.join(by_pane, ["pane", "word"]).withColumn("tfidf", F.col("tf") * F.col("idf"))
 
 
 def _best_first() -> Column:

@@ -26,7 +26,7 @@ def test_work_dir_without_a_shared_folder():
 def test_staged_tables_keep_rows_and_schema(spark):
     df = spark.range(5).selectExpr("id", "cast(id as string) s")
     copy = staged(df, "numbers")
-    assert copy.schema == df.schema and sorted(copy.collect()) == sorted(df.collect())
+    assert copy.dtypes == df.dtypes and sorted(copy.collect()) == sorted(df.collect())
     assert "Range" not in copy._jdf.queryExecution().optimizedPlan().toString()
 
 
