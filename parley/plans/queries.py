@@ -107,7 +107,7 @@ def _lines(spark, sf_dir):
 
 def parse_json_records(spark, sf_dir):
     parsed = records.parse_records(_lines(spark, sf_dir))
-    return _zoneless(records.comment_columns(parsed))
+    return _in_utc(records.comment_columns(parsed))
 
 
 def malformed_lines(spark, sf_dir):
@@ -393,6 +393,14 @@ def _comment_stream(spark, sf_dir):
     return comments.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def _in_utc(df: DataFrame) -> DataFrame:
+    """``timestamp`` as UTC clock time, whatever the session's time zone."""
+    local = F.col("timestamp").cast("timestamp_ntz")
+    return df.withColumn(
+        "timestamp", F.convert_timezone(F.current_timezone(), F.lit("UTC"), local)
+    )
+
+
 def _zoneless(df: DataFrame) -> DataFrame:
     """Timestamps as the given tables have them."""
     zoned = [n for n, t in df.dtypes if t == "timestamp"]
@@ -445,7 +453,7 @@ def stream_ingest(spark, sf_dir):
     files.write_lines(_lines(spark, sf_dir), f"{base}/lines")
     lines = files.read_lines_stream(spark, f"{base}/lines")
     parsed = records.parse_records(lines, COMMENT_SCHEMA)
-    return _zoneless(live.drain(spark, parsed, f"{base}/raw", f"{base}/state"))
+    return _in_utc(live.drain(spark, parsed, f"{base}/raw", f"{base}/state"))
 
 
 QUERIES = {

@@ -13,6 +13,7 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.streaming.stopGracefullyOnShutdown": "true",
     "spark.sql.streaming.stopTimeout": "60s",
 }
 

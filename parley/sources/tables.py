@@ -80,7 +80,9 @@ def comment_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(
         "id",
         "author",
-        (F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6)).alias("created_utc"),
+        (
+            F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01'"), "ts") / F.lit(1e6)
+        ).alias("created_utc"),
         "score",
         F.concat(F.lit("t3_"), "subreddit").alias("parent_id"),
         "subreddit",

@@ -31,8 +31,8 @@ uber unbelievably unusually utter utterly very
 } | {
     word: -BOOST
     for word in """
-almost barely hardly less little marginal marginally occasional occasionally partly scarce scarcely
-slight slightly somewhat
+almost barely hardly kinda kindof less little marginal marginally occasional occasionally partly
+scarce scarcely slight slightly somewhat sorta sortof
 """.split()
 }
 
