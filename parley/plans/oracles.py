@@ -173,10 +173,6 @@ def _tokens(source: str = "docs") -> list[str]:
     ]
 
 
-def _line(table: str, token: str = "token") -> str:
-    return f"coalesce((SELECT string_agg({token}, ' ' ORDER BY pos) FROM {table} t WHERE t.id = d.id), '')"
-
-
 def _lines(table: str, name: str, token: str = "token", more: tuple[str, ...] = ()) -> str:
     return (
         _with(DOCS, *_tokens(), *more)
@@ -268,10 +264,6 @@ SCORES = [DOCS, *_sentiment()]
 SCORE_ROWS = "SELECT id, compound, positive, neutral, negative FROM scores"
 
 
-def _dashboard_scores(source_cte: str, source: str) -> str:
-    return _with(source_cte, *_sentiment(source))
-
-
 HISTOGRAM = """
 , stats AS (SELECT min(compound) AS low, max(compound) AS high FROM scores)
 , placed AS (
