@@ -29,15 +29,20 @@ def build_session(app_name: str = "parley", master: str | None = None, **conf: s
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for stream checkpoints and staged tables.
+    """A fresh folder for stream checkpoints and staged tables, gone when the driver ends.
 
-    It lies under the cluster's shared ``spark.checkpoint.dir``. Only a session without that
-    setting (a local test) gets a temporary folder.
+    It lies under the cluster's shared ``spark.checkpoint.dir``. Without that setting a local
+    session gets a temporary folder, and a cluster is an error: its executors share no such folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="parley-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
