@@ -39,6 +39,35 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+#: 64-bit words of a key filter: 2**18 rows at most, whatever the number of keys.
+FILTER_WORDS = 1 << 18
+
+
+def key_filter(keys: DataFrame, key: str) -> DataFrame:
+    """A Bloom filter over hashed ``key`` (long): at most FILTER_WORDS rows (word, bits)."""
+    slot = F.pmod(F.col(key), F.lit(64 * FILTER_WORDS))
+    return (
+        keys.select(F.shiftright(slot, 6).alias("word"), (slot % 64).cast("int").alias("bit"))
+        .groupBy("word")
+        .agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits"))
+    )
+
+
+def maybe_in(df: DataFrame, key: str, words: DataFrame) -> DataFrame:
+    """``df`` with ``maybe``: false for rows whose hashed ``key`` is surely not in the filter.
+
+    Saves the shuffle of most rows that a later join on the key would find nothing for.
+    """
+    slot = F.pmod(F.col(key), F.lit(64 * FILTER_WORDS))
+    bit = F.expr(f"shiftrightunsigned(_bits, cast(pmod({key}, {64 * FILTER_WORDS}L) % 64 as int)) & 1L")
+    small = F.broadcast(words.toDF("_word", "_bits"))
+    return (
+        df.join(small, F.shiftright(slot, 6) == F.col("_word"), "left")
+        .withColumn("maybe", F.coalesce(bit == 1, F.lit(False)))
+        .drop("_word", "_bits")
+    )
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, component): the smallest node reachable over ``edges`` (a, b), itself included.
 

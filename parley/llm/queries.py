@@ -5,9 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from parley.llm import url_filters
 from parley.llm.common import read
+from parley.llm.decontamination import contaminated
 from parley.llm.exact_dedup import exact_dedup
+from parley.llm.jaccard_join import jaccard_join
+from parley.llm.language_id import language_id
+from parley.llm.line_dedup import line_dedup
+from parley.llm.packing import pack_documents
 from parley.llm.sharding import shard
 from parley.llm.token_counts import token_counts
 from parley.llm.token_output import token_output
@@ -22,16 +29,84 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(read(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = line_dedup(read(spark, sf_dir, "documents"))
+    return docs.select("doc_id", "n_lines", "n_dropped", "text")
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(read(spark, sf_dir, "documents"))
+
+
+def url_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, fetched at the time of the event of its number (numbers wrap around)."""
+    pages, events = read(spark, sf_dir, "pages"), read(spark, sf_dir, "events")
+    pages = pages.select("page_id", "url", (F.col("page_id") % events.count()).alias("event_id"))
+    times = events.select("event_id", F.col("ts").alias("fetched"))
+    return pages.join(times, "event_id", "left").select("page_id", "url", "fetched")
+
+
+def url_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dated list: errors block, purchases allow and clicks free what the event's page lies under.
+
+    In turn that is the page's domain, its host, or its host with the first folder.
+    """
+    pages, events = read(spark, sf_dir, "pages"), read(spark, sf_dir, "events")
+    action = (
+        F.when(F.col("event_type") == "error", "block")
+        .when(F.col("event_type") == "purchase", "allow")
+        .when(F.col("event_type") == "click", "remove")
+    )
+    host = url_filters.host(F.col("url"))
+    grain = (
+        F.when(F.col("event_id") % 3 == 0, F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1))
+        .when(F.col("event_id") % 3 == 1, host)
+        .otherwise(F.concat(host, F.lit("/"), url_filters.first_folder(F.col("url"))))
+    )
+    events = events.withColumn("page_id", F.col("event_id") % pages.count())
+    return events.join(pages.select("page_id", "url"), "page_id").select(
+        grain.alias("pattern"), action.alias("action"), F.col("ts").alias("dated")
+    )
+
+
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.filter_urls(url_captures(spark, sf_dir), url_entries(spark, sf_dir))
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(read(spark, sf_dir, "documents"), work_dir(spark, "token-output"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op2_sharding, op7_token_counts, op9_token_output)
+    f.__name__: f
+    for f in (
+        op1_exact_dedup,
+        op2_sharding,
+        op3_line_dedup,
+        op4_language_id,
+        op5_url_filters,
+        op6_best_fit_packing,
+        op7_token_counts,
+        op8_decontamination,
+        op9_token_output,
+        op10_jaccard_join,
+    )
 }
 
 ORACLES = {
@@ -44,4 +119,52 @@ ORACLES = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op5_url_filters": r"""
+        WITH parsed AS (
+            SELECT page_id,
+                   lower(coalesce(regexp_extract(url,
+                       '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)(?::[0-9]*)?(/[^?#]*)?', 1), '')) AS host,
+                   regexp_extract(coalesce(regexp_extract(url,
+                       '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)(?::[0-9]*)?(/[^?#]*)?', 2), ''),
+                       '^/([^/]+)', 1) AS folder
+            FROM pages
+        ),
+        entries AS (
+            SELECT CASE e.event_id % 3 WHEN 0 THEN regexp_extract(p.host, '([^.]+\.[^.]+)$', 1)
+                                       WHEN 1 THEN p.host
+                                       ELSE p.host || '/' || p.folder END AS pattern,
+                   max(CASE e.event_type WHEN 'error' THEN 2 WHEN 'purchase' THEN 1 WHEN 'click' THEN 0 END) AS strength,
+                   e.ts AS dated
+            FROM events e JOIN parsed p ON e.event_id % (SELECT count(*) FROM pages) = p.page_id
+            WHERE e.event_type IN ('error', 'purchase', 'click')
+            GROUP BY ALL
+        ),
+        valid AS (
+            SELECT pattern, strength, dated AS valid_from,
+                   lead(dated) OVER (PARTITION BY pattern ORDER BY dated) AS valid_to
+            FROM entries
+        ),
+        captures AS (
+            SELECT p.page_id, p.host, p.folder, e.ts AS fetched
+            FROM parsed p LEFT JOIN events e ON p.page_id % (SELECT count(*) FROM events) = e.event_id
+        ),
+        covers AS (
+            SELECT page_id, fetched, -1 AS depth, host || '/' || folder AS pattern FROM captures WHERE folder <> ''
+            UNION ALL
+            SELECT page_id, fetched, i AS depth, array_to_string(list_slice(string_split(host, '.'), i, len(string_split(host, '.'))), '.') AS pattern
+            FROM captures, LATERAL (SELECT unnest(generate_series(1, greatest(len(string_split(host, '.')) - 1, 1))) AS i)
+            WHERE host <> ''
+        ),
+        found AS (
+            SELECT c.page_id, c.depth, c.pattern, v.strength, v.valid_from,
+                   row_number() OVER (PARTITION BY c.page_id ORDER BY c.depth) AS place
+            FROM covers c JOIN valid v
+              ON c.pattern = v.pattern AND v.strength > 0
+             AND v.valid_from <= c.fetched AND (v.valid_to IS NULL OR c.fetched < v.valid_to)
+        )
+        SELECT c.page_id, c.fetched,
+               CASE f.strength WHEN 2 THEN 'block' WHEN 1 THEN 'allow' ELSE 'none' END AS decision,
+               f.pattern, f.valid_from AS since
+        FROM captures c LEFT JOIN found f ON c.page_id = f.page_id AND f.place = 1
+    """,
 }

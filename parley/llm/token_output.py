@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,19 +32,21 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 MAGIC = b"PTOK0001"
 HEADER = "<8sBQQQ"
-#: Ids of one file, in bytes.
+#: Text whose ids go to one file, in bytes.
 FILE_BYTES = 48 << 20
 
+Batches = Iterator[pa.RecordBatch]
 
-def encode(docs: DataFrame, vocabulary: str = VOCABULARY, end_id: int = END_ID, width: int = 2) -> DataFrame:
-    """(doc_id, ids): the little-endian ids of each whole text, ``width`` bytes each, then ``end_id``.
+
+def encoder(vocabulary: str, end_id: int, width: int) -> Callable[[Batches], Batches]:
+    """(doc_id, text) to (doc_id, ids): little-endian ids of each whole text, then ``end_id``.
 
     For vocabularies that drop white space. Null counts as empty and has the end id alone.
     """
 
-    def ids_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode(batches: Batches) -> Batches:
         known = tokens.pieces_of(vocabulary, with_ids=True)
-        if max(known.tokenizer.get_vocab_size(), end_id) > 1 << 8 * width:
+        if max(known.tokenizer.get_vocab_size(), end_id + 1) > 1 << 8 * width:
             raise ValueError(f"ids need more than {width} bytes")
         for whole in batches:
             for batch in tokens.slices(whole, "text"):
@@ -58,30 +60,23 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY, end_id: int = END_ID,
                 out = np.full(int(ends[-1]), end_id, f"<u{width}")
                 out[np.arange(len(at)) + np.repeat(np.arange(len(total)), total)] = known.ids[at]
                 offsets = np.concatenate([[0], ends]) * width
-                data = pa.Array.from_buffers(
-                    pa.large_binary(),
-                    len(total),
-                    [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(out)],
+                data = pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), len(total), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(out)]
                 )
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), data.cast(pa.binary())], ["doc_id", "ids"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(ids_of, "doc_id long, ids binary")
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), data], ["doc_id", "ids"])
 
+    return encode
 
-def write_files(coded: DataFrame, path: str, width: int = 2, file_bytes: int = FILE_BYTES) -> DataFrame:
-    """Writes (doc_id, ids) under ``path`` and returns (part, file, n_docs, n_ids) of the files.
 
-    Parts ascend by doc_id, nulls first; equal doc_ids share a file. ``path`` is a folder that all
-    executors share, given as a URI or a plain path.
-    """
-    total = coded.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
+def writer(path: str, width: int) -> Callable[[Batches], Batches]:
+    """(doc_id, ids) of one partition to its file; gives (part, file, n_docs, n_ids)."""
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def write(batches: Batches) -> Batches:
         part = TaskContext.get().partitionId()
         doc_ids, ends, blocks, used = [], [], [], 0
         for batch in batches:
             doc_ids.append(batch.column("doc_id"))
-            data = batch.column("ids").cast(pa.large_binary())
+            data = batch.column("ids")
             offsets = np.frombuffer(data.buffers()[1], np.int64)[data.offset : data.offset + len(data) + 1]
             blocks.append(data.buffers()[2].slice(int(offsets[0]), int(offsets[-1] - offsets[0])))
             ends.append((offsets[1:] - offsets[0]) // width + used)
@@ -103,10 +98,31 @@ def write_files(coded: DataFrame, path: str, width: int = 2, file_bytes: int = F
         fs.move(draft, name)
         yield pa.RecordBatch.from_pydict({"part": [part], "file": [name], "n_docs": [n], "n_ids": [used]})
 
+    return write
+
+
+def write_files(
+    docs: DataFrame,
+    path: str,
+    vocabulary: str = VOCABULARY,
+    end_id: int = END_ID,
+    width: int = 2,
+    file_bytes: int = FILE_BYTES,
+) -> DataFrame:
+    """Writes the ids of ``docs`` under ``path``; (part, file, n_docs, n_ids) of the files.
+
+    Parts ascend by doc_id, nulls first; equal doc_ids share a file. Texts are exchanged once and
+    encoded where they are written. ``path`` is a folder that all executors share, given as a URI or
+    a plain path.
+    """
+    ship(docs.sparkSession)
+    encode, write = encoder(vocabulary, end_id, width), writer(path, width)
+    texts = docs.select(F.col("doc_id").cast("long"), "text")
+    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = (
-        coded.repartitionByRange(max(1, -(-total // file_bytes)), "doc_id")
+        texts.repartitionByRange(max(1, -(-total // file_bytes)), "doc_id")
         .sortWithinPartitions("doc_id")
-        .mapInArrow(write, "part long, file string, n_docs long, n_ids long")
+        .mapInArrow(lambda batches: write(encode(batches)), "part long, file string, n_docs long, n_ids long")
     )
     return staged(parts, "token-files")
 
@@ -158,6 +174,4 @@ def token_output(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, end_i
     A null doc_id sorts first; rows that repeat a doc_id follow each other in any order. A null or
     empty text is the end id alone. No rows give no files and no rows; other columns are ignored.
     """
-    ship(docs.sparkSession)
-    coded = staged(encode(docs, vocabulary, end_id), "token-ids")
-    return read_files(write_files(coded, path), path)
+    return read_files(write_files(docs, path, vocabulary, end_id), path)
