@@ -37,47 +37,44 @@ def held_out() -> Column:
 
 
 def letters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of all texts in lower case, runs of other characters as one 0, and text ends.
+    """Code points of all texts in lower case and the text that each belongs to.
 
-    Every text begins and ends with a 0.
+    Runs of characters other than letters are one 0, and every text begins and ends with a 0.
     """
     if not _LETTER:
         _LETTER.append(np.array([c == 0 or chr(c).isalpha() for c in range(0x110000)]))
     lowered = pc.utf8_lower(pc.fill_null(texts, "").cast(pa.large_string()))
-    joined = "\x00".join(["", *lowered.to_pylist(), ""])
+    joined = "\x00" + "\x00\x00".join(lowered.to_pylist()) + "\x00"
     size = pc.utf8_length(lowered).to_numpy(zero_copy_only=False).astype(np.int64)
     points = np.frombuffer(joined.encode("utf-32-le", "replace"), "<u4").astype(np.int64)
     points[~_LETTER[0][points]] = 0
-    owner = np.repeat(np.arange(len(size)), size + 1)
-    points = points[: len(owner)]
+    owner = np.repeat(np.arange(len(size)), size + 2)
     keep = np.ones(len(points), bool)
     keep[1:] = (points[1:] != 0) | (points[:-1] != 0) | (owner[1:] != owner[:-1])
-    return points[keep], np.cumsum(np.bincount(owner[keep], minlength=len(size)))
+    return points[keep], owner[keep]
 
 
 def grams(texts: pa.Array) -> Iterator[np.ndarray]:
-    """The distinct n-grams of each text, 21 bits a character."""
-    points, ends = letters(texts)
-    start = 0
-    for end in ends:
-        p = np.append(points[start:end], 0)
-        start = end
-        one, two = p, p[:-1] << 21 | p[1:]
+    """The distinct n-grams of each text, 21 bits a character (code point plus 1)."""
+    points, owner = letters(texts)
+    for p in np.split(points + 1, np.searchsorted(owner, np.arange(1, len(texts)))):
+        two = p[:-1] << 21 | p[1:]
         three = two[:-1] << 21 | p[2:]
-        yield np.unique(np.concatenate([one, two, three]))
+        yield np.unique(np.concatenate([p, two, three]))
 
 
 @dataclass
 class Model:
     languages: list[str]
-    alphabet: np.ndarray  # code point -> number; 0 for white space, 1 for other letters
+    alphabet: np.ndarray  # code point -> number; 0 for other characters, 1 for other letters
+    base: int  # how many numbers there are
     numbers: np.ndarray  # n-gram code -> its column, or the last one for unknown n-grams
     landmarks: np.ndarray  # columns x landmarks, rows over their norm
     outputs: np.ndarray  # landmarks x languages
 
     def codes(self, p: np.ndarray) -> list[np.ndarray]:
-        """Codes of the 1-, 2- and 3-grams that begin at each character number."""
-        base = int(self.alphabet.max()) + 1
+        """Codes of the 1-, 2- and 3-grams that begin at each character number, along the first axis."""
+        base = self.base
         one = p + base**3 + base**2
         two = p[:-1] * base + p[1:] + base**3
         three = p[:-2] * base**2 + p[1:-1] * base + p[2:]
@@ -85,14 +82,14 @@ class Model:
 
     def outputs_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Each text's classifier outputs, and whether it holds a letter."""
-        points, ends = letters(texts)
-        n, width = len(ends), self.landmarks.shape[0]
-        p = self.alphabet[points]
-        owner = np.repeat(np.arange(n), np.diff(ends, prepend=0))
+        points, owner = letters(texts)
+        n, width = len(texts), self.landmarks.shape[0]
         present = np.zeros((n, width + 1), bool)
         flat = present.reshape(-1)
-        for code in self.codes(np.concatenate([p, [0, 0]])):
-            flat[owner * (width + 1) + self.numbers[code[: len(p)]]] = True
+        for code in self.codes(self.alphabet[points]):
+            first = owner[: len(code)]
+            whole = first == owner[len(owner) - len(code) :]
+            flat[first[whole] * (width + 1) + self.numbers[code[whole]]] = True
         present = present[:, :width].astype(np.float32)
         norm = np.sqrt(np.maximum(present.sum(axis=1, keepdims=True), 1))
         has_letter = np.bincount(owner, weights=points > 0, minlength=n) > 0
@@ -141,22 +138,29 @@ def _solve(labels: list[str], sets: list[np.ndarray], landmarks: int) -> Model:
     everything, times = np.unique(np.concatenate(sets), return_counts=True)
     single = everything < 1 << 21
     by_use = np.lexsort((everything[single], -times[single]))
-    known = everything[single][by_use]
+    known = everything[single][by_use] - 1
     known = known[known > 0][:ALPHABET]
     alphabet = np.ones(0x110000, np.int32)
     alphabet[0] = 0
     alphabet[known] = np.arange(2, len(known) + 2)
 
     base = len(known) + 2
-    model = Model(sorted(set(labels)), alphabet, np.zeros(0), np.zeros((0, 0)), np.zeros((0, 0)))
+    model = Model(sorted(set(labels)), alphabet, base, np.zeros(0), np.zeros((0, 0)), np.zeros((0, 0)))
     held = []
     mask = (1 << 21) - 1
     for found in sets:
-        n3, n2 = found[found >= 1 << 42], found[(found >= 1 << 21) & (found < 1 << 42)]
-        one = alphabet[found[found < 1 << 21]]
-        three = (alphabet[n3 >> 42] * base + alphabet[n3 >> 21 & mask]) * base + alphabet[n3 & mask]
-        two = alphabet[n2 >> 21] * base + alphabet[n2 & mask] + base**3
-        held.append(np.unique(np.concatenate([one + base**3 + base**2, two, three])))
+        grams_of = [found[(found >= 1 << 21 * k) & (found < 1 << 21 * (k + 1))] for k in range(3)]
+        # all n-grams of a text as a run of characters each: then the codes are those of predict
+        held.append(
+            np.unique(
+                np.concatenate(
+                    [
+                        model.codes(np.stack([alphabet[(g >> 21 * j & mask) - 1] for j in range(k, -1, -1)]))[k].ravel()
+                        for k, g in enumerate(grams_of)
+                    ]
+                )
+            )
+        )
     codes, uses = np.unique(np.concatenate(held), return_counts=True)
     codes = codes[uses > 1] if (uses > 1).any() else codes
     model.numbers = np.full(base**3 + base**2 + base, len(codes), np.int32)
