@@ -8,6 +8,8 @@
    clusters, and a cluster's links answer for all of its members.
 4. The same lists then give the pairs that lie in different clusters, all of them. Lists are cut into
    blocks by position; two blocks whose best possible overlap is too small are skipped.
+5. What two prefixes share bounds what the sets can share; only pairs within the bound have their
+   whole sets compared.
 """
 
 from __future__ import annotations
@@ -136,10 +138,10 @@ def _may_link(n_a, at_a, n_b, at_b, percent):
 
 
 def leader_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """(kind, shingle, doc, n, at, leader): the members of each list of two or more sets.
+    """(shingle, doc, n, at, leader, leader_n): the members of each list of two or more sets.
 
     ``postings``: (shingle, doc, n, at). A list is read once, in order of doc; only its first row is
-    remembered. ``leader`` is null for the leader and for members too far from it by size or position.
+    remembered. ``leader`` is null for the leader and for members too far from it in size.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,17 +160,39 @@ def leader_pairs(postings: DataFrame, percent: int) -> DataFrame:
             last = (open_, bool(counts[-1] > 1) or (told and len(starts) == 1))
             if told:
                 keep[0] = False
-            near = (row != head) & _may_link(n, at, n[head], at[head], percent) & (doc != doc[head])
+            near = (row != head) & (doc != doc[head])
+            near &= 100 * np.minimum(n, n[head]) >= percent * np.maximum(n, n[head])
             yield pa.RecordBatch.from_arrays(
                 [
                     *(pa.array(c[keep]) for c in (key, doc, n, at)),
                     pa.array(doc[head][keep], mask=~near[keep]),
+                    pa.array(n[head][keep]),
                 ],
-                ["shingle", "doc", "n", "at", "leader"],
+                ["shingle", "doc", "n", "at", "leader", "leader_n"],
             )
 
     ordered = postings.repartition("shingle").sortWithinPartitions("shingle", "doc")
-    return ordered.mapInArrow(read, "shingle long, doc long, n long, at long, leader long")
+    return ordered.mapInArrow(read, "shingle long, doc long, n long, at long, leader long, leader_n long")
+
+
+def within_bound(pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, n_a, n_b, shared) whose prefixes share enough.
+
+    All common shingles up to the end of the prefix that ends first lie in both prefixes; beyond it
+    that set has no more than its own rest. A pair for which that is too little can't link.
+    """
+    larger = F.greatest("n_a", "n_b")
+    rest = F.ceil(percent * larger / 100) - 1
+    wanted = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
+    return pairs.filter(F.col("shared") + rest >= wanted).select("a", "b")
+
+
+def prefix_overlap(pairs: DataFrame, lists: DataFrame) -> DataFrame:
+    """(a, b, n_a, n_b, shared) of ``pairs`` (a, b): set sizes, and how many lists hold both."""
+    left = lists.select(F.col("doc").alias("a"), F.col("n").alias("n_a"), "shingle")
+    right = lists.select(F.col("doc").alias("b"), F.col("n").alias("n_b"), "shingle")
+    both = pairs.join(left, "a").join(right, ["b", "shingle"])
+    return both.groupBy("a", "b", "n_a", "n_b").agg(F.count_distinct("shingle").alias("shared"))
 
 
 def cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
@@ -335,18 +359,22 @@ def jaccard_join(docs: DataFrame, words: int = shingles.WORDS, percent: int = PE
         .select("shingle", F.col("doc_id").alias("doc"), "n", "at")
     )
     lists = staged(leader_pairs(postings, percent), "jaccard-lists")
-    first = lists.filter("leader is not null").select(F.col("leader").alias("a"), F.col("doc").alias("b"))
+    counted = lists.filter("leader is not null").groupBy(
+        F.col("leader").alias("a"), F.col("doc").alias("b"), F.col("leader_n").alias("n_a"), F.col("n").alias("n_b")
+    )
+    first = staged(within_bound(counted.agg(F.count("*").alias("shared")), percent), "jaccard-first")
     links = staged(similar_pairs(docs, first, words, percent), "jaccard-links")
     clusters = components(links, "jaccard-clusters")
 
     labelled = lists.join(clusters.toDF("doc", "component"), "doc", "left").select(
-        "shingle", "doc", "n", "at", F.coalesce("component", "doc").alias("cluster"), "leader"
+        "shingle", "doc", "n", "at", F.coalesce("component", "doc").alias("cluster")
     )
     labelled = staged(labelled, "jaccard-labelled")
     mixed = labelled.groupBy("shingle").agg(F.min("cluster").alias("c0"), F.max("cluster").alias("c1"))
     mixed = mixed.filter("c0 < c1").select("shingle")
-    rest = cross_pairs(labelled.join(mixed, "shingle", "left_semi").drop("leader"), percent)
-    rest = rest.distinct().join(first.select("a", "b").distinct(), ["a", "b"], "left_anti")
+    across = labelled.join(mixed, "shingle", "left_semi")
+    rest = cross_pairs(across, percent).distinct().join(first, ["a", "b"], "left_anti")
+    rest = within_bound(prefix_overlap(staged(rest, "jaccard-rest"), across), percent)
     more = similar_pairs(docs, rest, words, percent)
     final = components(links.union(more), "jaccard-components").toDF("stands", "component_id")
     return member.join(final, "stands", "left").select(
