@@ -1,8 +1,8 @@
-"""Word dictionaries applied to token arrays without leaving the row.
+"""Word dictionaries applied to token arrays.
 
-A dictionary up to ``INLINE_LIMIT`` entries becomes one literal in the plan, so no shuffle and no
-row key are needed and the same expression runs on streams. A larger one goes through
-``join_lookup``, an ordinary join of tokens and dictionary.
+A mapping becomes one literal in the plan, so no shuffle and no row key are needed and the same
+expression runs on streams. A DataFrame is joined, whatever its size; a stream does that batch by
+batch (``live.start_batches``). ``small`` turns a table of known size into a mapping.
 """
 
 from __future__ import annotations
@@ -14,22 +14,23 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-INLINE_LIMIT = 50_000
-JOIN_SALTS = 16
+from parley.session import staged
+
+SMALL = 50_000
 
 Dictionary = Mapping[str, object] | DataFrame
 
 
-def as_small_mapping(dictionary: Dictionary, limit: int = INLINE_LIMIT) -> dict | None:
-    """The dictionary as a dict, or None when it has more than ``limit`` entries.
+def small(table: DataFrame, most: int = SMALL) -> dict:
+    """A dictionary table as a mapping; an error when it has more than ``most`` words.
 
-    A DataFrame has its word in the first column and the value in the second; a word listed twice
-    keeps its smallest value. At most ``limit + 1`` rows reach the driver.
+    The word is in the first column and the value in the second; a word listed twice keeps its
+    smallest value. At most ``most + 1`` rows reach the driver.
     """
-    if isinstance(dictionary, Mapping):
-        return dict(dictionary) if len(dictionary) <= limit else None
-    rows = _unique_words(dictionary).limit(limit + 1).collect()
-    return {r["word"]: r["value"] for r in rows} if len(rows) <= limit else None
+    rows = _unique_words(table).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} words: pass the table itself, which is joined")
+    return {r["word"]: r["value"] for r in rows}
 
 
 def _unique_words(table: DataFrame) -> DataFrame:
@@ -65,36 +66,23 @@ def join_lookup(
 ) -> DataFrame:
     """Adds ``out``, the array of dictionary values (null when absent) aligned with ``tokens``.
 
-    The exact route for dictionaries too large to inline. Equal token arrays are looked up once,
-    so a flood of copies costs one lookup, and a word that fills a large part of the corpus is
-    spread over ``JOIN_SALTS`` partitions.
+    Rows are written once with a number of their own, so copies of one text don't meet in one task.
+    Each task's tokens are cut down to distinct words before they meet the dictionary, and only
+    words that it holds come back.
     """
-    key = F.sha2(F.to_json(F.struct(F.col(tokens).alias("t"))), 256)
-    keyed = df.withColumn("_key", key)
-    exploded = (
-        keyed.groupBy("_key")
-        .agg(F.first(tokens).alias("_tokens"))
-        .select("_key", F.posexplode("_tokens").alias("pos", "word"))
-        .withColumn("_salt", F.pmod(F.xxhash64("_key", "pos"), F.lit(JOIN_SALTS)))
-    )
-    salted = _unique_words(dictionary).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1)).cast("array<bigint>"))
-    )
+    rows = staged(df.withColumn("_row", F.monotonically_increasing_id()), "lookup-rows")
+    exploded = rows.select("_row", F.posexplode(tokens).alias("pos", "word"))
+    known = exploded.select("word").distinct().join(_unique_words(dictionary), "word")
     found = (
-        exploded.join(salted, ["word", "_salt"], "left")
-        .groupBy("_key")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("_found"))
-        .select(
-            "_key",
-            F.transform("_found", lambda x: x["value"].cast(value_type)).alias(out),
-        )
-    )
-    empty = F.array().cast(f"array<{value_type}>")
-    return (
-        keyed.join(found, "_key", "left")
-        .withColumn(out, F.when(F.col(tokens).isNotNull(), F.coalesce(out, empty)))
-        .drop("_key")
+        exploded.join(known, "word")
+        .groupBy("_row")
+        .agg(F.map_from_entries(F.collect_list(F.struct("pos", "value"))).alias("_found"))
     )
+    places = F.sequence(F.lit(0), F.size(tokens) - 1)
+    values = F.transform(places, lambda i: F.try_element_at("_found", i).cast(value_type))
+    nothing = F.transform(tokens, lambda t: F.lit(None).cast(value_type))
+    value = F.when((F.size(tokens) > 0) & F.col("_found").isNotNull(), values).otherwise(nothing)
+    return rows.join(found, "_row", "left").withColumn(out, value).drop("_row", "_found")
 
 
 def map_tokens(
@@ -104,16 +92,10 @@ def map_tokens(
     out: str,
     value_type: str,
     body: Callable[[Column, Column], Column],
-    limit: int = INLINE_LIMIT,
 ) -> DataFrame:
     """Adds ``out``: ``body(token, value)`` of each token, the value null where absent."""
-    entries = as_small_mapping(dictionary, limit)
-    if entries is not None:
-        find = inline_lookup(entries, value_type)
-        return df.withColumn(out, F.transform(tokens, lambda t: body(t, find(t))))
     if isinstance(dictionary, Mapping):
-        dictionary = df.sparkSession.createDataFrame(
-            list(dictionary.items()), f"word string, value {value_type}"
-        )
+        find = inline_lookup(dictionary, value_type)
+        return df.withColumn(out, F.transform(tokens, lambda t: body(t, find(t))))
     found = join_lookup(df, tokens, dictionary, "_value", value_type)
     return found.withColumn(out, F.zip_with(tokens, "_value", body)).drop("_value")

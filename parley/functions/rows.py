@@ -23,7 +23,7 @@ def each(df: DataFrame, name: str, array: Column, *keep: Column | str) -> DataFr
     return df.select(*keep, F.explode_outer(array).alias(name)).filter(F.col(name).isNotNull())
 
 
-SALTS = 64
+SALTS = 16
 
 
 def best(
@@ -31,14 +31,12 @@ def best(
 ) -> DataFrame:
     """The first ``k`` rows of each group in ``order``, numbered in ``place``.
 
-    Up to a certain k Spark cuts every map task's rows to k per group before it shuffles them, so
-    a group that holds much of the table stays small. For a larger k the groups are first cut in
-    ``SALTS`` parts by the hash of ``spread_by``, which gives the same rows.
+    The groups are first cut in ``SALTS`` parts by the hash of ``spread_by``, so that no task sorts
+    more than a part of a group. Up to a certain k Spark also cuts every map task's rows to k per
+    part before it shuffles them.
     """
-    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if k > threshold:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)))
-        df = _first_rows(salted, [*group, "_salt"], order, k, "_place").drop("_salt", "_place")
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)))
+    df = _first_rows(salted, [*group, "_salt"], order, k, "_place").drop("_salt", "_place")
     return _first_rows(df, group, order, k, place)
 
 

@@ -14,54 +14,96 @@ from parley.functions.text import let
 ALPHA = 15.0
 NEGATION = -0.74
 DAMPING = (1.0, 0.95, 0.9)
+NEVER_SO = (1.5, 1.25)
+BEFORE_BUT, AFTER_BUT = 0.5, 1.5
 
 
 def adjusted_valences(
-    valued: Column | str, boosters: Mapping[str, float], negators: Collection[str]
+    valued: Column | str,
+    boosters: Mapping[str, float],
+    negators: Collection[str],
+    phrases: Mapping[str, float],
 ) -> Column:
     """array<double> from array<struct<word, value>>: each token's valence after the three tokens
     before it had their say.
 
     A degree word scores nothing itself and moves its follower away from (or towards) zero; a
-    negator flips it. A word of the lexicon does neither. "least" flips the word right after it.
+    negator flips it, but not "without" with "doubt" between. "never so" and "never this" raise it.
+    A word of the lexicon does none of that. "least" flips the word right after it, save in "at
+    least" and "very least". A phrase that ends at, or begins with, a token with three others before
+    it gives that token its own valence. After a "but", what came before counts half and what
+    follows one and a half times.
+
+    Word, value, degree and flip of each token are looked up once; tokens that the lexicon lacks
+    are 0 without further work.
     """
-    boost = inline_lookup(boosters, "double")
+    boost, phrase = inline_lookup(boosters, "double"), inline_lookup(phrases, "double")
     negating = sorted(negators)
 
     def flips(word: Column) -> Column:
         return word.isin(negating) | word.contains("n't") if negating else F.lit(False)
 
+    def marked(token: Column) -> Column:
+        word = token["word"]
+        return F.struct(
+            word.alias("word"), token["value"].alias("value"), boost(word).alias("boost"), flips(word).alias("flips")
+        )
+
     def scored(row: Column) -> Column:
-        def at(field: str, i: Column) -> Column:
-            # get() before the field: row[field] would copy the whole text's field each time.
-            return F.get(row, i)[field]
+        def near(i: Column, back: int) -> Column:
+            return F.get(row, i - back)
+
+        def is_word(i: Column, back: int, *words: str) -> Column:
+            return F.coalesce(near(i, back)["word"].isin(list(words)), F.lit(False))
 
-        def moved_by(value: Column, i: Column, back: int) -> Column:
-            before = at("word", i - back)
-            push = F.coalesce(boost(before), F.lit(0.0)) * DAMPING[back - 1]
+        def between(i: Column, back: int, *words: str) -> Column:
+            found = F.lit(False)
+            for b in range(1, back):
+                found = found | is_word(i, b, *words)
+            return found
+
+        def said_by(value: Column, i: Column, back: int) -> Column:
+            before = near(i, back)
+            push = F.coalesce(before["boost"], F.lit(0.0)) * DAMPING[back - 1]
             moved = value + F.when(value < 0, -push).otherwise(push)
-            spared = F.lit(False)
-            if back == 2:
-                spared = (before == "without") & (at("word", i - 1) == "doubt")
-            flipped = F.when(flips(before) & ~spared, moved * NEGATION).otherwise(moved)
-            heard = before.isNotNull() & at("value", i - back).isNull()
-            return F.when(heard, flipped).otherwise(value)
+            out = F.when(before["flips"], moved * NEGATION).otherwise(moved)
+            if back > 1:
+                raised = NEVER_SO[back - 2]
+                spared = is_word(i, back, "without") & between(i, back, "doubt")
+                out = F.when(spared, moved).otherwise(out)
+                out = F.when(is_word(i, back, "never") & between(i, back, "so", "this"), moved * raised).otherwise(out)
+            if back == 3 and phrases:
+                pairs = [(2, 1), (1, 0), (3, 2), (0, -1)]
+                own = [phrase(F.concat_ws(" ", near(i, x)["word"], near(i, y)["word"])) for x, y in pairs]
+                out = F.coalesce(own[3], own[1], own[0], own[2], out)
+            heard = before.isNotNull() & before["value"].isNull()
+            return F.when(heard, out).otherwise(value)
 
         def step(value: Column, i: Column, back: int) -> Column:
-            return let(value, lambda v: moved_by(v, i, back))
+            return let(value, lambda v: said_by(v, i, back))
 
         def one(token: Column, i: Column) -> Column:
             value = token["value"]
             for back in (1, 2, 3):
                 value = step(value, i, back)
-            least = (at("word", i - 1) == "least") & at("value", i - 1).isNull()
+            least = is_word(i, 1, "least") & near(i, 1)["value"].isNull() & ~is_word(i, 2, "at", "very")
             value = F.when(least, value * NEGATION).otherwise(value)
-            plain = token["value"].isNull() | boost(token["word"]).isNotNull()
+            plain = token["value"].isNull() | token["boost"].isNotNull()
             return F.when(plain, F.lit(0.0)).otherwise(value)
 
         return F.transform(row, one)
 
-    return let(F.col(valued) if isinstance(valued, str) else valued, scored)
+    column = F.col(valued) if isinstance(valued, str) else valued
+    return let(F.transform(column, marked), lambda row: _after_but(scored(row), row))
+
+
+def _after_but(values: Column, row: Column) -> Column:
+    """Halves what comes before the first "but" and raises what follows it."""
+    at = F.array_position(F.transform(row, lambda t: t["word"]), "but")
+    weighed = F.transform(
+        values, lambda v, i: F.when(i + 1 < at, v * BEFORE_BUT).when(i + 1 > at, v * AFTER_BUT).otherwise(v)
+    )
+    return F.when(at > 0, weighed).otherwise(values)
 
 
 def polarity(valences: Column | str) -> Column:

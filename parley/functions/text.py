@@ -18,8 +18,8 @@ EDGE = r".,;:!?*\-()\"'"
 # A run of edge punctuation, or a word with edge punctuation only inside it.
 WORD_TOKEN = rf"[{EDGE}]+|[^\s{EDGE}](?:\S*[^\s{EDGE}])?"
 
-# What normalising strips from a token.
-NON_LETTERS = {"unicode": r"[^\p{L}+]", "ascii": r"[^a-z]"}
+# What normalising strips from tokens written as one line.
+NON_LETTERS = {"unicode": r"[^\p{L}+ ]", "ascii": r"[^a-z ]"}
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -53,11 +53,12 @@ def word_tokens(text: Column | str) -> Column:
 
 
 def normalized(tokens: Column | str, letters: str = "unicode") -> Column:
-    """Lower-case, strip everything but letters, drop what is left empty."""
-    stripped = F.transform(
-        tokens, lambda t: F.regexp_replace(F.lower(t), NON_LETTERS[letters], "")
-    )
-    return F.filter(stripped, lambda t: t != "")
+    """Lower-case, strip everything but letters, drop what is left empty.
+
+    The tokens are treated as one line, as none of them holds a blank.
+    """
+    line = F.regexp_replace(F.lower(F.array_join(tokens, " ")), NON_LETTERS[letters], "")
+    return F.filter(F.split(line, " "), lambda t: t != "")
 
 
 def term_runs(terms: Column | str) -> Column:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,3 +61,23 @@ def with_blocks(df: DataFrame, size: str, slide: str) -> DataFrame:
     edges = df.withColumn("_edge", F.explode(ends))
     blocks = edges.withColumn("block", block("_edge", size))
     return blocks.filter((F.col("_edge") == first) | (F.col("block") > first)).drop("_edge")
+
+
+def window_totals(
+    panes: DataFrame, keys: Sequence[str], totals: Sequence[Column], size: str, slide: str
+) -> DataFrame:
+    """(window_start, keys.., totals..) of every window, from rows of panes (pane, keys.., ..).
+
+    A window starts in the block of each of its panes or in the block before. So two copies of a
+    row are exchanged and not one for every window over it; windows are told apart where they meet.
+    """
+    width = F.expr(f"INTERVAL {duration_seconds(size)} seconds")
+    own = panes.withColumn("block", block("pane", size))
+    both = own.withColumn("block", F.explode(F.array(F.col("block"), F.col("block") - width)))
+    dealt = both.repartition("block", *keys).withColumn(
+        "window_start", window_starts("pane", size, slide)
+    )
+    inside = (F.col("window_start") >= F.col("block")) & (
+        F.col("window_start") < F.col("block") + width
+    )
+    return dealt.filter(inside).groupBy("block", *keys, "window_start").agg(*totals).drop("block")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.functions import text as tx
-from parley.functions.lookup import INLINE_LIMIT, Dictionary, map_tokens
+from parley.functions.lookup import Dictionary, map_tokens
 from parley.functions.rows import each
 from parley.sources.wordlists import DEFAULT_TAG, LEMMAS, STOP_WORDS, TAGS
 
@@ -39,9 +39,7 @@ def normalize(df: DataFrame, letters: str = "unicode") -> DataFrame:
     return df.withColumn("normalized", tx.normalized("tokenized", letters))
 
 
-def lemmatize(
-    df: DataFrame, lemmas: Dictionary = LEMMAS, inline_limit: int = INLINE_LIMIT
-) -> DataFrame:
+def lemmatize(df: DataFrame, lemmas: Dictionary = LEMMAS) -> DataFrame:
     """Adds ``lemmatized``: each normal form's lemma, or the form itself."""
     return map_tokens(
         df,
@@ -50,41 +48,34 @@ def lemmatize(
         "lemmatized",
         "string",
         lambda token, lemma: F.coalesce(lemma, token),
-        inline_limit,
     )
 
 
 def clean_stopwords(
-    df: DataFrame,
-    stop_words: Collection[str] | DataFrame = STOP_WORDS,
-    inline_limit: int = INLINE_LIMIT,
+    df: DataFrame, stop_words: Collection[str] | DataFrame = STOP_WORDS
 ) -> DataFrame:
     """Adds ``no_stop_lemmatized``: the lemmas that are not stop words."""
-    if not isinstance(stop_words, DataFrame) and len(stop_words) <= inline_limit:
+    if not isinstance(stop_words, DataFrame):
         return df.withColumn(
             "no_stop_lemmatized", tx.without_words("lemmatized", stop_words, case_sensitive=False)
         )
-    if isinstance(stop_words, DataFrame):
-        marked = stop_words.select(F.lower(F.col(stop_words.columns[0])), F.lit(True))
-    else:
-        marked = {w.lower(): True for w in stop_words}
+    marked = stop_words.select(F.lower(F.col(stop_words.columns[0])), F.lit(True))
     kept = map_tokens(
-        df,
-        "lemmatized",
+        df.withColumn("_lower", F.transform("lemmatized", lambda t: F.lower(t))),
+        "_lower",
         marked,
-        "no_stop_lemmatized",
+        "_stop",
         "boolean",
-        lambda token, stop: F.when(stop.isNull(), token),
-        inline_limit,
+        lambda token, stop: stop,
     )
-    return kept.withColumn("no_stop_lemmatized", F.array_compact("no_stop_lemmatized"))
+    named = F.zip_with("lemmatized", "_stop", lambda t, s: F.when(s.isNull(), t))
+    return kept.withColumn("no_stop_lemmatized", F.array_compact(named)).drop("_lower", "_stop")
 
 
 def pos_tag(
     df: DataFrame,
     tags: Dictionary = TAGS,
     tokens: str = "lemmatized",
-    inline_limit: int = INLINE_LIMIT,
 ) -> DataFrame:
     """Adds ``pos``: one tag per token, a noun where the table has none."""
     return map_tokens(
@@ -94,7 +85,6 @@ def pos_tag(
         "pos",
         "string",
         lambda token, tag: F.coalesce(tag, F.lit(DEFAULT_TAG)),
-        inline_limit,
     )
 
 
@@ -149,7 +139,6 @@ def annotate(
     lemmas: Dictionary = LEMMAS,
     stop_words: Collection[str] | DataFrame = STOP_WORDS,
     letters: str = "unicode",
-    inline_limit: int = INLINE_LIMIT,
 ) -> DataFrame:
     """Input columns, the three finished token arrays and ``processed_text``.
 
@@ -159,8 +148,8 @@ def annotate(
         df.transform(assemble_documents, text)
         .transform(nlp_tokenize)
         .transform(normalize, letters)
-        .transform(lemmatize, lemmas, inline_limit)
-        .transform(clean_stopwords, stop_words, inline_limit)
+        .transform(lemmatize, lemmas)
+        .transform(clean_stopwords, stop_words)
         .transform(finish)
         .transform(processed_text)
     )
@@ -173,7 +162,6 @@ def noun_chunks(
     lemmas: Dictionary = LEMMAS,
     tags: Dictionary = TAGS,
     letters: str = "unicode",
-    inline_limit: int = INLINE_LIMIT,
 ) -> DataFrame:
     """(id, chunk): one row per phrase."""
     chunked = (
@@ -181,8 +169,8 @@ def noun_chunks(
         .transform(assemble_documents, text)
         .transform(nlp_tokenize)
         .transform(normalize, letters)
-        .transform(lemmatize, lemmas, inline_limit)
-        .transform(pos_tag, tags, "lemmatized", inline_limit)
+        .transform(lemmatize, lemmas)
+        .transform(pos_tag, tags)
         .transform(chunk)
     )
     return each(chunked, "chunk", F.col("ngrams"), id)

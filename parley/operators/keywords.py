@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Collection, Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, CountVectorizer, Tokenizer
@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from parley.functions import text as tx
 from parley.functions import windows as win
 from parley.functions.rows import best, each
+from parley.session import staged
 from parley.sources.wordlists import STOP_WORDS
 
 VOCAB_SIZE = 1000
 TOP_K = 10
 TIE_DECIMALS = 10  # scores equal to this many decimals are a tie
+SALTS = 16
 SIZE, SLIDE = "60 seconds", "5 seconds"
 WINDOW = ["window_start", "window_end"]
 
@@ -105,18 +107,17 @@ def windowed_vocabulary(
     once per overlapping window. The marker is ranked apart from the words and brings the number of
     texts along, which saves a join.
     """
-    per_pane = (
-        _pane_terms(df, size, slide, ts, text, [], **options)
-        .groupBy("pane", "word")
-        .agg(F.count("*").alias("df"), F.sum("tf").alias("tf"))
+    terms = _pane_terms(df, size, slide, ts, text, [], **options)
+    return _vocabulary(terms, size, slide, vocab_size, min_df)
+
+
+def _vocabulary(terms: DataFrame, size: str, slide: str, vocab_size: int, min_df: int) -> DataFrame:
+    per_pane = terms.groupBy("pane", "word").agg(
+        F.count("*").alias("df"), F.sum("tf").alias("tf")
     )
-    per_window = (
-        per_pane.select(
-            win.window_starts("pane", size, slide).alias("window_start"), "word", "df", "tf"
-        )
-        .groupBy("window_start", "word")
-        .agg(F.sum("df").alias("df"), F.sum("tf").alias("total_tf"))
-        .filter((F.col("df") >= min_df) | (F.col("word") == ""))
+    totals = [F.sum("df").alias("df"), F.sum("tf").alias("total_tf")]
+    per_window = win.window_totals(per_pane, ["word"], totals, size, slide).filter(
+        (F.col("df") >= min_df) | (F.col("word") == "")
     )
     kept = best(
         per_window.withColumn("is_marker", F.col("word") == ""),
@@ -164,13 +165,14 @@ def windowed_top_keywords(
 
     Within a window all pairs of one word share the idf, so only its k highest tf can place. That
     also holds within each pane, so all but k pairs per (pane, word) drop out before the pairs meet
-    the vocabulary.
+    the vocabulary. Texts are tokenised once; both sides come from what that wrote.
     """
     if grain not in ("doc_word", "word"):
         raise ValueError(f"grain is 'doc_word' or 'word', not {grain!r}")
-    vocabulary = windowed_vocabulary(df, size, slide, ts, text, vocab_size, min_df, **options)
     extra = [id] if grain == "doc_word" else []
-    pairs = _pane_terms(df, size, slide, ts, text, extra, **options).filter(F.col("word") != "")
+    terms = staged(_pane_terms(df, size, slide, ts, text, extra, **options), "pane-terms")
+    vocabulary = _vocabulary(terms, size, slide, vocab_size, min_df)
+    pairs = terms.filter(F.col("word") != "")
     if grain == "word":
         per_pane = pairs.groupBy("pane", "word").agg(F.max("tf").alias("tf"))
         scored = (
@@ -187,18 +189,20 @@ def windowed_top_keywords(
     return ranked.select("word", "tfidf", "rank", *WINDOW)
 
 
-def _score(pairs: DataFrame, vocabulary: DataFrame, size: str, slide: str) -> DataFrame:
+def _score(
+    pairs: DataFrame, vocabulary: DataFrame, size: str, slide: str, also: Sequence[str] = ()
+) -> DataFrame:
     """(pane, word, tf, ..) pairs with the idf of each window that covers the pane and holds the word.
 
     Both sides meet in window-sized blocks of time: a pair lies in one block, a window reaches into
     two at most. So neither the pairs nor the vocabulary are copied once per overlapping window
     before the shuffle, and words outside every vocabulary drop out in the join.
     """
-    by_block = win.with_blocks(vocabulary.select(*WINDOW, "word", "idf"), size, slide)
+    by_block = win.with_blocks(vocabulary.select(*WINDOW, "word", "idf", *also), size, slide)
     pairs = pairs.withColumn("block", win.block("pane", size))
     covered = (F.col("pane") >= F.col("window_start")) & (F.col("pane") < F.col("window_end"))
     return (
-        pairs.join(by_block, ["block", "word"])
+        pairs.join(by_block, ["block", "word", *also])
         .filter(covered)
         .withColumn("tfidf", F.col("tf") * F.col("idf"))
     )
@@ -223,29 +227,60 @@ def doc_top_keywords(
     """(window_start, window_end, id, word, tfidf, rank): each text's k best words in each window.
 
     Ids must be unique; run ``dedup_records`` or ``latest_snapshot`` first where polls repeat.
-    A word that most texts share is split by adaptive skew handling in the join.
+    Pairs are salted by id and the vocabulary, ``vocab_size`` words a window, is copied for each
+    salt, so a word that most texts share doesn't fill one task.
     """
-    vocabulary = windowed_vocabulary(df, size, slide, ts, text, vocab_size, min_df, **options)
-    pairs = _pane_terms(df, size, slide, ts, text, [id], **options).filter(F.col("word") != "")
-    scored = _score(pairs, vocabulary, size, slide)
+    terms = staged(_pane_terms(df, size, slide, ts, text, [id], **options), "pane-terms")
+    vocabulary = _vocabulary(terms, size, slide, vocab_size, min_df)
+    salt = F.pmod(F.xxhash64(id), F.lit(SALTS)).cast("int")
+    pairs = terms.filter(F.col("word") != "").withColumn("salt", salt)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    scored = _score(pairs, vocabulary.withColumn("salt", salts), size, slide, ["salt"])
     ranked = best(scored, ["window_start", id], [_best_first(), "word"], k, "rank", "word")
     return ranked.select(*WINDOW, id, "word", "tfidf", "rank")
 
 
+def tfidf_global(
+    df: DataFrame,
+    id: str = "id",
+    text: str = "text",
+    vocab_size: int | None = VOCAB_SIZE,
+    min_df: int = 1,
+    **options,
+) -> DataFrame:
+    """(id, word, tfidf) over the whole table with one vocabulary, for the words a text has.
+
+    The vocabulary holds the ``vocab_size`` most frequent words (ties: the smaller word), or all of
+    them where that is None. Texts are tokenised once; counts and weights come from what that wrote.
+    """
+    counts = staged(term_counts(df.select(id, text), id, text, **options), "term-counts")
+    n_docs = df.filter(F.col(text).isNotNull()).count()
+    vocabulary = (
+        counts.groupBy("word")
+        .agg(F.count("*").alias("df"), F.sum("tf").alias("total_tf"))
+        .filter(F.col("df") >= min_df)
+    )
+    if vocab_size is not None:
+        vocabulary = vocabulary.orderBy(F.col("total_tf").desc(), "word").limit(vocab_size)
+    weights = vocabulary.withColumn("n_docs", F.lit(n_docs)).transform(inverse_doc_freq)
+    weights = staged(weights.select("word", "idf"), "term-weights")
+    return counts.join(weights, "word").select(id, "word", (F.col("tf") * F.col("idf")).alias("tfidf"))
+
+
 def tfidf_pipeline(vocab_size: int = VOCAB_SIZE, min_df: float = 1.0) -> Pipeline:
-    """Tokenise, count and weigh ``filtered_text`` into ``features``; one vocabulary for all rows."""
+    """The same as a pipeline of estimators: ``filtered_text`` to ``features`` vectors."""
     return Pipeline(
         stages=[
             Tokenizer(inputCol="filtered_text", outputCol="words"),
             CountVectorizer(
-                inputCol="words", outputCol="rawFeatures", vocabSize=vocab_size, minDF=min_df
+                inputCol="words", outputCol="counts", vocabSize=vocab_size, minDF=min_df
             ),
-            IDF(inputCol="rawFeatures", outputCol="features"),
+            IDF(inputCol="counts", outputCol="features"),
         ]
     )
 
 
-def tfidf_global(
+def tfidf_vectors(
     df: DataFrame,
     id: str = "id",
     text: str = "text",
@@ -253,14 +288,15 @@ def tfidf_global(
     min_df: float = 1.0,
     **options,
 ) -> DataFrame:
-    """(id, word, tfidf) over the whole table with one vocabulary, for the words a text has."""
+    """(id, word, tfidf) by way of the pipeline; of equally frequent words it picks any."""
     texts = filtered_text(df.select(id, text), text, **options).select(id, "filtered_text")
+    texts = staged(texts, "filtered-texts")
     model = tfidf_pipeline(vocab_size, min_df).fit(texts)
     return vector_terms(model.transform(texts).select(id, "features"), model.stages[1].vocabulary)
 
 
 def vector_terms(vectors: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """Term vectors as rows: one (.., word, tfidf) per stored entry.
+    """Term vectors as rows: one (.., word, tfidf) per stored entry, of a dense vector per non-zero.
 
     The vocabulary is at most the fitted model's own size, which its ``vocabSize`` bounds.
     """
@@ -268,7 +304,12 @@ def vector_terms(vectors: DataFrame, vocabulary: list[str]) -> DataFrame:
     names = spark.createDataFrame(list(enumerate(vocabulary)), "term int, word string")
     others = [c for c in vectors.columns if c != "features"]
     raw = vectors.select(*others, F.unwrap_udt("features").alias("v"))
-    entries = raw.select(
-        *others, F.explode(F.arrays_zip(F.col("v.indices"), F.col("v.values"))).alias("e")
-    ).select(*others, F.col("e.indices").alias("term"), F.col("e.values").alias("tfidf"))
+    places = F.sequence(F.lit(0), F.size("v.values") - 1)
+    indices = F.when(F.col("v.type") == 0, F.col("v.indices")).when(F.size("v.values") > 0, places)
+    entries = (
+        raw.select(*others, F.arrays_zip(indices.alias("term"), F.col("v.values").alias("tfidf")).alias("e"), "v.type")
+        .select(*others, "type", F.inline("e"))
+        .toDF(*others, "type", "term", "tfidf")
+        .filter((F.col("type") == 0) | (F.col("tfidf") != 0))
+    )
     return entries.join(names, "term").select(*others, "word", "tfidf")

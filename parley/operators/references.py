@@ -86,14 +86,8 @@ def windowed_ref_counts(
     per_pane = refs.groupBy(win.pane(ts, size, slide).alias("pane"), "reference").agg(
         F.count("*").alias("n")
     )
-    counts = (
-        per_pane.select(
-            win.window_starts("pane", size, slide).alias("window_start"), "reference", "n"
-        )
-        .groupBy("window_start", "reference")
-        .agg(F.sum("n").alias("count"))
-        .select(*win.bounds(size), "reference", "count")
-    )
+    totals = win.window_totals(per_pane, ["reference"], [F.sum("n").alias("count")], size, slide)
+    counts = totals.select(*win.bounds(size), "reference", "count")
     if not nested:
         return counts
     window = F.struct(F.col("window_start").alias("start"), F.col("window_end").alias("end"))

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parley.functions import scoring
-from parley.functions.lookup import INLINE_LIMIT, Dictionary, map_tokens
+from parley.functions.lookup import Dictionary, map_tokens
 from parley.functions.rows import once
 from parley.operators.annotate import annotate
 from parley.sources.records import lift_fields
-from parley.sources.wordlists import BOOSTERS, LEXICON, NEGATORS
+from parley.sources.wordlists import BOOSTERS, LEXICON, NEGATORS, PHRASES
 
 SCORES = ["compound", "positive", "neutral", "negative"]
 
@@ -24,12 +24,12 @@ def sentiment(
     boosters: Mapping[str, float] = BOOSTERS,
     negators: Collection[str] = NEGATORS,
     rules: bool = True,
-    inline_limit: int = INLINE_LIMIT,
+    phrases: Mapping[str, float] = PHRASES,
 ) -> DataFrame:
     """Adds ``sentiment`` struct<compound, positive, neutral, negative> from a token array.
 
-    ``rules=False`` takes the plain sum of valences: no degree words, no negation. Texts are
-    scored as cleaned; pass another token column to score raw ones.
+    ``rules=False`` takes the plain sum of valences: no degree words, no negation, no phrases. Texts
+    are scored as cleaned; pass another token column to score raw ones.
     """
     valued = map_tokens(
         df,
@@ -38,10 +38,9 @@ def sentiment(
         "_valued",
         "double",
         lambda word, value: F.struct(word.alias("word"), value.alias("value")),
-        inline_limit,
     )
     if rules:
-        values = scoring.adjusted_valences("_valued", boosters, negators)
+        values = scoring.adjusted_valences("_valued", boosters, negators, phrases)
     else:
         values = F.transform("_valued", lambda v: F.coalesce(v["value"], F.lit(0.0)))
     return once(valued, "sentiment", scoring.polarity(values)).drop("_valued")
@@ -54,6 +53,7 @@ def sentiment_table(
     boosters: Mapping[str, float] = BOOSTERS,
     negators: Collection[str] = NEGATORS,
     rules: bool = True,
+    phrases: Mapping[str, float] = PHRASES,
     **annotation,
 ) -> DataFrame:
     """Input columns, finished token arrays, ``processed_text`` and the four scores."""
@@ -64,6 +64,6 @@ def sentiment_table(
         boosters=boosters,
         negators=negators,
         rules=rules,
-        inline_limit=annotation.get("inline_limit", INLINE_LIMIT),
+        phrases=phrases,
     )
     return lift_fields(scored, "sentiment")

@@ -14,17 +14,26 @@ WORD_TOKEN = r"""[.,;:!?*\-()"'']+|[^\s.,;:!?*\-()"''](?:\S*[^\s.,;:!?*\-()"''])
 
 STOPS = ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS)
 
-COMMENTS = """comments AS (
+MOMENT = "(SELECT least((SELECT count(*) FROM events), (SELECT count(*) FROM documents)))"
+
+MOMENTS = f"""moments AS (
+  SELECT event_id % {MOMENT} AS moment, min(ts) AS ts, arg_min(user_id, ts) AS user_id,
+         sum(CAST(value AS decimal(18, 2))) AS value
+  FROM events GROUP BY 1)"""
+
+COMMENTS = f"""{MOMENTS},
+comments AS (
   SELECT CAST(d.doc_id AS varchar) AS id, concat('user', e.user_id) AS author, e.ts AS ts,
          CAST(floor(e.value) AS int) AS score, d.source AS subreddit,
          concat(d.text, ' see /u/user', e.user_id, ' in /r/', d.source, ' via ', p.url) AS text
   FROM documents d
-  JOIN events e ON d.doc_id = e.event_id
+  JOIN moments e ON d.doc_id % {MOMENT} = e.moment
   LEFT JOIN pages p ON d.doc_id % (SELECT count(*) FROM pages) = p.page_id)"""
 
-TIMELINE = """timeline AS (
+TIMELINE = f"""{MOMENTS},
+timeline AS (
   SELECT CAST(d.doc_id AS varchar) AS id, e.ts AS ts, d.text AS text
-  FROM documents d JOIN events e ON d.doc_id = e.event_id)"""
+  FROM documents d JOIN moments e ON d.doc_id % {MOMENT} = e.moment)"""
 
 DOCS = "docs AS (SELECT CAST(doc_id AS varchar) AS id, text FROM documents)"
 
@@ -132,6 +141,21 @@ FROM (SELECT *, row_number() OVER (PARTITION BY window_start
         ORDER BY round(tfidf, 10) DESC, word, tf DESC, id) AS rank FROM scored)
 WHERE rank <= 10"""
 
+def _global_tfidf(cut: str) -> str:
+    return (
+        _with(
+            DOCS,
+            _terms("docs"),
+            "tf AS (SELECT id, word, count(*) AS tf FROM terms GROUP BY ALL)",
+            "n AS (SELECT count(*) AS n_docs FROM docs)",
+            f"""vocabulary AS (
+  SELECT word, ln(CAST(any_value(n_docs) + 1 AS double) / (count(*) + 1)) AS idf
+  FROM tf, n GROUP BY word {cut})""",
+        )
+        + "SELECT id, word, round(tf * idf, 6) AS tfidf FROM tf JOIN vocabulary USING (word)"
+    )
+
+
 # -- annotation ---------------------------------------------------------------------------------
 
 BENCH_WORDS = f"""bench AS (
@@ -212,7 +236,7 @@ def _sentiment(source: str = "docs", rules: bool = True) -> list[str]:
         )
         return [*parts, *_polarity(source)]
     parts += [
-        """boosters(word, boost) AS (VALUES ('er', 0.293::double), ('the', 0.293), ('ti', -0.293))""",
+        """boosters(word, boost) AS (VALUES ('er', 0.293::double), ('tion', 0.293), ('ti', -0.293))""",
         """marked AS (
   SELECT id, token, valence, boost, token IN ('nd', 'es', 'ed', 'st') AS flips,
          row_number() OVER (PARTITION BY id ORDER BY pos) AS place
@@ -228,7 +252,10 @@ def _sentiment(source: str = "docs", rules: bool = True) -> list[str]:
         "step0 AS (SELECT *, CAST(valence AS double) AS v FROM near)",
     ]
     for back, damp in ((1, 1.0), (2, 0.95), (3, 0.9)):
-        doubt = " AND NOT (token2 = 'without' AND token1 = 'doubt')" if back == 2 else ""
+        doubt = {
+            2: " AND NOT (token2 = 'without' AND token1 = 'doubt')",
+            3: " AND NOT (token3 = 'without' AND 'doubt' IN (token1, token2))",
+        }.get(back, "")
         moved = f"(v + sign_of * coalesce(boost{back}, 0.0) * {damp}::double)"
         parts.append(
             f"""step{back} AS (
@@ -336,16 +363,8 @@ WHERE rank <= 10""",
 FROM (SELECT *, row_number() OVER (PARTITION BY window_start, id
         ORDER BY round(tfidf, 10) DESC, word) AS rank FROM scored)
 WHERE rank <= 10""",
-    "tfidf_global": _with(
-        DOCS,
-        _terms("docs"),
-        "tf AS (SELECT id, word, count(*) AS tf FROM terms GROUP BY ALL)",
-        "n AS (SELECT count(*) AS n_docs FROM docs)",
-        """vocabulary AS (
-  SELECT word, ln(CAST(any_value(n_docs) + 1 AS double) / (count(*) + 1)) AS idf
-  FROM tf, n GROUP BY word HAVING count(*) >= 0.02::double * any_value(n_docs))""",
-    )
-    + "SELECT id, word, round(tf * idf, 6) AS tfidf FROM tf JOIN vocabulary USING (word)",
+    "tfidf_global": _global_tfidf(""),
+    "tfidf_global_top_words": _global_tfidf("ORDER BY sum(tf) DESC, word LIMIT 1000"),
     "nlp_tokens": _with(DOCS, *_tokens()[:2])
     + """SELECT d.id, coalesce(string_agg(token, ' ' ORDER BY pos), '') AS tokens,
   CAST(count(token) AS int) AS n_tokens FROM docs d LEFT JOIN tokens USING (id) GROUP BY d.id""",

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.functions import text as tx
+from parley.functions.lookup import small
 from parley.operators import annotate as an
 from parley.operators import insights, keywords, references, snapshots
 from parley.operators.sentiment import sentiment_table
@@ -18,7 +19,7 @@ from parley.streaming import live
 HOURS = {"size": "6 hours", "slide": "1 hour"}
 
 # Degree words and negators that occur in the given texts.
-QUERY_BOOSTERS = {"er": 0.293, "the": 0.293, "ti": -0.293}
+QUERY_BOOSTERS = {"er": 0.293, "tion": 0.293, "ti": -0.293}
 QUERY_NEGATORS = ("nd", "es", "ed", "st")
 
 
@@ -217,10 +218,13 @@ def tfidf_top10_per_doc(spark, sf_dir):
 
 
 def tfidf_global(spark, sf_dir):
-    """One vocabulary for all documents: the words found in at least 2% of them."""
-    return _rounded(
-        keywords.tfidf_global(tables.documents(spark, sf_dir), vocab_size=20_000, min_df=0.02)
-    )
+    """One vocabulary for all documents: every word."""
+    return _rounded(keywords.tfidf_global(tables.documents(spark, sf_dir), vocab_size=None))
+
+
+def tfidf_global_top_words(spark, sf_dir):
+    """The usual vocabulary of the most frequent words."""
+    return _rounded(keywords.tfidf_global(tables.documents(spark, sf_dir)))
 
 
 # -- annotation and sentiment -------------------------------------------------------------------
@@ -245,12 +249,9 @@ def normalized_tokens(spark, sf_dir):
     )
 
 
-def _lemmas(spark, sf_dir, inline_limit=an.INLINE_LIMIT):
-    return (
-        _tokenized(spark, sf_dir)
-        .transform(an.normalize)
-        .transform(an.lemmatize, lemma_table(spark, sf_dir), inline_limit)
-    )
+def _lemmas(spark, sf_dir, lemmas=None):
+    lemmas = small(lemma_table(spark, sf_dir)) if lemmas is None else lemmas
+    return _tokenized(spark, sf_dir).transform(an.normalize).transform(an.lemmatize, lemmas)
 
 
 def lemmas(spark, sf_dir):
@@ -259,7 +260,8 @@ def lemmas(spark, sf_dir):
 
 def lemmas_joined(spark, sf_dir):
     """The same through the join that serves dictionaries of any size."""
-    return _lemmas(spark, sf_dir, 0).select("id", line("lemmatized").alias("lemmas"))
+    joined = _lemmas(spark, sf_dir, lemma_table(spark, sf_dir))
+    return joined.select("id", line("lemmatized").alias("lemmas"))
 
 
 def lemmas_without_stopwords(spark, sf_dir):
@@ -273,7 +275,7 @@ def lemmas_without_stopwords(spark, sf_dir):
 def pos_tags(spark, sf_dir):
     return (
         _lemmas(spark, sf_dir)
-        .transform(an.pos_tag, tag_table(spark, sf_dir))
+        .transform(an.pos_tag, small(tag_table(spark, sf_dir)))
         .select("id", line("pos").alias("tags"))
     )
 
@@ -281,21 +283,21 @@ def pos_tags(spark, sf_dir):
 def noun_chunks(spark, sf_dir):
     return an.noun_chunks(
         tables.documents(spark, sf_dir),
-        lemmas=lemma_table(spark, sf_dir),
-        tags=tag_table(spark, sf_dir),
+        lemmas=small(lemma_table(spark, sf_dir)),
+        tags=small(tag_table(spark, sf_dir)),
     )
 
 
 def processed_text(spark, sf_dir):
-    annotated = an.annotate(tables.documents(spark, sf_dir), lemmas=lemma_table(spark, sf_dir))
+    annotated = an.annotate(tables.documents(spark, sf_dir), lemmas=small(lemma_table(spark, sf_dir)))
     return annotated.select("id", "processed_text")
 
 
 def _scored(df, spark, sf_dir, rules=True):
     return sentiment_table(
         df,
-        lexicon=lexicon(spark, sf_dir),
-        lemmas=lemma_table(spark, sf_dir),
+        lexicon=small(lexicon(spark, sf_dir)),
+        lemmas=small(lemma_table(spark, sf_dir)),
         boosters=QUERY_BOOSTERS,
         negators=QUERY_NEGATORS,
         rules=rules,
@@ -338,7 +340,7 @@ def compound_over_time(spark, sf_dir):
 
 
 def word_frequencies(spark, sf_dir):
-    annotated = an.annotate(tables.documents(spark, sf_dir), lemmas=lemma_table(spark, sf_dir))
+    annotated = an.annotate(tables.documents(spark, sf_dir), lemmas=small(lemma_table(spark, sf_dir)))
     return _rounded(insights.word_frequencies(annotated), "weight")
 
 
@@ -380,10 +382,15 @@ def reference_view(spark, sf_dir):
 # -- streams ------------------------------------------------------------------------------------
 
 
+STREAM_FILES = 4
+
+
 def _stream(spark, sf_dir, name, columns):
+    """A table as a stream of several files, one a batch. They are dealt by the first column."""
     scan = tables.table(spark, sf_dir, name).select(*columns)
-    stream = files.read_raw_stream(spark, f"{sf_dir}/{name}.parquet*", scan.schema)
-    return tables.spread(stream, columns[0], scan)
+    path = work_dir(spark, f"feed-{name}")
+    scan.repartitionByRange(STREAM_FILES, columns[0]).write.parquet(path)
+    return files.read_raw_stream(spark, path, scan.schema, max_files=1)
 
 
 def _comment_stream(spark, sf_dir):
@@ -434,10 +441,7 @@ def stream_sentiment(spark, sf_dir):
 def stream_keywords(spark, sf_dir):
     """Land the timeline as a raw table, then refresh its keywords from the stream."""
     docs = _stream(spark, sf_dir, "documents", ["doc_id", "text"])
-    events = tables.table(spark, sf_dir, "events").select("event_id", "ts")
-    rows = docs.join(events, docs["doc_id"] == events["event_id"]).select(
-        F.col("doc_id").cast("string").alias("id"), "ts", "text"
-    )
+    rows = tables.compose_timeline(docs, spark, sf_dir)
     base = work_dir(spark, "keywords")
     live.drain(spark, rows, f"{base}/raw", f"{base}/raw-state")
     landed = files.read_raw_stream(spark, f"{base}/raw", rows.schema)
@@ -481,6 +485,7 @@ QUERIES = {
         tfidf_top10_words,
         tfidf_top10_per_doc,
         tfidf_global,
+        tfidf_global_top_words,
         nlp_tokens,
         normalized_tokens,
         lemmas,

@@ -12,40 +12,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, text) of every document."""
-    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
+    docs = table(spark, sf_dir, "documents")
     return docs.select(F.col("doc_id").cast("string").alias("id"), "text")
 
 
-def spread(df: DataFrame, key: str, scan: DataFrame | None = None) -> DataFrame:
-    """Hash out a scan that has fewer splits than there are cores; leave any larger scan alone.
+def _moments(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """(moment, ts, user_id, value), and how many moments there are.
 
-    A table of one row group would otherwise run in one task however many cores there are. For a
-    stream, ``scan`` is the same table as a batch.
+    Event numbers wrap around the documents (or, where events are fewer, the other way round), so
+    every event belongs to one moment: its first time and user, the sum of its values.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if (df if scan is None else scan).rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
+    events = table(spark, sf_dir, "events")
+    count = min(events.count(), table(spark, sf_dir, "documents").count()) or 1
+    first = F.min(F.struct("ts", "user_id"))
+    moments = (
+        events.groupBy((F.col("event_id") % count).alias("moment"))
+        .agg(first.alias("first"), F.sum(F.col("value").cast("decimal(18,2)")).alias("value"))
+        .select("moment", "first.*", "value")
+    )
+    return moments, count
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One comment per document: (id, author, ts, score, subreddit, text).
 
-    The event with the document's number gives author, time and score; the text ends in a user, a
-    community and a page link.
+    The document's events give author, time and score; the text ends in a user, a community and a
+    page link.
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return compose_comments(spread(docs, "doc_id"), spark, sf_dir)
+    return compose_comments(docs, spark, sf_dir)
 
 
 def compose_comments(docs: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    moments, count = _moments(spark, sf_dir)
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    page_count = pages.agg(F.count("*").alias("n")).scalar()
+    page_count = pages.count() or 1
     return (
-        docs.join(events, docs["doc_id"] == events["event_id"])
-        .withColumn("_page", F.col("doc_id") % page_count)
-        .join(pages, F.col("_page") == pages["page_id"], "left")
+        docs.withColumns({"moment": F.col("doc_id") % count, "page_id": F.col("doc_id") % page_count})
+        .join(moments, "moment")
+        .join(pages, "page_id", "left")
         .select(
             F.col("doc_id").cast("string").alias("id"),
             F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("author"),
@@ -66,11 +71,17 @@ def compose_comments(docs: DataFrame, spark: SparkSession, sf_dir: str) -> DataF
 
 
 def timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, ts, text) of every document with its event's time: what keywords need."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    events = table(spark, sf_dir, "events").select("event_id", "ts")
-    return docs.join(events, docs["doc_id"] == events["event_id"]).select(
-        F.col("doc_id").cast("string").alias("id"), "ts", "text"
+    """(id, ts, text) of every document with the time of its first event: what keywords need."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return compose_timeline(docs, spark, sf_dir)
+
+
+def compose_timeline(docs: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    moments, count = _moments(spark, sf_dir)
+    return (
+        docs.withColumn("moment", F.col("doc_id") % count)
+        .join(moments.select("moment", "ts"), "moment")
+        .select(F.col("doc_id").cast("string").alias("id"), "ts", "text")
     )
 
 

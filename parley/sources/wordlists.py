@@ -43,7 +43,11 @@ neither neednt never none nope nor not nothing nowhere oughtnt shant shouldnt uh
 without wont wouldnt rarely seldom despite
 """.split()
 
-# Valences of common words on the usual -4..4 scale. A small table of our own choosing.
+# Phrases with a valence of their own, of those that outlive cleaning.
+PHRASES = {"bad ass": 1.5, "broken heart": -2.9, "bus stop": 0.0, "yeah right": -2.0}
+
+# Valences of common words on the usual -4..4 scale, as the published lexicon of the
+# rule-based model gives them, for a small choice of its words.
 LEXICON = {
     "love": 3.2, "great": 3.1, "best": 3.2, "excellent": 2.7, "awesome": 3.1, "amazing": 2.8,
     "good": 1.9, "nice": 1.8, "happy": 2.7, "beautiful": 2.9, "perfect": 2.7, "wonderful": 2.7,

@@ -67,8 +67,8 @@ def test_lookup_inline_and_joined_agree(spark):
     )
     table = spark.createDataFrame(list(entries.items()), "word string, value string")
     body = lambda t, v: F.coalesce(v, F.concat(t, F.lit("?")))
-    inline = lookup.map_tokens(df, "tokens", table, "out", "string", body)
-    joined = lookup.map_tokens(df, "tokens", table, "out", "string", body, limit=5)
+    inline = lookup.map_tokens(df, "tokens", lookup.small(table), "out", "string", body)
+    joined = lookup.map_tokens(df, "tokens", table, "out", "string", body)
     key = lambda r: r["id"]
     assert sorted(inline.collect(), key=key) == sorted(joined.collect(), key=key)
     assert sorted(inline.columns) == sorted(joined.columns)
@@ -76,16 +76,16 @@ def test_lookup_inline_and_joined_agree(spark):
 
 def test_small_mapping_stops_at_the_limit(spark):
     table = spark.createDataFrame([("a", 2), ("a", 1), ("b", 3)], "word string, value int")
-    assert lookup.as_small_mapping(table) == {"a": 1, "b": 3}
-    assert lookup.as_small_mapping(table, limit=1) is None
-    assert lookup.as_small_mapping({"a": 1, "b": 2}, limit=1) is None
+    assert lookup.small(table) == {"a": 1, "b": 3}
+    with pytest.raises(ValueError):
+        lookup.small(table, most=1)
 
 
-def test_stop_words_from_a_table_and_beyond_the_inline_limit(spark):
+def test_stop_words_from_a_table(spark):
     df = spark.createDataFrame([("1", "we like the cat")], "id string, text string")
     table = spark.createDataFrame([("We",), ("the",)], "word string")
-    for stop_words, limit in ((table, 100), (table, 0), (["We", "the"], 0)):
-        row = an.annotate(df, stop_words=stop_words, inline_limit=limit).first()
+    for stop_words in (table, ["We", "the"]):
+        row = an.annotate(df, stop_words=stop_words).first()
         assert row["processed_text"] == "like cat"
 
 
@@ -112,10 +112,10 @@ def expected(tokens, rules=True):
                 before = tokens[i - back]
                 push = BOOSTERS.get(before, 0.0) * damp
                 v += -push if v < 0 else push
-                spared = back == 2 and before == "without" and tokens[i - 1] == "doubt"
+                spared = before == "without" and "doubt" in tokens[i - back + 1 : i]
                 if (before in NEGATORS or "n't" in before) and not spared:
                     v *= -0.74
-            if i and tokens[i - 1] == "least":
+            if i and tokens[i - 1] == "least" and tokens[max(0, i - 2) : i - 1] not in (["at"], ["very"]):
                 v *= -0.74
         values.append(v)
     s = sum(values)
@@ -170,6 +170,41 @@ def test_random_texts(spark, texts):
         assert parts == pytest.approx(1.0, abs=0.002) or (parts == 0 and not texts[r["id"]])
 
 
+def compound(total):
+    return pytest.approx(total / math.sqrt(total * total + 15), abs=1e-4)
+
+
+@pytest.mark.parametrize(
+    "text, total",
+    [
+        ("without doubt truly happy", 2.7),  # 2.7 stands: "without" is three back, "doubt" between
+        ("without truly doubt happy", 2.7),
+        ("without a doubt happy", 2.7),
+        ("without any real happy", 2.7 * -0.74),
+        ("never so happy", (2.7 + 0.293) * 1.5),
+        ("never felt so happy", (2.7 + 0.293) * 1.25),
+        ("at least happy", 2.7),
+        ("very least happy", 2.7 + 0.293 * 0.95),  # no flip, and "very" two back still raises
+        ("least happy", 2.7 * -0.74),
+        ("x y the broken heart", 0.0),  # neither word is in the table below
+        ("x y bad ass", -2.5 + 1.5),  # "bad" has but two tokens before it and keeps its own score
+        ("x y z yeah right", 0.0),
+        ("happy x y but happy", 2.7 * 0.5 + 2.7 * 1.5),
+        ("x y z happy", 2.7),
+    ],
+)
+def test_hand_worked_scores(spark, text, total):
+    lexicon = {"happy": 2.7, "bad": -2.5, "ass": -2.5}
+    got = scores(spark, text.split(), lexicon=lexicon)["compound"]
+    assert got == compound(total)
+
+
+def test_phrases_with_three_tokens_before(spark):
+    lexicon = {"heart": 2.0, "right": 1.0, "stop": -1.2}
+    for text, total in (("x y broken heart", -2.9), ("x y yeah right", -2.0), ("x y bus stop", 0.0), ("y broken heart", 2.0)):
+        assert scores(spark, text.split(), lexicon=lexicon)["compound"] == compound(total), text
+
+
 def test_sentiment_table_layout(spark):
     df = spark.createDataFrame([("1", "I really love this")], "id string, text string")
     table = sentiment_table(df)

@@ -134,13 +134,25 @@ def test_per_document_keywords(spark):
 
 def test_relational_and_ml_scores_agree(spark):
     df = docs(spark, "cat cat dog bird", "dog fish fish", "The dog", "owl")
-    ml = {(r["id"], r["word"]): r["tfidf"] for r in kw.tfidf_global(df).collect()}
-    rel = {
-        (r["id"], r["word"]): r["tfidf"] for r in kw.doc_top_keywords(df, **ONE, k=100).collect()
-    }
-    assert ml.keys() == rel.keys()
-    for key, value in ml.items():
-        assert value == pytest.approx(rel[key])
+    ml = {(r["id"], r["word"]): r["tfidf"] for r in kw.tfidf_vectors(df).collect()}
+    for rows in (kw.doc_top_keywords(df, **ONE, k=100), kw.tfidf_global(df), kw.tfidf_global(df, vocab_size=None)):
+        rel = {(r["id"], r["word"]): r["tfidf"] for r in rows.collect()}
+        assert ml.keys() == rel.keys()
+        for key, value in ml.items():
+            assert value == pytest.approx(rel[key])
+
+
+def test_global_vocabulary_cap(spark):
+    df = docs(spark, "q q p", "r r", "p x")
+    assert {r["word"] for r in kw.tfidf_global(df, vocab_size=2).collect()} == {"p", "q"}
+
+
+def test_dense_and_sparse_vectors(spark):
+    from pyspark.ml.linalg import Vectors
+
+    rows = [("1", Vectors.dense([0.0, 2.0, 3.0])), ("2", Vectors.sparse(3, [0], [1.5])), ("3", Vectors.sparse(3, [], []))]
+    got = kw.vector_terms(spark.createDataFrame(rows, ["id", "features"]), ["x", "y", "z"]).collect()
+    assert sorted(map(tuple, got)) == [("1", "y", 2.0), ("1", "z", 3.0), ("2", "x", 1.5)]
 
 
 def test_window_texts_keep_every_row(spark):

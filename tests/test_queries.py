@@ -4,9 +4,8 @@ import pytest
 
 import __spark_entry__ as entry_module
 from compare import connect, differences
-
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+from parley.plans.oracles import ORACLES
+from parley.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +15,8 @@ def con(sf_dir):
 
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(ORACLES) <= set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

@@ -4,23 +4,24 @@ from parley.functions import windows
 from parley.session import staged, work_dir
 
 
-class Conf:
-    def __init__(self, value):
-        self.conf = self
-        self.value = value
+class Session:
+    """Just what the check of a missing folder looks at."""
 
-    def get(self, key, default=None):
-        assert key == "spark.checkpoint.dir"
-        return self.value or default
+    def __init__(self, master):
+        self.conf = {}
+        self.sparkContext = self
+        self.master = master
 
 
-def test_work_dir_lies_in_the_shared_folder():
-    first, second = (work_dir(Conf("/shared/ckpt/"), "x") for _ in range(2))
-    assert first.startswith("/shared/ckpt/x-") and first != second
+def test_a_cluster_needs_the_shared_folder():
+    with pytest.raises(RuntimeError):
+        work_dir(Session("spark://host:7077"), "x")
 
 
-def test_work_dir_without_a_shared_folder():
-    assert "parley-" in work_dir(Conf(None), "x")
+def test_work_dir_lies_in_the_shared_folder(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    first, second = (work_dir(spark, "x") for _ in range(2))
+    assert first.startswith(f"{root}/x-") and first != second
 
 
 def test_staged_tables_keep_rows_and_schema(spark):
