@@ -25,57 +25,64 @@ LINE = ["k1", "k2"]
 
 
 def within(a: Column, b: Column, limit: int) -> Column:
-    """Whether the edit distance of two strings of at least ``limit`` + 2 characters is ``limit`` at most.
+    """Whether the edit distance of two strings is ``limit`` at most.
 
     Bit k of each word stands for the row ``i + k - limit`` of column ``i``: a band of
     2 * limit + 1 cells around the diagonal, updated by a few word operations a character.
     """
-    x, y = F.split(a, ""), F.split(b, "")
-    n, m = F.char_length(a), F.char_length(b)
+    start_alike = F.lit("." * (limit + 1))  # changes no distance, and gives the band room
+    a, b = F.concat(start_alike, a), F.concat(start_alike, b)
     width = 2 * limit + 1
     mask = F.lit((1 << width) - 1).cast("long")
-    turn = n - limit  # from here on the last row is followed along the band
-
-    def step(state: Column, i: Column) -> Column:
-        here = F.get(y, i)
-        same = [
-            F.when(F.get(x, i + (k - limit)) == here, F.lit(1 << k)).otherwise(0) for k in range(width)
-        ]
-        return F.struct(state["vp"].alias("vp"), state["vn"].alias("vn"), state["dist"].alias("dist"), i.alias("i"), sum(same, F.lit(0)).cast("long").alias("match"))
-
-    def advance(s: Column) -> Column:
-        diagonal = (((s["match"].bitwiseAND(s["vp"]) + s["vp"]).bitwiseXOR(s["vp"])).bitwiseOR(s["match"])).bitwiseOR(s["vn"]).bitwiseAND(mask)
-        return F.struct(s["vp"].alias("vp"), s["vn"].alias("vn"), s["dist"].alias("dist"), s["i"].alias("i"), diagonal.alias("d"))
-
-    def sides(s: Column) -> Column:
-        up = s["vn"].bitwiseOR(F.bitwise_not(s["d"].bitwiseOR(s["vp"]))).bitwiseAND(mask)
-        down = s["d"].bitwiseAND(s["vp"])
-        return F.struct(s["dist"].alias("dist"), s["i"].alias("i"), s["d"].alias("d"), up.alias("hp"), down.alias("hn"))
-
-    def close(s: Column) -> Column:
-        bit = F.greatest(F.lit(width - 2) - (s["i"] - turn), F.lit(0))
-        along = _bit(s["hp"], bit) - _bit(s["hn"], bit)
-        dist = s["dist"] + F.when(s["i"] < turn, 1 - _bit(s["d"], F.lit(width - 1))).otherwise(along)
-        half = F.shiftrightunsigned(s["d"], 1)
-        vp = s["hn"].bitwiseOR(F.bitwise_not(half.bitwiseOR(s["hp"]))).bitwiseAND(mask)
-        return F.struct(vp.alias("vp"), half.bitwiseAND(s["hp"]).alias("vn"), dist.alias("dist"))
+    zero = F.lit(0).cast("long")
 
     def let(value: Column, body) -> Column:
         """``body`` of ``value``, which is computed once."""
         return F.element_at(F.transform(F.array(value), body), 1)
 
-    start = F.struct(
-        F.lit(((1 << limit + 1) - 1) << limit).cast("long").alias("vp"),
-        F.lit(0).cast("long").alias("vn"),
-        F.lit(limit).cast("long").alias("dist"),
-    )
-    run = F.aggregate(
-        F.sequence(F.lit(0), m - 1),
-        start,
-        lambda s, i: let(let(let(step(s, i), advance), sides), close),
-        lambda s: s["dist"] <= limit,
-    )
-    return (F.abs(n - m) <= limit) & run
+    def matches(strings: Column) -> Column:
+        """For each character of b, the cells of the band in which it meets the same in a."""
+
+        def cells(c: Column, i: Column) -> Column:
+            same = [F.when(F.get(strings["a"], i + (k - limit)) == c, F.lit(1 << k)).otherwise(0) for k in range(width)]
+            return sum(same, F.lit(0)).cast("long")
+
+        return F.transform(strings["b"], cells)
+
+    def run(masks: Column) -> Column:
+        turn = F.char_length(a) - limit  # from here on the last row is followed along the band
+
+        def step(s: Column, match: Column) -> Column:
+            vp, vn, i = s["vp"], s["vn"], s["i"]
+            d = (match.bitwiseAND(vp) + vp).bitwiseXOR(vp).bitwiseOR(match).bitwiseOR(vn).bitwiseAND(mask)
+            up = vn.bitwiseOR(F.bitwise_not(d.bitwiseOR(vp))).bitwiseAND(mask)
+            down = d.bitwiseAND(vp)
+            half = F.shiftrightunsigned(d, 1)
+            place = F.greatest(F.lit(width - 2) - (i - turn), F.lit(0))
+            along = _bit(up, place) - _bit(down, place)
+            more = F.when(i < turn, 1 - _bit(d, F.lit(width - 1))).otherwise(along)
+            return F.struct(
+                down.bitwiseOR(F.bitwise_not(half.bitwiseOR(up))).bitwiseAND(mask).alias("vp"),
+                half.bitwiseAND(up).alias("vn"),
+                (s["dist"] + more).alias("dist"),
+                (i + 1).alias("i"),
+            )
+
+        start = F.struct(
+            F.lit(((1 << limit + 1) - 1) << limit).cast("long").alias("vp"),
+            zero.alias("vn"),
+            F.lit(limit).cast("long").alias("dist"),
+            F.lit(0).alias("i"),
+        )
+        return F.aggregate(masks, start, step, lambda s: s["dist"] <= limit)
+
+    strings = F.struct(_characters(a).alias("a"), _characters(b).alias("b"))
+    apart = F.abs(F.char_length(a) - F.char_length(b)) > limit
+    return F.when(apart, False).otherwise(let(strings, lambda s: let(matches(s), run)))
+
+
+def _characters(text: Column) -> Column:
+    return F.filter(F.split(text, ""), lambda c: c != "")
 
 
 def _bit(word: Column, at: Column) -> Column:
@@ -182,11 +189,25 @@ def near_lines(docs: DataFrame, unique: DataFrame) -> DataFrame:
 
 
 def _verified(rows: DataFrame) -> DataFrame:
-    """The later line of every pair of a small group that is within one edit."""
-    a = rows.select("key", F.col("first").alias("first_a"), F.col("longer").alias("longer_a"), F.col("line").alias("a"))
-    b = rows.select("key", F.col("first").alias("first_b"), F.col("longer").alias("longer_b"), F.col("line").alias("b"), *LINE)
-    pairs = a.join(b, "key").filter("first_a < first_b and longer_a + longer_b < 2")
-    return pairs.select("a", "b", *LINE).distinct().filter(within(F.col("a"), F.col("b"), EDITS)).select(*LINE)
+    """The later line of every pair of a small group that is within one edit.
+
+    All but the open parts agree, so these are compared; one half of them must agree as well.
+    """
+    part = F.expr("substring(line, begin + 1, end - begin + longer)").alias("part")
+    sides = rows.select("key", "first", "longer", (F.col("end") - F.col("begin")).alias("open"), part, *LINE)
+    a = sides.select("key", "open", *[F.col(c).alias(f"{c}_a") for c in ("first", "longer", "part")])
+    b = sides.select("key", *[F.col(c).alias(f"{c}_b") for c in ("first", "longer", "part")], *LINE)
+    half = "open div 2"
+    near = F.expr(
+        f"left(part_a, {half}) = left(part_b, {half})"
+        f" or substring(part_a, {half} + longer_a + 1) = substring(part_b, {half} + longer_b + 1)"
+    )
+    pairs = a.join(b, "key").filter("first_a < first_b and longer_a + longer_b < 2").filter(near)
+    shorter_first = F.col("longer_a") <= F.col("longer_b")
+    x = F.when(shorter_first, F.col("part_a")).otherwise(F.col("part_b"))
+    y = F.when(shorter_first, F.col("part_b")).otherwise(F.col("part_a"))
+    apart = pairs.select(x.alias("x"), y.alias("y"), *LINE).distinct()
+    return apart.filter(within(F.col("x"), F.col("y"), EDITS)).select(*LINE)
 
 
 def _proven(rows: DataFrame) -> DataFrame:
