@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from parley.operators import insights, keywords
 from parley.operators.references import windowed_ref_counts
 from parley.operators.sentiment import sentiment_table
+from parley.session import staged
 from parley.sources import files, records
 
 
@@ -20,17 +21,23 @@ def ingest(
     quarantine_path: str | None = None,
     every: str | None = "5 seconds",
     max_files: int | None = None,
-) -> list[StreamingQuery]:
-    """JSON lines to the raw Parquet table; lines that parse to nothing go to the quarantine."""
+) -> StreamingQuery:
+    """JSON lines to the raw Parquet table; lines that parse to nothing go to the quarantine.
+
+    Each batch is read and parsed once. Both outputs lie in folders by day and batch number, so a
+    batch that runs again replaces what it wrote, and readers of some days open no others.
+    """
+
+    def land(batch: DataFrame, number: int) -> None:
+        parsed = records.parsed_lines(batch).persist()
+        rows = records.parsed_rows(parsed).transform(records.with_kind)
+        files.write_batch(rows, raw_path, number, F.to_date("timestamp"))
+        if quarantine_path:
+            files.write_batch(records.unparsed(parsed), quarantine_path, number)
+        parsed.unpersist()
+
     lines = files.read_lines_stream(spark, lines_path, max_files)
-    parsed = records.parse_records(lines).transform(records.with_kind)
-    running = [files.write_raw_stream(parsed, raw_path, f"{checkpoint}/raw", every)]
-    if quarantine_path:
-        bad = records.malformed_lines(lines)
-        running.append(
-            files.write_raw_stream(bad, quarantine_path, f"{checkpoint}/quarantine", every)
-        )
-    return running
+    return files.write_batches(lines, land, checkpoint, every)
 
 
 def reference_job(
@@ -73,10 +80,10 @@ def _save(df: DataFrame, path: str, append: bool, time: str = "window_start") ->
 def dashboard(
     spark: SparkSession, sentiment_path: str, reference_path: str, latest: int | None = None
 ) -> dict[str, DataFrame]:
-    """The table behind each chart. ``latest`` looks at the newest rows only."""
+    """The table behind each chart. ``latest`` looks at the newest rows only, picked once."""
     scored = files.read_results(spark, sentiment_path)
     if latest:
-        scored = insights.latest_rows(scored, latest)
+        scored = staged(insights.latest_rows(scored, latest), "latest-rows")
     return {
         "mean_sentiment": insights.mean_sentiment(scored),
         "compound_over_time": insights.compound_over_time(scored),

@@ -5,6 +5,9 @@ They take the direct road on purpose: tokens as rows, every window spelled out,
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
+from parley.sources import wordlists
 from parley.sources.wordlists import STOP_WORDS
 
 SPACES = (
@@ -110,37 +113,58 @@ def _terms(source: str, keep: str = "id", stops: bool = True) -> str:
   WHERE word <> ''{drop})"""
 
 
-WINDOWED = """windowed AS (
-  SELECT id, time_bucket(INTERVAL 1 HOUR, ts, TIMESTAMP '1970-01-01') - to_hours(CAST(k AS int))
+def _tfidf(
+    source: str = TIMELINE, name: str = "timeline", size: int = 6 * 3600, slide: int = 3600, stops: bool = True
+) -> list[str]:
+    return [
+        source,
+        _terms(name, stops=stops),
+        f"""windowed AS (
+  SELECT id, time_bucket(INTERVAL {slide} SECOND, ts, TIMESTAMP '1970-01-01') - to_seconds({slide} * k)
            AS window_start
-  FROM timeline, range(6) AS steps(k))"""
-
-TFIDF = [
-    TIMELINE,
-    _terms("timeline"),
-    WINDOWED,
-    "tf AS (SELECT id, word, count(*) AS tf FROM terms GROUP BY ALL)",
-    "n AS (SELECT window_start, count(*) AS n_docs FROM windowed GROUP BY ALL)",
-    """ranked AS (
+  FROM {name}, range({size // slide}) AS steps(k))""",
+        "tf AS (SELECT id, word, count(*) AS tf FROM terms GROUP BY ALL)",
+        "n AS (SELECT window_start, count(*) AS n_docs FROM windowed GROUP BY ALL)",
+        """ranked AS (
   SELECT window_start, word, sum(tf) AS total_tf, count(*) AS df,
          row_number() OVER (PARTITION BY window_start ORDER BY sum(tf) DESC, word) AS place
   FROM windowed JOIN tf USING (id) GROUP BY window_start, word)""",
-    """vocabulary AS (
+        """vocabulary AS (
   SELECT window_start, word, CAST(total_tf AS bigint) AS total_tf, df, n_docs,
          ln(CAST(n_docs + 1 AS double) / CAST(df + 1 AS double)) AS idf
   FROM ranked JOIN n USING (window_start) WHERE place <= 1000)""",
-    """scored AS (
+        """scored AS (
   SELECT window_start, id, word, tf, tf * idf AS tfidf
   FROM windowed JOIN tf USING (id) JOIN vocabulary USING (window_start, word))""",
-]
+    ]
+
+
+TFIDF = _tfidf()
+WINDOWED = TFIDF[2]
+
+
+def _span(size: int = 6 * 3600) -> str:
+    return f"window_start, window_start + INTERVAL {size} SECOND AS window_end"
 
-SPAN = "window_start, window_start + INTERVAL 6 HOUR AS window_end"
 
-TOP_PAIRS = f"""SELECT word, round(tfidf, 6) AS tfidf, CAST(rank AS int) AS rank, {SPAN}
+SPAN = _span()
+
+
+def _top_pairs(size: int = 6 * 3600) -> str:
+    return f"""SELECT word, round(tfidf, 6) AS tfidf, CAST(rank AS int) AS rank, {_span(size)}
 FROM (SELECT *, row_number() OVER (PARTITION BY window_start
         ORDER BY round(tfidf, 10) DESC, word, tf DESC, id) AS rank FROM scored)
 WHERE rank <= 10"""
 
+
+TOP_PAIRS = _top_pairs()
+
+TOP_PER_DOC = f"""SELECT {SPAN}, id, word, round(tfidf, 6) AS tfidf, CAST(rank AS int) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY window_start, id
+        ORDER BY round(tfidf, 10) DESC, word) AS rank FROM scored)
+WHERE rank <= 10"""
+
+
 def _global_tfidf(cut: str) -> str:
     return (
         _with(
@@ -178,7 +202,15 @@ TAG_TABLE = """tag_table AS (
   WHERE word LIKE '%n' OR word LIKE '%y')"""
 
 
-def _tokens(source: str = "docs") -> list[str]:
+def _values(name: str, columns: str, entries: dict) -> str:
+    rows = ", ".join(
+        "('" + k.replace("'", "''") + "', " + (f"'{v}'" if isinstance(v, str) else f"{v}::double") + ")"
+        for k, v in entries.items()
+    )
+    return f"{name}({columns}) AS (VALUES {rows})"
+
+
+def _tokens(source: str = "docs", lemmas: str = LEMMA_TABLE) -> list[str]:
     """Token, normal-form, lemma and clean-lemma tables, each (id, pos, token) by position."""
     return [
         f"""matched AS (
@@ -189,7 +221,7 @@ def _tokens(source: str = "docs") -> list[str]:
   SELECT id, pos, regexp_replace(lower(token), '[^\p{L}+]', '', 'g') AS token FROM tokens
   WHERE regexp_replace(lower(token), '[^\p{L}+]', '', 'g') <> '')""",
         BENCH_WORDS,
-        LEMMA_TABLE,
+        lemmas,
         """lemma AS (
   SELECT id, pos, coalesce(lemma, token) AS token FROM normal LEFT JOIN lemma_table ON token = word)""",
         f"""clean AS (
@@ -226,9 +258,20 @@ SELECT id, phrase AS chunk FROM runs WHERE tag = 'NN' AND len > 1"""
 # -- sentiment ----------------------------------------------------------------------------------
 
 
-def _sentiment(source: str = "docs", rules: bool = True) -> list[str]:
+QUERY_BOOSTERS = {"er": 0.293, "tion": 0.293, "ti": -0.293}
+QUERY_NEGATORS = ("nd", "es", "ed", "st")
+
+
+def _sentiment(
+    source: str = "docs",
+    rules: bool = True,
+    lexicon: str = LEXICON,
+    lemmas: str = LEMMA_TABLE,
+    boosters: dict = QUERY_BOOSTERS,
+    negators: Collection[str] = QUERY_NEGATORS,
+) -> list[str]:
     """... scores (id, compound, positive, neutral, negative)."""
-    parts = [*_tokens(source), LEXICON]
+    parts = [*_tokens(source, lemmas), lexicon]
     if not rules:
         parts.append(
             """valued AS (
@@ -236,9 +279,9 @@ def _sentiment(source: str = "docs", rules: bool = True) -> list[str]:
         )
         return [*parts, *_polarity(source)]
     parts += [
-        """boosters(word, boost) AS (VALUES ('er', 0.293::double), ('tion', 0.293), ('ti', -0.293))""",
-        """marked AS (
-  SELECT id, token, valence, boost, token IN ('nd', 'es', 'ed', 'st') AS flips,
+        _values("boosters", "word, boost", boosters),
+        f"""marked AS (
+  SELECT id, token, valence, boost, token IN ({", ".join(f"'{n}'" for n in negators)}) AS flips,
          row_number() OVER (PARTITION BY id ORDER BY pos) AS place
   FROM clean LEFT JOIN lexicon l ON token = l.word LEFT JOIN boosters b ON token = b.word)""",
         """near AS (
@@ -358,11 +401,10 @@ FROM (SELECT *, row_number() OVER (PARTITION BY window_start
         ORDER BY round(tfidf, 10) DESC, word) AS rank
       FROM (SELECT window_start, word, max(tfidf) AS tfidf FROM scored GROUP BY ALL))
 WHERE rank <= 10""",
-    "tfidf_top10_per_doc": _with(*TFIDF)
-    + f"""SELECT {SPAN}, id, word, round(tfidf, 6) AS tfidf, CAST(rank AS int) AS rank
-FROM (SELECT *, row_number() OVER (PARTITION BY window_start, id
-        ORDER BY round(tfidf, 10) DESC, word) AS rank FROM scored)
-WHERE rank <= 10""",
+    "tfidf_top10_per_doc": _with(*TFIDF) + TOP_PER_DOC,
+    "tfidf_per_doc_all_words": _with(*_tfidf(stops=False)) + TOP_PER_DOC,
+    "tfidf_top10_minute": _with(*_tfidf(size=60, slide=5)) + _top_pairs(60),
+    "job_keywords": _with(*_tfidf(COMMENTS, "comments")) + TOP_PAIRS,
     "tfidf_global": _global_tfidf(""),
     "tfidf_global_top_words": _global_tfidf("ORDER BY sum(tf) DESC, word LIMIT 1000"),
     "nlp_tokens": _with(DOCS, *_tokens()[:2])
@@ -419,4 +461,30 @@ WHERE window_start + INTERVAL 60 SECOND
     "stream_sentiment": _with(*SCORES) + SCORE_ROWS,
     "stream_keywords": _with(*TFIDF) + TOP_PAIRS,
     "stream_ingest": _with(COMMENTS) + f"SELECT {RECORD_COLUMNS} FROM comments",
+    "stream_sentiment_large_dictionary": _with(*SCORES) + SCORE_ROWS,
+    "job_ingest": _with(COMMENTS)
+    + f"""SELECT {RECORD_COLUMNS}, CAST(NULL AS varchar) AS title, CAST(NULL AS varchar) AS url,
+  CAST(NULL AS int) AS num_comments, 'comment' AS kind FROM comments""",
+    "job_quarantine": "SELECT unnest(string_split(text, chr(10))) AS value FROM conversations",
+    "job_references": _with(COMMENTS, REFS, REF_COUNTS) + COUNTS_OUT,
+    "job_sentiment": _with(COMMENTS, *_sentiment("comments"))
+    + """SELECT s.id, 'comment' AS kind, coalesce(line, '') AS processed_text,
+  compound, positive, neutral, negative
+FROM scores s LEFT JOIN (
+  SELECT id, string_agg(token, ' ' ORDER BY pos) AS line FROM clean GROUP BY id) USING (id)""",
+    "append_twice": _with(DOCS) + "SELECT * FROM docs UNION ALL SELECT * FROM docs",
+    "json_round_trip": "SELECT conv_id, turn, role, text FROM conversations",
+    "ref_counts_nested": _with(COMMENTS, REFS, REF_COUNTS) + COUNTS_OUT,
+    "sentiment_default_tables": _with(
+        """docs AS (
+  SELECT CAST(doc_id AS varchar) AS id,
+         text || ' People really loved it, the worst fears were not true.' AS text FROM documents)""",
+        *_sentiment(
+            lexicon=_values("lexicon", "word, valence", wordlists.LEXICON),
+            lemmas=_values("lemma_table", "word, lemma", wordlists.LEMMAS),
+            boosters=wordlists.BOOSTERS,
+            negators=wordlists.NEGATORS,
+        ),
+    )
+    + SCORE_ROWS,
 }

@@ -10,6 +10,7 @@ from parley.functions.lookup import small
 from parley.operators import annotate as an
 from parley.operators import insights, keywords, references, snapshots
 from parley.operators.sentiment import sentiment_table
+from parley.plans import jobs
 from parley.schemas import COMMENT_FIELDS, COMMENT_SCHEMA
 from parley.session import staged, work_dir
 from parley.sources import files, records, tables
@@ -460,6 +461,126 @@ def stream_ingest(spark, sf_dir):
     return _in_utc(live.drain(spark, parsed, f"{base}/raw", f"{base}/state"))
 
 
+def stream_sentiment_large_dictionary(spark, sf_dir):
+    """The same scores with lexicon and lemmas as tables, joined batch by batch."""
+    docs = _stream(spark, sf_dir, "documents", ["doc_id", "text"])
+    docs = docs.select(F.col("doc_id").cast("string").alias("id"), "text")
+    base = work_dir(spark, "sentiment")
+    live.score_batches(
+        docs,
+        f"{base}/out",
+        f"{base}/state",
+        every=None,
+        lexicon=lexicon(spark, sf_dir),
+        lemmas=lemma_table(spark, sf_dir),
+        boosters=QUERY_BOOSTERS,
+        negators=QUERY_NEGATORS,
+    ).awaitTermination()
+    scored = files.read_results(spark, f"{base}/out")
+    return scored.select("id", "compound", "positive", "neutral", "negative")
+
+
+# -- jobs ---------------------------------------------------------------------------------------
+
+
+def _ingested(spark, sf_dir, base):
+    """Comment lines with conversation texts, line by line, landed from several files by the job."""
+    junk = tables.table(spark, sf_dir, "conversations").select(F.col("text").alias("value"))
+    lines = _lines(spark, sf_dir).union(junk)
+    files.write_lines(lines.repartitionByRange(STREAM_FILES, "value"), f"{base}/lines")
+    jobs.ingest(
+        spark, f"{base}/lines", f"{base}/raw", f"{base}/state", f"{base}/bad", every=None, max_files=1
+    ).awaitTermination()
+
+
+def job_ingest(spark, sf_dir):
+    base = work_dir(spark, "job-ingest")
+    _ingested(spark, sf_dir, base)
+    return _in_utc(files.read_raw(spark, f"{base}/raw").drop("day", "batch"))
+
+
+def job_quarantine(spark, sf_dir):
+    base = work_dir(spark, "job-quarantine")
+    _ingested(spark, sf_dir, base)
+    return files.read_raw(spark, f"{base}/bad").select("value")
+
+
+def _raw(spark, sf_dir, base):
+    """The comments as a raw table, by batch write."""
+    parsed = records.parse_records(_lines(spark, sf_dir)).transform(records.with_kind)
+    files.write_batch(parsed, f"{base}/raw", 0, F.to_date("timestamp"))
+    return f"{base}/raw"
+
+
+def job_references(spark, sf_dir):
+    base = work_dir(spark, "job-references")
+    jobs.reference_job(spark, _raw(spark, sf_dir, base), f"{base}/out")
+    return _zoneless(files.read_results(spark, f"{base}/out").drop("day"))
+
+
+def job_keywords(spark, sf_dir):
+    base = work_dir(spark, "job-keywords")
+    jobs.keyword_job(spark, _raw(spark, sf_dir, base), f"{base}/out", **HOURS)
+    return _zoneless(_rounded(files.read_results(spark, f"{base}/out").drop("day")))
+
+
+def job_sentiment(spark, sf_dir):
+    base = work_dir(spark, "job-sentiment")
+    jobs.sentiment_job(
+        spark,
+        _raw(spark, sf_dir, base),
+        f"{base}/out",
+        lexicon=small(lexicon(spark, sf_dir)),
+        lemmas=small(lemma_table(spark, sf_dir)),
+        boosters=QUERY_BOOSTERS,
+        negators=QUERY_NEGATORS,
+    )
+    scored = files.read_results(spark, f"{base}/out")
+    return scored.select("id", "kind", "processed_text", "compound", "positive", "neutral", "negative")
+
+
+def append_twice(spark, sf_dir):
+    """A plain append that runs twice keeps both copies."""
+    path = f"{work_dir(spark, 'append')}/out"
+    for _ in range(2):
+        files.write_append(tables.documents(spark, sf_dir), path)
+    return files.read_dir_concat(spark, path)
+
+
+def json_round_trip(spark, sf_dir):
+    """Conversation turns as a JSON file and back."""
+    path = f"{work_dir(spark, 'json')}/out"
+    turns = tables.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    files.write_json(turns, path)
+    return spark.read.schema(turns.schema).json(path)
+
+
+def ref_counts_nested(spark, sf_dir):
+    """The counts with the window as one struct, taken apart for comparison."""
+    nested = references.windowed_ref_counts(tables.comments(spark, sf_dir), ts="ts", nested=True)
+    bounds = [F.col(f"window.{edge}").alias(f"window_{edge}") for edge in ("start", "end")]
+    return nested.select(*bounds, "reference", "count")
+
+
+def tfidf_top10_minute(spark, sf_dir):
+    """Minute windows every five seconds: most hold one text, all of whose scores are zero."""
+    return _rounded(keywords.windowed_top_keywords(tables.timeline(spark, sf_dir), ts="ts"))
+
+
+def tfidf_per_doc_all_words(spark, sf_dir):
+    """Each text's best words with the stop words left in."""
+    texts = tables.timeline(spark, sf_dir)
+    return _rounded(keywords.doc_top_keywords(texts, ts="ts", remove_stopwords=False, **HOURS))
+
+
+def sentiment_default_tables(spark, sf_dir):
+    """The shipped word tables, over the texts with an English sentence after each."""
+    said = F.concat("text", F.lit(" People really loved it, the worst fears were not true."))
+    texts = tables.documents(spark, sf_dir).withColumn("text", said)
+    scored = sentiment_table(texts)
+    return scored.select("id", "compound", "positive", "neutral", "negative")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -510,5 +631,17 @@ QUERIES = {
         stream_sentiment,
         stream_keywords,
         stream_ingest,
+        stream_sentiment_large_dictionary,
+        job_ingest,
+        job_quarantine,
+        job_references,
+        job_keywords,
+        job_sentiment,
+        append_twice,
+        json_round_trip,
+        ref_counts_nested,
+        tfidf_top10_minute,
+        tfidf_per_doc_all_words,
+        sentiment_default_tables,
     )
 }

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -52,8 +52,28 @@ def write_raw_stream(
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
-    trigger = {"processingTime": every} if every else {"availableNow": True}
-    return writer.trigger(**trigger).start()
+    return writer.trigger(**_trigger(every)).start()
+
+
+def _trigger(every: str | None) -> dict:
+    return {"processingTime": every} if every else {"availableNow": True}
+
+
+def write_batches(
+    stream: DataFrame,
+    land: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    every: str | None = "5 seconds",
+) -> StreamingQuery:
+    """Hand each batch of a stream to ``land``; a batch may come again after a failure."""
+    writer = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+    return writer.trigger(**_trigger(every)).start()
+
+
+def write_batch(df: DataFrame, path: str, number: int, day: Column | None = None) -> None:
+    """One batch's rows in a folder of their own (by day, if given), replaced when written again."""
+    folders = {"day": day, "batch": F.lit(number)} if day is not None else {"batch": F.lit(number)}
+    write_partitioned(df.withColumns(folders), path, list(folders))
 
 
 def write_append(df: DataFrame, path: str) -> None:

@@ -32,6 +32,24 @@ def author_or_deleted(author: Column | str = "author") -> Column:
     return F.coalesce(author, F.lit(DELETED))
 
 
+def parsed_lines(lines: DataFrame, schema: StructType = RECORD_SCHEMA) -> DataFrame:
+    """Adds ``data``, the fields of each JSON line (``value``), and ``is_record``."""
+    parsed = once(lines, "data", F.from_json("value", schema))
+    return parsed.withColumn("is_record", ~_nothing_parsed("data", schema))
+
+
+def parsed_rows(parsed: DataFrame, keep_malformed: bool = False) -> DataFrame:
+    """The typed columns of parsed lines plus ``timestamp``."""
+    rows = parsed if keep_malformed else parsed.filter("is_record")
+    typed = flatten(rows.select("data"), "data")
+    return typed.withColumn("timestamp", epoch_timestamp("created_utc"))
+
+
+def unparsed(parsed: DataFrame) -> DataFrame:
+    """The lines that yield no field at all."""
+    return parsed.filter("not is_record").select("value")
+
+
 def parse_records(
     lines: DataFrame, schema: StructType = RECORD_SCHEMA, keep_malformed: bool = False
 ) -> DataFrame:
@@ -40,19 +58,12 @@ def parse_records(
     A bad field is null; a line that yields nothing is left out unless ``keep_malformed``
     (``malformed_lines`` returns exactly those).
     """
-    parsed = once(lines, "data", F.from_json("value", schema))
-    if not keep_malformed:
-        parsed = parsed.filter(~_nothing_parsed("data", schema))
-    return flatten(parsed, "data").withColumn("timestamp", epoch_timestamp("created_utc"))
+    return parsed_rows(parsed_lines(lines, schema), keep_malformed)
 
 
 def malformed_lines(lines: DataFrame, schema: StructType = RECORD_SCHEMA) -> DataFrame:
     """The lines that yield no field at all, for a quarantine output."""
-    return (
-        once(lines, "data", F.from_json("value", schema))
-        .filter(_nothing_parsed("data", schema))
-        .select("value")
-    )
+    return unparsed(parsed_lines(lines, schema))
 
 
 def _nothing_parsed(struct: str, schema: StructType) -> Column:

@@ -1,4 +1,8 @@
-"""Operators on unbounded input. Each has a batch twin with the same result."""
+"""Operators on unbounded input.
+
+Sentiment, ingest and keywords give what their batch twins give. Counts cover the windows that the
+watermark has closed. De-duplication keeps the first copy to arrive, where the batch form keeps the
+earliest by time."""
 
 from __future__ import annotations
 
@@ -12,7 +16,9 @@ from pyspark.sql.types import StructType
 from parley.functions import windows as win
 from parley.operators import keywords
 from parley.operators.references import all_refs
-from parley.sources.files import write_partitioned
+from parley.operators.sentiment import sentiment_table
+from parley.session import staged
+from parley.sources.files import write_batch, write_batches, write_partitioned, write_raw_stream
 
 
 def live_ref_counts(
@@ -56,27 +62,39 @@ def keyword_refresher(
 ) -> Callable[[DataFrame, int], None]:
     """For ``foreachBatch``: recompute from the raw table the windows that a batch touches.
 
-    The windows are replaced by partition, so running a batch again leaves the same result. Only
-    the batch's time range is read back.
+    The windows are replaced by partition, so running a batch again leaves the same result. Of the
+    raw table only the panes of those windows are tokenised, and where it is kept by day, only their
+    days are read: one late row costs its own windows, not the time in between.
     """
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        touched = (
+        windows = (
             batch.select(win.pane(ts, size, slide).alias("pane"))
             .distinct()
             .select(win.window_starts("pane", size, slide).alias("window_start"))
             .distinct()
             .select(*win.bounds(size))
         )
-        span = touched.agg(
-            F.min("window_start").alias("low"), F.max("window_end").alias("high")
-        ).first()
-        if span is None or span["low"] is None:
-            return
+        touched = staged(windows, "touched-windows")
         reader = spark.read.schema(schema) if schema else spark.read
-        raw = reader.parquet(raw_path).filter((F.col(ts) >= span["low"]) & (F.col(ts) < span["high"]))
-        top = keywords.windowed_top_keywords(raw, size, slide, ts=ts, **options)
+        raw = reader.parquet(raw_path)
+        if "day" in raw.columns:
+            edge = F.col("window_end") - F.expr("INTERVAL 1 MICROSECOND")
+            days = touched.select(
+                F.explode(F.sequence(F.to_date("window_start"), F.to_date(edge))).alias("day")
+            )
+            raw = raw.join(days.distinct(), "day", "left_semi")
+        panes = touched.select(
+            F.explode(
+                F.expr(
+                    f"sequence(window_start, window_end - INTERVAL {win.pane_width(size, slide)},"
+                    f" INTERVAL {win.pane_width(size, slide)})"
+                )
+            ).alias("_pane")
+        ).distinct()
+        needed = raw.withColumn("_pane", win.pane(ts, size, slide)).join(panes, "_pane", "left_semi")
+        top = keywords.windowed_top_keywords(needed.drop("_pane"), size, slide, ts=ts, **options)
         write_partitioned(top.join(touched, keywords.WINDOW, "left_semi"), out_path)
 
     return refresh
@@ -91,27 +109,22 @@ def start_keyword_refresh(
     **options,
 ) -> StreamingQuery:
     """Keep the keyword table current while ``stream`` brings the rows of ``raw_path``."""
-    trigger = {"processingTime": every} if every else {"availableNow": True}
-    return (
-        stream.writeStream.foreachBatch(
-            keyword_refresher(raw_path, out_path, schema=stream.schema, **options)
-        )
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    refresh = keyword_refresher(raw_path, out_path, schema=stream.schema, **options)
+    return write_batches(stream, refresh, checkpoint, every)
+
+
+def score_batches(
+    stream: DataFrame, path: str, checkpoint: str, every: str | None = "5 seconds", **options
+) -> StreamingQuery:
+    """Score a stream batch by batch, which allows dictionaries given as tables of any size."""
+
+    def score(batch: DataFrame, number: int) -> None:
+        write_batch(sentiment_table(batch, **options), path, number)
+
+    return write_batches(stream, score, checkpoint, every)
 
 
 def drain(spark: SparkSession, stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Run a stream over all that is there, then read back what it wrote."""
-    schema = stream.schema
-    (
-        stream.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    return spark.read.schema(schema).parquet(path)
+    write_raw_stream(stream, path, checkpoint, every=None).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path)

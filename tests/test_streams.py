@@ -29,18 +29,15 @@ def feed(spark, path, ids, start=0):
     spark.createDataFrame(rows, "value string").coalesce(1).write.mode("append").text(path)
 
 
-def wait(queries):
-    for q in queries:
-        q.awaitTermination()
-
-
 @pytest.fixture
 def folder(tmp_path):
     return lambda name: str(tmp_path / name)
 
 
 def land(spark, folder, **options):
-    wait(jobs.ingest(spark, folder("lines"), folder("raw"), folder("ckpt"), folder("bad"), None, 1, **options))
+    jobs.ingest(
+        spark, folder("lines"), folder("raw"), folder("ckpt"), folder("bad"), None, 1, **options
+    ).awaitTermination()
 
 
 def test_ingest_restarts_without_repeats_and_quarantines(spark, folder):
