@@ -25,6 +25,8 @@ WINDOW = 100
 EDIT_PERCENT = 5
 #: Text of benchmark items that is searched for in one pass over the documents.
 BLOCK_BYTES = 8 << 20
+#: Bytes of documents whose q-grams are looked up at a time.
+SEGMENT = 4 << 20
 _K = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _PLAIN = np.arange(256, dtype=np.uint8)
 _PLAIN[[c for c in range(128) if not chr(c).isalnum()]] = 32
@@ -94,12 +96,14 @@ class Windows:
         """(row, window, edits) of each window found within its budget in each text."""
         data, offsets = normal(texts)
         none = np.zeros(0, np.int64)
-        keys = gram_keys(data)
-        at = np.flatnonzero(self.table[keys >> np.uint64(64 - _TABLE_BITS)]) if len(self.keys) else none
-        spot = np.minimum(np.searchsorted(self.keys, keys[at]), max(0, len(self.keys) - 1))
+        if not len(self.keys):
+            return none, none, none
+        parts = [self._hits(data[i : i + SEGMENT + Q - 1]) for i in range(0, len(data), SEGMENT)]
+        at = np.concatenate([none, *(a + i * SEGMENT for i, (a, _) in enumerate(parts))])
+        spot = np.concatenate([none, *(s for _, s in parts)])
         row = np.searchsorted(offsets, at, side="right") - 1
-        sure = (self.keys[spot] == keys[at]) & (at + Q <= offsets[row + 1]) if len(at) else none.astype(bool)
-        at, spot, row = at[sure], spot[sure], row[sure]
+        whole = at + Q <= offsets[row + 1]
+        at, spot, row = at[whole], spot[whole], row[whole]
         if not len(at):
             return none, none, none
         times = self.count[spot]
@@ -118,6 +122,14 @@ class Windows:
         good = edits <= self.edits[window]
         return row[good], window[good], edits[good]
 
+    def _hits(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where q-grams of the benchmark begin, and which they are."""
+        keys = gram_keys(data)
+        at = np.flatnonzero(self.table[keys >> np.uint64(64 - _TABLE_BITS)])
+        spot = np.minimum(np.searchsorted(self.keys, keys[at]), len(self.keys) - 1)
+        sure = self.keys[spot] == keys[at]
+        return at[sure], spot[sure]
+
     def _align(self, data: np.ndarray, offsets: np.ndarray, row: np.ndarray, window: np.ndarray, band: np.ndarray) -> np.ndarray:
         """The least edits of each window against the text around its band of diagonals."""
         if not len(row):

@@ -26,6 +26,8 @@ PER_LANGUAGE = 200
 LANDMARKS = 24
 ALPHABET = 126
 RIDGE = 1e-2
+#: Characters of a text handled at a time.
+PART = 1 << 20
 FOLDS = 5
 _LETTER: list[np.ndarray] = []
 
@@ -54,12 +56,29 @@ def letters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return points[keep], owner[keep]
 
 
+def parts(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``letters`` of all texts, a long one in turns, cut at blanks, where no n-gram is broken."""
+    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    long = size > PART
+    yield letters(pc.if_else(pa.array(long), "", texts) if long.any() else texts)
+    for i in np.flatnonzero(long).tolist():
+        text, start = texts[i].as_py(), 0
+        while start < len(text):
+            stop = text.find(" ", start + PART) + 1 or len(text)
+            points, owner = letters(pa.array([text[start:stop]]))
+            yield points, owner + i
+            start = stop
+
+
 def grams(texts: pa.Array) -> Iterator[np.ndarray]:
-    """The distinct n-grams of each text, 21 bits a character (code point plus 1)."""
+    """The distinct n-grams of each text, 21 bits a character (code point plus 1).
+
+    None goes across a blank, though it may begin or end with one.
+    """
     points, owner = letters(texts)
     for p in np.split(points + 1, np.searchsorted(owner, np.arange(1, len(texts)))):
         two = p[:-1] << 21 | p[1:]
-        three = two[:-1] << 21 | p[2:]
+        three = (two[:-1] << 21 | p[2:])[p[1:-1] > 1]
         yield np.unique(np.concatenate([p, two, three]))
 
 
@@ -82,17 +101,20 @@ class Model:
 
     def outputs_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Each text's classifier outputs, and whether it holds a letter."""
-        points, owner = letters(texts)
         n, width = len(texts), self.landmarks.shape[0]
         present = np.zeros((n, width + 1), bool)
+        has_letter = np.zeros(n, bool)
         flat = present.reshape(-1)
-        for code in self.codes(self.alphabet[points]):
-            first = owner[: len(code)]
-            whole = first == owner[len(owner) - len(code) :]
-            flat[first[whole] * (width + 1) + self.numbers[code[whole]]] = True
+        for points, owner in parts(texts):
+            has_letter[owner[points > 0]] = True
+            for code in self.codes(self.alphabet[points]):
+                first = owner[: len(code)]
+                whole = first == owner[len(owner) - len(code) :]
+                if len(points) - len(code) == 2:
+                    whole &= points[1:-1] > 0
+                flat[first[whole] * (width + 1) + self.numbers[code[whole]]] = True
         present = present[:, :width].astype(np.float32)
         norm = np.sqrt(np.maximum(present.sum(axis=1, keepdims=True), 1))
-        has_letter = np.bincount(owner, weights=points > 0, minlength=n) > 0
         return (present / norm @ self.landmarks) @ self.outputs, has_letter
 
 

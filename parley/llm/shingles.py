@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 WORDS = 5
+SEGMENT = 4 << 20
 _SEED = np.random.Generator(np.random.PCG64(20240229))
 #: A random value for each byte, A-Z as a-z; white space separates words.
 _BYTE = _SEED.integers(0, 1 << 64, 256, np.uint64)
@@ -50,7 +51,11 @@ def string_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A hash of each word, and where each text's words begin and the last's end."""
+    """A hash of each word, and where each text's words begin and the last's end.
+
+    Bytes are handled SEGMENT at a time, cut between words, so a very long text takes little more
+    than itself and its words.
+    """
     word = ~_BLANK[data]
     first = word.copy()
     first[1:] &= ~word[:-1]
@@ -61,11 +66,22 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     ends = offsets[1:][offsets[:-1] < offsets[1:]] - 1
     last[ends] = word[ends]
     starts, stops = np.flatnonzero(first), np.flatnonzero(last) + 1
-    power, inverse = _powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * power[:-1], out=total[1:])
-    hashes = (total[stops] - total[starts]) * inverse[starts]
-    return mix(hashes ^ (stops - starts).astype(np.uint64)), np.searchsorted(starts, offsets)
+    cuts = np.searchsorted(starts, np.arange(SEGMENT, len(data), SEGMENT)) if len(data) > SEGMENT else []
+    hashes = [
+        _hashes(data, starts[a:b], stops[a:b])
+        for a, b in zip([0, *cuts], [*cuts, len(starts)], strict=True)
+        if a < b
+    ]
+    return np.concatenate([*hashes, np.zeros(0, np.uint64)]), np.searchsorted(starts, offsets)
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    begin, end = int(starts[0]), int(stops[-1])
+    power, inverse = _powers(end - begin + 1)
+    total = np.zeros(end - begin + 1, np.uint64)
+    np.cumsum(_BYTE[data[begin:end]] * power[:-1], out=total[1:])
+    hashes = (total[stops - begin] - total[starts - begin]) * inverse[starts - begin]
+    return mix(hashes ^ (stops - starts).astype(np.uint64))
 
 
 def shingle_sets(texts: pa.Array, words: int = WORDS) -> Iterator[np.ndarray]:

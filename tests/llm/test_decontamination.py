@@ -39,7 +39,8 @@ def edited(rng, text, times):
     return text
 
 
-def test_against_whole_alignment():
+@pytest.mark.parametrize("segment", [None, 50])
+def test_against_whole_alignment(monkeypatch, segment):
     rng = random.Random(4)
     items = [(i, prose(i, n)) for i, n in enumerate([4, 8, 20, 30, 45])]
     texts = []
@@ -49,6 +50,8 @@ def test_against_whole_alignment():
             texts.append(prose(rng.random(), 8) + "\n" + near.upper().replace(" ", " - ") + prose(rng.random(), 5))
             texts.append(near[len(near) // 3 :])
     index = Windows(items)
+    if segment:
+        monkeypatch.setattr(module, "SEGMENT", segment)
     row, window, _ = index.find(pa.array(texts))
     assert set(zip(row.tolist(), window.tolist())) == expected(texts, items)
 

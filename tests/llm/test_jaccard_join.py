@@ -87,6 +87,13 @@ def test_shingle_counts_and_overlaps():
             assert len(np.intersect1d(sets[i], sets[j])) == len(want[i] & want[j])
 
 
+def test_shingles_of_long_texts_in_segments(monkeypatch):
+    texts = pa.array([prose(1, 300), "", prose(2, 90), "w" * 200 + " a b c d e", None])
+    whole = [s.tolist() for s in shingle_sets(texts)]
+    monkeypatch.setattr("parley.llm.shingles.SEGMENT", 64)
+    assert [s.tolist() for s in shingle_sets(texts)] == whole
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 150), (101, 150), (150, 150), (7, None)] + [(200, i) for i in range(201, 260)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -82,3 +82,12 @@ def test_a_prediction_depends_on_its_text_alone(labelled):
     for text, row in zip(texts, together):
         alone, _ = model.outputs_of(pa.array([text], pa.string()))
         assert np.allclose(alone[0], row, atol=1e-5)
+
+
+def test_a_long_text_in_parts(labelled, monkeypatch):
+    model = fit(labelled, 40, 8)
+    texts = pa.array([prose(5, 200), None, prose(6, 3), "x" * 500])
+    whole, letter = model.outputs_of(texts)
+    monkeypatch.setattr("parley.llm.language_id.PART", 50)
+    again, same = model.outputs_of(texts)
+    assert np.allclose(whole, again, atol=1e-5) and (letter == same).all()
