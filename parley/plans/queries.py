@@ -422,10 +422,24 @@ def stream_ref_counts(spark, sf_dir):
 
 
 def stream_dedup(spark, sf_dir):
-    """Every comment delivered twice, kept once."""
-    comments = _comment_stream(spark, sf_dir)
-    twice = comments.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("copy")
-    once = live.live_dedup(twice, ts="ts", delay="40 days")
+    """Every comment delivered again, a file later and with a higher score; the first one is kept.
+
+    Copies come within the delay or are late, so no id is held for longer than that.
+    """
+    docs = tables.table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    count = docs.count() or 1
+    part = (F.col("doc_id") * STREAM_FILES / count).cast("int")
+    path = work_dir(spark, "feed-twice")
+    for number in range(STREAM_FILES + 1):
+        first = docs.filter(part == number).withColumn("copy", F.lit(0))
+        again = docs.filter(part == number - 1).withColumn("copy", F.lit(1))
+        first.union(again).coalesce(1).write.mode("append").parquet(path)
+    feed = files.read_raw_stream(spark, path, docs.withColumn("copy", F.lit(0)).schema, max_files=1)
+    comments = tables.compose_comments(feed, spark, sf_dir, "copy")
+    comments = comments.withColumns(
+        {"ts": F.col("ts").cast("timestamp"), "score": F.col("score") + F.col("copy")}
+    ).drop("copy")
+    once = live.live_dedup(comments, ts="ts", delay="1 hour")
     base = work_dir(spark, "dedup")
     return _zoneless(live.drain(spark, once, f"{base}/out", f"{base}/state"))
 

@@ -43,7 +43,7 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compose_comments(docs, spark, sf_dir)
 
 
-def compose_comments(docs: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+def compose_comments(docs: DataFrame, spark: SparkSession, sf_dir: str, *also: str) -> DataFrame:
     moments, count = _moments(spark, sf_dir)
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     page_count = pages.count() or 1
@@ -66,6 +66,7 @@ def compose_comments(docs: DataFrame, spark: SparkSession, sf_dir: str) -> DataF
                 F.lit(" via "),
                 "url",
             ).alias("text"),
+            *also,
         )
     )
 
