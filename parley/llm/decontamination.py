@@ -27,6 +27,8 @@ EDIT_PERCENT = 5
 BLOCK_BYTES = 8 << 20
 #: Bytes of documents whose q-grams are looked up at a time.
 SEGMENT = 4 << 20
+#: Bands aligned at a time.
+ALIGNED = 512
 _K = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 _PLAIN = np.arange(256, dtype=np.uint8)
 _PLAIN[[c for c in range(128) if not chr(c).isalnum()]] = 32
@@ -116,9 +118,9 @@ class Windows:
         new = np.flatnonzero(np.concatenate([[True], (hits[1:] != hits[:-1]).any(axis=1)]))
         enough = np.diff(np.append(new, len(hits))) >= self.least[hits[new, 1]]
         row, window, band = hits[new[enough]].T
-        edits = np.concatenate(
-            [none, *(self._align(data, offsets, *x) for x in zip(*(np.array_split(c, -(-len(row) // 512) or 1) for c in (row, window, band)), strict=True))]
-        )
+        turns = range(0, len(row), ALIGNED)
+        chosen = [(c[i : i + ALIGNED] for c in (row, window, band)) for i in turns]
+        edits = np.concatenate([none, *(self._align(data, offsets, *c) for c in chosen)])
         good = edits <= self.edits[window]
         return row[good], window[good], edits[good]
 
@@ -130,10 +132,10 @@ class Windows:
         sure = self.keys[spot] == keys[at]
         return at[sure], spot[sure]
 
-    def _align(self, data: np.ndarray, offsets: np.ndarray, row: np.ndarray, window: np.ndarray, band: np.ndarray) -> np.ndarray:
+    def _align(
+        self, data: np.ndarray, offsets: np.ndarray, row: np.ndarray, window: np.ndarray, band: np.ndarray
+    ) -> np.ndarray:
         """The least edits of each window against the text around its band of diagonals."""
-        if not len(row):
-            return np.zeros(0, np.int64)
         slack = int(self.edits.max())
         width = 2 * self.band + 2 * slack
         origin = band * self.band - slack

@@ -32,7 +32,8 @@ PERCENT = 80
 WINDOW = 4_000_000
 REPORTED = 4
 FREQUENT = 1 << 17
-#: Members of a list compared as one block, lists short enough to go without blocks, and pairs of one set checked in one task.
+#: Members of a list compared as one block, lists short enough to go without blocks, and pairs of
+#: one set checked in one task.
 BLOCK = 64
 SHORT = 8
 CHECKS = 256

@@ -119,7 +119,14 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
     """(k1, k2, n_chars, first, copies, half_keys): each distinct line, where it stands first."""
     n = F.char_length("line")
     sized = corpus_lines(docs).withColumns(
-        {"n_chars": n, "short": n - 1, "mid": F.floor(n / 2).cast("int"), "mid_short": F.floor((n - 1) / 2).cast("int"), "zero": F.lit(0), "one": F.lit(1)}
+        {
+            "n_chars": n,
+            "short": n - 1,
+            "mid": F.floor(n / 2).cast("int"),
+            "mid_short": F.floor((n - 1) / 2).cast("int"),
+            "zero": F.lit(0),
+            "one": F.lit(1),
+        }
     )
     keys = F.array(
         _key("line", "n_chars", "mid", "n_chars", "zero"),
@@ -240,7 +247,8 @@ def _refined(rows: DataFrame) -> DataFrame:
         .withColumn("cut", F.explode(F.when(open_ > 1, wide).otherwise(edges)))
         .withColumns({"begin": F.col("cut.b"), "end": F.col("cut.e")})
     )
-    return parts.select(*LINE, "first", "n", "longer", "begin", "end", _key("line", "n", "begin", "end", "longer").alias("key"), "line")
+    key = _key("line", "n", "begin", "end", "longer").alias("key")
+    return parts.select(*LINE, "first", "n", "longer", "begin", "end", key, "line")
 
 
 def line_dedup(docs: DataFrame) -> DataFrame:
@@ -265,7 +273,8 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     dropped = staged(dropped.withColumn("doc_key", F.xxhash64(*document)), "line-dropped")
 
     columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    hashed = docs.select(*columns, F.xxhash64("text").alias("_hash"), F.xxhash64("doc_id", F.xxhash64("text")).alias("_key"))
+    text_hash = F.xxhash64("text")
+    hashed = docs.select(*columns, text_hash.alias("_hash"), F.xxhash64("doc_id", text_hash).alias("_key"))
     known = maybe_in(hashed, "_key", key_filter(dropped, "doc_key"))
     same = known["doc_id"].eqNullSafe(dropped["doc_id"]) & (known["_hash"] == dropped["doc_hash"])
     hit = known.filter("maybe and text is not null").join(
@@ -287,5 +296,6 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     changed = {"text": F.col("_text")}
     if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType
-        changed["n_chars"] = F.when(F.col("n_dropped") > 0, F.char_length("_text").cast(kind)).otherwise(F.col("n_chars"))
+        size = F.char_length("_text").cast(kind)
+        changed["n_chars"] = F.when(F.col("n_dropped") > 0, size).otherwise(F.col("n_chars"))
     return out.withColumns(changed).select(*columns, "n_lines", "n_dropped")

@@ -80,9 +80,10 @@ def pack(lengths: DataFrame, sizes: Sequence[int] = SIZES, overhead: int = OVERH
     ship(lengths.sparkSession)
     most = F.lit(sizes[-1]).cast("long")
     n = F.coalesce(F.col("n_tokens").cast("long"), F.lit(0).cast("long"))
+    last = F.greatest(F.ceil(F.col("n") / most) - 1, F.lit(0))
     pieces = staged(
         lengths.select("doc_id", n.alias("n"), F.monotonically_increasing_id().alias("row_id"))
-        .withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.ceil(F.col("n") / most) - 1, F.lit(0)))))
+        .withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
         .withColumn("start", F.col("piece") * most)
         .withColumn("length", F.least(F.col("n") - F.col("start"), most))
         .drop("n"),
