@@ -55,10 +55,14 @@ def encoder(vocabulary: str, end_id: int, width: int) -> Callable[[Batches], Bat
                 counts = known.counts[numbers]
                 total = tokens.sums(counts, lists)
                 ends = np.cumsum(total + 1)
-                shift = known.starts[numbers] - (np.cumsum(counts) - counts)
-                at = np.repeat(shift, counts) + np.arange(int(counts.sum()))
+                # a worker's memory holds far fewer ids than 32 bits can number
+                shift = (known.starts[numbers] - (np.cumsum(counts) - counts)).astype(np.int32)
+                at = np.repeat(shift, counts)
+                at += np.arange(len(at), dtype=np.int32)
                 out = np.full(int(ends[-1]), end_id, f"<u{width}")
-                out[np.arange(len(at)) + np.repeat(np.arange(len(total)), total)] = known.ids[at]
+                inside = np.ones(len(out), bool)
+                inside[ends - 1] = False
+                out[inside] = known.ids[at]
                 offsets = np.concatenate([[0], ends]) * width
                 data = pa.LargeBinaryArray.from_buffers(
                     pa.large_binary(), len(total), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(out)]
