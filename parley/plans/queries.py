@@ -386,11 +386,19 @@ def reference_view(spark, sf_dir):
 STREAM_FILES = 4
 
 
+def _feed(docs, path):
+    """Documents as files that arrive one after the other, in order of doc_id."""
+    count = docs.count() or 1
+    part = (F.col("doc_id") * STREAM_FILES / count).cast("int")
+    for number in range(STREAM_FILES):
+        docs.filter(part == number).coalesce(1).write.mode("append").parquet(path)
+
+
 def _stream(spark, sf_dir, name, columns):
-    """A table as a stream of several files, one a batch. They are dealt by the first column."""
+    """A table as a stream of several files, one a batch."""
     scan = tables.table(spark, sf_dir, name).select(*columns)
     path = work_dir(spark, f"feed-{name}")
-    scan.repartitionByRange(STREAM_FILES, columns[0]).write.parquet(path)
+    _feed(scan, path)
     return files.read_raw_stream(spark, path, scan.schema, max_files=1)
 
 
