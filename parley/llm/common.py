@@ -14,10 +14,17 @@ import parley
 from parley.session import staged
 
 _SHIPPED: set[str] = set()
+#: Rows and bytes that Spark hands to Python at a time, so that whole texts fit beside the heap.
+BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors, once a session, for functions that run in Python there."""
+    """Sends this package to the executors, once a session, for functions that run in Python there.
+
+    Arrow batches are kept small: at the default of 10,000 rows whole texts take hundreds of MB.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     if (app := spark.sparkContext.applicationId) not in _SHIPPED:
         root = Path(parley.__file__).parent
         data = io.BytesIO()

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 WORDS = 5
-SEGMENT = 4 << 20
+SEGMENT = 1 << 19
 _SEED = np.random.Generator(np.random.PCG64(20240229))
 #: A random value for each byte, A-Z as a-z; white space separates words.
 _BYTE = _SEED.integers(0, 1 << 64, 256, np.uint64)
