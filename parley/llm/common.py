@@ -50,9 +50,9 @@ def whole_text(column: str = "text") -> Column:
 FILTER_WORDS = 1 << 18
 
 
-def key_filter(keys: DataFrame, key: str) -> DataFrame:
-    """A Bloom filter over hashed ``key`` (long): at most FILTER_WORDS rows (word, bits)."""
-    slot = F.pmod(F.col(key), F.lit(64 * FILTER_WORDS))
+def key_filter(keys: DataFrame, key: str, size: int = FILTER_WORDS) -> DataFrame:
+    """A Bloom filter over hashed ``key`` (long): at most ``size`` rows (word, bits)."""
+    slot = F.pmod(F.col(key), F.lit(64 * size))
     return (
         keys.select(F.shiftright(slot, 6).alias("word"), (slot % 64).cast("int").alias("bit"))
         .groupBy("word")
@@ -60,13 +60,13 @@ def key_filter(keys: DataFrame, key: str) -> DataFrame:
     )
 
 
-def maybe_in(df: DataFrame, key: str, words: DataFrame) -> DataFrame:
+def maybe_in(df: DataFrame, key: str, words: DataFrame, size: int = FILTER_WORDS) -> DataFrame:
     """``df`` with ``maybe``: false for rows whose hashed ``key`` is surely not in the filter.
 
     Saves the shuffle of most rows that a later join on the key would find nothing for.
     """
-    slot = F.pmod(F.col(key), F.lit(64 * FILTER_WORDS))
-    bit = F.expr(f"shiftrightunsigned(_bits, cast(pmod({key}, {64 * FILTER_WORDS}L) % 64 as int)) & 1L")
+    slot = F.pmod(F.col(key), F.lit(64 * size))
+    bit = F.expr(f"shiftrightunsigned(_bits, cast(pmod({key}, {64 * size}L) % 64 as int)) & 1L")
     small = F.broadcast(words.toDF("_word", "_bits"))
     return (
         df.join(small, F.shiftright(slot, 6) == F.col("_word"), "left")

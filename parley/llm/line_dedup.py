@@ -5,6 +5,10 @@ lengths fix. Lines meet by hashed halves, probing their own length and one less.
 share a half, the rest of the line is cut into parts of which all but one must agree, again and
 again, until few lines share a key or a single character is left, where sharing the key is proof.
 Pairs from small groups are verified by a banded bit-parallel edit distance.
+
+A higher threshold of k edits cuts the shorter line of a pair into k + 1 segments, one of which the
+longer line holds unchanged near its place. Lines probe for the segments of all lengths that they may
+be k longer than, at the shifts that edits left and right of a segment allow.
 """
 
 from __future__ import annotations
@@ -16,12 +20,16 @@ from parley.llm.common import key_filter, maybe_in
 from parley.session import staged
 
 EDITS = 1
+#: Threshold of the registered queries: 5 % of a line's length, one edit at least and 7 at most.
+NEAR = {"edits": 7, "percent": 5}
 #: Shorter lines are compared for equality only.
 LEAST_CHARS = 20
 #: Lines of one key that are compared pair by pair; above that the key is refined.
 GROUP = 16
 PARTS = 8
 LINE = ["k1", "k2"]
+#: 64-bit words of the filter on segments.
+SEGMENT_WORDS = 1 << 21
 
 
 def within(a: Column, b: Column, limit: int) -> Column:
@@ -251,11 +259,88 @@ def _refined(rows: DataFrame) -> DataFrame:
     return parts.select(*LINE, "first", "n", "longer", "begin", "end", key, "line")
 
 
-def line_dedup(docs: DataFrame) -> DataFrame:
+def _limit(length: str, edits: int, percent: int | None) -> str:
+    """SQL for how many edits a line may be from one of ``length`` that is no longer."""
+    return f"{edits}" if percent is None else f"greatest({EDITS}, least({edits}, int({length} * {percent} div 100)))"
+
+
+def segment_rows(lines: DataFrame, edits: int, percent: int | None, probes: bool) -> DataFrame:
+    """(key, k1, longer): the segments of each line, or those of other lines that it may hold.
+
+    Only lengths with a threshold over one edit are cut; ``longer`` is 1 for probes.
+    """
+    n = F.char_length("line").alias("n")
+    lines = lines.select("k1", "line", n).filter(f"n >= {LEAST_CHARS}")
+    begin, size = "(i * l div (k + 1))", "((i + 1) * l div (k + 1) - i * l div (k + 1))"
+    shifts = "sequence(greatest(-i, d - k + i), least(i, d + k - i))" if probes else "array(0)"
+    if probes:  # a line's own segments are rows already
+        shifts = f"filter({shifts}, s -> d > 0 or s <> 0)"
+    key = f"xxhash64(int(l), int(i), substring(line, int({begin} + s + 1), int({size})))"
+    lengths = f"sequence(0, {_limit('n', edits, percent)})" if probes else "array(0)"
+    keys = (
+        lines.withColumn("d", F.explode(F.expr(lengths)))
+        .withColumn("l", F.expr("n - d"))
+        .withColumn("k", F.expr(_limit("l", edits, percent)))
+        .filter(f"k > {EDITS} and d <= k and l >= {LEAST_CHARS}")
+        .withColumn("keys", F.expr(f"flatten(transform(sequence(0, k), i -> transform({shifts}, s -> {key})))"))
+    )
+    return keys.select(F.explode("keys").alias("key"), "k1", F.lit(int(probes)).alias("longer"))
+
+
+def far_lines(docs: DataFrame, unique: DataFrame, edits: int, percent: int | None) -> DataFrame:
+    """(k1, k2) of distinct lines that have an earlier line within a threshold of two edits or more.
+
+    In a large group all lines are compared with the first one; then only those that it doesn't
+    explain are compared with all others.
+    """
+    lines = corpus_lines(docs).select("k1", "line")
+    base = segment_rows(lines, edits, percent, probes=False)
+    probes = segment_rows(lines, edits, percent, probes=True)
+    probes = maybe_in(probes, "key", key_filter(base, "key", SEGMENT_WORDS), SEGMENT_WORDS).filter("maybe").drop("maybe")
+    probes = staged(probes, "line-probes")
+    counts = base.distinct().union(probes.distinct())
+    meeting = staged(_meeting(counts), "line-segment-keys")
+    met = key_filter(meeting, "key", SEGMENT_WORDS)
+    rows = base.union(probes)
+    rows = maybe_in(rows, "key", met, SEGMENT_WORDS).filter("maybe").drop("maybe").distinct()
+    places = unique.select(*LINE, "first", "n_chars")
+    rows = staged(rows.join(meeting, "key").join(places, "k1"), "line-segments")
+
+    wanted = rows.select(*LINE).distinct()
+    texts = maybe_in(corpus_lines(docs).select(*LINE, "line"), "k1", key_filter(wanted, "k1")).filter("maybe")
+    texts = texts.join(wanted, LINE, "left_semi").groupBy(*LINE).agg(F.any_value("line").alias("line"))
+    texts = staged(texts, "line-segment-texts")
+
+    def later_of(pairs: DataFrame) -> DataFrame:
+        """The later line of those pairs (k1_a, k2_a, earlier; k1, k2) that are within the threshold."""
+        a, b = texts.toDF("k1_a", "k2_a", "line_a"), texts
+        pairs = pairs.select("k1_a", "k2_a", *LINE).distinct().join(a, ["k1_a", "k2_a"]).join(b, LINE)
+        pairs = pairs.withColumn("short", F.expr("least(char_length(line_a), char_length(line))"))
+        pairs = pairs.withColumn("apart", F.levenshtein("line_a", "line", edits))
+        return pairs.filter(f"apart >= 0 and apart <= {_limit('short', edits, percent)}").select(*LINE).distinct()
+
+    def pairs_of(a: DataFrame, b: DataFrame) -> DataFrame:
+        a = a.select("key", *[F.col(c).alias(f"{c}_a") for c in (*LINE, "first", "longer", "n_chars")])
+        pairs = a.join(b, "key").filter("first_a < first and longer_a + longer < 2")
+        return pairs.filter(f"abs(n_chars_a - n_chars) <= {edits}")
+
+    size = F.col("n_base") + F.col("n_longer")
+    large = rows.filter(size > GROUP)
+    lead = large.groupBy("key").agg(F.min(F.struct("first", *LINE)).alias("lead"))
+    led = large.join(lead.select("key", "lead.first", "lead.k1", "lead.k2").toDF("key", "first_a", "k1_a", "k2_a"), "key")
+    led = staged(later_of(led.filter("first_a < first")), "line-led")
+    small = rows.filter(size <= GROUP).join(led, LINE, "left_anti")
+    rest = large.join(led, LINE, "left_anti")
+    found = pairs_of(rows.filter(size <= GROUP), small).select("k1_a", "k2_a", *LINE)
+    return later_of(found.union(pairs_of(large, rest).select("k1_a", "k2_a", *LINE))).union(led).distinct()
+
+
+def line_dedup(docs: DataFrame, edits: int = EDITS, percent: int | None = None) -> DataFrame:
     """``docs`` with repeated lines taken out of ``text``, plus n_lines and n_dropped.
 
     A line goes when an earlier line of the corpus equals it, or, for lines of 20 characters or more,
-    is within one edit (insertion, deletion or substitution of a character) of it. Earlier means by
+    is within ``edits`` (insertions, deletions or substitutions of a character) of it; with
+    ``percent``, also within that share of the shorter one's length, or one edit. Earlier means by
     doc_id (null last), then a hash of the text, then position. Blank lines stay and aren't counted.
     Lines end at ``\\n`` only. Rows that agree in doc_id and text are one document and end up alike.
     Null and empty texts stay as they are, with no lines; very long lines are handled like any
@@ -263,7 +348,10 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     columns named n_lines or n_dropped are replaced. No rows give no rows.
     """
     unique = staged(distinct_lines(docs), "line-unique")
-    near = staged(near_lines(docs, unique), "line-near").withColumn("near", F.lit(True))
+    near = near_lines(docs, unique)
+    if edits > EDITS:
+        near = staged(near, "line-one-edit").union(far_lines(docs, unique, edits, percent)).distinct()
+    near = staged(near, "line-near").withColumn("near", F.lit(True))
     marked = unique.select(*LINE, "first", "copies").join(near, LINE, "left")
     marked = staged(marked.filter("copies > 1 or near"), "line-marked").select(*LINE, "first", "near")
     lines = maybe_in(corpus_lines(docs).drop("line"), "k1", key_filter(marked, "k1")).filter("maybe")

@@ -13,7 +13,7 @@ from parley.llm.decontamination import contaminated
 from parley.llm.exact_dedup import exact_dedup
 from parley.llm.jaccard_join import jaccard_join
 from parley.llm.language_id import language_id
-from parley.llm.line_dedup import line_dedup
+from parley.llm.line_dedup import NEAR, line_dedup
 from parley.llm.packing import pack_documents
 from parley.llm.sharding import shard
 from parley.llm.token_counts import token_counts
@@ -30,7 +30,7 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = line_dedup(read(spark, sf_dir, "documents"))
+    docs = line_dedup(read(spark, sf_dir, "documents"), **NEAR)
     return docs.select("doc_id", "n_lines", "n_dropped", "text")
 
 

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -85,3 +86,26 @@ def test_edge_rows(edge_docs, edge_rows):
 
 def test_no_rows(no_docs):
     assert line_dedup(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("group", [16, 2])
+@pytest.mark.parametrize("edits, percent", [(3, None), (7, 5)])
+def test_thresholds_over_one_edit(as_docs, monkeypatch, edits, percent, group):
+    monkeypatch.setattr(module, "GROUP", group)
+    rng = random.Random(7)
+    stock = ["".join(rng.choices("abcde fgh", k=rng.randint(18, 170))) + "." for _ in range(5)]
+    lines = []
+    for _ in range(60):
+        line = rng.choice(stock)
+        for _ in range(rng.randint(0, 6)):
+            line = edited(rng, line)
+        lines.append(line)
+
+    def near(a, b):
+        short = min(len(a), len(b))
+        limit = edits if percent is None else max(1, min(edits, short * percent // 100))
+        return a == b or (short >= LEAST_CHARS and distance(a, b) <= limit)
+
+    got = {r.doc_id: r.n_dropped for r in line_dedup(as_docs(list(enumerate(lines))), edits, percent).collect()}
+    assert got == {i: int(any(near(line, x) for x in lines[:i])) for i, line in enumerate(lines)}
+    assert 0 < sum(got.values()) < len(lines)
