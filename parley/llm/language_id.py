@@ -26,6 +26,8 @@ PER_LANGUAGE = 200
 LANDMARKS = 24
 ALPHABET = 126
 RIDGE = 1e-2
+#: A text is rejected under this part of the share of known 3-grams that nearly all learned texts reach.
+KNOWN_MARGIN = 2 / 3
 #: Characters of a text handled at a time.
 PART = 1 << 20
 FOLDS = 5
@@ -70,6 +72,13 @@ def parts(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             start = stop
 
 
+def has_letters(texts: pa.Array) -> np.ndarray:
+    found = np.zeros(len(texts), bool)
+    for points, owner in parts(texts):
+        found[owner[points > 0]] = True
+    return found
+
+
 def grams(texts: pa.Array) -> Iterator[np.ndarray]:
     """The distinct n-grams of each text, 21 bits a character (code point plus 1).
 
@@ -101,38 +110,59 @@ class Model:
 
     def outputs_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Each text's classifier outputs, and whether it holds a letter."""
+        return self.evidence(texts)[:2]
+
+    def evidence(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``outputs_of`` and, of the 3-grams of each text, the share that the model knows.
+
+        3-grams that hold a letter outside the alphabet are unknown.
+        """
         n, width = len(texts), self.landmarks.shape[0]
         present = np.zeros((n, width + 1), bool)
         has_letter = np.zeros(n, bool)
+        known, whole_count = np.zeros(n, np.int64), np.zeros(n, np.int64)
         flat = present.reshape(-1)
         for points, owner in parts(texts):
             has_letter[owner[points > 0]] = True
-            for code in self.codes(self.alphabet[points]):
+            numbered = self.alphabet[points]
+            for code in self.codes(numbered):
                 first = owner[: len(code)]
                 whole = first == owner[len(owner) - len(code) :]
                 if len(points) - len(code) == 2:
                     whole &= points[1:-1] > 0
-                flat[first[whole] * (width + 1) + self.numbers[code[whole]]] = True
+                column = self.numbers[code[whole]]
+                flat[first[whole] * (width + 1) + column] = True
+                if len(points) - len(code) == 2:
+                    strange = numbered == 1
+                    sure = (column < width) & ~(strange[:-2] | strange[1:-1] | strange[2:])[whole]
+                    known += np.bincount(first[whole][sure], minlength=n)
+                    whole_count += np.bincount(first[whole], minlength=n)
         present = present[:, :width].astype(np.float32)
         norm = np.sqrt(np.maximum(present.sum(axis=1, keepdims=True), 1))
-        return (present / norm @ self.landmarks) @ self.outputs, has_letter
+        outputs = (present / norm @ self.landmarks) @ self.outputs
+        return outputs, has_letter, known / np.maximum(whole_count, 1)
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS) -> Model | None:
-    """Learns from text and lang of at most ``per_language`` documents a language outside fold 0.
-
-    The sample is taken by a hash of doc_id, so it doesn't depend on row order. None without any.
-    """
+def _sample(docs: DataFrame, which: Column, per_language: int) -> DataFrame:
+    """(doc_id, lang, text) of at most ``per_language`` labelled documents a language, by a hash of doc_id."""
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
-        docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
+        docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & which)
         .select("doc_id", "lang")
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= per_language)
         .select("doc_id", "lang")
         .distinct()
     )
+    # at most per_language rows a language, so this side may be sent whole
+    return docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
+
 
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS) -> Model | None:
+    """Learns from text and lang of at most ``per_language`` documents a language outside fold 0.
+
+    The sample is taken by a hash of doc_id, so it doesn't depend on row order. None without any.
+    """
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in tokens.slices(whole, "text"):
@@ -141,10 +171,8 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LAND
                     [batch.column("lang"), batch.column("doc_id"), found], ["lang", "doc_id", "grams"]
                 )
 
-    # at most per_language rows a language, so this side may be sent whole
     sample = (
-        docs.select("doc_id", "lang", "text")
-        .join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
+        _sample(docs, ~held_out(), per_language)
         .select("lang", F.col("doc_id").cast("string").alias("doc_id"), "text")
         .mapInArrow(learn, "lang string, doc_id string, grams array<long>")
         .toPandas()
@@ -249,16 +277,59 @@ def language_id(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: in
     )
 
 
-def keep_identified(docs: DataFrame, least: float = 0.25, **fit_options: int) -> DataFrame:
-    """``docs`` without the rows that no language's classifier claims (score under ``least``)."""
+def rejection_levels(docs: DataFrame, model: Model, per_language: int = PER_LANGUAGE) -> np.ndarray:
+    """For each language of ``model``, the share of known 3-grams under which a text isn't in it.
+
+    ``KNOWN_MARGIN`` of the share that all but 1 % of its fold-0 texts reach (of all languages' for one
+    without any; 0 where there is no fold-0 text at all). At most ``per_language`` texts each.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in tokens.slices(whole, "text", 1 << 20):
+                _, has_letter, known = shared.value.evidence(batch.column("text"))
+                rows = pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(known)], ["lang", "known"])
+                yield rows.filter(pa.array(has_letter))
+
+    found = _sample(docs, held_out(), per_language).select("lang", "text").mapInArrow(shares, "lang string, known double")
+    found = found.toPandas()
+    levels = np.zeros(len(model.languages))
+    for i, lang in enumerate(model.languages):
+        own = found["known"][found["lang"] == lang]
+        own = own if len(own) else found["known"]
+        levels[i] = KNOWN_MARGIN * np.quantile(own, 0.01, method="lower") if len(own) else 0
+    return levels
+
+
+def keep_identified(
+    docs: DataFrame, least: float = 0.25, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS
+) -> DataFrame:
+    """``docs`` without the rows that are in no learned language.
+
+    A row goes when its text has no letter, when its score is under ``least``, or when the model knows
+    a smaller share of its 3-grams than the ``rejection_levels`` of the winning language ask for: so
+    go letter noise, other scripts and other languages, unless they are spelt like a learned one.
+    Where nothing could be learned, all texts that hold letters stay.
+    """
     spark = docs.sparkSession
     ship(spark)
-    shared = spark.sparkContext.broadcast(fit(docs, **fit_options))
+    model = fit(docs, per_language, landmarks)
+    levels = None if model is None else rejection_levels(docs, model, per_language)
+    shared = spark.sparkContext.broadcast((model, levels))
+
+    def claimed(texts: pa.Array) -> np.ndarray:
+        model, levels = shared.value
+        if model is None:
+            return has_letters(texts)
+        outputs, has_letter, known = model.evidence(texts)
+        best = outputs.argmax(axis=1)
+        score = np.clip((outputs.max(axis=1).astype(np.float64) + 1) / 2, 0, 1)
+        return has_letter & (score >= least) & (known >= levels[best])
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in tokens.slices(whole, "text", 1 << 20):
-                names, score = predict(shared.value, batch.column("text"))
-                yield batch.filter(pa.array((np.array(names) != "und") & (score >= least)))
+                yield batch.filter(pa.array(claimed(batch.column("text"))))
 
     return docs.mapInArrow(pick, docs.schema)

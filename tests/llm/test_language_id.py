@@ -91,3 +91,24 @@ def test_a_long_text_in_parts(labelled, monkeypatch):
     monkeypatch.setattr("parley.llm.language_id.PART", 50)
     again, same = model.outputs_of(texts)
     assert np.allclose(whole, again, atol=1e-5) and (letter == same).all()
+
+
+def test_noise_and_unlearned_languages_are_rejected(spark, labelled):
+    rng = random.Random(8)
+    strange = [
+        " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(60)),
+        "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=800)),
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+        "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια.",
+    ]
+    rows = spark.createDataFrame([(5000 + i, t, None, "und") for i, t in enumerate(strange)], labelled.schema)
+    kept = {r.doc_id for r in keep_identified(labelled.union(rows)).collect()}
+    assert not {i for i in kept if i is not None and i >= 5000}
+    assert {i for i in range(240)} <= kept
+
+
+def test_without_labels_texts_with_letters_stay(labelled):
+    unlabelled = labelled.withColumn("lang", F.lit(None).cast("string"))
+    ids = {r.doc_id for r in keep_identified(unlabelled).collect()}
+    assert ids == {None, *range(240)}
