@@ -384,14 +384,26 @@ def reference_view(spark, sf_dir):
 
 
 STREAM_FILES = 4
+#: Rows of a file, about; larger tables make more files.
+FILE_ROWS = 50_000
+
+
+def _ranges(docs):
+    """Conditions on doc_id, in its order, that each row meets exactly one of; null comes first."""
+    count = max(STREAM_FILES, -(-docs.count() // FILE_ROWS))
+    shares = [i / count for i in range(1, count)]
+    bounds = sorted(set(docs.select(F.col("doc_id").cast("double")).approxQuantile("doc_id", shares, 1 / (8 * count))))
+    at = F.col("doc_id")
+    low = [F.lit(True), *(at > b for b in bounds)]
+    high = [*(at <= b for b in bounds), F.lit(True)]
+    ranges = [a & b for a, b in zip(low, high, strict=True)]
+    return [at.isNull() | ranges[0], *(at.isNotNull() & r for r in ranges[1:])]
 
 
 def _feed(docs, path):
     """Documents as files that arrive one after the other, in order of doc_id."""
-    count = docs.count() or 1
-    part = (F.col("doc_id") * STREAM_FILES / count).cast("int")
-    for number in range(STREAM_FILES):
-        docs.filter(part == number).coalesce(1).write.mode("append").parquet(path)
+    for part in _ranges(docs):
+        docs.filter(part).coalesce(1).write.mode("append").parquet(path)
 
 
 def _stream(spark, sf_dir, name, columns):
@@ -435,12 +447,11 @@ def stream_dedup(spark, sf_dir):
     Copies come within the delay or are late, so no id is held for longer than that.
     """
     docs = tables.table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    count = docs.count() or 1
-    part = (F.col("doc_id") * STREAM_FILES / count).cast("int")
     path = work_dir(spark, "feed-twice")
-    for number in range(STREAM_FILES + 1):
-        first = docs.filter(part == number).withColumn("copy", F.lit(0))
-        again = docs.filter(part == number - 1).withColumn("copy", F.lit(1))
+    parts = _ranges(docs)
+    for part, before in zip([*parts, F.lit(False)], [F.lit(False), *parts], strict=True):
+        first = docs.filter(part).withColumn("copy", F.lit(0))
+        again = docs.filter(before).withColumn("copy", F.lit(1))
         first.union(again).coalesce(1).write.mode("append").parquet(path)
     feed = files.read_raw_stream(spark, path, docs.withColumn("copy", F.lit(0)).schema, max_files=1)
     comments = tables.compose_comments(feed, spark, sf_dir, "copy")

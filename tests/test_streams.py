@@ -150,3 +150,21 @@ def test_written_lines_come_back_through_the_stream(spark, folder):
     land(spark, folder)
     row = files.read_raw(spark, folder("raw")).first()
     assert row["text"] == "x\ny \"q\" é" and row["timestamp"] == dt.datetime(1970, 1, 1, 0, 0, 1)
+
+
+def test_a_feed_holds_every_row(spark, tmp_path, monkeypatch):
+    from parley.plans import queries
+
+    monkeypatch.setattr(queries, "FILE_ROWS", 5)
+    ids = [None, -7, 0, 3, 3, 1000, *range(50, 90), 10**12]
+    docs = spark.createDataFrame([(i, f"t{k}") for k, i in enumerate(ids)], "doc_id long, text string")
+    queries._feed(docs, f"{tmp_path}/feed")
+    assert sorted(spark.read.parquet(f"{tmp_path}/feed").collect(), key=str) == sorted(docs.collect(), key=str)
+    files = sorted((tmp_path / "feed").glob("*.parquet"), key=lambda f: f.stat().st_mtime_ns)
+    assert len(files) >= 9
+    last = -8
+    for f in files:
+        part = [r.doc_id for r in spark.read.parquet(str(f)).collect() if r.doc_id is not None]
+        if part:
+            assert min(part) > last
+            last = max(part)
