@@ -119,8 +119,8 @@ class Windows:
         enough = np.diff(np.append(new, len(hits))) >= self.least[hits[new, 1]]
         row, window, band = hits[new[enough]].T
         turns = range(0, len(row), ALIGNED)
-        chosen = [(c[i : i + ALIGNED] for c in (row, window, band)) for i in turns]
-        edits = np.concatenate([none, *(self._align(data, offsets, *c) for c in chosen)])
+        parts = [slice(i, i + ALIGNED) for i in turns]
+        edits = np.concatenate([none, *(self._align(data, offsets, row[p], window[p], band[p]) for p in parts)])
         good = edits <= self.edits[window]
         return row[good], window[good], edits[good]
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -93,17 +93,21 @@ def pack(lengths: DataFrame, sizes: Sequence[int] = SIZES, overhead: int = OVERH
     groups = max(1, -(-full.count() // group))
     kind = pieces.schema["doc_id"].dataType.simpleString()
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "doc_id", "piece", "row_id"], ascending=[False, True, True, True])
+    def run(rows: pa.Table) -> pa.Table:
+        # Arrow and not pandas: there a null among the ids would turn all of them into floats
+        order = [(c, "ascending") for c in ("doc_id", "piece", "row_id")]
+        rows = rows.sort_by([("length", "descending"), *order])
         bins, offsets, size = pack_group(rows["length"].to_numpy(), sizes, overhead)
-        rows["bin_id"] = rows["dealt"].to_numpy() * (1 << 32) + bins
-        rows["bin_offset"], rows["bin_size"] = offsets, size
-        return rows[["doc_id", "piece", "start", "length", "bin_id", "bin_offset", "bin_size"]]
+        bins += rows["dealt"].to_numpy().astype(np.int64) << 32
+        rows = rows.select(["doc_id", "piece", "start", "length"])
+        for name, values in (("bin_id", bins), ("bin_offset", offsets), ("bin_size", size)):
+            rows = rows.append_column(name, pa.array(values, pa.int64()))
+        return rows
 
     packed = (
         full.withColumn("dealt", F.pmod(F.xxhash64("doc_id", "piece", "row_id"), F.lit(groups)))
         .groupBy("dealt")
-        .applyInPandas(
+        .applyInArrow(
             run, f"doc_id {kind}, piece long, start long, length long, bin_id long, bin_offset long, bin_size long"
         )
     )
