@@ -21,6 +21,9 @@ from parley.llm.common import ship
 from parley.llm.shingles import string_bytes
 
 Q = 16
+#: Shorter windows are counted in shorter q-grams, as 5 % of edits would leave them no long one.
+SHORT_Q, SHORT_WINDOW = 8, 64
+LEAST = 16
 WINDOW = 100
 EDIT_PERCENT = 5
 #: Text of benchmark items that is searched for in one pass over the documents.
@@ -45,19 +48,24 @@ def normal(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[keep], np.concatenate([[0], np.cumsum(keep)])[offsets]
 
 
-def gram_keys(data: np.ndarray) -> np.ndarray:
-    """A hash of the Q bytes from each position on."""
-    if len(data) < Q:
+def gram_keys(data: np.ndarray, q: int) -> np.ndarray:
+    """A hash of the ``q`` (8 or 16) bytes from each position on."""
+    if len(data) < q:
         return np.zeros(0, np.uint64)
     data = np.ascontiguousarray(data)
     words = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
-    return words[: len(data) - Q + 1] * _K[0] ^ (words[8:] * _K[1])
+    if q == SHORT_Q:
+        return words * _K[0]
+    return words[: len(data) - q + 1] * _K[0] ^ (words[8:] * _K[1])
 
 
 class Windows:
-    """Windows of benchmark texts and the places of their q-grams."""
+    """Windows of benchmark texts, all long or all short, and the places of their q-grams."""
 
-    def __init__(self, items: list[tuple], window: int = WINDOW, percent: int = EDIT_PERCENT) -> None:
+    def __init__(
+        self, items: list[tuple], short: bool = False, window: int = WINDOW, percent: int = EDIT_PERCENT
+    ) -> None:
+        self.q = SHORT_Q if short else Q
         self.items: list[object] = []
         starts, lengths, texts = [], [], []
         data, offsets = normal(pa.array([t for _, t in items], pa.large_string()))
@@ -66,7 +74,7 @@ class Windows:
                 a += 1
             while a < b and data[b - 1] == 32:
                 b -= 1
-            if b - a < Q:
+            if b - a < LEAST or (b - a < SHORT_WINDOW) != short:
                 continue
             cuts = [*range(a, max(a + 1, b - window), window // 2)]
             if b - a > window and cuts[-1] < b - window:
@@ -77,12 +85,12 @@ class Windows:
                 texts.append(data[cut : min(cut + window, b)])
                 lengths.append(len(texts[-1]))
         self.start, self.length = np.array(starts, np.int64), np.array(lengths, np.int64)
-        self.edits = np.minimum(self.length * percent // 100, (self.length - Q) // Q)
-        self.least = self.length - Q + 1 - Q * self.edits
+        self.edits = self.length * percent // 100
+        self.least = self.length - self.q + 1 - self.q * self.edits
         self.text = np.zeros((len(texts), max(lengths, default=0)), np.uint8)
         for i, t in enumerate(texts):
             self.text[i, : len(t)] = t
-        keys = [gram_keys(t) for t in texts]
+        keys = [gram_keys(t, self.q) for t in texts]
         flat = np.concatenate([*keys, np.zeros(0, np.uint64)])
         owner = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
         place = np.concatenate([*(np.arange(len(k)) for k in keys), np.zeros(0, np.int64)])
@@ -100,11 +108,11 @@ class Windows:
         none = np.zeros(0, np.int64)
         if not len(self.keys):
             return none, none, none
-        parts = [self._hits(data[i : i + SEGMENT + Q - 1]) for i in range(0, len(data), SEGMENT)]
+        parts = [self._hits(data[i : i + SEGMENT + self.q - 1]) for i in range(0, len(data), SEGMENT)]
         at = np.concatenate([none, *(a + i * SEGMENT for i, (a, _) in enumerate(parts))])
         spot = np.concatenate([none, *(s for _, s in parts)])
         row = np.searchsorted(offsets, at, side="right") - 1
-        whole = at + Q <= offsets[row + 1]
+        whole = at + self.q <= offsets[row + 1]
         at, spot, row = at[whole], spot[whole], row[whole]
         if not len(at):
             return none, none, none
@@ -126,7 +134,7 @@ class Windows:
 
     def _hits(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where q-grams of the benchmark begin, and which they are."""
-        keys = gram_keys(data)
+        keys = gram_keys(data, self.q)
         at = np.flatnonzero(self.table[keys >> np.uint64(64 - _TABLE_BITS)])
         spot = np.minimum(np.searchsorted(self.keys, keys[at]), len(self.keys) - 1)
         sure = self.keys[spot] == keys[at]
@@ -156,6 +164,12 @@ class Windows:
         return best
 
 
+def windows_of(items: list[tuple]) -> list[Windows]:
+    """The items' windows: long ones, and short ones if there are any."""
+    both = [Windows(items, short) for short in (False, True)]
+    return [w for w in both if w.items]
+
+
 def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple]]:
     """(item_id, text) of the benchmark in parts of about ``block_bytes``, each sent as a whole."""
     known = benchmark.filter(F.col("text").isNotNull()).select("item_id", "text")
@@ -181,22 +195,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK
     kinds = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
     found = None
     for items in blocks(benchmark, block_bytes):
-        part = _search(docs.select("doc_id", "text"), spark.sparkContext.broadcast(Windows(items)), *kinds)
+        part = _search(docs.select("doc_id", "text"), spark.sparkContext.broadcast(windows_of(items)), *kinds)
         found = part if found is None else found.union(part)
     return found.groupBy("doc_id", "item_id").agg(F.sum("windows").alias("windows"), F.min("edits").alias("edits"))
 
 
 def _search(docs: DataFrame, shared, doc_kind: str, item_kind: str) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
         for whole in batches:
             for batch in tokens.slices(whole, "text"):
-                row, window, edits = index.find(batch.column("text"))
                 best: dict[tuple, list] = {}
-                for r, w, e in zip(row.tolist(), window.tolist(), edits.tolist(), strict=True):
-                    seen = best.setdefault((r, index.items[w]), [set(), e])
-                    seen[0].add(w)
-                    seen[1] = min(seen[1], e)
+                for index in shared.value:
+                    row, window, edits = index.find(batch.column("text"))
+                    for r, w, e in zip(row.tolist(), window.tolist(), edits.tolist(), strict=True):
+                        seen = best.setdefault((r, index.items[w]), [set(), e])
+                        seen[0].add((index.q, w))
+                        seen[1] = min(seen[1], e)
                 rows = [(r, item, len(ws), e) for (r, item), (ws, e) in best.items()]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -218,7 +232,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOC
     spark = docs.sparkSession
     ship(spark)
     for items in blocks(benchmark, block_bytes):
-        docs = _without(docs, spark.sparkContext.broadcast(Windows(items)))
+        docs = _without(docs, spark.sparkContext.broadcast(windows_of(items)))
     return docs
 
 
@@ -227,7 +241,8 @@ def _without(docs: DataFrame, shared) -> DataFrame:
         for whole in batches:
             for batch in tokens.slices(whole, "text"):
                 clean = np.ones(batch.num_rows, bool)
-                clean[shared.value.find(batch.column("text"))[0]] = False
+                for index in shared.value:
+                    clean[index.find(batch.column("text"))[0]] = False
                 yield batch.filter(pa.array(clean))
 
     return docs.mapInArrow(pick, docs.schema)

@@ -53,6 +53,43 @@ def test_best_fit_never_wastes_an_open_bin(lengths):
     assert len(set(bins.tolist())) <= 2 * lengths.sum() // SIZES[0] + 1
 
 
+def best_fit(lengths, sizes, overhead):
+    """Every open bin and every size tried for every piece."""
+    rooms, out = [], []  # rooms: (when last filled, room) of each bin
+    for i, length in enumerate(lengths):
+        fits = [(room, -when, b) for b, (when, room) in enumerate(rooms) if room >= length]
+        if fits:
+            b = min(fits)[2]
+        else:
+            prices = []
+            for size in sizes:
+                if size >= length:
+                    supply = sum(x for x in lengths[i + 1 :] if x <= size - length)
+                    prices.append(((size + overhead) / (length + min(size - length, supply)), size))
+            b = len(rooms)
+            rooms.append((i, min(prices)[1]))
+        rooms[b] = (i, rooms[b][1] - length)
+        out.append(b)
+    return out
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 32), min_size=1, max_size=80), st.integers(0, 9))
+def test_against_best_fit_by_trial(lengths, overhead):
+    lengths = sorted(lengths, reverse=True)
+    bins, _, _ = pack_group(np.array(lengths), SIZES, overhead)
+    assert bins.tolist() == best_fit(lengths, SIZES, overhead)
+
+
+def test_large_ids_beside_a_null(spark):
+    ids = [None, 2**53 + 1, 2**62 + 3, -(2**62) - 1, None]
+    rows = pack(spark.createDataFrame([(i, 5) for i in ids], "doc_id long, n_tokens long"), SIZES, 1).collect()
+    assert sorted(r.doc_id for r in rows if r.doc_id is not None) == sorted(i for i in ids if i is not None)
+    assert sum(r.doc_id is None for r in rows) == 2
+    words = pack(spark.createDataFrame([("a", 5), (None, 7)], "doc_id string, n_tokens long"), SIZES, 1).collect()
+    assert {(r.doc_id, r.length) for r in words} == {("a", 5), (None, 7)}
+
+
 def test_edge_rows(edge_docs, edge_rows):
     rows = pack_documents(edge_docs).collect()
     assert {r.doc_id for r in rows} == {i for i, _ in edge_rows}
