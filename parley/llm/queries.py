@@ -14,6 +14,7 @@ from parley.llm.exact_dedup import exact_dedup
 from parley.llm.jaccard_join import jaccard_join
 from parley.llm.language_id import language_id
 from parley.llm.line_dedup import NEAR, line_dedup
+from parley.llm.merkle import merkle_audit
 from parley.llm.packing import pack_documents
 from parley.llm.sharding import shard
 from parley.llm.token_counts import token_counts
@@ -93,6 +94,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(read(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_audit(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_token_output,
         op10_jaccard_join,
+        op11_merkle_manifest,
     )
 }
 
@@ -167,4 +173,88 @@ ORACLES = {
                f.pattern, f.valid_from AS since
         FROM captures c LEFT JOIN found f ON c.page_id = f.page_id AND f.place = 1
     """,
+    "op11_merkle_manifest": """
+        WITH RECURSIVE
+        crc_steps AS (
+            SELECT i, 0 AS k, i AS v FROM range(256) t(i)
+            UNION ALL
+            SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END
+            FROM crc_steps WHERE k < 8
+        ),
+        crc_table AS (SELECT list(v ORDER BY i) AS t FROM crc_steps WHERE k = 8),
+        rows AS (
+            SELECT *, row_number() OVER () AS rid,
+                   list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ord(substr(doc_id::VARCHAR, i, 1))::BIGINT) AS digits,
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS other
+            FROM documents
+        ),
+        fields AS (
+            SELECT rid, doc_id, source,
+                   xor(list_reduce(list_concat([4294967295::BIGINT], digits),
+                       lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 5 = 0 AS hit,
+                   coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+                       || coalesce(strlen(source) || ':' || source, '-')
+                       || coalesce(strlen(lang) || ':' || lang, '-')
+                       || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS start,
+                   coalesce(strlen(text) || ':' || text, '-') AS original,
+                   coalesce(strlen(other) || ':' || other, '-') AS changed
+            FROM rows, crc_table
+        ),
+        leaves AS (
+            SELECT rid, doc_id, coalesce(strlen(source) || ':' || source, '-') AS tree, source,
+                   sha256(start || original) AS leaf,
+                   sha256(start || CASE WHEN hit THEN changed ELSE original END) AS copy
+            FROM fields
+        ),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM leaves
+        ),
+        nodes AS (
+            SELECT tree, source, 0 AS lvl, idx, leaf AS digest FROM ranked
+            UNION ALL
+            SELECT tree, source, lvl + 1, idx >> 4, sha256(string_agg(digest, '' ORDER BY idx))
+            FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM nodes)
+            WHERE n > 1 GROUP BY tree, source, lvl, idx >> 4
+        ),
+        counted AS (SELECT *, count(*) OVER (PARTITION BY tree, lvl) AS n FROM nodes),
+        subroots AS (
+            SELECT tree, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place
+            FROM counted WHERE n = 1
+        ),
+        top_nodes AS (
+            SELECT 0 AS lvl, place AS idx, subroot AS digest FROM subroots
+            UNION ALL
+            SELECT lvl + 1, idx >> 4, sha256(string_agg(digest, '' ORDER BY idx))
+            FROM (SELECT *, count(*) OVER () AS n FROM top_nodes)
+            WHERE n > 1 GROUP BY lvl, idx >> 4
+        ),
+        top_counted AS (SELECT *, count(*) OVER (PARTITION BY lvl) AS n FROM top_nodes),
+        siblings AS (
+            SELECT r.rid, 0 AS tier, c.lvl, c.idx, r.idx >> (4 * c.lvl) AS own, c.digest
+            FROM ranked r JOIN counted c
+              ON c.tree = r.tree AND c.n > 1 AND c.idx >> 4 = r.idx >> (4 * c.lvl + 4)
+            UNION ALL
+            SELECT r.rid, 1, c.lvl, c.idx, s.place >> (4 * c.lvl), c.digest
+            FROM ranked r JOIN subroots s USING (tree)
+            JOIN top_counted c ON c.n > 1 AND c.idx >> 4 = s.place >> (4 * c.lvl + 4)
+        ),
+        steps AS (
+            SELECT rid, row_number() OVER (PARTITION BY rid ORDER BY tier, lvl) AS step,
+                   coalesce(string_agg(digest, '' ORDER BY idx) FILTER (idx < own), '') AS before,
+                   coalesce(string_agg(digest, '' ORDER BY idx) FILTER (idx > own), '') AS after
+            FROM siblings GROUP BY rid, tier, lvl
+        ),
+        folds AS (
+            SELECT rid, 0 AS step, copy AS digest FROM ranked
+            UNION ALL
+            SELECT s.rid, s.step, sha256(s.before || f.digest || s.after)
+            FROM folds f JOIN steps s ON s.rid = f.rid AND s.step = f.step + 1
+        ),
+        proofs AS (SELECT rid, string_agg(before || after, '' ORDER BY step) AS proof FROM steps GROUP BY rid)
+        SELECT r.doc_id, r.leaf, s.subroot, t.digest AS root, sha256(coalesce(p.proof, '')) AS proof_sha256,
+               f.digest AS folded_root, f.digest = t.digest AS verified
+        FROM ranked r JOIN subroots s USING (tree) JOIN top_counted t ON t.n = 1
+        LEFT JOIN proofs p USING (rid)
+        JOIN (SELECT rid, arg_max(digest, step) AS digest FROM folds GROUP BY rid) f USING (rid)
+    """,
 }
