@@ -19,6 +19,7 @@ from parley.llm.packing import pack_documents
 from parley.llm.sharding import shard
 from parley.llm.token_counts import token_counts
 from parley.llm.token_output import token_output
+from parley.llm.warc import warc_round_trip
 from parley.session import work_dir
 
 
@@ -98,6 +99,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_audit(read(spark, sf_dir, "documents"))
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_round_trip(read(spark, sf_dir, "pages"), work_dir(spark, "warc"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -112,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_token_output,
         op10_jaccard_join,
         op11_merkle_manifest,
+        op12_warc,
     )
 }
 
@@ -257,4 +263,24 @@ ORACLES = {
         LEFT JOIN proofs p USING (rid)
         JOIN (SELECT rid, arg_max(digest, step) AS digest FROM folds GROUP BY rid) f USING (rid)
     """,
+    "op12_warc": """
+        WITH hashed AS (
+            SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages
+        ),
+        quarters AS (
+            SELECT page_id, payload, k, ('0x' || substr(hex, 5 * k + 1, 5))::BIGINT AS bits
+            FROM hashed, range(8) t(k)
+        ),
+        digests AS (
+            SELECT page_id, payload, string_agg(
+                substr(digits, (bits >> 15) + 1, 1) || substr(digits, ((bits >> 10) & 31) + 1, 1)
+                || substr(digits, ((bits >> 5) & 31) + 1, 1) || substr(digits, (bits & 31) + 1, 1), '' ORDER BY k) AS digest
+            FROM quarters, (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567' AS digits)
+            GROUP BY page_id, payload
+        )
+        SELECT page_id, strlen(payload) AS payload_bytes, digest AS payload_digest,
+               CASE WHEN page_id = min(page_id) OVER same THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id > min(page_id) OVER same THEN min(page_id) OVER same END AS refers_to
+        FROM digests WINDOW same AS (PARTITION BY payload)
+    """,
 }
