@@ -13,6 +13,7 @@ from parley.llm.decontamination import contaminated
 from parley.llm.exact_dedup import exact_dedup
 from parley.llm.jaccard_join import jaccard_join
 from parley.llm.language_id import language_id
+from parley.llm.lexical_search import lexical_search
 from parley.llm.line_dedup import NEAR, line_dedup
 from parley.llm.merkle import merkle_audit
 from parley.llm.packing import pack_documents
@@ -103,6 +104,10 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(read(spark, sf_dir, "pages"), work_dir(spark, "warc"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -118,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_jaccard_join,
         op11_merkle_manifest,
         op12_warc,
+        op13_lexical_search,
     )
 }
 
@@ -283,4 +289,39 @@ ORACLES = {
                CASE WHEN page_id > min(page_id) OVER same THEN min(page_id) OVER same END AS refers_to
         FROM digests WINDOW same AS (PARTITION BY payload)
     """,
+    "op13_lexical_search": r"""
+        WITH texts AS (
+            SELECT 'd' AS side, doc_id AS id, text FROM documents
+            UNION ALL SELECT 'q', item_id, text FROM benchmark
+        ),
+        terms AS (
+            SELECT side, id, term, count(*) AS tf
+            FROM (
+                SELECT side, id, unnest(regexp_extract_all(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+                FROM texts
+            )
+            GROUP BY side, id, term
+        ),
+        docs AS MATERIALIZED (
+            SELECT id, term, tf, sum(tf) OVER (PARTITION BY id)::BIGINT AS n, count(*) OVER (PARTITION BY term) AS df
+            FROM terms WHERE side = 'd'
+        ),
+        whole AS (SELECT count(DISTINCT id) AS n_docs, sum(tf)::BIGINT AS n_terms FROM docs),
+        weighted AS (
+            SELECT id, term, tf, 25 + (75 * n * n_docs) // n_terms AS m,
+                   floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS weight
+            FROM docs, whole
+        ),
+        scores AS (
+            SELECT q.id AS item_id, w.id AS doc_id,
+                   sum(q.tf * w.weight * ((1000000000 * w.tf) // (1000 * w.tf + 8 * w.m)))::BIGINT AS score
+            FROM terms q JOIN weighted w ON q.term = w.term
+            WHERE q.side = 'q' GROUP BY q.id, w.id
+        )
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+        FROM scores WHERE score > 0
+        QUALIFY rank <= 10
+    """,
 }

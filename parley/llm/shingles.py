@@ -50,13 +50,17 @@ def string_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(
+    data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = _BLANK
+) -> tuple[np.ndarray, np.ndarray]:
     """A hash of each word, and where each text's words begin and the last's end.
 
+    ``blank`` says of each byte whether it separates words; A-Z count as a-z.
+
     Bytes are handled SEGMENT at a time, cut between words, so a very long text takes little more
     than itself and its words.
     """
-    word = ~_BLANK[data]
+    word = ~blank[data]
     first = word.copy()
     first[1:] &= ~word[:-1]
     edges = offsets[:-1][offsets[:-1] < offsets[1:]]
