@@ -26,13 +26,14 @@ def all_scores(docs, items):
     df = Counter(t for c in counted for t in c)
     out = {}
     for i, (_, text) in enumerate(items):
+        wanted = Counter(terms(text))
         for d, held in enumerate(counted):
             if not held:
                 continue
             m, score = 25 + 75 * held.total() * n_docs // n_terms, 0
-            for t in terms(text):
+            for t, times in wanted.items():
                 weight = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
-                score += weight * (10**9 * held[t] // (1000 * held[t] + 8 * m))
+                score += times * weight * (10**9 * held[t] // (1000 * held[t] + 8 * m))
             out[i, d] = score
     return out
 
@@ -119,11 +120,16 @@ def test_edge_rows(spark, edge_docs, edge_rows):
     assert [r[2] for r in got if r[0] is None] == [11]
 
 
-def test_sums_beyond_doubles(spark, as_docs):
-    docs = [(i, "rare " * (i % 3) + prose(i, 5)) for i in range(40)]
-    items = [(1, "rare " * 4_000_000 + prose(3, 4))]
-    benchmark = spark.createDataFrame(items, "item_id long, text string")
-    assert found(lexical_search(as_docs(docs), benchmark)) == expected(docs, items)
+def test_sums_beyond_doubles():
+    queries = Queries([(1, "rare common"), (2, "rare")])
+    times = np.array([10**9 + 1, 10**9 + 3])
+    queries.held = [(queries.held[0][0], times), queries.held[1]]
+    whole = Weighted(queries, 50, 1000, {0: 3, 1: 40})
+    ((_, terms, matrix),) = whole.groups()
+    part = np.array([[999_999], [555_557]])
+    assert matrix.dtype == np.int64 and len(terms) == 2
+    exact = sum(int(t) * int(w) * int(p) for t, w, p in zip(times, whole.weights, part[:, 0], strict=True))
+    assert int((matrix @ part)[0, 0]) == exact > 1 << 53
 
 
 def test_empty_tables(no_docs, edge_docs, spark):
