@@ -19,16 +19,17 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs  # noqa: F401
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.llm.common import ship
-from parley.session import staged, work_dir
+from parley.session import staged
 
 CHUNK = 256 << 10
 #: Payload bytes that go to one archive, about.
-FILE_BYTES = 256 << 20
+FILE_BYTES = 64 << 20
 #: Records with equal payloads are first settled in this many parts.
 SALTS = 64
 #: Capture time of pages that bring none.
@@ -43,7 +44,7 @@ END = b"\r\n"
 Batches = Iterator[pa.RecordBatch]
 
 _CHUNKS = (
-    "row_id long, page_id string, url string, chunk long, data binary, size long, digest binary, "
+    "row_id long, page_id string, url string, chunk long, packed binary, size long, digest binary, "
     "check binary, last boolean"
 )
 _RECORDS = (
@@ -95,10 +96,13 @@ def base32(digest: bytes) -> str:
 
 
 def chunk_table(pages: DataFrame, payload: str = "html", chunk: int = CHUNK) -> DataFrame:
-    """The pages as chunk rows, written to the work folder; an empty payload is one empty chunk."""
+    """The pages as chunk rows, written to the work folder; an empty payload is one empty chunk.
+
+    Chunks are packed (zstd) one by one, as they are written, exchanged and read once more.
+    """
 
     def cut(batches: Batches) -> Batches:
-        rows = Rows(_CHUNKS)
+        rows, packer = Rows(_CHUNKS), zstandard.ZstdCompressor()
         for batch in batches:
             known = [batch.column(c).to_pylist() for c in ("row_id", "page_id", "url")]
             for row_id, page_id, url, text in zip(*known, batch.column("payload"), strict=True):
@@ -109,7 +113,8 @@ def chunk_table(pages: DataFrame, payload: str = "html", chunk: int = CHUNK) ->
                     digest.update(part)
                     last = digest.size == len(data)
                     now = digest.size, digest.sha1.digest(), digest.other.digest()
-                    yield from rows.add((row_id, page_id, url, at, bytes(part), *now, last), len(part))
+                    packed = packer.compress(part)
+                    yield from rows.add((row_id, page_id, url, at, packed, *now, last), len(packed))
                     if last:
                         break
                     at += 1
@@ -122,9 +127,7 @@ def chunk_table(pages: DataFrame, payload: str = "html", chunk: int = CHUNK) ->
         F.col("url").cast("string").alias("url"),
         F.coalesce(F.col(payload), F.lit("")).cast("binary").alias("payload"),
     )
-    path = work_dir(pages.sparkSession, "warc-chunks")
-    whole.mapInArrow(cut, _CHUNKS).write.option("compression", "zstd").parquet(path)
-    return pages.sparkSession.read.schema(_CHUNKS).parquet(path)
+    return staged(whole.mapInArrow(cut, _CHUNKS), "warc-chunks")
 
 
 def settled(chunks: DataFrame, id_type: str = "bigint", least: int = 0, salts: int = SALTS) -> DataFrame:
@@ -225,7 +228,7 @@ def archive_writer(path: str, date: str, level: int):
         name = f"part-{context.partitionId():06d}.warc.gz"
         fs, folder = filesystem(path)
         draft, out, records = f"{folder}/.{name}.{context.taskAttemptId()}", None, 0
-        row, packer = None, None
+        row, packer, unpacker = None, None, zstandard.ZstdDecompressor()
 
         def end() -> None:
             if row["got"] != (row["size"], row["digest"]):
@@ -234,7 +237,7 @@ def archive_writer(path: str, date: str, level: int):
 
         for batch in batches:
             head = [batch.column(c).to_pylist() for c in ("row_id", "chunk", "size", "digest", "page_id", "url", "first")]
-            for *fields, data in zip(*head, batch.column("data"), strict=True):
+            for *fields, packed in zip(*head, batch.column("packed"), strict=True):
                 row_id, chunk, size, digest, page_id, url, first = fields
                 if chunk < 0:
                     if out is None:
@@ -252,7 +255,7 @@ def archive_writer(path: str, date: str, level: int):
                 elif row is None or row["row_id"] != row_id:
                     raise ValueError(f"chunk {chunk} of record {row_id} has no header")
                 elif not row["first"]:
-                    out.write(packer.compress(data.as_buffer()))
+                    out.write(packer.compress(unpacker.decompress(packed.as_buffer())))
                     row["got"] = size, digest
         if out is None:
             return
@@ -292,7 +295,7 @@ def write_archives(
     records = settled(chunks, pages.schema["page_id"].dataType.simpleString(), least)
     order = ["row_id", "chunk"]
     heads = records.withColumn("chunk", F.lit(-1).cast("long"))
-    both = heads.unionByName(chunks.select(*order, "data", "size", "digest"), allowMissingColumns=True)
+    both = heads.unionByName(chunks.select(*order, "packed", "size", "digest"), allowMissingColumns=True)
     dealt = both.repartition(max(1, -(-total // file_bytes)), "row_id").sortWithinPartitions(*order)
     written = dealt.mapInArrow(archive_writer(path, date, level), "file string, records long, bytes long")
     return staged(written, "warc-files")

@@ -9,7 +9,7 @@ import pytest
 from parley.llm import warc
 from parley.llm.warc import read_archives, warc_round_trip, write_archives
 
-SCHEMA = "page_id long, url string, html string, size string, digest string, chunk string, data string, first string, row_id string"
+SCHEMA = "page_id long, url string, html string, size string, digest string, chunk string, packed string, first string, row_id string"
 
 
 def expected(rows, least=0):
