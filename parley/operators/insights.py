@@ -46,8 +46,16 @@ def word_frequencies(
 
     ``k=None`` keeps every token.
     """
-    words = each(df, "word", F.col(tokens))
-    counts = words.groupBy("word").agg(F.count("*").alias("n"))
+    return cloud_of(word_counts(df, tokens), k)
+
+
+def word_counts(df: DataFrame, tokens: str = "finished_no_stop_lemmatized") -> DataFrame:
+    """(word, n): how often each token occurs."""
+    return each(df, "word", F.col(tokens)).groupBy("word").agg(F.count("*").alias("n"))
+
+
+def cloud_of(counts: DataFrame, k: int | None = CLOUD_WORDS) -> DataFrame:
+    """``word_frequencies`` of counted words (word, n)."""
     if k is None:
         top = counts.agg(F.max("n").alias("n")).scalar()
         return counts.withColumn("weight", F.col("n") / top)
@@ -63,7 +71,11 @@ def compound_histogram(
     Bins with no value are listed with count 0. Equal values are counted together first. The input
     is read twice, for the range and for the bins: store computed scores beforehand.
     """
-    counts = _value_counts(df, value)
+    return histogram_of(value_counts(df, value), bins)
+
+
+def histogram_of(counts: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
+    """``compound_histogram`` of counted values (x, n)."""
     stats = _stats(counts).alias("stats")
     low, high = F.col("stats.low"), F.col("stats.high")
     width = (high - low) / F.lit(float(bins))
@@ -76,7 +88,7 @@ def compound_histogram(
         .agg(F.sum(F.when(F.col("x").isNotNull(), F.col("n"))).alias("count"))
     )
     return (
-        df.sparkSession.range(bins)
+        counts.sparkSession.range(bins)
         .withColumnRenamed("id", "bin")
         .join(filled, "bin", "left")
         .select("*", stats)
@@ -102,7 +114,7 @@ def _stats(counts: DataFrame) -> Column:
     ).scalar()
 
 
-def _value_counts(df: DataFrame, value: str) -> DataFrame:
+def value_counts(df: DataFrame, value: str) -> DataFrame:
     """How often each value occurs, null included."""
     return df.groupBy(F.col(value).cast("double").alias("x")).agg(F.count("*").alias("n"))
 
@@ -117,7 +129,11 @@ def compound_density(
     adding up its own grid before anything is shuffled. Store computed scores beforehand, as the
     input is read for the range, the variance and the curve.
     """
-    counts = _value_counts(df, value)
+    return density_of(value_counts(df, value), points)
+
+
+def density_of(counts: DataFrame, points: int = DENSITY_POINTS) -> DataFrame:
+    """``compound_density`` of counted values (x, n)."""
     measured = counts.select("*", _stats(counts).alias("stats"))
     low, high = F.col("stats.low"), F.col("stats.high")
     total = F.col("stats.total").cast("double")

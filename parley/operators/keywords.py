@@ -81,7 +81,7 @@ def window_texts(
     ).select(*win.bounds(size), *columns)
 
 
-def _pane_terms(df: DataFrame, size: str, slide: str, ts: str, text: str, extra: list, **options):
+def pane_terms(df: DataFrame, size: str, slide: str, ts: str, text: str, extra: list, **options):
     """(pane, extra..., word, tf). Every text also gives ('', 0), so df of '' counts texts."""
     text_marker = F.array(F.struct(F.lit("").alias("word"), F.lit(0).cast("bigint").alias("tf")))
     terms = tokenize(df, text, **options).select(
@@ -107,7 +107,7 @@ def windowed_vocabulary(
     once per overlapping window. The marker is ranked apart from the words and brings the number of
     texts along, which saves a join.
     """
-    terms = _pane_terms(df, size, slide, ts, text, [], **options)
+    terms = pane_terms(df, size, slide, ts, text, [], **options)
     return _vocabulary(terms, size, slide, vocab_size, min_df)
 
 
@@ -167,10 +167,24 @@ def windowed_top_keywords(
     also holds within each pane, so all but k pairs per (pane, word) drop out before the pairs meet
     the vocabulary. Texts are tokenised once; both sides come from what that wrote.
     """
+    extra = [id] if grain == "doc_word" else []
+    terms = staged(pane_terms(df, size, slide, ts, text, extra, **options), "pane-terms")
+    return top_of_terms(terms, size, slide, k, id, grain, vocab_size, min_df)
+
+
+def top_of_terms(
+    terms: DataFrame,
+    size: str = SIZE,
+    slide: str = SLIDE,
+    k: int = TOP_K,
+    id: str = "id",
+    grain: str = "doc_word",
+    vocab_size: int = VOCAB_SIZE,
+    min_df: int = 1,
+) -> DataFrame:
+    """``windowed_top_keywords`` from stored ``pane_terms``, which are read twice."""
     if grain not in ("doc_word", "word"):
         raise ValueError(f"grain is 'doc_word' or 'word', not {grain!r}")
-    extra = [id] if grain == "doc_word" else []
-    terms = staged(_pane_terms(df, size, slide, ts, text, extra, **options), "pane-terms")
     vocabulary = _vocabulary(terms, size, slide, vocab_size, min_df)
     pairs = terms.filter(F.col("word") != "")
     if grain == "word":
@@ -230,7 +244,7 @@ def doc_top_keywords(
     Pairs are salted by id and the vocabulary, ``vocab_size`` words a window, is copied for each
     salt, so a word that most texts share doesn't fill one task.
     """
-    terms = staged(_pane_terms(df, size, slide, ts, text, [id], **options), "pane-terms")
+    terms = staged(pane_terms(df, size, slide, ts, text, [id], **options), "pane-terms")
     vocabulary = _vocabulary(terms, size, slide, vocab_size, min_df)
     salt = F.pmod(F.xxhash64(id), F.lit(SALTS)).cast("int")
     pairs = terms.filter(F.col("word") != "").withColumn("salt", salt)

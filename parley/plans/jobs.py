@@ -11,6 +11,7 @@ from parley.operators.references import windowed_ref_counts
 from parley.operators.sentiment import sentiment_table
 from parley.session import staged
 from parley.sources import files, records
+from parley.sources.ledger import start_landing
 
 
 def ingest(
@@ -24,20 +25,22 @@ def ingest(
 ) -> StreamingQuery:
     """JSON lines to the raw Parquet table; lines that parse to nothing go to the quarantine.
 
-    Each batch is read and parsed once. Both outputs lie in folders by day and batch number, so a
-    batch that runs again replaces what it wrote, and readers of some days open no others.
+    Each batch is read and parsed once. Both outputs lie in folders by day, stream and batch number,
+    so a batch that runs again replaces what it wrote, a fresh checkpoint replaces nothing, and
+    readers of some days open no others.
     """
 
-    def land(batch: DataFrame, number: int) -> None:
+    def land(batch: DataFrame, run: str, number: int) -> None:
+        name = f"{run}-{number}"
         parsed = records.parsed_lines(batch).persist()
         rows = records.parsed_rows(parsed).transform(records.with_kind)
-        files.write_batch(rows, raw_path, number, F.to_date("timestamp"))
+        files.write_batch(rows, raw_path, name, F.to_date("timestamp"))
         if quarantine_path:
-            files.write_batch(records.unparsed(parsed), quarantine_path, number)
+            files.write_batch(records.unparsed(parsed), quarantine_path, name)
         parsed.unpersist()
 
     lines = files.read_lines_stream(spark, lines_path, max_files)
-    return files.write_batches(lines, land, checkpoint, every)
+    return start_landing(lines, land, checkpoint, every)
 
 
 def reference_job(

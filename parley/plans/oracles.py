@@ -460,6 +460,23 @@ WHERE window_start + INTERVAL 60 SECOND
     "stream_dedup": _with(COMMENTS) + "SELECT * FROM comments",
     "stream_sentiment": _with(*SCORES) + SCORE_ROWS,
     "stream_keywords": _with(*TFIDF) + TOP_PAIRS,
+    "stream_latest_snapshot": _with(COMMENTS)
+    + f"SELECT {SNAPSHOT_COLUMNS.format(' + 1', ' + INTERVAL 5 MINUTE')} FROM comments",
+    "stream_first_seen": _with(COMMENTS) + "SELECT * FROM comments",
+    "stream_compaction": _with(COMMENTS) + "SELECT * FROM comments",
+    "stream_mean_sentiment": _with(TIMELINE, *_sentiment("timeline"))
+    + """SELECT 'neutral' AS sentiment, round(avg(neutral), 6) AS mean FROM scores
+UNION ALL SELECT 'positive', round(avg(positive), 6) FROM scores
+UNION ALL SELECT 'negative', round(avg(negative), 6) FROM scores""",
+    "stream_compound_over_time": _with(TIMELINE, *_sentiment("timeline"))
+    + """SELECT ts, round(avg(compound), 6) AS compound FROM timeline JOIN scores USING (id)
+GROUP BY ts""",
+    "stream_word_frequencies": _with(TIMELINE, *_tokens("timeline"))
+    + """SELECT word, n, round(CAST(n AS double) / max(n) OVER (), 6) AS weight
+FROM (SELECT token AS word, count(*) AS n FROM clean GROUP BY token
+      ORDER BY n DESC, word LIMIT 200)""",
+    "stream_compound_histogram": _with(TIMELINE, *_sentiment("timeline")) + HISTOGRAM.lstrip(),
+    "stream_compound_density": _with(TIMELINE, *_sentiment("timeline")) + DENSITY.lstrip(),
     "stream_ingest": _with(COMMENTS) + f"SELECT {RECORD_COLUMNS} FROM comments",
     "stream_sentiment_large_dictionary": _with(*SCORES) + SCORE_ROWS,
     "job_ingest": _with(COMMENTS)

@@ -14,7 +14,7 @@ from parley.plans import jobs
 from parley.schemas import COMMENT_FIELDS, COMMENT_SCHEMA
 from parley.session import staged, work_dir
 from parley.sources import files, records, tables
-from parley.streaming import live
+from parley.streaming import kept, live
 
 # Documents arrive minutes apart, so keyword windows are hours long here.
 HOURS = {"size": "6 hours", "slide": "1 hour"}
@@ -388,22 +388,26 @@ STREAM_FILES = 4
 FILE_ROWS = 50_000
 
 
-def _ranges(docs):
-    """Conditions on doc_id, in its order, that each row meets exactly one of; null comes first."""
-    count = max(STREAM_FILES, -(-docs.count() // FILE_ROWS))
-    shares = [i / count for i in range(1, count)]
-    bounds = sorted(set(docs.select(F.col("doc_id").cast("double")).approxQuantile("doc_id", shares, 1 / (8 * count))))
-    at = F.col("doc_id")
-    low = [F.lit(True), *(at > b for b in bounds)]
-    high = [*(at <= b for b in bounds), F.lit(True)]
-    ranges = [a & b for a, b in zip(low, high, strict=True)]
-    return [at.isNull() | ranges[0], *(at.isNotNull() & r for r in ranges[1:])]
+def _file_count(docs):
+    return max(STREAM_FILES, -(-docs.count() // FILE_ROWS))
+
+
+def _arrive_in_order(spark, path):
+    """Gives the files of a folder, or of its folders, the times of arriving one after the other."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found, files = fs.listFiles(folder, True), []
+    while found.hasNext():
+        files.append(found.next().getPath())
+    files = sorted((f for f in files if f.getName().startswith("part-")), key=lambda f: f.toString())
+    for second, file in enumerate(files):
+        fs.setTimes(file, 1_700_000_000_000 + 1000 * second, -1)
 
 
 def _feed(docs, path):
-    """Documents as files that arrive one after the other, in order of doc_id."""
-    for part in _ranges(docs):
-        docs.filter(part).coalesce(1).write.mode("append").parquet(path)
+    """Documents as files that arrive one after the other, in order of doc_id; null comes first."""
+    docs.repartitionByRange(_file_count(docs), F.col("doc_id").asc_nulls_first()).write.parquet(path)
+    _arrive_in_order(docs.sparkSession, path)
 
 
 def _stream(spark, sf_dir, name, columns):
@@ -448,12 +452,14 @@ def stream_dedup(spark, sf_dir):
     """
     docs = tables.table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     path = work_dir(spark, "feed-twice")
-    parts = _ranges(docs)
-    for part, before in zip([*parts, F.lit(False)], [F.lit(False), *parts], strict=True):
-        first = docs.filter(part).withColumn("copy", F.lit(0))
-        again = docs.filter(before).withColumn("copy", F.lit(1))
-        first.union(again).coalesce(1).write.mode("append").parquet(path)
-    feed = files.read_raw_stream(spark, path, docs.withColumn("copy", F.lit(0)).schema, max_files=1)
+    order = F.col("doc_id").asc_nulls_first()
+    dealt = staged(docs.repartitionByRange(_file_count(docs), order).withColumn("file", F.spark_partition_id()), "dealt")
+    copies = dealt.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    file = F.format_string("%06d", F.col("file") + F.col("copy"))
+    copies.withColumn("file", file).repartition("file").write.partitionBy("file").parquet(path)
+    _arrive_in_order(spark, path)
+    schema = copies.drop("file").schema
+    feed = files.read_raw_stream(spark, f"{path}/file=*", schema, max_files=1)
     comments = tables.compose_comments(feed, spark, sf_dir, "copy")
     comments = comments.withColumns(
         {"ts": F.col("ts").cast("timestamp"), "score": F.col("score") + F.col("copy")}
@@ -473,16 +479,91 @@ def stream_sentiment(spark, sf_dir):
 
 
 def stream_keywords(spark, sf_dir):
-    """Land the timeline as a raw table, then refresh its keywords from the stream."""
+    """Keywords of the timeline, kept current file by file from stored counts."""
     docs = _stream(spark, sf_dir, "documents", ["doc_id", "text"])
     rows = tables.compose_timeline(docs, spark, sf_dir)
     base = work_dir(spark, "keywords")
-    live.drain(spark, rows, f"{base}/raw", f"{base}/raw-state")
-    landed = files.read_raw_stream(spark, f"{base}/raw", rows.schema)
-    live.start_keyword_refresh(
-        landed, f"{base}/raw", f"{base}/out", f"{base}/state", every=None, ts="ts", **HOURS
-    ).awaitTermination()
-    return _zoneless(_rounded(files.read_results(spark, f"{base}/out")))
+    table = kept.KeywordTable(spark, f"{base}/kept", rows.schema, ts="ts", unit="day", **HOURS)
+    kept.start(rows, table, f"{base}/state", every=None).awaitTermination()
+    return _zoneless(_rounded(table.read()))
+
+
+def _polls(spark, sf_dir):
+    """The polls as a stream: files by poll time, so that a comment's polls come in one or two."""
+    polls = tables.snapshots(spark, sf_dir)
+    path = work_dir(spark, "feed-polls")
+    polls.repartitionByRange(STREAM_FILES, "ingest_ts").write.parquet(path)
+    _arrive_in_order(spark, path)
+    return files.read_raw_stream(spark, path, polls.schema, max_files=1)
+
+
+def stream_latest_snapshot(spark, sf_dir):
+    """The newest poll of every comment, merged batch by batch."""
+    polls = _polls(spark, sf_dir)
+    base = work_dir(spark, "latest")
+    table = kept.LatestTable(spark, f"{base}/kept", polls.schema, fold_at=3)
+    kept.start(polls, table, f"{base}/state", every=None).awaitTermination()
+    return table.read()
+
+
+def stream_first_seen(spark, sf_dir):
+    """Every comment again, 40 days late and with a higher score, long after any watermark."""
+    once = tables.comments(spark, sf_dir)
+    late = once.withColumns({"ts": F.col("ts") + F.expr("INTERVAL 40 DAYS"), "score": F.col("score") + 1})
+    path = work_dir(spark, "feed-late")
+    for rows in (once, late):
+        rows.repartition(2).write.parquet(f"{path}/{rows is late:d}")
+    _arrive_in_order(spark, path)
+    feed = files.read_raw_stream(spark, f"{path}/*", once.schema, max_files=1)
+    base = work_dir(spark, "first-seen")
+    table = kept.FirstTable(spark, f"{base}/kept", feed.schema, order="ts", fold_at=3)
+    kept.start(feed, table, f"{base}/state", every=None).awaitTermination()
+    return table.read()
+
+
+def stream_compaction(spark, sf_dir):
+    """Comments landed file by file as a raw table whose days are folded, all but the last one."""
+    feed = _comment_stream(spark, sf_dir)
+    base = work_dir(spark, "compaction")
+    table = kept.RawTable(spark, f"{base}/kept", feed.schema, "ts")
+    kept.start(feed, table, f"{base}/state", every=None).awaitTermination()
+    days = sorted(table.ledger.manifest()["slots"])
+    table.fold(days[-1])
+    return _zoneless(table.read())
+
+
+def _board(spark, sf_dir):
+    """The dashboard's tables, kept current while scored documents arrive."""
+    docs = _stream(spark, sf_dir, "documents", ["doc_id", "text"])
+    rows = tables.compose_timeline(docs, spark, sf_dir)
+    base = work_dir(spark, "board")
+    columns = ["id", "ts", "compound", *insights.SENTIMENTS, "finished_no_stop_lemmatized"]
+    scored = _scored(rows, spark, sf_dir).select(*columns)
+    table = kept.BoardTable(spark, f"{base}/kept", scored.schema, ts="ts", fold_at=3)
+    kept.start(scored, table, f"{base}/state", every=None).awaitTermination()
+    return table.read()
+
+
+def stream_mean_sentiment(spark, sf_dir):
+    return _rounded(_board(spark, sf_dir)["mean_sentiment"], "mean")
+
+
+def stream_compound_over_time(spark, sf_dir):
+    return _rounded(_board(spark, sf_dir)["compound_over_time"], "compound")
+
+
+def stream_word_frequencies(spark, sf_dir):
+    return _rounded(_board(spark, sf_dir)["word_frequencies"], "weight")
+
+
+def stream_compound_histogram(spark, sf_dir):
+    bins = _board(spark, sf_dir)["compound_histogram"]
+    return bins.transform(_rounded, "bin_start").transform(_rounded, "bin_end")
+
+
+def stream_compound_density(spark, sf_dir):
+    curve = _board(spark, sf_dir)["compound_density"]
+    return curve.transform(_rounded, "x").transform(_rounded, "density")
 
 
 def stream_ingest(spark, sf_dir):
@@ -541,7 +622,7 @@ def job_quarantine(spark, sf_dir):
 def _raw(spark, sf_dir, base):
     """The comments as a raw table, by batch write."""
     parsed = records.parse_records(_lines(spark, sf_dir)).transform(records.with_kind)
-    files.write_batch(parsed, f"{base}/raw", 0, F.to_date("timestamp"))
+    files.write_batch(parsed, f"{base}/raw", "0", F.to_date("timestamp"))
     return f"{base}/raw"
 
 
@@ -663,6 +744,14 @@ QUERIES = {
         stream_dedup,
         stream_sentiment,
         stream_keywords,
+        stream_latest_snapshot,
+        stream_first_seen,
+        stream_compaction,
+        stream_mean_sentiment,
+        stream_compound_over_time,
+        stream_word_frequencies,
+        stream_compound_histogram,
+        stream_compound_density,
         stream_ingest,
         stream_sentiment_large_dictionary,
         job_ingest,

@@ -70,9 +70,12 @@ def write_batches(
     return writer.trigger(**_trigger(every)).start()
 
 
-def write_batch(df: DataFrame, path: str, number: int, day: Column | None = None) -> None:
-    """One batch's rows in a folder of their own (by day, if given), replaced when written again."""
-    folders = {"day": day, "batch": F.lit(number)} if day is not None else {"batch": F.lit(number)}
+def write_batch(df: DataFrame, path: str, name: str, day: Column | None = None) -> None:
+    """One batch's rows in a folder of their own (by day, if given), replaced when written again.
+
+    The name must tell the stream and the batch: batch numbers start anew with a fresh checkpoint.
+    """
+    folders = {"day": day, "batch": F.lit(name)} if day is not None else {"batch": F.lit(name)}
     write_partitioned(df.withColumns(folders), path, list(folders))
 
 

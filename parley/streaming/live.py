@@ -1,24 +1,20 @@
 """Operators on unbounded input.
 
-Sentiment, ingest and keywords give what their batch twins give. Counts cover the windows that the
-watermark has closed. De-duplication keeps the first copy to arrive, where the batch form keeps the
-earliest by time."""
+Sentiment and ingest give what their batch twins give. Counts cover the windows that the watermark
+has closed. De-duplication keeps the first copy to arrive, where the batch form keeps the earliest by
+time. Results that are kept up to date in stored tables are in ``kept``."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from parley.functions import windows as win
-from parley.operators import keywords
 from parley.operators.references import all_refs
 from parley.operators.sentiment import sentiment_table
-from parley.session import staged
-from parley.sources.files import write_batch, write_batches, write_partitioned, write_raw_stream
+from parley.sources.files import write_batch, write_raw_stream
+from parley.sources.ledger import start_landing
 
 
 def live_ref_counts(
@@ -30,11 +26,18 @@ def live_ref_counts(
     text: str = "text",
     mode: str = "first",
 ) -> DataFrame:
-    """Windowed reference counts; a window is emitted once, when the watermark passes its end."""
+    """Windowed reference counts; a window is emitted once, when the watermark passes its end.
+
+    Hits are counted per pane first, so that the rows still open under the delay are one per pane
+    and reference and not one for every window over it; closed panes go on to their windows.
+    """
     refs = all_refs(df.withWatermark(ts, delay), text, ts, mode)
+    panes = refs.groupBy(F.window(ts, win.pane_width(size, slide)).alias("pane"), "reference").agg(
+        F.count("*").alias("n")
+    )
     return (
-        refs.groupBy(F.window(ts, size, slide).alias("window"), "reference")
-        .agg(F.count("*").alias("count"))
+        panes.groupBy(F.window(F.window_time("pane"), size, slide).alias("window"), "reference")
+        .agg(F.sum("n").alias("count"))
         .select(
             F.col("window.start").alias("window_start"),
             F.col("window.end").alias("window_end"),
@@ -51,77 +54,15 @@ def live_dedup(
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
-def keyword_refresher(
-    raw_path: str,
-    out_path: str,
-    size: str = keywords.SIZE,
-    slide: str = keywords.SLIDE,
-    ts: str = "timestamp",
-    schema: StructType | None = None,
-    **options,
-) -> Callable[[DataFrame, int], None]:
-    """For ``foreachBatch``: recompute from the raw table the windows that a batch touches.
-
-    The windows are replaced by partition, so running a batch again leaves the same result. Of the
-    raw table only the panes of those windows are tokenised, and where it is kept by day, only their
-    days are read: one late row costs its own windows, not the time in between.
-    """
-
-    def refresh(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        windows = (
-            batch.select(win.pane(ts, size, slide).alias("pane"))
-            .distinct()
-            .select(win.window_starts("pane", size, slide).alias("window_start"))
-            .distinct()
-            .select(*win.bounds(size))
-        )
-        touched = staged(windows, "touched-windows")
-        reader = spark.read.schema(schema) if schema else spark.read
-        raw = reader.parquet(raw_path)
-        if "day" in raw.columns:
-            edge = F.col("window_end") - F.expr("INTERVAL 1 MICROSECOND")
-            days = touched.select(
-                F.explode(F.sequence(F.to_date("window_start"), F.to_date(edge))).alias("day")
-            )
-            raw = raw.join(days.distinct(), "day", "left_semi")
-        panes = touched.select(
-            F.explode(
-                F.expr(
-                    f"sequence(window_start, window_end - INTERVAL {win.pane_width(size, slide)},"
-                    f" INTERVAL {win.pane_width(size, slide)})"
-                )
-            ).alias("_pane")
-        ).distinct()
-        needed = raw.withColumn("_pane", win.pane(ts, size, slide)).join(panes, "_pane", "left_semi")
-        top = keywords.windowed_top_keywords(needed.drop("_pane"), size, slide, ts=ts, **options)
-        write_partitioned(top.join(touched, keywords.WINDOW, "left_semi"), out_path)
-
-    return refresh
-
-
-def start_keyword_refresh(
-    stream: DataFrame,
-    raw_path: str,
-    out_path: str,
-    checkpoint: str,
-    every: str | None = "5 seconds",
-    **options,
-) -> StreamingQuery:
-    """Keep the keyword table current while ``stream`` brings the rows of ``raw_path``."""
-    refresh = keyword_refresher(raw_path, out_path, schema=stream.schema, **options)
-    return write_batches(stream, refresh, checkpoint, every)
-
-
 def score_batches(
     stream: DataFrame, path: str, checkpoint: str, every: str | None = "5 seconds", **options
 ) -> StreamingQuery:
     """Score a stream batch by batch, which allows dictionaries given as tables of any size."""
 
-    def score(batch: DataFrame, number: int) -> None:
-        write_batch(sentiment_table(batch, **options), path, number)
+    def score(batch: DataFrame, run: str, number: int) -> None:
+        write_batch(sentiment_table(batch, **options), path, f"{run}-{number}")
 
-    return write_batches(stream, score, checkpoint, every)
+    return start_landing(stream, score, checkpoint, every)
 
 
 def drain(spark: SparkSession, stream: DataFrame, path: str, checkpoint: str) -> DataFrame:

@@ -100,21 +100,6 @@ def test_live_sentiment_equals_batch(spark, folder):
     assert sorted(got.collect(), key=str) == sorted(sentiment_table(raw).collect(), key=str)
 
 
-def test_keyword_refresh_equals_batch_after_every_step(spark, folder):
-    window = {"size": "5 minutes", "slide": "1 minute"}
-    for part in (range(0, 50), range(50, 100), range(20, 30)):
-        feed(spark, folder("lines"), part)
-        land(spark, folder)
-        raw = files.read_raw(spark, folder("raw"))
-        stream = files.read_raw_stream(spark, folder("raw"), raw.schema)
-        live.start_keyword_refresh(
-            stream, folder("raw"), folder("out"), folder("state"), None, **window
-        ).awaitTermination()
-        got = files.read_results(spark, folder("out"))
-        want = keywords.windowed_top_keywords(raw, **window)
-        assert sorted(got.select(want.columns).collect()) == sorted(want.collect())
-
-
 def test_jobs_write_once_and_feed_the_dashboard(spark, folder):
     feed(spark, folder("lines"), range(0, 60))
     land(spark, folder)
