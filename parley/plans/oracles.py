@@ -165,18 +165,22 @@ FROM (SELECT *, row_number() OVER (PARTITION BY window_start, id
 WHERE rank <= 10"""
 
 
-def _global_tfidf(cut: str) -> str:
+def _global_tfidf(words: int | None = None) -> str:
+    """Window functions throughout: a table joined to what was made of it would be built twice."""
     return (
         _with(
             DOCS,
             _terms("docs"),
-            "tf AS (SELECT id, word, count(*) AS tf FROM terms GROUP BY ALL)",
-            "n AS (SELECT count(*) AS n_docs FROM docs)",
-            f"""vocabulary AS (
-  SELECT word, ln(CAST(any_value(n_docs) + 1 AS double) / (count(*) + 1)) AS idf
-  FROM tf, n GROUP BY word {cut})""",
+            "tf AS MATERIALIZED (SELECT id, word, count(*) AS tf FROM terms GROUP BY ALL)",
+            "n AS MATERIALIZED (SELECT count(*) AS n_docs FROM docs)",
+            """weighted AS (
+  SELECT id, word, tf, sum(tf) OVER same AS total,
+         ln(CAST(n_docs + 1 AS double) / (count(*) OVER same + 1)) AS idf
+  FROM tf, n WINDOW same AS (PARTITION BY word))""",
+            "ranked AS (SELECT *, dense_rank() OVER (ORDER BY total DESC, word) AS place FROM weighted)",
         )
-        + "SELECT id, word, round(tf * idf, 6) AS tfidf FROM tf JOIN vocabulary USING (word)"
+        + "SELECT id, word, round(tf * idf, 6) AS tfidf FROM "
+        + (f"ranked WHERE place <= {words}" if words else "weighted")
     )
 
 
@@ -243,15 +247,17 @@ TAGGED = """tagged AS (
   FROM lemma LEFT JOIN tag_table ON token = word)"""
 
 # Runs of equal tags, each with the word that follows it.
-RUNS = """runs AS (
-  SELECT id, tag, min(place) AS first_place, max(place) AS last_place, count(*) AS len,
-         string_agg(token, ' ' ORDER BY place) AS phrase
-  FROM (SELECT *, place - row_number() OVER (PARTITION BY id, tag ORDER BY place) AS run
-        FROM tagged) GROUP BY id, tag, run)"""
-
-CHUNKS = """SELECT r.id, r.phrase || ' ' || t.token AS chunk
-FROM runs r JOIN tagged t ON t.id = r.id AND t.place = r.last_place + 1
-WHERE r.tag = 'JJ' AND t.tag = 'NN'
+RUNS = """followed AS MATERIALIZED (
+  SELECT *, lead(token) OVER (PARTITION BY id ORDER BY place) AS next_token,
+         lead(tag) OVER (PARTITION BY id ORDER BY place) AS next_tag,
+         place - row_number() OVER (PARTITION BY id, tag ORDER BY place) AS run
+  FROM tagged),
+runs AS MATERIALIZED (
+  SELECT id, tag, count(*) AS len, string_agg(token, ' ' ORDER BY place) AS phrase,
+         last(next_token ORDER BY place) AS next_token, last(next_tag ORDER BY place) AS next_tag
+  FROM followed GROUP BY id, tag, run)"""
+
+CHUNKS = """SELECT id, phrase || ' ' || next_token AS chunk FROM runs WHERE tag = 'JJ' AND next_tag = 'NN'
 UNION ALL
 SELECT id, phrase AS chunk FROM runs WHERE tag = 'NN' AND len > 1"""
 
@@ -405,8 +411,9 @@ WHERE rank <= 10""",
     "tfidf_per_doc_all_words": _with(*_tfidf(stops=False)) + TOP_PER_DOC,
     "tfidf_top10_minute": _with(*_tfidf(size=60, slide=5)) + _top_pairs(60),
     "job_keywords": _with(*_tfidf(COMMENTS, "comments")) + TOP_PAIRS,
-    "tfidf_global": _global_tfidf(""),
-    "tfidf_global_top_words": _global_tfidf("ORDER BY sum(tf) DESC, word LIMIT 1000"),
+    "tfidf_global": _global_tfidf(),
+    "tfidf_global_top_words": _global_tfidf(1000),
+    "tfidf_vectors_pipeline": _global_tfidf(),
     "nlp_tokens": _with(DOCS, *_tokens()[:2])
     + """SELECT d.id, coalesce(string_agg(token, ' ' ORDER BY pos), '') AS tokens,
   CAST(count(token) AS int) AS n_tokens FROM docs d LEFT JOIN tokens USING (id) GROUP BY d.id""",
@@ -483,6 +490,13 @@ FROM (SELECT token AS word, count(*) AS n FROM clean GROUP BY token
     + f"""SELECT {RECORD_COLUMNS}, CAST(NULL AS varchar) AS title, CAST(NULL AS varchar) AS url,
   CAST(NULL AS int) AS num_comments, 'comment' AS kind FROM comments""",
     "job_quarantine": "SELECT unnest(string_split(text, chr(10))) AS value FROM conversations",
+    "job_dashboard": _with(COMMENTS, *_sentiment("comments"))
+    + HISTOGRAM.lstrip().replace("SELECT b.bin, round", ", bins AS (SELECT b.bin, round")
+    + """)
+SELECT 'mean_sentiment' AS chart, 'neutral' AS label, round(avg(neutral), 6) AS value FROM scores
+UNION ALL SELECT 'mean_sentiment', 'positive', round(avg(positive), 6) FROM scores
+UNION ALL SELECT 'mean_sentiment', 'negative', round(avg(negative), 6) FROM scores
+UNION ALL SELECT 'compound_histogram', CAST(bin AS varchar), CAST("count" AS double) FROM bins""",
     "job_references": _with(COMMENTS, REFS, REF_COUNTS) + COUNTS_OUT,
     "job_sentiment": _with(COMMENTS, *_sentiment("comments"))
     + """SELECT s.id, 'comment' AS kind, coalesce(line, '') AS processed_text,

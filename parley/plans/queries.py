@@ -236,6 +236,12 @@ def _tokenized(spark, sf_dir):
     return docs.transform(an.assemble_documents).transform(an.nlp_tokenize)
 
 
+def tfidf_vectors_pipeline(spark, sf_dir):
+    """By way of the estimators; their vocabulary takes in all words here, so no tie is cut."""
+    vectors = keywords.tfidf_vectors(tables.documents(spark, sf_dir), vocab_size=1 << 18)
+    return _rounded(vectors.filter("word != ''"))
+
+
 def nlp_tokens(spark, sf_dir):
     return _tokenized(spark, sf_dir).select(
         "id", line("tokenized").alias("tokens"), F.size("tokenized").alias("n_tokens")
@@ -653,6 +659,30 @@ def job_sentiment(spark, sf_dir):
     return scored.select("id", "kind", "processed_text", "compound", "positive", "neutral", "negative")
 
 
+def job_dashboard(spark, sf_dir):
+    """Two of the dashboard's charts over what the sentiment and reference jobs wrote."""
+    base = work_dir(spark, "job-dashboard")
+    raw = _raw(spark, sf_dir, base)
+    jobs.reference_job(spark, raw, f"{base}/references")
+    jobs.sentiment_job(
+        spark,
+        raw,
+        f"{base}/sentiment",
+        lexicon=small(lexicon(spark, sf_dir)),
+        lemmas=small(lemma_table(spark, sf_dir)),
+        boosters=QUERY_BOOSTERS,
+        negators=QUERY_NEGATORS,
+    )
+    board = jobs.dashboard(spark, f"{base}/sentiment", f"{base}/references")
+    means = board["mean_sentiment"].select(
+        F.lit("mean_sentiment").alias("chart"), F.col("sentiment").alias("label"), F.round("mean", 6).alias("value")
+    )
+    bins = board["compound_histogram"].select(
+        F.lit("compound_histogram"), F.col("bin").cast("string"), F.col("count").cast("double")
+    )
+    return means.union(bins)
+
+
 def append_twice(spark, sf_dir):
     """A plain append that runs twice keeps both copies."""
     path = f"{work_dir(spark, 'append')}/out"
@@ -721,6 +751,7 @@ QUERIES = {
         tfidf_top10_per_doc,
         tfidf_global,
         tfidf_global_top_words,
+        tfidf_vectors_pipeline,
         nlp_tokens,
         normalized_tokens,
         lemmas,
@@ -759,6 +790,7 @@ QUERIES = {
         job_references,
         job_keywords,
         job_sentiment,
+        job_dashboard,
         append_twice,
         json_round_trip,
         ref_counts_nested,
