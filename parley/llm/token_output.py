@@ -41,11 +41,12 @@ Batches = Iterator[pa.RecordBatch]
 def encoder(vocabulary: str, end_id: int, width: int) -> Callable[[Batches], Batches]:
     """(doc_id, text) to (doc_id, ids): little-endian ids of each whole text, then ``end_id``.
 
-    For vocabularies that drop white space. Null counts as empty and has the end id alone.
+    For vocabularies of lower-case letter runs that drop white space (``tokens.letter_runs``). Null
+    counts as empty and has the end id alone.
     """
 
     def encode(batches: Batches) -> Batches:
-        known = tokens.pieces_of(vocabulary, with_ids=True)
+        known = tokens.pieces_of(vocabulary, with_ids=True, split=tokens.letter_runs)
         if max(known.tokenizer.get_vocab_size(), end_id + 1) > 1 << 8 * width:
             raise ValueError(f"ids need more than {width} bytes")
         for whole in batches:
@@ -115,8 +116,8 @@ def write_files(
 ) -> DataFrame:
     """Writes the ids of ``docs`` under ``path``; (part, file, n_docs, n_ids) of the files.
 
-    Parts ascend by doc_id, nulls first; equal doc_ids share a file. Texts are exchanged once and
-    encoded where they are written. ``path`` is a folder that all executors share, given as a URI or
+    Parts ascend by doc_id, nulls first; equal ones follow each other, in several files if need be.
+    Texts are exchanged once and encoded where they are written. ``path`` is a folder that all executors share, given as a URI or
     a plain path.
     """
     ship(docs.sparkSession)
@@ -124,8 +125,10 @@ def write_files(
     texts = docs.select(F.col("doc_id").cast("long"), "text")
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = (
-        texts.repartitionByRange(max(1, -(-total // file_bytes)), "doc_id")
-        .sortWithinPartitions("doc_id")
+        texts.withColumn("row_id", F.monotonically_increasing_id())
+        .repartitionByRange(max(1, -(-total // file_bytes)), "doc_id", "row_id")
+        .sortWithinPartitions("doc_id", "row_id")
+        .drop("row_id")
         .mapInArrow(lambda batches: write(encode(batches)), "part long, file string, n_docs long, n_ids long")
     )
     return staged(parts, "token-files")
@@ -164,13 +167,19 @@ def read_files(parts: DataFrame, path: str) -> DataFrame:
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     placed = parts.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
     return (
-        placed.repartition(64, "part")
+        placed.repartition(max(1, parts.count()))
         .select("file", "base")
         .mapInArrow(scan, "doc_id long, start long, n_tokens long, ids_crc32 long")
     )
 
 
-def token_output(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, end_id: int = END_ID) -> DataFrame:
+def token_output(
+    docs: DataFrame,
+    path: str,
+    vocabulary: str = VOCABULARY,
+    end_id: int = END_ID,
+    file_bytes: int = FILE_BYTES,
+) -> DataFrame:
     """Encodes ``docs``, writes the files under ``path`` and reads them back.
 
     (doc_id, start, n_tokens, ids_crc32), one row per row of ``docs``: ids of all documents before
@@ -178,4 +187,4 @@ def token_output(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, end_i
     A null doc_id sorts first; rows that repeat a doc_id follow each other in any order. A null or
     empty text is the end id alone. No rows give no files and no rows; other columns are ignored.
     """
-    return read_files(write_files(docs, path, vocabulary, end_id), path)
+    return read_files(write_files(docs, path, vocabulary, end_id, file_bytes=file_bytes), path)

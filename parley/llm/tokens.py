@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -63,17 +64,38 @@ def blank_dropped(texts: pa.Array) -> pa.ListArray:
     return pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
 
 
+#: Visible ASCII but the apostrophe, and Latin-1 letters: no case or composition depends on context.
+_PLAIN = re.compile("[!-&(-~À-ÖØ-öø-ÿ]+")
+_RUNS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+
+
+def letter_runs(piece: str) -> list[str]:
+    """The parts of a piece that a vocabulary of lower-case letter runs never joins.
+
+    Such a pattern takes runs of letters, single digits and runs of other signs; only an apostrophe
+    joins them. What may depend on context, or hold a special token, stays whole.
+    """
+    if "<|" in piece or not _PLAIN.fullmatch(piece):
+        return [piece]
+    return _RUNS.findall(piece.lower())
+
+
 class Pieces:
-    """A worker's memory of encoded pieces: token counts, and ids where they are wanted."""
+    """A worker's memory of encoded pieces: token counts, and ids where they are wanted.
+
+    ``split`` may name parts whose ids make up a piece's; then only new parts are encoded.
+    """
 
-    def __init__(self, path: str, with_ids: bool, most: int = PIECES) -> None:
+    def __init__(
+        self, path: str, with_ids: bool, most: int = PIECES, split: Callable[[str], list[str]] | None = None
+    ) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.with_ids, self.most = with_ids, most
+        self.with_ids, self.most, self.split = with_ids, most, split
         self._clear()
 
     def _clear(self) -> None:
@@ -82,20 +104,45 @@ class Pieces:
         self.ids, self.used = np.zeros(1 << 14, np.uint32), 0
 
     def _learn(self, new: list[str]) -> None:
+        if self.split is None:
+            self._encode(new)
+            return
+        parts = [self.split(piece) for piece in new]
+        self._encode([p for p in set(chain.from_iterable(parts)) if p not in self.known])
+        made = [(piece, own) for piece, own in zip(new, parts, strict=True) if own != [piece]]
+        sizes = np.fromiter((len(own) for _, own in made), np.int64, len(made))
+        numbers = np.fromiter((self.known[p] for _, own in made for p in own), np.int64, int(sizes.sum()))
+        ends = np.concatenate([[0], np.cumsum(self.counts[numbers])])[np.cumsum(sizes)]
+        counts = np.diff(ends, prepend=0)
+        self._enter([piece for piece, _ in made], counts)
+        if self.with_ids:
+            each = self.counts[numbers]
+            at = np.repeat(self.starts[numbers] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+            self._store(len(made), counts, self.ids[at])
+
+    def _enter(self, pieces: list[str], counts: np.ndarray) -> None:
+        first = len(self.known)
+        self.known.update(zip(pieces, range(first, first + len(pieces)), strict=True))
+        self.counts = _room(self.counts, first + len(pieces))
+        self.counts[first : first + len(pieces)] = counts
+
+    def _store(self, pieces: int, counts: np.ndarray, ids: np.ndarray) -> None:
+        """The ids of the last ``pieces`` pieces entered."""
+        first = len(self.known) - pieces
+        self.starts, self.ids = _room(self.starts, len(self.known)), _room(self.ids, self.used + len(ids))
+        self.starts[first : len(self.known)] = self.used + np.cumsum(counts) - counts
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+
+    def _encode(self, new: list[str]) -> None:
         new.sort(key=len)
         for call in _calls(new):
             got = self.tokenizer.encode_batch_fast(call, add_special_tokens=False)
-            first = len(self.known)
             counts = np.fromiter(map(len, got), np.int64, len(got))
-            self.known.update(zip(call, range(first, first + len(call)), strict=True))
-            self.counts = _room(self.counts, first + len(call))
-            self.counts[first : first + len(call)] = counts
+            self._enter(call, counts)
             if self.with_ids:
-                total = int(counts.sum())
-                self.starts, self.ids = _room(self.starts, first + len(call)), _room(self.ids, self.used + total)
-                self.starts[first : first + len(call)] = self.used + np.cumsum(counts) - counts
-                self.ids[self.used : self.used + total] = np.fromiter((i for e in got for i in e.ids), np.uint32, total)
-                self.used += total
+                ids = np.fromiter((i for e in got for i in e.ids), np.uint32, int(counts.sum()))
+                self._store(len(call), counts, ids)
 
     def look_up(self, pieces: pa.Array) -> np.ndarray:
         """The number of each piece; pieces are learned as needed."""
@@ -133,13 +180,14 @@ def _calls(texts: list[str]) -> Iterator[list[str]]:
 _WORKER: dict[tuple, Pieces] = {}
 
 
-def pieces_of(name: str, with_ids: bool) -> Pieces:
+def pieces_of(name: str, with_ids: bool, split: Callable[[str], list[str]] | None = None) -> Pieces:
     """The worker's pieces for a vocabulary file: a path, or the name of a public one."""
-    key = (name, with_ids)
+    key = (name, with_ids, split)
     if key not in _WORKER:
         import public_tokenizers
 
-        _WORKER[key] = Pieces(name if os.sep in name else public_tokenizers.path(name), with_ids)
+        path = name if os.sep in name else public_tokenizers.path(name)
+        _WORKER[key] = Pieces(path, with_ids, split=split)
     return _WORKER[key]
 
 
