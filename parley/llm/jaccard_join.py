@@ -8,8 +8,10 @@
    clusters, and a cluster's links answer for all of its members.
 4. The same lists then give the pairs that lie in different clusters, all of them. Lists are cut into
    blocks by position; two blocks whose best possible overlap is too small are skipped.
-5. What two prefixes share bounds what the sets can share; only pairs within the bound have their
-   whole sets compared.
+5. A bitmap of each set, a bit per hash class that an odd number of its shingles fall into, bounds
+   what a pair can share before the pair leaves its list: two sets differ in at least as many
+   shingles as their bitmaps do in bits. What two prefixes share is the next bound; only pairs within
+   both have their whole sets compared.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ FREQUENT = 1 << 17
 BLOCK = 64
 SHORT = 8
 CHECKS = 256
+#: Bits of a set's bitmap; for sets of many more shingles it bounds little.
+BITMAP = 512
 #: 64-bit words of the filter that picks the documents whose sets are needed again.
 FILTER_WORDS = 1 << 17
 
@@ -87,7 +91,7 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def signatures(docs: DataFrame, words: int, percent: int, frequent: tuple) -> DataFrame:
-    """(doc_id, n, digest, prefix) of each document: set size, set digest, leading shingles."""
+    """(doc_id, n, digest, bitmap, prefix) of each document: set size and digest, leading shingles."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,26 +112,34 @@ def signatures(docs: DataFrame, words: int, percent: int, frequent: tuple) -> Da
 
         for whole in batches:
             for batch in tokens.slices(whole, "text"):
-                sizes, digests, prefixes = [], [], []
+                sizes, digests, bitmaps, prefixes = [], [], [], []
                 for found in shingles.shingle_sets(batch.column("text"), words):
                     sizes.append(len(found))
                     digests.append(hashlib.blake2b(found, digest_size=16).digest() if len(found) else None)
+                    bitmaps.append(bitmap(found))
                     prefixes.append(prefix(found) if len(found) else None)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id"),
                         pa.array(sizes, pa.int32()),
                         pa.array(digests, pa.binary()),
+                        pa.array(bitmaps, pa.binary()),
                         pa.array(prefixes, pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n", "digest", "prefix"],
+                    ["doc_id", "n", "digest", "bitmap", "prefix"],
                 )
 
     return docs.select("doc_id", "text").mapInArrow(
-        sign, "doc_id long, n int, digest binary, prefix array<long>"
+        sign, "doc_id long, n int, digest binary, bitmap binary, prefix array<long>"
     )
 
 
+def bitmap(found: np.ndarray) -> bytes:
+    """Which hash classes an odd number of shingles fall into."""
+    classes = (found >> np.uint64(64 - BITMAP.bit_length() + 1)).astype(np.int64)
+    return np.packbits((np.bincount(classes, minlength=BITMAP) & 1).astype(bool)).tobytes()
+
+
 def _wanted(n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
     """The least intersection at which two sizes reach the threshold."""
     return -(-percent * (n_a + n_b) // (100 + percent))
@@ -199,7 +211,7 @@ def prefix_overlap(pairs: DataFrame, lists: DataFrame) -> DataFrame:
 def cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
     """(a, b), a < b: pairs of a list in different clusters that can reach the threshold.
 
-    ``lists``: (shingle, doc, n, at, cluster). Lists within one cluster are gone before this.
+    ``lists``: (shingle, doc, n, at, cluster, bitmap). Lists within one cluster are gone before this.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,17 +237,22 @@ def cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
 def _batches_and_end(batches):
     for batch in batches:
         if batch.num_rows:
-            yield [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]
+            *numbers, bitmaps = batch.columns
+            bits = np.frombuffer(b"".join(bitmaps.to_pylist()), np.uint64).reshape(batch.num_rows, -1)
+            yield [*(c.to_numpy(zero_copy_only=False).astype(np.int64) for c in numbers), bits]
     yield None
 
 
 def _list_pairs(columns: list[np.ndarray], percent: int) -> Iterator[np.ndarray]:
-    key, doc, n, at, cluster = columns
+    key, doc, n, at, cluster, bits = columns
 
     def chosen(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         pick = cluster[x] != cluster[y]
         pick &= _may_link(n[x], at[x], n[y], at[y], percent)
-        left, right = doc[x][pick], doc[y][pick]
+        x, y = x[pick], y[pick]
+        apart = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64)
+        near = apart <= n[x] + n[y] - 2 * _wanted(n[x], n[y], percent)
+        left, right = doc[x][near], doc[y][near]
         return np.stack([np.minimum(left, right), np.maximum(left, right)], axis=1)
 
     starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
@@ -374,7 +391,9 @@ def jaccard_join(docs: DataFrame, words: int = shingles.WORDS, percent: int = PE
     mixed = labelled.groupBy("shingle").agg(F.min("cluster").alias("c0"), F.max("cluster").alias("c1"))
     mixed = mixed.filter("c0 < c1").select("shingle")
     across = labelled.join(mixed, "shingle", "left_semi")
-    rest = cross_pairs(across, percent).distinct().join(first, ["a", "b"], "left_anti")
+    bitmaps = signed.join(heads, ["digest", "doc_id"]).select(F.col("doc_id").alias("doc"), "bitmap")
+    marked = across.join(bitmaps, "doc").select("shingle", "doc", "n", "at", "cluster", "bitmap")
+    rest = cross_pairs(marked, percent).distinct().join(first, ["a", "b"], "left_anti")
     rest = within_bound(prefix_overlap(staged(rest, "jaccard-rest"), across), percent)
     more = similar_pairs(docs, rest, words, percent)
     final = components(links.union(more), "jaccard-components").toDF("stands", "component_id")

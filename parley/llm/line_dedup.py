@@ -287,11 +287,34 @@ def segment_rows(lines: DataFrame, edits: int, percent: int | None, probes: bool
     return keys.select(F.explode("keys").alias("key"), "k1", F.lit(int(probes)).alias("longer"))
 
 
+def sketch(line: str) -> Column:
+    """128 bits: which hash classes an odd number of the line's pairs of characters fall into.
+
+    An edit takes away two pairs and brings two at most, so it changes four bits at most.
+    """
+    chars = _characters(F.concat(F.lit(" "), F.col(line)))
+
+    def half(k: int) -> Column:
+        def bit(c: Column, i: Column) -> Column:
+            place = F.pmod(F.xxhash64(c, F.get(chars, i + 1)), F.lit(128)).cast("int")
+            one = F.call_function("shiftleft", F.lit(1).cast("long"), place % 64)
+            return F.when(F.floor(place / 64) == k, one).otherwise(F.lit(0).cast("long"))
+
+        return F.aggregate(F.transform(chars, bit), F.lit(0).cast("long"), lambda a, b: a.bitwiseXOR(b))
+
+    return F.array(half(0), half(1))
+
+
+def sketch_distance() -> str:
+    """SQL for the bits in which the sketches of a pair differ."""
+    return "(bit_count(sketch_a[0] ^ sketch[0]) + bit_count(sketch_a[1] ^ sketch[1]))"
+
+
 def far_lines(docs: DataFrame, unique: DataFrame, edits: int, percent: int | None) -> DataFrame:
     """(k1, k2) of distinct lines that have an earlier line within a threshold of two edits or more.
 
     In a large group all lines are compared with the first one; then only those that it doesn't
-    explain are compared with all others.
+    explain are compared with all others, and only where their sketches are near enough.
     """
     lines = corpus_lines(docs).select("k1", "line")
     base = segment_rows(lines, edits, percent, probes=False)
@@ -309,20 +332,23 @@ def far_lines(docs: DataFrame, unique: DataFrame, edits: int, percent: int | Non
     wanted = rows.select(*LINE).distinct()
     texts = maybe_in(corpus_lines(docs).select(*LINE, "line"), "k1", key_filter(wanted, "k1")).filter("maybe")
     texts = texts.join(wanted, LINE, "left_semi").groupBy(*LINE).agg(F.any_value("line").alias("line"))
-    texts = staged(texts, "line-segment-texts")
+    texts = staged(texts.withColumn("sketch", sketch("line")), "line-segment-texts")
+    rows = rows.join(texts.select(*LINE, "sketch"), LINE)
 
     def later_of(pairs: DataFrame) -> DataFrame:
         """The later line of those pairs (k1_a, k2_a, earlier; k1, k2) that are within the threshold."""
-        a, b = texts.toDF("k1_a", "k2_a", "line_a"), texts
+        b = texts.drop("sketch")
+        a = b.toDF("k1_a", "k2_a", "line_a")
         pairs = pairs.select("k1_a", "k2_a", *LINE).distinct().join(a, ["k1_a", "k2_a"]).join(b, LINE)
         pairs = pairs.withColumn("short", F.expr("least(char_length(line_a), char_length(line))"))
         pairs = pairs.withColumn("apart", F.levenshtein("line_a", "line", edits))
         return pairs.filter(f"apart >= 0 and apart <= {_limit('short', edits, percent)}").select(*LINE).distinct()
 
     def pairs_of(a: DataFrame, b: DataFrame) -> DataFrame:
-        a = a.select("key", *[F.col(c).alias(f"{c}_a") for c in (*LINE, "first", "longer", "n_chars")])
+        a = a.select("key", *[F.col(c).alias(f"{c}_a") for c in (*LINE, "first", "longer", "n_chars", "sketch")])
         pairs = a.join(b, "key").filter("first_a < first and longer_a + longer < 2")
-        return pairs.filter(f"abs(n_chars_a - n_chars) <= {edits}")
+        budget = _limit("least(n_chars_a, n_chars)", edits, percent)
+        return pairs.filter(f"abs(n_chars_a - n_chars) <= {budget} and {sketch_distance()} <= 4 * {budget}")
 
     size = F.col("n_base") + F.col("n_longer")
     large = rows.filter(size > GROUP)

@@ -109,3 +109,20 @@ def test_thresholds_over_one_edit(as_docs, monkeypatch, edits, percent, group):
     got = {r.doc_id: r.n_dropped for r in line_dedup(as_docs(list(enumerate(lines))), edits, percent).collect()}
     assert got == {i: int(any(near(line, x) for x in lines[:i])) for i, line in enumerate(lines)}
     assert 0 < sum(got.values()) < len(lines)
+
+
+def test_sketches_bound_the_distance(spark):
+    rng = random.Random(8)
+    pairs = []
+    for k in range(300):
+        line = "".join(rng.choices("abcde fgh日é", k=rng.randint(30, 80)))
+        other = line
+        for _ in range(k % 9):
+            other = edited(rng, other)
+        pairs.append((line, other))
+    pairs += [("a" * 40, "b" * 40), ("", "abc"), ("aa", "aaa")]
+    rows = spark.createDataFrame(pairs, "a string, b string")
+    rows = rows.select("a", "b", module.sketch("a").alias("sketch_a"), module.sketch("b").alias("sketch"))
+    got = rows.withColumn("bits", F.expr(module.sketch_distance())).collect()
+    assert all(r.bits <= 4 * distance(r.a, r.b) for r in got)
+    assert sum(r.bits > 0 for r in got) > 200
