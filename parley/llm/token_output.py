@@ -46,12 +46,12 @@ def encoder(vocabulary: str, end_id: int, width: int) -> Callable[[Batches], Bat
     """
 
     def encode(batches: Batches) -> Batches:
-        known = tokens.pieces_of(vocabulary, with_ids=True, split=tokens.letter_runs)
+        known = tokens.pieces_of(vocabulary, with_ids=True)
         if max(known.tokenizer.get_vocab_size(), end_id + 1) > 1 << 8 * width:
             raise ValueError(f"ids need more than {width} bytes")
         for whole in batches:
             for batch in tokens.slices(whole, "text"):
-                lists = tokens.blank_dropped(batch.column("text"))
+                lists = tokens.letter_runs(batch.column("text"))
                 numbers = known.look_up(lists.flatten())
                 counts = known.counts[numbers]
                 total = tokens.sums(counts, lists)

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Iterator
-from itertools import chain
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from parley.llm.shingles import string_bytes
+
 #: Text handled at a time, and text given to the library in one call.
 BATCH_BYTES = 4 << 20
 CALL_BYTES = 256 << 10
@@ -58,44 +59,70 @@ def blank_kept(texts: pa.Array) -> pa.ListArray:
     return pa.concat_arrays([fast, slow]).take(pa.array(order))
 
 
-def blank_dropped(texts: pa.Array) -> pa.ListArray:
-    """Pieces between blanks and line ends, for patterns that drop white space."""
-    texts = pc.fill_null(texts, "").cast(pa.large_string())
-    return pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+def _kinds() -> np.ndarray:
+    """What each byte is: 0 blank or line end, 1 letter, 2 digit, 3 another sign, 4 left alone."""
+    kinds = np.full(256, 4, np.uint8)
+    kinds[0x21:0x7F] = 3
+    kinds[[0x20, 0x0A]] = 0
+    kinds[[*range(0x41, 0x5B), *range(0x61, 0x7B), 0xC3, *range(0x80, 0xC0)]] = 1
+    kinds[0x30:0x3A] = 2
+    kinds[0x27] = 4
+    return kinds
 
 
-#: Visible ASCII but the apostrophe, and Latin-1 letters: no case or composition depends on context.
-_PLAIN = re.compile("[!-&(-~À-ÖØ-öø-ÿ]+")
-_RUNS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+_KIND = _kinds()
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 32
 
 
-def letter_runs(piece: str) -> list[str]:
-    """The parts of a piece that a vocabulary of lower-case letter runs never joins.
+def letter_runs(texts: pa.Array) -> pa.LargeListArray:
+    """Pieces that a vocabulary of lower-case letter runs never joins, in lower case.
 
-    Such a pattern takes runs of letters, single digits and runs of other signs; only an apostrophe
-    joins them. What may depend on context, or hold a special token, stays whole.
+    Such a pattern drops white space and takes runs of letters, single digits and runs of other
+    signs; only an apostrophe joins them. So text of ASCII and Latin-1 letters is cut there. What
+    lies between blanks and holds anything else (an apostrophe, a special token, other scripts,
+    signs that compose) is one piece as it stands, and left to the library.
     """
-    if "<|" in piece or not _PLAIN.fullmatch(piece):
-        return [piece]
-    return _RUNS.findall(piece.lower())
+    data, offsets = string_bytes(texts)
+    kind = _KIND[data]
+    after = np.concatenate([np.zeros(1, np.uint8), data[:-1]])  # the byte before each
+    kind[(after == 0xC3) & ((data == 0x97) | (data == 0xB7))] = 4
+    kind[(after == ord("<")) & (data == ord("|"))] = 4
+    kept = kind != 0
+    first = kept.copy()
+    first[1:] &= ~kept[:-1]
+    edges = offsets[:-1][offsets[:-1] < offsets[1:]]
+    first[edges] = kept[edges]
+    places = np.concatenate([[0], np.cumsum(kept)])[offsets]
+    data, kind, after, first = data[kept], kind[kept], after[kept], first[kept]
+    starts = np.flatnonzero(first)
+    if not len(starts):
+        none = pa.array([], pa.large_string())
+        return pa.LargeListArray.from_arrays(pa.array(np.zeros(len(texts) + 1, np.int64)), none)
+    alone = np.logical_or.reduceat(kind == 4, starts)
+    plain = ~np.repeat(alone, np.diff(np.append(starts, len(data))))
+    cut = kind == 2
+    cut[1:] |= kind[1:] != kind[:-1]
+    cut = first | (cut & plain)
+    capital = (after == 0xC3) & (data >= 0x80) & (data < 0x9F)
+    data = np.where(plain, np.where(capital, data + np.uint8(32), _LOWER[data]), data)
+    cuts = np.flatnonzero(cut)
+    ends = pa.py_buffer(np.append(cuts, len(data)).astype(np.int64))
+    pieces = pa.LargeStringArray.from_buffers(len(cuts), ends, pa.py_buffer(np.ascontiguousarray(data)))
+    return pa.LargeListArray.from_arrays(pa.array(np.searchsorted(cuts, places)), pieces)
 
 
 class Pieces:
-    """A worker's memory of encoded pieces: token counts, and ids where they are wanted.
-
-    ``split`` may name parts whose ids make up a piece's; then only new parts are encoded.
-    """
+    """A worker's memory of encoded pieces: token counts, and ids where they are wanted."""
 
-    def __init__(
-        self, path: str, with_ids: bool, most: int = PIECES, split: Callable[[str], list[str]] | None = None
-    ) -> None:
+    def __init__(self, path: str, with_ids: bool, most: int = PIECES) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.with_ids, self.most, self.split = with_ids, most, split
+        self.with_ids, self.most = with_ids, most
         self._clear()
 
     def _clear(self) -> None:
@@ -104,45 +131,20 @@ class Pieces:
         self.ids, self.used = np.zeros(1 << 14, np.uint32), 0
 
     def _learn(self, new: list[str]) -> None:
-        if self.split is None:
-            self._encode(new)
-            return
-        parts = [self.split(piece) for piece in new]
-        self._encode([p for p in set(chain.from_iterable(parts)) if p not in self.known])
-        made = [(piece, own) for piece, own in zip(new, parts, strict=True) if own != [piece]]
-        sizes = np.fromiter((len(own) for _, own in made), np.int64, len(made))
-        numbers = np.fromiter((self.known[p] for _, own in made for p in own), np.int64, int(sizes.sum()))
-        ends = np.concatenate([[0], np.cumsum(self.counts[numbers])])[np.cumsum(sizes)]
-        counts = np.diff(ends, prepend=0)
-        self._enter([piece for piece, _ in made], counts)
-        if self.with_ids:
-            each = self.counts[numbers]
-            at = np.repeat(self.starts[numbers] - (np.cumsum(each) - each), each) + np.arange(each.sum())
-            self._store(len(made), counts, self.ids[at])
-
-    def _enter(self, pieces: list[str], counts: np.ndarray) -> None:
-        first = len(self.known)
-        self.known.update(zip(pieces, range(first, first + len(pieces)), strict=True))
-        self.counts = _room(self.counts, first + len(pieces))
-        self.counts[first : first + len(pieces)] = counts
-
-    def _store(self, pieces: int, counts: np.ndarray, ids: np.ndarray) -> None:
-        """The ids of the last ``pieces`` pieces entered."""
-        first = len(self.known) - pieces
-        self.starts, self.ids = _room(self.starts, len(self.known)), _room(self.ids, self.used + len(ids))
-        self.starts[first : len(self.known)] = self.used + np.cumsum(counts) - counts
-        self.ids[self.used : self.used + len(ids)] = ids
-        self.used += len(ids)
-
-    def _encode(self, new: list[str]) -> None:
         new.sort(key=len)
         for call in _calls(new):
             got = self.tokenizer.encode_batch_fast(call, add_special_tokens=False)
+            first = len(self.known)
             counts = np.fromiter(map(len, got), np.int64, len(got))
-            self._enter(call, counts)
+            self.known.update(zip(call, range(first, first + len(call)), strict=True))
+            self.counts = _room(self.counts, first + len(call))
+            self.counts[first : first + len(call)] = counts
             if self.with_ids:
-                ids = np.fromiter((i for e in got for i in e.ids), np.uint32, int(counts.sum()))
-                self._store(len(call), counts, ids)
+                total = int(counts.sum())
+                self.starts, self.ids = _room(self.starts, first + len(call)), _room(self.ids, self.used + total)
+                self.starts[first : first + len(call)] = self.used + np.cumsum(counts) - counts
+                self.ids[self.used : self.used + total] = np.fromiter((i for e in got for i in e.ids), np.uint32, total)
+                self.used += total
 
     def look_up(self, pieces: pa.Array) -> np.ndarray:
         """The number of each piece; pieces are learned as needed."""
@@ -180,14 +182,13 @@ def _calls(texts: list[str]) -> Iterator[list[str]]:
 _WORKER: dict[tuple, Pieces] = {}
 
 
-def pieces_of(name: str, with_ids: bool, split: Callable[[str], list[str]] | None = None) -> Pieces:
+def pieces_of(name: str, with_ids: bool) -> Pieces:
     """The worker's pieces for a vocabulary file: a path, or the name of a public one."""
-    key = (name, with_ids, split)
+    key = (name, with_ids)
     if key not in _WORKER:
         import public_tokenizers
 
-        path = name if os.sep in name else public_tokenizers.path(name)
-        _WORKER[key] = Pieces(path, with_ids, split=split)
+        _WORKER[key] = Pieces(name if os.sep in name else public_tokenizers.path(name), with_ids)
     return _WORKER[key]
 
 

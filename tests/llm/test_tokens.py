@@ -28,8 +28,7 @@ def library(name, texts):
 
 
 def by_pieces(name, split, texts):
-    parts = tokens.letter_runs if name == WORD else None
-    known = tokens.Pieces(public_tokenizers.path(name), with_ids=True, split=parts)
+    known = tokens.Pieces(public_tokenizers.path(name), with_ids=True)
     lists = split(pa.array(texts, pa.string()))
     numbers = known.look_up(lists.flatten())
     ids = [known.ids[known.starts[n] : known.starts[n] + known.counts[n]] for n in numbers]
@@ -40,7 +39,7 @@ def by_pieces(name, split, texts):
     return out
 
 
-@pytest.mark.parametrize("name, split", [(BYTE, tokens.blank_kept), (WORD, tokens.blank_dropped)])
+@pytest.mark.parametrize("name, split", [(BYTE, tokens.blank_kept), (WORD, tokens.letter_runs)])
 def test_pieces_give_the_librarys_ids(name, split):
     assert by_pieces(name, split, TRICKY) == library(name, TRICKY)
 
@@ -48,18 +47,18 @@ def test_pieces_give_the_librarys_ids(name, split):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(st.sampled_from("ab 'sÄßÉ,;-5×té\n\t ́😀1.<|endoftext|>"), max_size=40), min_size=1, max_size=5))
 def test_any_text(texts):
-    for name, split in ((BYTE, tokens.blank_kept), (WORD, tokens.blank_dropped)):
+    for name, split in ((BYTE, tokens.blank_kept), (WORD, tokens.letter_runs)):
         assert by_pieces(name, split, texts) == library(name, texts)
 
 
-def test_parts_of_pieces_are_encoded_once():
-    known = tokens.Pieces(public_tokenizers.path(WORD), with_ids=True, split=tokens.letter_runs)
-    asked, encode = [], known._encode
-    known._encode = lambda new: (asked.extend(new), encode(new))
-    pieces = ["Word,", "word", "WORD!", "(word)", "word's", "x1y2", "12"]
-    for _ in range(2):
-        known.look_up(pa.array(pieces))
-    assert sorted(asked) == sorted({"word", ",", "!", "(", ")", "word's", "x", "y", "1", "2"})
+def test_letter_runs():
+    texts = ["Word, WORD!(word)", None, "word's x1y2 12", "", " \n ", "ÀÉß×é é<|x 東京 a\tb", "end"]
+    assert tokens.letter_runs(pa.array(texts)).to_pylist() == [
+        ["word", ",", "word", "!(", "word", ")"], [], ["word's", "x", "1", "y", "2", "1", "2"], [], [],
+        ["ÀÉß×é", "é<|x", "東京", "a\tb"], ["end"],
+    ]
+    assert tokens.letter_runs(pa.array(["ÀÉß é", "A"])[1:]).to_pylist() == [["a"]]
+    assert tokens.letter_runs(pa.array([], pa.string())).to_pylist() == []
 
 
 def test_output_in_several_files(spark):
