@@ -53,6 +53,7 @@ def frequent_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarr
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
         held, size = [], 0
 
         def report() -> pa.RecordBatch:

@@ -164,6 +164,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LAND
     The sample is taken by a hash of doc_id, so it doesn't depend on row order. None without any.
     """
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
         for whole in batches:
             for batch in tokens.slices(whole, "text"):
                 found = pa.array(list(grams(batch.column("text"))), pa.list_(pa.int64()))
@@ -286,6 +287,7 @@ def rejection_levels(docs: DataFrame, model: Model, per_language: int = PER_LANG
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
         for whole in batches:
             for batch in tokens.slices(whole, "text", 1 << 20):
                 _, has_letter, known = shared.value.evidence(batch.column("text"))
@@ -328,6 +330,7 @@ def keep_identified(
         return has_letter & (score >= least) & (known >= levels[best])
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
         for whole in batches:
             for batch in tokens.slices(whole, "text", 1 << 20):
                 yield batch.filter(pa.array(claimed(batch.column("text"))))

@@ -28,6 +28,8 @@ LEAST_CHARS = 20
 GROUP = 16
 PARTS = 8
 LINE = ["k1", "k2"]
+#: Characters that a line's sketch counts; others bound nothing.
+COUNTED = " etaoinsrhldcumgpf0123"
 #: 64-bit words of the filter on segments.
 SEGMENT_WORDS = 1 << 21
 
@@ -288,26 +290,14 @@ def segment_rows(lines: DataFrame, edits: int, percent: int | None, probes: bool
 
 
 def sketch(line: str) -> Column:
-    """128 bits: which hash classes an odd number of the line's pairs of characters fall into.
-
-    An edit takes away two pairs and brings two at most, so it changes four bits at most.
-    """
-    chars = _characters(F.concat(F.lit(" "), F.col(line)))
-
-    def half(k: int) -> Column:
-        def bit(c: Column, i: Column) -> Column:
-            place = F.pmod(F.xxhash64(c, F.get(chars, i + 1)), F.lit(128)).cast("int")
-            one = F.call_function("shiftleft", F.lit(1).cast("long"), place % 64)
-            return F.when(F.floor(place / 64) == k, one).otherwise(F.lit(0).cast("long"))
-
-        return F.aggregate(F.transform(chars, bit), F.lit(0).cast("long"), lambda a, b: a.bitwiseXOR(b))
-
-    return F.array(half(0), half(1))
+    """How often some letters occur. An edit takes away one character and brings one at most."""
+    size = F.length(line)
+    return F.array(*[size - F.length(F.replace(F.col(line), F.lit(c), F.lit(""))) for c in COUNTED])
 
 
 def sketch_distance() -> str:
-    """SQL for the bits in which the sketches of a pair differ."""
-    return "(bit_count(sketch_a[0] ^ sketch[0]) + bit_count(sketch_a[1] ^ sketch[1]))"
+    """SQL for how far the counts of a pair are apart: twice the edits at most."""
+    return "(" + " + ".join(f"abs(sketch_a[{i}] - sketch[{i}])" for i in range(len(COUNTED))) + ")"
 
 
 def far_lines(docs: DataFrame, unique: DataFrame, edits: int, percent: int | None) -> DataFrame:
@@ -348,7 +338,7 @@ def far_lines(docs: DataFrame, unique: DataFrame, edits: int, percent: int | Non
         a = a.select("key", *[F.col(c).alias(f"{c}_a") for c in (*LINE, "first", "longer", "n_chars", "sketch")])
         pairs = a.join(b, "key").filter("first_a < first and longer_a + longer < 2")
         budget = _limit("least(n_chars_a, n_chars)", edits, percent)
-        return pairs.filter(f"abs(n_chars_a - n_chars) <= {budget} and {sketch_distance()} <= 4 * {budget}")
+        return pairs.filter(f"abs(n_chars_a - n_chars) <= {budget} and {sketch_distance()} <= 2 * {budget}")
 
     size = F.col("n_base") + F.col("n_longer")
     large = rows.filter(size > GROUP)

@@ -182,6 +182,11 @@ def _calls(texts: list[str]) -> Iterator[list[str]]:
 _WORKER: dict[tuple, Pieces] = {}
 
 
+def forget() -> None:
+    """Frees what a worker remembers, for tasks of other kinds that run in it later."""
+    _WORKER.clear()
+
+
 def pieces_of(name: str, with_ids: bool) -> Pieces:
     """The worker's pieces for a vocabulary file: a path, or the name of a public one."""
     key = (name, with_ids)
