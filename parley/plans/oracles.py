@@ -246,6 +246,71 @@ TAGGED = """tagged AS (
          row_number() OVER (PARTITION BY id ORDER BY pos) AS place
   FROM lemma LEFT JOIN tag_table ON token = word)"""
 
+TAG_OPTIONS = """options AS (
+  SELECT word, CASE right(word, 1) WHEN 'n' THEN 'JJ|NN' WHEN 'y' THEN 'RB' ELSE 'NN|VB' END AS tags
+  FROM bench WHERE right(word, 1) IN ('n', 'y', 'e'))"""
+
+
+def _sequence_tags(rounds: int = 4) -> str:
+    """Rounds of learning spelled out, then the best path through each run of open tokens."""
+    learning = ["weights0 AS (SELECT DISTINCT t, u, 1.0::double AS w FROM tag_pairs)"]
+    for k in range(1, rounds + 1):
+        learning.append(f"""weights{k} AS MATERIALIZED (
+  SELECT t, u, sum(n * w / total) AS w
+  FROM (SELECT t, u, n, w, sum(w) OVER (PARTITION BY a, b) AS total
+        FROM tag_pairs JOIN weights{k - 1} USING (t, u)) GROUP BY t, u)""")
+    parts = _with(
+        DOCS,
+        *_tokens(),
+        TAG_OPTIONS,
+        """sets AS MATERIALIZED (
+  SELECT id, tags, row_number() OVER (PARTITION BY id ORDER BY pos) AS place
+  FROM (SELECT id, pos, coalesce(tags, 'NN') AS tags FROM lemma LEFT JOIN options ON token = word))""",
+        """set_pairs AS MATERIALIZED (
+  SELECT a, b, count(*) AS n FROM (
+    SELECT tags AS a, coalesce(lead(tags) OVER (PARTITION BY id ORDER BY place), '$') AS b FROM sets
+    UNION ALL SELECT '^', tags FROM sets WHERE place = 1) GROUP BY a, b)""",
+        """tag_pairs AS MATERIALIZED (
+  SELECT a, b, n, t, unnest(string_split(b, '|')) AS u
+  FROM (SELECT a, b, n, unnest(string_split(a, '|')) AS t FROM set_pairs))""",
+        *learning,
+        f"""costs AS MATERIALIZED (
+  SELECT t, u, CAST(round(-1000000 * ln((w + 0.1)
+           / (sum(w) OVER (PARTITION BY t) + 0.1 * count(*) OVER (PARTITION BY t)))) AS bigint) AS cost
+  FROM (SELECT l.t, r.u, coalesce(w, 0) AS w
+        FROM (SELECT DISTINCT t FROM tag_pairs) l CROSS JOIN (SELECT DISTINCT u FROM tag_pairs) r
+        LEFT JOIN weights{rounds} k ON k.t = l.t AND k.u = r.u))""",
+        """open_tokens AS MATERIALIZED (
+  SELECT *, place - row_number() OVER (PARTITION BY id ORDER BY place) AS run
+  FROM (SELECT *, coalesce(lag(tags) OVER same, '^') AS before, coalesce(lead(tags) OVER same, '$') AS after
+        FROM sets WINDOW same AS (PARTITION BY id ORDER BY place))
+  WHERE contains(tags, '|'))""",
+        """choices AS MATERIALIZED (SELECT *, unnest(string_split(tags, '|')) AS tag FROM open_tokens)""",
+        """paths AS (
+  SELECT id, run, place, tag, after, cost, before AS back
+  FROM choices JOIN costs ON t = before AND u = tag WHERE NOT contains(before, '|')
+  UNION ALL
+  SELECT c.id, c.run, c.place, c.tag, c.after, min(p.cost + k.cost),
+         min({'cost': p.cost + k.cost, 'tag': p.tag}).tag
+  FROM paths p JOIN choices c ON c.id = p.id AND c.run = p.run AND c.place = p.place + 1
+  JOIN costs k ON k.t = p.tag AND k.u = c.tag
+  GROUP BY c.id, c.run, c.place, c.tag, c.after)""",
+        """chosen AS (
+  SELECT p.id, p.run, p.place, min({'cost': p.cost + k.cost, 'tag': p.tag, 'back': p.back}) AS best
+  FROM paths p JOIN costs k ON k.t = p.tag AND k.u = p.after
+  WHERE NOT contains(p.after, '|') GROUP BY p.id, p.run, p.place
+  UNION ALL
+  SELECT p.id, p.run, p.place, {'cost': p.cost, 'tag': p.tag, 'back': p.back}
+  FROM chosen c JOIN paths p ON p.id = c.id AND p.run = c.run AND p.place = c.place - 1 AND p.tag = c.best.back)""",
+    )
+    return (
+        parts.replace("WITH ", "WITH RECURSIVE ", 1)
+        + """SELECT d.id, coalesce(l.line, '') AS tags FROM docs d LEFT JOIN (
+  SELECT s.id, string_agg(coalesce(c.best.tag, s.tags), ' ' ORDER BY s.place) AS line
+  FROM sets s LEFT JOIN chosen c ON c.id = s.id AND c.place = s.place GROUP BY s.id) l USING (id)"""
+    )
+
+
 # Runs of equal tags, each with the word that follows it.
 RUNS = """followed AS MATERIALIZED (
   SELECT *, lead(token) OVER (PARTITION BY id ORDER BY place) AS next_token,
@@ -422,6 +487,7 @@ WHERE rank <= 10""",
     "lemmas_joined": _lines("lemma", "lemmas"),
     "lemmas_without_stopwords": _lines("clean", "lemmas"),
     "pos_tags": _lines("tagged", "tags", "tag", (TAG_TABLE, TAGGED)),
+    "pos_tags_sequence": _sequence_tags(),
     "noun_chunks": _with(DOCS, *_tokens(), TAG_TABLE, TAGGED, RUNS) + CHUNKS,
     "processed_text": _lines("clean", "processed_text"),
     "sentiment_scores": _with(*SCORES) + SCORE_ROWS,
@@ -452,6 +518,20 @@ FROM (SELECT token AS word, count(*) AS n FROM clean GROUP BY token
       ORDER BY n DESC, word LIMIT 200)""",
     "compound_histogram": _with(*SCORES) + HISTOGRAM.lstrip(),
     "compound_density": _with(*SCORES) + DENSITY.lstrip(),
+    "value_density_binned": """
+WITH scores AS (SELECT sqrt(value) AS x FROM events WHERE value IS NOT NULL),
+stats AS (SELECT min(x) AS low, max(x) AS high, count(*) AS n, stddev_samp(x) * pow(count(*), -0.2) AS h FROM scores),
+spots AS (
+  SELECT place, least(CAST(floor(place) AS bigint), 2047) AS cell
+  FROM (SELECT (x - low) / (high - low) * 2048 AS place FROM scores, stats)),
+grid AS (
+  SELECT cell, sum(weight) AS weight FROM (
+    SELECT cell, 1 - (place - cell) AS weight FROM spots
+    UNION ALL SELECT cell + 1, place - cell FROM spots) GROUP BY cell)
+SELECT CAST(p AS int) AS point, round(low + p * (high - low) / 199.0, 6) AS x,
+  round(sum(weight * exp(-pow((low + p * (high - low) / 199.0 - (low + cell * (high - low) / 2048.0)) / h, 2) / 2))
+        / (any_value(n) * any_value(h) * sqrt(2 * pi())), 6) AS density
+FROM grid, stats, range(200) AS g(p) GROUP BY p, low, high""",
     "simulated_sentiment": _with(COMMENTS)
     + f"""SELECT id, score / 100.0::double AS compound, score / 200.0::double AS neutral,
   score / 300.0::double AS positive, score / 400.0::double AS negative,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from parley.functions import text as tx
 from parley.functions.lookup import small
 from parley.operators import annotate as an
-from parley.operators import insights, keywords, references, snapshots
+from parley.operators import insights, keywords, references, sequence_tags, snapshots
 from parley.operators.sentiment import sentiment_table
 from parley.plans import jobs
 from parley.schemas import COMMENT_FIELDS, COMMENT_SCHEMA
@@ -287,6 +287,21 @@ def pos_tags(spark, sf_dir):
     )
 
 
+def tag_options(spark, sf_dir):
+    """Words of the benchmark texts with one or two tags each, by their last letter."""
+    last = F.right("word", F.lit(1))
+    tags = F.when(last == "n", "JJ|NN").when(last == "y", "RB").when(last == "e", "NN|VB")
+    return _benchmark_words(spark, sf_dir).select("word", tags.alias("tags")).filter("tags is not null")
+
+
+def pos_tags_sequence(spark, sf_dir):
+    """Tags by a model of what follows what, learned from the documents."""
+    lemmas = _lemmas(spark, sf_dir).select("id", "lemmatized")
+    sets = staged(sequence_tags.tag_sets(lemmas, small(tag_options(spark, sf_dir))), "tag-sets")
+    tagged = sequence_tags.sequence_tag(sets, sequence_tags.learn(sets))
+    return tagged.select("id", line("pos").alias("tags"))
+
+
 def noun_chunks(spark, sf_dir):
     return an.noun_chunks(
         tables.documents(spark, sf_dir),
@@ -367,6 +382,13 @@ def compound_density(spark, sf_dir):
     return curve.transform(_rounded, "x").transform(_rounded, "density")
 
 
+def value_density_binned(spark, sf_dir):
+    """The density of values that hardly repeat, binned on the way."""
+    events = tables.table(spark, sf_dir, "events").select(F.sqrt("value").alias("value"))
+    curve = insights.compound_density(events, "value", cells=2048)
+    return curve.transform(_rounded, "x").transform(_rounded, "density")
+
+
 def simulated_sentiment(spark, sf_dir):
     simulated = insights.simulated_sentiment(tables.comments(spark, sf_dir), "ts")
     return simulated.withColumn(
@@ -758,6 +780,7 @@ QUERIES = {
         lemmas_joined,
         lemmas_without_stopwords,
         pos_tags,
+        pos_tags_sequence,
         noun_chunks,
         processed_text,
         sentiment_scores,
@@ -768,6 +791,7 @@ QUERIES = {
         word_frequencies,
         compound_histogram,
         compound_density,
+        value_density_binned,
         simulated_sentiment,
         latest_rows,
         reference_view,
