@@ -21,9 +21,10 @@ from pyspark.sql.window import Window
 from parley.llm import tokens
 from parley.llm.common import ship
 
-#: Bounds of the fit: training texts and landmarks of a language, characters told apart.
+#: Bounds of the fit: training texts and landmarks of a language.
 PER_LANGUAGE = 200
 LANDMARKS = 24
+#: The most usual letters, whose n-grams have a dense table; those with others are looked up by code.
 ALPHABET = 126
 RIDGE = 1e-2
 #: A text is rejected under this part of the share of known 3-grams that nearly all learned texts reach.
@@ -94,9 +95,11 @@ def grams(texts: pa.Array) -> Iterator[np.ndarray]:
 @dataclass
 class Model:
     languages: list[str]
-    alphabet: np.ndarray  # code point -> number; 0 for other characters, 1 for other letters
+    alphabet: np.ndarray  # code point -> number; 0 for other characters, 1 for less usual letters
     base: int  # how many numbers there are
-    numbers: np.ndarray  # n-gram code -> its column, or the last one for unknown n-grams
+    numbers: np.ndarray  # n-gram of usual letters -> its column, or the last one for unknown n-grams
+    rare: np.ndarray  # codes of n-grams with less usual letters, as ``grams`` has them, sorted
+    rare_columns: np.ndarray  # their columns
     landmarks: np.ndarray  # columns x landmarks, rows over their norm
     outputs: np.ndarray  # landmarks x languages
 
@@ -108,15 +111,20 @@ class Model:
         three = p[:-2] * base**2 + p[1:-1] * base + p[2:]
         return [one, two, three]
 
+    def _rare_column(self, points: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+        """Columns of the n-grams of k + 1 characters that begin at ``at``."""
+        code = points[at] + 1
+        for j in range(1, k + 1):
+            code = code << 21 | (points[at + j] + 1)
+        spot = np.minimum(np.searchsorted(self.rare, code), len(self.rare) - 1)
+        return np.where(self.rare[spot] == code, self.rare_columns[spot], self.landmarks.shape[0])
+
     def outputs_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Each text's classifier outputs, and whether it holds a letter."""
         return self.evidence(texts)[:2]
 
     def evidence(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``outputs_of`` and, of the 3-grams of each text, the share that the model knows.
-
-        3-grams that hold a letter outside the alphabet are unknown.
-        """
+        """``outputs_of`` and, of the 3-grams of each text, the share that the model knows."""
         n, width = len(texts), self.landmarks.shape[0]
         present = np.zeros((n, width + 1), bool)
         has_letter = np.zeros(n, bool)
@@ -125,17 +133,20 @@ class Model:
         for points, owner in parts(texts):
             has_letter[owner[points > 0]] = True
             numbered = self.alphabet[points]
-            for code in self.codes(numbered):
+            less_usual = numbered == 1
+            for k, code in enumerate(self.codes(numbered)):
                 first = owner[: len(code)]
                 whole = first == owner[len(owner) - len(code) :]
                 if len(points) - len(code) == 2:
                     whole &= points[1:-1] > 0
-                column = self.numbers[code[whole]]
+                column = self.numbers[code]
+                if len(self.rare) and less_usual.any():
+                    here = np.flatnonzero(np.logical_or.reduce([less_usual[j : j + len(code)] for j in range(k + 1)]))
+                    column[here] = self._rare_column(points, here, k)
+                column = column[whole]
                 flat[first[whole] * (width + 1) + column] = True
                 if len(points) - len(code) == 2:
-                    strange = numbered == 1
-                    sure = (column < width) & ~(strange[:-2] | strange[1:-1] | strange[2:])[whole]
-                    known += np.bincount(first[whole][sure], minlength=n)
+                    known += np.bincount(first[whole][column < width], minlength=n)
                     whole_count += np.bincount(first[whole], minlength=n)
         present = present[:, :width].astype(np.float32)
         norm = np.sqrt(np.maximum(present.sum(axis=1, keepdims=True), 1))
@@ -196,30 +207,29 @@ def _solve(labels: list[str], sets: list[np.ndarray], landmarks: int) -> Model:
     alphabet[known] = np.arange(2, len(known) + 2)
 
     base = len(known) + 2
-    model = Model(sorted(set(labels)), alphabet, base, np.zeros(0), np.zeros((0, 0)), np.zeros((0, 0)))
+    empty = np.zeros(0, np.int64)
+    model = Model(sorted(set(labels)), alphabet, base, empty, empty, empty, np.zeros((0, 0)), np.zeros((0, 0)))
     held = []
     mask = (1 << 21) - 1
     for found in sets:
         grams_of = [found[(found >= 1 << 21 * k) & (found < 1 << 21 * (k + 1))] for k in range(3)]
-        # all n-grams of a text as a run of characters each: then the codes are those of predict
-        held.append(
-            np.unique(
-                np.concatenate(
-                    [
-                        model.codes(np.stack([alphabet[(g >> 21 * j & mask) - 1] for j in range(k, -1, -1)]))[k].ravel()
-                        for k, g in enumerate(grams_of)
-                    ]
-                )
-            )
-        )
+        # n-grams as runs of characters each: the codes of predict, below 0 with less usual letters
+        codes = []
+        for k, g in enumerate(grams_of):
+            numbers = np.stack([alphabet[(g >> 21 * j & mask) - 1] for j in range(k, -1, -1)])
+            rare = (numbers == 1).any(axis=0)
+            codes += [model.codes(numbers[:, ~rare])[k].ravel(), -g[rare]]
+        held.append(np.unique(np.concatenate(codes)))
     codes, uses = np.unique(np.concatenate(held), return_counts=True)
     codes = codes[uses > 1] if (uses > 1).any() else codes
+    usual = codes >= 0
     model.numbers = np.full(base**3 + base**2 + base, len(codes), np.int32)
-    model.numbers[codes] = np.arange(len(codes))
-    rows = np.zeros((len(held), len(codes) + 1), np.float32)
+    model.numbers[codes[usual]] = np.flatnonzero(usual)
+    model.rare, model.rare_columns = -codes[~usual][::-1], np.flatnonzero(~usual)[::-1]
+    rows = np.zeros((len(held), len(codes)), np.float32)
     for i, h in enumerate(held):
-        rows[i, model.numbers[h]] = 1
-    rows = rows[:, :-1]
+        spot = np.minimum(np.searchsorted(codes, h), len(codes) - 1)
+        rows[i, spot[codes[spot] == h]] = 1
     rows /= np.sqrt(np.maximum(rows.sum(axis=1, keepdims=True), 1))
 
     marks, seen = [], {}

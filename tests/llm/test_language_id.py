@@ -112,3 +112,28 @@ def test_without_labels_texts_with_letters_stay(labelled):
     unlabelled = labelled.withColumn("lang", F.lit(None).cast("string"))
     ids = {r.doc_id for r in keep_identified(unlabelled).collect()}
     assert ids == {None, *range(240)}
+
+
+def test_scripts_with_more_letters_than_the_table(spark):
+    """Two of them share a script and differ in which of its many characters they use."""
+    rng = random.Random(9)
+    signs = {
+        "one": [chr(0x4E00 + 3 * i) for i in range(900)],
+        "two": [chr(0x4E01 + 3 * i) for i in range(900)],
+        "greek": [chr(c) for c in range(0x3B1, 0x3C9)],
+        "hangul": [chr(0xAC00 + 7 * i) for i in range(600)],
+    }
+    rows = []
+    for i in range(400):
+        lang = rng.choice(sorted(signs))
+        weights = [1 / (k + 1) for k in range(len(signs[lang]))]
+        rows.append((i, "".join(rng.choices([*signs[lang], " "], [*weights, 0.5], k=rng.choice([30, 120]))), lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    true = {i: lang for i, _, lang in rows}
+    got = language_id(docs, per_language=60, landmarks=12).collect()
+    assert sum(r.lang_pred == true[r.doc_id] for r in got if r.held_out) >= 0.97 * sum(r.held_out for r in got)
+    assert keep_identified(docs).count() >= 390
+    foreign = spark.createDataFrame(
+        [(1000 + i, "".join(rng.choices([chr(0x0E01 + c) for c in range(40)], k=80)), None) for i in range(20)], docs.schema
+    )
+    assert keep_identified(docs.union(foreign)).filter("doc_id >= 1000").count() == 0
