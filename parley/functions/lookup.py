@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from parley.session import staged
 
 SMALL = 50_000
+#: Parts that a word's occurrences are dealt into before they meet the dictionary.
+SALTS = 8
 
 Dictionary = Mapping[str, object] | DataFrame
 
@@ -68,13 +70,16 @@ def join_lookup(
 
     Rows are written once with a number of their own, so copies of one text don't meet in one task.
     Each task's tokens are cut down to distinct words before they meet the dictionary, and only
-    words that it holds come back.
+    words that it holds come back: a copy for each part of their occurrences, so that a word that
+    every text holds doesn't fill one task.
     """
     rows = staged(df.withColumn("_row", F.monotonically_increasing_id()), "lookup-rows")
-    exploded = rows.select("_row", F.posexplode(tokens).alias("pos", "word"))
+    salt = F.pmod("_row", F.lit(SALTS)).cast("int").alias("salt")
+    exploded = rows.select("_row", salt, F.posexplode(tokens).alias("pos", "word"))
     known = exploded.select("word").distinct().join(_unique_words(dictionary), "word")
+    known = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     found = (
-        exploded.join(known, "word")
+        exploded.join(known, ["word", "salt"])
         .groupBy("_row")
         .agg(F.map_from_entries(F.collect_list(F.struct("pos", "value"))).alias("_found"))
     )

@@ -242,18 +242,49 @@ def doc_top_keywords(
 
     Ids must be unique; run ``dedup_records`` or ``latest_snapshot`` first where polls repeat.
     Pairs are salted by id and the vocabulary, ``vocab_size`` words a window, is copied for each
-    salt, so a word that most texts share doesn't fill one task.
+    salt, so a word that most texts share doesn't fill one task. Of a text's words only those that
+    can place in some window are copied to its windows.
     """
     terms = staged(pane_terms(df, size, slide, ts, text, [id], **options), "pane-terms")
-    vocabulary = _vocabulary(terms, size, slide, vocab_size, min_df)
+    vocabulary = staged(_vocabulary(terms, size, slide, vocab_size, min_df), "vocabulary")
     salt = F.pmod(F.xxhash64(id), F.lit(SALTS)).cast("int")
     pairs = terms.filter(F.col("word") != "").withColumn("salt", salt)
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    scored = _score(pairs, vocabulary.withColumn("salt", salts), size, slide, ["salt"])
+    salted = vocabulary.withColumn("salt", salts)
+    scored = _score(_able_to_place(pairs, salted, size, slide, k, id), salted, size, slide, ["salt"])
     ranked = best(scored, ["window_start", id], [_best_first(), "word"], k, "rank", "word")
     return ranked.select(*WINDOW, id, "word", "tfidf", "rank")
 
 
+def _able_to_place(
+    pairs: DataFrame, vocabulary: DataFrame, size: str, slide: str, k: int, id: str
+) -> DataFrame:
+    """The pairs (pane, id, word, tf, salt) that may be among a text's k best in some window.
+
+    A word's idf differs from window to window. If k words of a text score at least x in every
+    window over it, a word that scores less than x in each of them can't place.
+    """
+    step = F.expr(f"INTERVAL {win.pane_width(size, slide)}")
+    panes = F.explode(F.sequence(F.col("window_start"), F.col("window_end") - step, step))
+    ranges = (
+        vocabulary.select("salt", "word", "idf", panes.alias("pane"))
+        .groupBy("pane", "word", "salt")
+        .agg(F.min("idf").alias("low"), F.max("idf").alias("high"), F.count("*").alias("held"))
+    )
+    windows = -(-win.duration_seconds(size) // win.duration_seconds(slide))
+    sure = F.when(F.col("held") >= windows, F.col("tf") * F.col("low"))
+    own = Window.partitionBy(id).orderBy(F.col("sure").desc_nulls_last())
+    whole = own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    slack = 2 * 10.0**-TIE_DECIMALS
+    return (
+        pairs.join(ranges, ["pane", "word", "salt"])
+        .withColumn("sure", sure)
+        .withColumn("bar", F.nth_value("sure", k).over(whole))
+        .filter(F.col("bar").isNull() | (F.col("tf") * F.col("high") + slack >= F.col("bar")))
+        .select(*pairs.columns)
+    )
+
+
 def tfidf_global(
     df: DataFrame,
     id: str = "id",
