@@ -46,18 +46,25 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-#: 64-bit words of a key filter: 2**18 rows at most, whatever the number of keys.
+#: 64-bit words of a key filter, whatever the number of keys, and how many of them are one row: a
+#: broadcast row costs as much again as a few words.
 FILTER_WORDS = 1 << 18
+LANES = 8
 
 
-def key_filter(keys: DataFrame, key: str, size: int = FILTER_WORDS) -> DataFrame:
-    """A Bloom filter over hashed ``key`` (long): at most ``size`` rows (word, bits)."""
+def _spot(key: str, size: int) -> tuple[Column, Column, Column]:
+    """(row, lane, bit) of a hashed key."""
     slot = F.pmod(F.col(key), F.lit(64 * size))
-    return (
-        keys.select(F.shiftright(slot, 6).alias("word"), (slot % 64).cast("int").alias("bit"))
-        .groupBy("word")
-        .agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits"))
-    )
+    lane = F.pmod(F.shiftright(slot, 6), F.lit(LANES)).cast("int")
+    return F.shiftright(slot, 6 + LANES.bit_length() - 1), lane, (slot % 64).cast("int")
+
+
+def key_filter(keys: DataFrame, key: str, size: int = FILTER_WORDS) -> DataFrame:
+    """A Bloom filter over hashed ``key`` (long): at most ``size`` / LANES rows (word, bits of each lane)."""
+    word, lane, bit = _spot(key, size)
+    lanes = [F.expr(f"bit_or(if(lane = {i}, shiftleft(1L, bit), 0L))").alias(f"bits{i}") for i in range(LANES)]
+    spots = keys.select(word.alias("word"), lane.alias("lane"), bit.alias("bit"))
+    return spots.groupBy("word").agg(*lanes)
 
 
 def maybe_in(df: DataFrame, key: str, words: DataFrame, size: int = FILTER_WORDS) -> DataFrame:
@@ -65,13 +72,15 @@ def maybe_in(df: DataFrame, key: str, words: DataFrame, size: int = FILTER_WORDS
 
     Saves the shuffle of most rows that a later join on the key would find nothing for.
     """
-    slot = F.pmod(F.col(key), F.lit(64 * size))
-    bit = F.expr(f"shiftrightunsigned(_bits, cast(pmod({key}, {64 * size}L) % 64 as int)) & 1L")
-    small = F.broadcast(words.toDF("_word", "_bits"))
+    word, lane, bit = _spot(key, size)
+    own = F.coalesce(*[F.when(lane == i, F.col(f"_bits{i}")) for i in range(LANES)])
+    hit = F.call_function("shiftrightunsigned", own, bit).bitwiseAND(F.lit(1).cast("long")) == 1
+    lanes = [f"_bits{i}" for i in range(LANES)]
+    small = F.broadcast(words.toDF("_word", *lanes))
     return (
-        df.join(small, F.shiftright(slot, 6) == F.col("_word"), "left")
-        .withColumn("maybe", F.coalesce(bit == 1, F.lit(False)))
-        .drop("_word", "_bits")
+        df.join(small, word == F.col("_word"), "left")
+        .withColumn("maybe", F.coalesce(hit, F.lit(False)))
+        .drop("_word", *lanes)
     )
 
 
