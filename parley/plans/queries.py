@@ -567,7 +567,7 @@ def _board(spark, sf_dir):
     base = work_dir(spark, "board")
     columns = ["id", "ts", "compound", *insights.SENTIMENTS, "finished_no_stop_lemmatized"]
     scored = _scored(rows, spark, sf_dir).select(*columns)
-    table = kept.BoardTable(spark, f"{base}/kept", scored.schema, ts="ts", fold_at=3)
+    table = kept.BoardTable(spark, f"{base}/kept", scored.schema, ts="ts")
     kept.start(scored, table, f"{base}/state", every=None).awaitTermination()
     return table.read()
 
