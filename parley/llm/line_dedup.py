@@ -363,6 +363,9 @@ def line_dedup(docs: DataFrame, edits: int = EDITS, percent: int | None = None)
     other. Columns of ``docs`` keep their place, ``n_chars`` follows the text where there is one, and
     columns named n_lines or n_dropped are replaced. No rows give no rows.
     """
+    if "maybe" in docs.columns:  # a working column has that name
+        out = line_dedup(docs.withColumnRenamed("maybe", "_own_maybe"), edits, percent)
+        return out.withColumnRenamed("_own_maybe", "maybe")
     unique = staged(distinct_lines(docs), "line-unique")
     near = near_lines(docs, unique)
     if edits > EDITS:
