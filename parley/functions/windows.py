@@ -63,6 +63,20 @@ def with_blocks(df: DataFrame, size: str, slide: str) -> DataFrame:
     return blocks.filter((F.col("_edge") == first) | (F.col("block") > first)).drop("_edge")
 
 
+def _in_windows(panes: DataFrame, size: str, slide: str) -> DataFrame:
+    """Adds ``window_start``: a row for each window over ``pane`` that starts in ``block``.
+
+    As ``window_starts``, which makes Spark forget how rows were dealt; an explode doesn't.
+    """
+    width, step = (F.expr(f"INTERVAL {duration_seconds(d)} seconds") for d in (size, slide))
+    back = (-(-duration_seconds(size) // duration_seconds(slide)) - 1) * duration_seconds(slide)
+    last = F.window("pane", f"{duration_seconds(slide)} seconds")["start"]
+    starts = F.sequence(last - F.expr(f"INTERVAL {back} seconds"), last, step)
+    start, block_start = F.col("window_start"), F.col("block")
+    over = (start + width > F.col("pane")) & (start >= block_start) & (start < block_start + width)
+    return panes.withColumn("window_start", F.explode(starts)).filter(over)
+
+
 def window_totals(
     panes: DataFrame, keys: Sequence[str], totals: Sequence[Column], size: str, slide: str
 ) -> DataFrame:
@@ -74,10 +88,24 @@ def window_totals(
     width = F.expr(f"INTERVAL {duration_seconds(size)} seconds")
     own = panes.withColumn("block", block("pane", size))
     both = own.withColumn("block", F.explode(F.array(F.col("block"), F.col("block") - width)))
-    dealt = both.repartition("block", *keys).withColumn(
-        "window_start", window_starts("pane", size, slide)
-    )
-    inside = (F.col("window_start") >= F.col("block")) & (
-        F.col("window_start") < F.col("block") + width
-    )
-    return dealt.filter(inside).groupBy("block", *keys, "window_start").agg(*totals).drop("block")
+    dealt = _in_windows(both.repartition("block", *keys), size, slide)
+    return dealt.groupBy("block", *keys, "window_start").agg(*totals).drop("block")
+
+
+def block_totals(
+    panes: DataFrame, keys: Sequence[str], totals: Sequence[Column], size: str, slide: str
+) -> DataFrame:
+    """(block, window_start, keys.., totals..): ``window_totals`` with each window whole in one task.
+
+    ``block`` is the stretch of time that a window starts in, and rows are dealt by it alone, so what
+    ranks them by block and window needs no further exchange. A task holds the distinct keys of its
+    blocks, not the rows behind them. The number of tasks follows from the windows over a pane, which
+    multiply the rows after the exchange.
+    """
+    width = F.expr(f"INTERVAL {duration_seconds(size)} seconds")
+    over = -(-duration_seconds(size) // duration_seconds(slide))
+    tasks = int(panes.sparkSession.conf.get("spark.sql.shuffle.partitions")) * max(1, -(-over // 4))
+    own = panes.withColumn("block", block("pane", size))
+    both = own.withColumn("block", F.explode(F.array(F.col("block"), F.col("block") - width)))
+    dealt = _in_windows(both.repartition(tasks, "block"), size, slide)
+    return dealt.groupBy("block", "window_start", *keys).agg(*totals)

@@ -108,32 +108,33 @@ def windowed_vocabulary(
     texts along, which saves a join.
     """
     terms = pane_terms(df, size, slide, ts, text, [], **options)
-    return _vocabulary(terms, size, slide, vocab_size, min_df)
+    return _vocabulary(terms, size, slide, vocab_size, min_df).drop("block", "top")
 
 
 def _vocabulary(terms: DataFrame, size: str, slide: str, vocab_size: int, min_df: int) -> DataFrame:
+    """``windowed_vocabulary`` of ``pane_terms``, with each word's highest tf in one text (``top``).
+
+    Windows stay whole in a task, dealt by ``block``, from their sums to the ranking of their words.
+    """
     per_pane = terms.groupBy("pane", "word").agg(
-        F.count("*").alias("df"), F.sum("tf").alias("tf")
+        F.count("*").alias("df"), F.sum("tf").alias("tf"), F.max("tf").alias("top")
     )
-    totals = [F.sum("df").alias("df"), F.sum("tf").alias("total_tf")]
-    per_window = win.window_totals(per_pane, ["word"], totals, size, slide).filter(
+    totals = [F.sum("df").alias("df"), F.sum("tf").alias("total_tf"), F.max("top").alias("top")]
+    per_window = win.block_totals(per_pane, ["word"], totals, size, slide).filter(
         (F.col("df") >= min_df) | (F.col("word") == "")
     )
-    kept = best(
-        per_window.withColumn("is_marker", F.col("word") == ""),
-        ["window_start", "is_marker"],
-        [F.col("total_tf").desc(), "word"],
-        vocab_size,
-        "place",
-        "word",
-    )
-    texts = F.max(F.when(F.col("is_marker"), F.col("df"))).over(
-        Window.partitionBy("window_start")
+    window = Window.partitionBy("block", "window_start")
+    ranked = Window.partitionBy("block", "window_start", "is_marker").orderBy(F.col("total_tf").desc(), "word")
+    kept = (
+        per_window.withColumn("is_marker", F.col("word") == "")
+        .withColumn("place", F.row_number().over(ranked))
+        .filter(F.col("place") <= vocab_size)
     )
+    texts = F.max(F.when(F.col("is_marker"), F.col("df"))).over(window)
     return (
         kept.withColumn("n_docs", texts)
         .filter(~F.col("is_marker"))
-        .select(*win.bounds(size), "word", "total_tf", "df", "n_docs")
+        .select(*win.bounds(size), "word", "total_tf", "df", "n_docs", "top", "block")
         .transform(inverse_doc_freq)
     )
 
@@ -163,12 +164,15 @@ def windowed_top_keywords(
     ranks each word by its best text. Ties go to the smaller word, then the higher tf, then the
     smaller id.
 
-    Within a window all pairs of one word share the idf, so only its k highest tf can place. That
-    also holds within each pane, so all but k pairs per (pane, word) drop out before the pairs meet
-    the vocabulary. Texts are tokenised once; both sides come from what that wrote.
+    Within a window all pairs of one word share the idf, so a word's best pair has its highest tf, and
+    a word places only if fewer than k words have a better best pair. So the sums that rank a window's
+    vocabulary also pick its k words, in the same task, and pairs are looked up for those alone.
+    Texts are tokenised once; for pairs both sides come from what that wrote.
     """
-    extra = [id] if grain == "doc_word" else []
-    terms = staged(pane_terms(df, size, slide, ts, text, extra, **options), "pane-terms")
+    if grain == "word":
+        terms = pane_terms(df, size, slide, ts, text, [], **options)
+    else:
+        terms = staged(pane_terms(df, size, slide, ts, text, [id], **options), "pane-terms")
     return top_of_terms(terms, size, slide, k, id, grain, vocab_size, min_df)
 
 
@@ -182,24 +186,25 @@ def top_of_terms(
     vocab_size: int = VOCAB_SIZE,
     min_df: int = 1,
 ) -> DataFrame:
-    """``windowed_top_keywords`` from stored ``pane_terms``, which are read twice."""
+    """``windowed_top_keywords`` from stored ``pane_terms``, which are read twice (for words: once)."""
     if grain not in ("doc_word", "word"):
         raise ValueError(f"grain is 'doc_word' or 'word', not {grain!r}")
-    vocabulary = _vocabulary(terms, size, slide, vocab_size, min_df)
-    pairs = terms.filter(F.col("word") != "")
+    by_score = Window.partitionBy("block", "window_start").orderBy(_best_first(), "word")
+    words = (
+        _vocabulary(terms, size, slide, vocab_size, min_df)
+        .withColumn("tfidf", F.col("top") * F.col("idf"))
+        .withColumn("rank", F.row_number().over(by_score))
+        .filter(F.col("rank") <= k)
+    )
     if grain == "word":
-        per_pane = pairs.groupBy("pane", "word").agg(F.max("tf").alias("tf"))
-        scored = (
-            _score(per_pane, vocabulary, size, slide)
-            .groupBy(*WINDOW, "word")
-            .agg(F.max("tfidf").alias("tfidf"))
-        )
-        ties = ["word"]
-    else:
-        per_pane = best(pairs, ["pane", "word"], [F.col("tf").desc(), id], k, "place", id)
-        scored = _score(per_pane, vocabulary, size, slide)
-        ties = ["word", F.col("tf").desc(), id]
-    ranked = best(scored, ["window_start"], [_best_first(), *ties], k, "rank", "word")
+        return words.select("word", "tfidf", "rank", *WINDOW)
+    words = staged(words.select(*WINDOW, "word", "idf"), "placing-words")
+    blocks = win.with_blocks(words, size, slide).select("block", "word").distinct()
+    pairs = terms.filter(F.col("word") != "").withColumn("block", win.block("pane", size))
+    pairs = pairs.join(blocks, ["block", "word"], "left_semi").drop("block")
+    per_pane = best(pairs, ["pane", "word"], [F.col("tf").desc(), id], k, "place", id)
+    scored = _score(per_pane, words, size, slide)
+    ranked = best(scored, ["window_start"], [_best_first(), "word", F.col("tf").desc(), id], k, "rank", "word")
     return ranked.select("word", "tfidf", "rank", *WINDOW)
 
 
@@ -246,7 +251,8 @@ def doc_top_keywords(
     can place in some window are copied to its windows.
     """
     terms = staged(pane_terms(df, size, slide, ts, text, [id], **options), "pane-terms")
-    vocabulary = staged(_vocabulary(terms, size, slide, vocab_size, min_df), "vocabulary")
+    vocabulary = _vocabulary(terms, size, slide, vocab_size, min_df).drop("block", "top")
+    vocabulary = staged(vocabulary, "vocabulary")
     salt = F.pmod(F.xxhash64(id), F.lit(SALTS)).cast("int")
     pairs = terms.filter(F.col("word") != "").withColumn("salt", salt)
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))

@@ -165,3 +165,28 @@ def test_window_texts_keep_every_row(spark):
 def test_bad_grain(spark):
     with pytest.raises(ValueError):
         kw.windowed_top_keywords(docs(spark, "x"), grain="page")
+
+
+@pytest.mark.parametrize("size, slide", [("60 seconds", "5 seconds"), ("50 minutes", "20 minutes"), ("1 hour", "1 hour")])
+def test_windows_are_counted_and_ranked_in_one_task(spark, size, slide):
+    df = docs(spark, "cat dog", "cat", "eel")
+    for found in (
+        kw.windowed_vocabulary(df, size, slide),
+        kw.windowed_top_keywords(df, size, slide, grain="word"),
+    ):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2, plan
+
+
+def test_only_placing_words_meet_the_pairs(spark, monkeypatch):
+    stored = {}
+
+    def noted(df, name):
+        stored[name] = df.persist()
+        return stored[name]
+
+    monkeypatch.setattr(kw, "staged", noted)
+    df = docs(spark, "a1 a1 a1 b1 c1", "a1 b1 d1 d1", "e1", minutes=1)
+    top = kw.windowed_top_keywords(df, **ONE, k=2).collect()
+    assert [(r["word"], r["rank"]) for r in sorted(top, key=lambda r: r["rank"])] == [("d1", 1), ("a1", 2)]
+    assert sorted(r["word"] for r in stored["placing-words"].collect()) == ["a1", "d1"]
