@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parley.session import staged
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -44,13 +46,23 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compose_comments(docs: DataFrame, spark: SparkSession, sf_dir: str, *also: str) -> DataFrame:
+    """The comments of ``docs``, which may be a stream of rows of the documents table.
+
+    What a number stands for is put together on rows without texts, so texts are exchanged once; for
+    a stream it is stored, so that its batches don't put it together again.
+    """
     moments, count = _moments(spark, sf_dir)
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     page_count = pages.count() or 1
-    return (
-        docs.withColumns({"moment": F.col("doc_id") % count, "page_id": F.col("doc_id") % page_count})
+    numbers = table(spark, sf_dir, "documents").select("doc_id").distinct()
+    facts = (
+        numbers.withColumns({"moment": F.col("doc_id") % count, "page_id": F.col("doc_id") % page_count})
         .join(moments, "moment")
         .join(pages, "page_id", "left")
+        .select("doc_id", "user_id", "ts", "value", "url")
+    )
+    return (
+        docs.join(staged(facts, "facts") if docs.isStreaming else facts, "doc_id")
         .select(
             F.col("doc_id").cast("string").alias("id"),
             F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("author"),
@@ -79,9 +91,10 @@ def timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def compose_timeline(docs: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     moments, count = _moments(spark, sf_dir)
+    times = moments.select("moment", "ts")
     return (
         docs.withColumn("moment", F.col("doc_id") % count)
-        .join(moments.select("moment", "ts"), "moment")
+        .join(staged(times, "times") if docs.isStreaming else times, "moment")
         .select(F.col("doc_id").cast("string").alias("id"), "ts", "text")
     )
 

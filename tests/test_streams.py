@@ -153,3 +153,17 @@ def test_a_feed_holds_every_row(spark, tmp_path, monkeypatch):
         if part:
             assert min(part) > last
             last = max(part)
+
+
+def test_comments_exchange_their_texts_once(spark, sf_dir):
+    from parley.sources import tables
+
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        plan = tables.comments(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    above_texts = plan.split("FileScan")[0]
+    assert above_texts.count("SortMergeJoin") == 1 and above_texts.count("Exchange hashpartitioning") == 1
