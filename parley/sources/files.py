@@ -93,9 +93,13 @@ def write_partitioned(
 
     The rebalance gathers each partition value in few files and splits one that is too large.
     """
+    write_dealt(df.hint("rebalance", *[F.col(c) for c in columns]), path, columns)
+
+
+def write_dealt(df: DataFrame, path: str, columns: Sequence[str]) -> None:
+    """``write_partitioned`` of rows that lie by their partition values already."""
     (
-        df.hint("rebalance", *[F.col(c) for c in columns])
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*columns)
         .parquet(path)

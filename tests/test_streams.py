@@ -155,20 +155,6 @@ def test_a_feed_holds_every_row(spark, tmp_path, monkeypatch):
             last = max(part)
 
 
-def test_comments_exchange_their_texts_once(spark, sf_dir):
-    from parley.sources import tables
-
-    key = "spark.sql.autoBroadcastJoinThreshold"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "-1")
-    try:
-        plan = tables.comments(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set(key, before)
-    above_texts = plan.split("FileScan")[0]
-    assert above_texts.count("SortMergeJoin") == 1 and above_texts.count("Exchange hashpartitioning") == 1
-
-
 def test_a_batch_takes_several_files_in_order(spark, tmp_path, monkeypatch):
     from parley.plans import queries
 
@@ -185,3 +171,33 @@ def test_a_batch_takes_several_files_in_order(spark, tmp_path, monkeypatch):
     files.write_batches(stream, note, f"{tmp_path}/ckpt", None).awaitTermination()
     assert len(seen) <= 5 and sum(n for n, *_ in seen) == 100
     assert all(before[2] < after[1] for before, after in zip(seen, seen[1:]))
+
+
+def test_comments_exchange_their_texts_once(spark, sf_dir):
+    from parley.sources import tables
+
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        plan = tables.comments(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    above_texts = plan.split("FileScan")[0]
+    assert above_texts.count("SortMergeJoin") == 1 and above_texts.count("Exchange hashpartitioning") == 1
+
+
+def test_sentiment_job_deals_rows_before_they_grow(spark, folder, monkeypatch):
+    feed(spark, folder("lines"), range(0, 20))
+    land(spark, folder)
+    plans, write = [], files.write_dealt
+
+    def noted(df, path, columns):
+        plans.append(df._jdf.queryExecution().analyzed().toString())
+        write(df, path, columns)
+
+    monkeypatch.setattr(files, "write_dealt", noted)
+    jobs.sentiment_job(spark, folder("raw"), folder("out"))
+    assert plans[0].index("processed_text") < plans[0].index("Rebalance")
+    assert plans[0].index("compound") < plans[0].index("Rebalance")
+    assert files.read_results(spark, folder("out")).count() == 20
