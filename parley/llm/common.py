@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import tempfile
 import zipfile
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,29 +53,33 @@ FILTER_WORDS = 1 << 18
 LANES = 8
 
 
-def _spot(key: str, size: int) -> tuple[Column, Column, Column]:
-    """(row, lane, bit) of a hashed key."""
+def _spot(key: str, size: int, marks: int) -> tuple[Column, Column, Column]:
+    """(row, lane, bits) of a hashed key: it sets up to ``marks`` bits of its word."""
     slot = F.pmod(F.col(key), F.lit(64 * size))
     lane = F.pmod(F.shiftright(slot, 6), F.lit(LANES)).cast("int")
-    return F.shiftright(slot, 6 + LANES.bit_length() - 1), lane, (slot % 64).cast("int")
+    places = [slot, *[F.pmod(F.shiftright(key, 34 + 6 * k), F.lit(64)) for k in range(marks - 1)]]
+    one = F.lit(1).cast("long")
+    bits = [F.call_function("shiftleft", one, (place % 64).cast("int")) for place in places]
+    return F.shiftright(slot, 6 + LANES.bit_length() - 1), lane, reduce(Column.bitwiseOR, bits)
 
 
-def key_filter(keys: DataFrame, key: str, size: int = FILTER_WORDS) -> DataFrame:
+def key_filter(keys: DataFrame, key: str, size: int = FILTER_WORDS, marks: int = 1) -> DataFrame:
     """A Bloom filter over hashed ``key`` (long): at most ``size`` / LANES rows (word, bits of each lane)."""
-    word, lane, bit = _spot(key, size)
-    lanes = [F.expr(f"bit_or(if(lane = {i}, shiftleft(1L, bit), 0L))").alias(f"bits{i}") for i in range(LANES)]
-    spots = keys.select(word.alias("word"), lane.alias("lane"), bit.alias("bit"))
+    word, lane, bits = _spot(key, size, marks)
+    lanes = [F.expr(f"bit_or(if(lane = {i}, bits, 0L))").alias(f"bits{i}") for i in range(LANES)]
+    spots = keys.select(word.alias("word"), lane.alias("lane"), bits.alias("bits"))
     return spots.groupBy("word").agg(*lanes)
 
 
-def maybe_in(df: DataFrame, key: str, words: DataFrame, size: int = FILTER_WORDS) -> DataFrame:
+def maybe_in(df: DataFrame, key: str, words: DataFrame, size: int = FILTER_WORDS, marks: int = 1) -> DataFrame:
     """``df`` with ``maybe``: false for rows whose hashed ``key`` is surely not in the filter.
 
-    Saves the shuffle of most rows that a later join on the key would find nothing for.
+    Saves the shuffle of most rows that a later join on the key would find nothing for. ``size`` and
+    ``marks`` are those of the filter.
     """
-    word, lane, bit = _spot(key, size)
+    word, lane, bits = _spot(key, size, marks)
     own = F.coalesce(*[F.when(lane == i, F.col(f"_bits{i}")) for i in range(LANES)])
-    hit = F.call_function("shiftrightunsigned", own, bit).bitwiseAND(F.lit(1).cast("long")) == 1
+    hit = own.bitwiseAND(bits) == bits
     lanes = [f"_bits{i}" for i in range(LANES)]
     small = F.broadcast(words.toDF("_word", *lanes))
     return (

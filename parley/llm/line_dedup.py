@@ -7,12 +7,15 @@ again, until few lines share a key or a single character is left, where sharing
 Pairs from small groups are verified by a banded bit-parallel edit distance.
 
 A higher threshold of k edits cuts the shorter line of a pair into k + 1 segments, one of which the
-longer line holds unchanged near its place. Lines probe for the segments of all lengths that they may
-be k longer than, at the shifts that edits left and right of a segment allow.
+longer line holds unchanged near its place. Segments are the same for a bucket of lengths. Lines probe
+for the segments of all buckets that hold lines they may be k longer than, at the shifts that edits
+left and right of a segment allow.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,8 +33,13 @@ PARTS = 8
 LINE = ["k1", "k2"]
 #: Characters that a line's sketch counts; others bound nothing.
 COUNTED = " etaoinsrhldcumgpf0123"
-#: 64-bit words of the filter on segments.
+#: 64-bit words of the filter on segments, and the bits of a word that a segment sets.
 SEGMENT_WORDS = 1 << 21
+SEGMENT_MARKS = 3
+#: Lengths are cut up alike in buckets of so many characters; a line's segments lie in the first SPAN
+#: characters, or in so many more as it takes to reach the highest threshold.
+BUCKET = 20
+SPAN = 160
 
 
 def within(a: Column, b: Column, limit: int) -> Column:
@@ -266,27 +274,56 @@ def _limit(length: str, edits: int, percent: int | None) -> str:
     return f"{edits}" if percent is None else f"greatest({EDITS}, least({edits}, int({length} * {percent} div 100)))"
 
 
+def _shape(bucket: int, edits: int, percent: int | None) -> tuple[int, int]:
+    """(k, size) for lengths of a bucket: their highest threshold and the size of the k + 1 segments."""
+    top = max(SPAN // BUCKET, 0 if not percent else -(-100 * edits // (percent * BUCKET)))
+    longest = BUCKET * bucket + BUCKET - 1
+    k = edits if percent is None else max(EDITS, min(edits, longest * percent // 100))
+    return k, BUCKET * min(bucket, top) // (k + 1)
+
+
+def _segments(edits: int, percent: int | None, probes: bool) -> list[list[dict]]:
+    """For each length, the substrings that are its segments, or that may be those of other lines.
+
+    Lengths from the last bucket on are like those of the last bucket. In a pair within k edits there
+    is a segment i of the shorter line with i edits to its left and k - i at most to its right.
+    """
+    backs = edits // BUCKET + 2 if probes else 1
+    last = SPAN // BUCKET
+    while percent and _shape(last, edits, percent)[0] < edits:
+        last += 1
+    out = []
+    for n in range(BUCKET * (last + backs)):
+        found = []
+        for back in range(backs):
+            bucket = n // BUCKET - back
+            k, size = _shape(bucket, edits, percent)
+            if bucket < LEAST_CHARS // BUCKET or k <= EDITS:
+                continue
+            least, most = max(0, n - BUCKET * bucket - BUCKET + 1), min(k, n - BUCKET * bucket)
+            for i in range(k + 1):
+                shifts = range(max(-i, least - k + i), min(i, most + k - i) + 1) if probes else [0]
+                for s in shifts:
+                    if not probes or back or s:  # a line's own segments are rows already
+                        found.append({"back": back, "i": i, "start": i * size + s, "size": size})
+        out.append(found)
+    return out
+
+
 def segment_rows(lines: DataFrame, edits: int, percent: int | None, probes: bool) -> DataFrame:
     """(key, k1, longer): the segments of each line, or those of other lines that it may hold.
 
-    Only lengths with a threshold over one edit are cut; ``longer`` is 1 for probes.
+    They depend on the shorter line's bucket of lengths, so a line probes two buckets at most and not
+    each length. Only buckets with a threshold over one edit are cut; ``longer`` is 1 for probes.
     """
-    n = F.char_length("line").alias("n")
-    lines = lines.select("k1", "line", n).filter(f"n >= {LEAST_CHARS}")
-    begin, size = "(i * l div (k + 1))", "((i + 1) * l div (k + 1) - i * l div (k + 1))"
-    shifts = "sequence(greatest(-i, d - k + i), least(i, d + k - i))" if probes else "array(0)"
-    if probes:  # a line's own segments are rows already
-        shifts = f"filter({shifts}, s -> d > 0 or s <> 0)"
-    key = f"xxhash64(int(l), int(i), substring(line, int({begin} + s + 1), int({size})))"
-    lengths = f"sequence(0, {_limit('n', edits, percent)})" if probes else "array(0)"
-    keys = (
-        lines.withColumn("d", F.explode(F.expr(lengths)))
-        .withColumn("l", F.expr("n - d"))
-        .withColumn("k", F.expr(_limit("l", edits, percent)))
-        .filter(f"k > {EDITS} and d <= k and l >= {LEAST_CHARS}")
-        .withColumn("keys", F.expr(f"flatten(transform(sequence(0, k), i -> transform({shifts}, s -> {key})))"))
-    )
-    return keys.select(F.explode("keys").alias("key"), "k1", F.lit(int(probes)).alias("longer"))
+    table = _segments(edits, percent, probes)
+    segments = F.from_json(F.lit(json.dumps(table)), "array<array<struct<back:int,i:int,start:int,size:int>>>")
+    n = F.char_length("line")
+    lines = lines.select("k1", "line", n.alias("n")).filter(f"n >= {LEAST_CHARS}")
+    like = F.expr(f"int(least(n div {BUCKET}, {len(table) // BUCKET - 1}) * {BUCKET} + n % {BUCKET})")
+    rows = lines.withColumn("s", F.explode(F.get(segments, like)))
+    key = F.expr(f"xxhash64(int(n div {BUCKET}) - s.back, s.i, substring(line, s.start + 1, s.size))")
+    return rows.select(key.alias("key"), "k1", F.lit(int(probes)).alias("longer"))
 
 
 def sketch(line: str) -> Column:
@@ -309,15 +346,18 @@ def far_lines(docs: DataFrame, unique: DataFrame, edits: int, percent: int | Non
     lines = corpus_lines(docs).select("k1", "line")
     base = segment_rows(lines, edits, percent, probes=False)
     probes = segment_rows(lines, edits, percent, probes=True)
-    probes = maybe_in(probes, "key", key_filter(base, "key", SEGMENT_WORDS), SEGMENT_WORDS).filter("maybe").drop("maybe")
+    held = key_filter(base, "key", SEGMENT_WORDS, SEGMENT_MARKS)
+    probes = maybe_in(probes, "key", held, SEGMENT_WORDS, SEGMENT_MARKS).filter("maybe").drop("maybe")
     probes = staged(probes, "line-probes")
-    counts = base.distinct().union(probes.distinct())
-    meeting = staged(_meeting(counts), "line-segment-keys")
-    met = key_filter(meeting, "key", SEGMENT_WORDS)
-    rows = base.union(probes)
-    rows = maybe_in(rows, "key", met, SEGMENT_WORDS).filter("maybe").drop("maybe").distinct()
+    both = base.union(probes)
+    # repeats of one line don't meet
+    shared = both.groupBy("key").agg(F.min("k1").alias("low"), F.max("k1").alias("high"), F.min("longer").alias("kind"))
+    shared = staged(shared.filter("kind = 0 and low <> high").select("key"), "line-segment-keys")
+    met = key_filter(shared, "key", SEGMENT_WORDS, SEGMENT_MARKS)
+    rows = maybe_in(both, "key", met, SEGMENT_WORDS, SEGMENT_MARKS).filter("maybe").drop("maybe").distinct()
+    rows = staged(rows.join(shared, "key", "left_semi"), "line-segment-rows")
     places = unique.select(*LINE, "first", "n_chars")
-    rows = staged(rows.join(meeting, "key").join(places, "k1"), "line-segments")
+    rows = staged(rows.join(_meeting(rows), "key").join(places, "k1"), "line-segments")
 
     wanted = rows.select(*LINE).distinct()
     texts = maybe_in(corpus_lines(docs).select(*LINE, "line"), "k1", key_filter(wanted, "k1")).filter("maybe")

@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from parley.llm import line_dedup as module
+from parley.llm.common import key_filter, maybe_in
 from parley.llm.line_dedup import LEAST_CHARS, line_dedup, within
 
 
@@ -126,3 +127,23 @@ def test_sketches_bound_the_distance(spark):
     got = rows.withColumn("bits", F.expr(module.sketch_distance())).collect()
     assert all(r.bits <= 2 * distance(r.a, r.b) for r in got)
     assert sum(r.bits > 0 for r in got) > 200
+
+
+def test_a_line_probes_buckets_and_not_every_length(as_docs):
+    rng = random.Random(9)
+    lines = as_docs([(n, "".join(rng.choices("abcde fgh", k=n))) for n in range(20, 400)])
+    lines = lines.select(F.col("doc_id").alias("k1"), F.col("text").alias("line"))
+    probes = module.segment_rows(lines, 7, 5, probes=True).groupBy("k1").count()
+    counts = {r.k1: r["count"] for r in probes.collect()}
+    assert max(counts.values()) <= 90 and min(counts[n] for n in range(160, 400)) >= 40
+
+
+def test_filters_of_several_marks_lose_no_key(spark):
+    keys = spark.range(3000).select(F.xxhash64("id").alias("k"))
+    others = spark.range(10_000, 30_000).select(F.xxhash64("id").alias("k"))
+    passed = {}
+    for marks in (1, 3):
+        words = key_filter(keys, "k", 1 << 9, marks)
+        assert maybe_in(keys, "k", words, 1 << 9, marks).filter("maybe").count() == 3000
+        passed[marks] = maybe_in(others, "k", words, 1 << 9, marks).filter("maybe").count()
+    assert passed[3] < passed[1] / 2
