@@ -201,12 +201,15 @@ def within_bound(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.filter(F.col("shared") + rest >= wanted).select("a", "b")
 
 
-def prefix_overlap(pairs: DataFrame, lists: DataFrame) -> DataFrame:
-    """(a, b, n_a, n_b, shared) of ``pairs`` (a, b): set sizes, and how many lists hold both."""
-    left = lists.select(F.col("doc").alias("a"), F.col("n").alias("n_a"), "shingle")
-    right = lists.select(F.col("doc").alias("b"), F.col("n").alias("n_b"), "shingle")
-    both = pairs.join(left, "a").join(right, ["b", "shingle"])
-    return both.groupBy("a", "b", "n_a", "n_b").agg(F.count_distinct("shingle").alias("shared"))
+def prefix_overlap(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """(a, b, n_a, n_b, shared) of ``pairs`` (a, b): set sizes, and what both prefixes hold; a row a pair.
+
+    ``prefixes``: (doc, n, prefix).
+    """
+    left = prefixes.toDF("a", "n_a", "prefix_a")
+    right = prefixes.toDF("b", "n_b", "prefix_b")
+    shared = F.size(F.array_intersect("prefix_a", "prefix_b")).alias("shared")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", shared)
 
 
 def cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
@@ -392,10 +395,10 @@ def jaccard_join(docs: DataFrame, words: int = shingles.WORDS, percent: int = PE
     mixed = labelled.groupBy("shingle").agg(F.min("cluster").alias("c0"), F.max("cluster").alias("c1"))
     mixed = mixed.filter("c0 < c1").select("shingle")
     across = labelled.join(mixed, "shingle", "left_semi")
-    bitmaps = signed.join(heads, ["digest", "doc_id"]).select(F.col("doc_id").alias("doc"), "bitmap")
-    marked = across.join(bitmaps, "doc").select("shingle", "doc", "n", "at", "cluster", "bitmap")
+    standing = signed.join(heads, ["digest", "doc_id"]).withColumnRenamed("doc_id", "doc")
+    marked = across.join(standing.select("doc", "bitmap"), "doc").select("shingle", "doc", "n", "at", "cluster", "bitmap")
     rest = cross_pairs(marked, percent).distinct().join(first, ["a", "b"], "left_anti")
-    rest = within_bound(prefix_overlap(staged(rest, "jaccard-rest"), across), percent)
+    rest = within_bound(prefix_overlap(staged(rest, "jaccard-rest"), standing.select("doc", "n", "prefix")), percent)
     more = similar_pairs(docs, rest, words, percent)
     final = components(links.union(more), "jaccard-components").toDF("stands", "component_id")
     return member.join(final, "stands", "left").select(

@@ -99,3 +99,11 @@ def test_components(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 1 for i in range(1, 41)} | {i: 100 for i in (100, 101, 150)} | {i: 200 for i in range(200, 260)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_pairs_meet_once_and_not_by_shingle(spark):
+    rows = [(1, 5, [1, 2, 3]), (2, 5, [3, 2, 9]), (3, 4, [7])]
+    prefixes = spark.createDataFrame(rows, "doc long, n int, prefix array<long>")
+    pairs = spark.createDataFrame([(1, 2), (1, 3)], "a long, b long")
+    got = {(r.a, r.b): (r.n_a, r.n_b, r.shared) for r in module.prefix_overlap(pairs, prefixes).collect()}
+    assert got == {(1, 2): (5, 5, 2), (1, 3): (5, 4, 0)}
