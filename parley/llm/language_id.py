@@ -1,7 +1,8 @@
 """Language ID: n-gram presence kernels, Nystrom landmarks, one-versus-rest kernel ridge regression.
 
 The kernel of two texts is the number of character n-grams (n = 1 to 3) that both hold, over the
-geometric mean of their own counts. It spans the n-grams of the training sample. A text's kernel
+geometric mean of their own counts. It spans the usual n-grams of all training texts, counted in one
+aggregate; a second one adds up the normal equations of the regression over all of them. A text's kernel
 values to the landmarks are one product of its presence row with the landmarks' rows, and the
 classifiers' outputs are a second product; both are taken for a batch of texts at once.
 """
@@ -12,6 +13,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -20,10 +22,16 @@ from pyspark.sql.window import Window
 
 from parley.llm import tokens
 from parley.llm.common import ship
+from parley.session import staged
 
-#: Bounds of the fit: training texts and landmarks of a language.
-PER_LANGUAGE = 200
+#: Landmarks of a language.
 LANDMARKS = 24
+#: A feature is held by two texts at least and by this share of some language's training texts, so a
+#: language has no more of them than 100 texts have n-grams, and noise in few texts adds none.
+LEAST_SHARE = 0.01
+#: N-grams that a counting window holds, and steps of the histogram of known shares.
+WINDOW = 4_000_000
+STEPS = 1 << 16
 #: The most usual letters, whose n-grams have a dense table; those with others are looked up by code.
 ALPHABET = 126
 RIDGE = 1e-2
@@ -125,6 +133,16 @@ class Model:
 
     def evidence(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``outputs_of`` and, of the 3-grams of each text, the share that the model knows."""
+        near, has_letter, known = self.kernel(texts)
+        return near @ self.outputs, has_letter, known
+
+    def kernel(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each text's kernel values to the landmarks, and as ``evidence``."""
+        rows, has_letter, known = self.presence(texts)
+        return rows @ self.landmarks, has_letter, known
+
+    def presence(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which n-grams each text holds, over the root of their number, and as ``evidence``."""
         n, width = len(texts), self.landmarks.shape[0]
         present = np.zeros((n, width + 1), bool)
         has_letter = np.zeros(n, bool)
@@ -150,104 +168,146 @@ class Model:
                     whole_count += np.bincount(first[whole], minlength=n)
         present = present[:, :width].astype(np.float32)
         norm = np.sqrt(np.maximum(present.sum(axis=1, keepdims=True), 1))
-        outputs = (present / norm @ self.landmarks) @ self.outputs
-        return outputs, has_letter, known / np.maximum(whole_count, 1)
+        return present / norm, has_letter, known / np.maximum(whole_count, 1)
 
 
-def _sample(docs: DataFrame, which: Column, per_language: int) -> DataFrame:
-    """(doc_id, lang, text) of at most ``per_language`` labelled documents a language, by a hash of doc_id."""
+def _labelled(docs: DataFrame, which: Column, per_language: int | None) -> DataFrame:
+    """(doc_id, lang, text) of the labelled documents ``which``, by ``per_language`` at most that many a language.
+
+    Those of a bounded number are taken by a hash of doc_id.
+    """
+    known = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & which).select("doc_id", "lang", "text")
+    if per_language is None:
+        return known
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & which)
-        .select("doc_id", "lang")
-        .withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= per_language)
-        .select("doc_id", "lang")
-        .distinct()
-    )
+    chosen = known.select("doc_id", "lang").withColumn("rank", F.row_number().over(order))
+    chosen = chosen.filter(F.col("rank") <= per_language).select("doc_id", "lang").distinct()
     # at most per_language rows a language, so this side may be sent whole
-    return docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
+    return known.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS) -> Model | None:
-    """Learns from text and lang of at most ``per_language`` documents a language outside fold 0.
+def _gram_counts(texts: DataFrame) -> DataFrame:
+    """(lang, gram, n): how many of a language's texts hold an n-gram; 0 stands for any text with a letter."""
 
-    The sample is taken by a hash of doc_id, so it doesn't depend on row order. None without any.
-    """
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens.forget()
+        held: dict[str, list[np.ndarray]] = {}
+        size = 0
+
+        def report() -> Iterator[pa.RecordBatch]:
+            for lang, found in held.items():
+                gram, n = np.unique(np.concatenate(found), return_counts=True)
+                columns = [pa.array([lang] * len(gram), pa.string()), pa.array(gram), pa.array(n, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "gram", "n"])
+
         for whole in batches:
             for batch in tokens.slices(whole, "text"):
-                found = pa.array(list(grams(batch.column("text"))), pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("lang"), batch.column("doc_id"), found], ["lang", "doc_id", "grams"]
-                )
+                for lang, found in zip(batch.column("lang").to_pylist(), grams(batch.column("text")), strict=True):
+                    if len(found) > 1:
+                        held.setdefault(lang, []).append(np.append(found, 0))
+                        size += len(found)
+                if size >= WINDOW:
+                    yield from report()
+                    held, size = {}, 0
+        yield from report()
 
-    sample = (
-        _sample(docs, ~held_out(), per_language)
-        .select("lang", F.col("doc_id").cast("string").alias("doc_id"), "text")
-        .mapInArrow(learn, "lang string, doc_id string, grams array<long>")
-        .toPandas()
-        .sort_values(["lang", "doc_id"], ignore_index=True)
-    )
-    sample = sample[sample["grams"].map(len) > 1].reset_index(drop=True)
-    if sample.empty:
+    rows = texts.select("lang", "text").mapInArrow(count, "lang string, gram long, n long")
+    return rows.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+
+
+def fit(docs: DataFrame, per_language: int | None = None, landmarks: int = LANDMARKS) -> Model | None:
+    """Learns from text and lang of all documents outside fold 0; None without any.
+
+    ``per_language`` bounds the documents of a language, for a quicker and rougher model. Landmarks are
+    the first texts by a hash of doc_id, so nothing depends on row order.
+    """
+    spark = docs.sparkSession
+    texts = _labelled(docs, ~held_out(), per_language)
+    counts = staged(_gram_counts(texts), "language-grams")
+    sizes = {r["lang"]: r["n"] for r in counts.filter("gram = 0").collect()}
+    if not sizes:
+        return None
+    least = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, LEAST_SHARE * n)])
+    usual = F.max(F.col("n") >= least[F.col("lang")])
+    features = counts.filter("gram > 0").groupBy("gram").agg(F.sum("n").alias("n"), usual.alias("usual"))
+    single = features.filter(f"gram < {1 << 21} and gram > 1").orderBy(F.desc("n"), "gram").limit(ALPHABET).toPandas()
+    chosen = features.filter("usual and n > 1").select("gram").toPandas()
+    if chosen.empty:  # no n-gram is in two texts
+        chosen = features.filter("usual").select("gram").toPandas()
+
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "hash")
+    first = texts.filter(F.col("text").rlike(r"\p{L}")).select("lang", "doc_id", F.xxhash64("text").alias("hash"), "text")
+    places = first.drop("text").withColumn("rank", F.row_number().over(order))
+    places = F.broadcast(places.filter(F.col("rank") <= landmarks))
+    marks = first.join(places, ["lang", "doc_id", "hash"], "left_semi").select("lang", "text", F.xxhash64("doc_id").alias("at"), "hash")
+    marks = marks.toPandas().sort_values(["lang", "at", "hash"], ignore_index=True).groupby("lang").head(landmarks)
+    if marks.empty:
         return None
-    return _solve(sample["lang"].tolist(), [np.asarray(g) for g in sample["grams"]], landmarks)
+    model = _spanned(sorted(sizes), single["gram"].to_numpy(np.int64) - 1, np.sort(chosen["gram"].to_numpy(np.int64)))
+    root = _set_landmarks(model, pa.array(marks["text"].tolist(), pa.string()))
+
+    shared = spark.sparkContext.broadcast((model, root))
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
+        model, root = shared.value
+        gram, sums = np.zeros(root.shape), np.zeros((len(model.languages), len(root)))
+        for whole in batches:
+            for batch in tokens.slices(whole, "text", 1 << 20):
+                near, has_letter, _ = model.kernel(batch.column("text"))
+                values = (near @ root)[has_letter]
+                lang = np.searchsorted(model.languages, np.array(batch.column("lang").to_pylist())[has_letter])
+                weight = np.array([1 / sizes[x] for x in model.languages])[lang]
+                gram += values.T @ (weight[:, None] * values)
+                np.add.at(sums, lang, weight[:, None] * values)
+        value = np.concatenate([gram, sums]).ravel()
+        if value.any():
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(value))), pa.array(value)], ["cell", "value"])
+
+    cells = texts.select("lang", "text").mapInArrow(add_up, "cell long, value double").groupBy("cell").agg(F.sum("value").alias("value"))
+    found = cells.toPandas()
+    total = np.zeros((len(root) + len(sizes), len(root)))
+    total.flat[found["cell"].to_numpy()] = found["value"].to_numpy().round(9)  # whatever order they were added in
+    gram, sums = total[: len(root)], total[len(root) :]
+    target = 2 * sums - sums.sum(axis=0)
+    weights = np.linalg.solve(gram + RIDGE * np.eye(len(root)), target.T)
+    model.outputs = (root @ weights).astype(np.float32)
+    return model
 
 
-def _solve(labels: list[str], sets: list[np.ndarray], landmarks: int) -> Model:
-    everything, times = np.unique(np.concatenate(sets), return_counts=True)
-    single = everything < 1 << 21
-    by_use = np.lexsort((everything[single], -times[single]))
-    known = everything[single][by_use] - 1
-    known = known[known > 0][:ALPHABET]
+def _spanned(languages: list[str], usual: np.ndarray, features: np.ndarray) -> Model:
+    """A model of these n-grams (as ``grams`` has them), without landmarks; ``usual``: letters by use."""
     alphabet = np.ones(0x110000, np.int32)
     alphabet[0] = 0
-    alphabet[known] = np.arange(2, len(known) + 2)
-
-    base = len(known) + 2
+    alphabet[usual] = np.arange(2, len(usual) + 2)
+    base = len(usual) + 2
     empty = np.zeros(0, np.int64)
-    model = Model(sorted(set(labels)), alphabet, base, empty, empty, empty, np.zeros((0, 0)), np.zeros((0, 0)))
-    held = []
+    model = Model(languages, alphabet, base, empty, empty, empty, np.zeros((0, 0)), np.zeros((0, 0)))
     mask = (1 << 21) - 1
-    for found in sets:
-        grams_of = [found[(found >= 1 << 21 * k) & (found < 1 << 21 * (k + 1))] for k in range(3)]
+    codes = []
+    for k in range(3):
+        g = features[(features >= 1 << 21 * k) & (features < 1 << 21 * (k + 1))]
         # n-grams as runs of characters each: the codes of predict, below 0 with less usual letters
-        codes = []
-        for k, g in enumerate(grams_of):
-            numbers = np.stack([alphabet[(g >> 21 * j & mask) - 1] for j in range(k, -1, -1)])
-            rare = (numbers == 1).any(axis=0)
-            codes += [model.codes(numbers[:, ~rare])[k].ravel(), -g[rare]]
-        held.append(np.unique(np.concatenate(codes)))
-    codes, uses = np.unique(np.concatenate(held), return_counts=True)
-    codes = codes[uses > 1] if (uses > 1).any() else codes
-    usual = codes >= 0
+        numbers = np.stack([alphabet[(g >> 21 * j & mask) - 1] for j in range(k, -1, -1)])
+        rare = (numbers == 1).any(axis=0)
+        codes += [model.codes(numbers[:, ~rare])[k].ravel(), -g[rare]]
+    codes = np.sort(np.concatenate(codes))
+    usual_codes = codes >= 0
     model.numbers = np.full(base**3 + base**2 + base, len(codes), np.int32)
-    model.numbers[codes[usual]] = np.flatnonzero(usual)
-    model.rare, model.rare_columns = -codes[~usual][::-1], np.flatnonzero(~usual)[::-1]
-    rows = np.zeros((len(held), len(codes)), np.float32)
-    for i, h in enumerate(held):
-        spot = np.minimum(np.searchsorted(codes, h), len(codes) - 1)
-        rows[i, spot[codes[spot] == h]] = 1
-    rows /= np.sqrt(np.maximum(rows.sum(axis=1, keepdims=True), 1))
-
-    marks, seen = [], {}
-    for i, lang in enumerate(labels):
-        seen[lang] = seen.get(lang, 0) + 1
-        if seen[lang] <= landmarks:
-            marks.append(i)
-    model.landmarks = np.ascontiguousarray(rows[marks].T)
+    model.numbers[codes[usual_codes]] = np.flatnonzero(usual_codes)
+    model.rare, model.rare_columns = -codes[~usual_codes][::-1], np.flatnonzero(~usual_codes)[::-1]
+    model.landmarks = np.zeros((len(codes), 0), np.float32)
+    return model
+
+
+def _set_landmarks(model: Model, texts: pa.Array) -> np.ndarray:
+    """Gives ``model`` the landmarks; returns the inverse root of their kernel."""
+    rows = [model.presence(texts.slice(i, 1))[0] for i in range(len(texts))]
+    model.landmarks = np.ascontiguousarray(np.concatenate(rows).T)
     kernel = model.landmarks.T @ model.landmarks
     value, vector = np.linalg.eigh(kernel.astype(np.float64))
     value = np.where(value > 1e-6, value, np.inf)
-    root = vector / np.sqrt(value) @ vector.T
-    features = rows @ model.landmarks @ root
-    target = np.where(np.array(labels)[:, None] == np.array(model.languages), 1.0, -1.0)
-    weight = np.array([1 / seen[lang] for lang in labels])[:, None]
-    gram = features.T @ (weight * features) + RIDGE * np.eye(len(marks))
-    model.outputs = (root @ np.linalg.solve(gram, features.T @ (weight * target))).astype(np.float32)
-    return model
+    return vector / np.sqrt(value) @ vector.T
 
 
 def predict(model: Model | None, texts: pa.Array) -> tuple[list[str], np.ndarray]:
@@ -260,7 +320,7 @@ def predict(model: Model | None, texts: pa.Array) -> tuple[list[str], np.ndarray
     return names, np.where(has_letter, np.clip((top + 1) / 2, 0, 1), 0.0)
 
 
-def language_id(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS) -> DataFrame:
+def language_id(docs: DataFrame, per_language: int | None = None, landmarks: int = LANDMARKS) -> DataFrame:
     """(doc_id, held_out, lang_pred, score), one row per row of ``docs``.
 
     ``lang_pred`` is a learned language, or ``und`` (score 0) where the text is null or has no
@@ -288,11 +348,12 @@ def language_id(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: in
     )
 
 
-def rejection_levels(docs: DataFrame, model: Model, per_language: int = PER_LANGUAGE) -> np.ndarray:
+def rejection_levels(docs: DataFrame, model: Model, per_language: int | None = None) -> np.ndarray:
     """For each language of ``model``, the share of known 3-grams under which a text isn't in it.
 
     ``KNOWN_MARGIN`` of the share that all but 1 % of its fold-0 texts reach (of all languages' for one
-    without any; 0 where there is no fold-0 text at all). At most ``per_language`` texts each.
+    without any; 0 where there is no fold-0 text at all). All of them count, or ``per_language`` texts
+    each; shares are rounded down to steps of 1 / STEPS.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -304,18 +365,23 @@ def rejection_levels(docs: DataFrame, model: Model, per_language: int = PER_LANG
                 rows = pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(known)], ["lang", "known"])
                 yield rows.filter(pa.array(has_letter))
 
-    found = _sample(docs, held_out(), per_language).select("lang", "text").mapInArrow(shares, "lang string, known double")
-    found = found.toPandas()
+    found = _labelled(docs, held_out(), per_language).select("lang", "text").mapInArrow(shares, "lang string, known double")
+    found = found.groupBy("lang", F.floor(F.col("known") * STEPS).alias("step")).agg(F.count("*").alias("n")).toPandas()
+
+    def level(own: pd.DataFrame) -> float:
+        own = own.groupby("step")["n"].sum().sort_index()
+        return own.index[np.searchsorted(own.cumsum(), (own.sum() - 1) // 100, side="right")] / STEPS
+
     levels = np.zeros(len(model.languages))
     for i, lang in enumerate(model.languages):
-        own = found["known"][found["lang"] == lang]
-        own = own if len(own) else found["known"]
-        levels[i] = KNOWN_MARGIN * np.quantile(own, 0.01, method="lower") if len(own) else 0
+        own = found[found["lang"] == lang]
+        own = own if len(own) else found
+        levels[i] = KNOWN_MARGIN * level(own) if len(own) else 0
     return levels
 
 
 def keep_identified(
-    docs: DataFrame, least: float = 0.25, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS
+    docs: DataFrame, least: float = 0.25, per_language: int | None = None, landmarks: int = LANDMARKS
 ) -> DataFrame:
     """``docs`` without the rows that are in no learned language.
 

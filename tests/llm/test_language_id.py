@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from parley.llm import language_id as module
 from parley.llm.language_id import fit, grams, keep_identified, language_id
 from prose import prose
 
@@ -137,3 +138,31 @@ def test_scripts_with_more_letters_than_the_table(spark):
         [(1000 + i, "".join(rng.choices([chr(0x0E01 + c) for c in range(40)], k=80)), None) for i in range(20)], docs.schema
     )
     assert keep_identified(docs.union(foreign)).filter("doc_id >= 1000").count() == 0
+
+
+def test_all_labelled_texts_are_learned_from(spark):
+    """A letter pair that texts beyond any 200 bring in is a feature, and so are their known shares."""
+    rng = random.Random(10)
+    rows = [(i, prose(2000 + i, 8, SOUNDS["aa"]) + (" vwvw" if rng.random() < 0.02 else ""), "aa") for i in range(1500)]
+    rows += [(5000 + i, prose(4000 + i, 8, SOUNDS["bb"]), "bb") for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    counts = {(r.lang, r.gram): r.n for r in module._gram_counts(docs).collect()}
+    pair = (ord("v") + 1) << 21 | (ord("w") + 1)
+    assert counts["aa", 0] == counts["bb", 0] == 1500
+    assert counts["aa", pair] == sum("vw" in t for _, t, _ in rows)
+    model = fit(docs)
+    seen = model.presence(pa.array(["vw"]))[0]
+    assert (seen > 0).sum() >= 4 and model.landmarks.shape[1] == 48
+    got = language_id(docs).collect()
+    assert sum(r.lang_pred == ("aa" if r.doc_id < 5000 else "bb") for r in got) >= 0.99 * len(got)
+
+
+def test_levels_count_every_held_out_text(spark):
+    rows = [(i, "abab baba", "aa") for i in range(3000)]
+    odd = [i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 5 == 0]
+    few = set(odd[:: len(odd) // 9][:9])  # more than 1 % of fold 0, with half of their 3-grams unknown
+    docs = spark.createDataFrame([(i, t + (" zyzy" if i in few else ""), g) for i, t, g in rows], "doc_id long, text string, lang string")
+    model = fit(docs)
+    (level,) = module.rejection_levels(docs, model)
+    known = model.evidence(pa.array(["abab baba zyzy"]))[2][0]
+    assert known < 0.8 and abs(level - module.KNOWN_MARGIN * known) < 1e-4
