@@ -38,6 +38,7 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, limit: int = LIM
                     [batch.column("doc_id"), size, pa.array(n, pa.int64())],
                     ["doc_id", "n_bytes", "n_tokens"],
                 )
+                pa.default_memory_pool().release_unused()  # Arrow keeps more than a worker remembers
 
     ship(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()

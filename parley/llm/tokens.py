@@ -20,11 +20,13 @@ from parley.llm.shingles import string_bytes
 #: Text handled at a time, and text given to the library in one call.
 BATCH_BYTES = 4 << 20
 CALL_BYTES = 256 << 10
-#: Pieces remembered by a worker; beyond that it starts afresh.
-PIECES = 700_000
+#: Pieces remembered by a worker; beyond that it keeps those that it met again.
+PIECES = 500_000
 
 #: A blank or line end next to white space, or the mark used for splitting.
 _UNSAFE = "[\\s\\pZ\\x{85}\\x0b\\x1c-\\x1f][ \\n]|[ \\n][\\s\\pZ\\x{85}\\x0b\\x1c-\\x1f]|\\x00"
+#: A sign that ends a word: no byte-level pattern joins it to a letter or digit before it.
+_ENDED = "([A-Za-z0-9])([.,;:!?])(\\x{00}|$)"
 _SAFE = re.compile(r"(?<=[^\s\x00-\x20])(?=[ \n][^\s\x00-\x20])")
 
 
@@ -44,10 +46,12 @@ def blank_kept(texts: pa.Array) -> pa.ListArray:
     """Pieces that start with their blank or line end, for byte-level patterns.
 
     Such a pattern joins a blank only to what follows it, so a cut between a visible character and a
-    single blank (or line end) before another visible character is a token boundary.
+    single blank (or line end) before another visible character is a token boundary. So is one before
+    the sign that ends a word, and words without it repeat more often.
     """
     texts = pc.fill_null(texts, "").cast(pa.large_string())
     marked = pc.replace_substring(pc.replace_substring(texts, " ", "\x00 "), "\n", "\x00\n")
+    marked = pc.replace_substring_regex(marked, _ENDED, "\\1\x00\\2\\3")
     unsafe = pc.match_substring_regex(texts, _UNSAFE).to_numpy(zero_copy_only=False)
     if not unsafe.any():
         return pc.split_pattern(marked, "\x00")
@@ -129,6 +133,21 @@ class Pieces:
         self.known: dict[str, int] = {}
         self.counts, self.starts = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
         self.ids, self.used = np.zeros(1 << 14, np.uint32), 0
+        self.again = np.zeros(1 << 12, bool)
+
+    def _drop_rare(self) -> None:
+        """Forgets the pieces that were not met again since they were learned or last kept."""
+        kept = np.flatnonzero(self.again[: len(self.known)])
+        words = list(self.known)  # in the order of their numbers
+        counts, starts, ids = self.counts[kept], self.starts[kept] if self.with_ids else None, self.ids
+        self._clear()
+        self.known = {words[i]: number for number, i in enumerate(kept.tolist())}
+        self.counts, self.again = counts, np.zeros(len(kept), bool)
+        if self.with_ids:
+            ends = np.cumsum(counts)
+            self.used = int(counts.sum())
+            self.starts = ends - counts
+            self.ids = ids[np.repeat(starts - self.starts, counts) + np.arange(self.used)]
 
     def _learn(self, new: list[str]) -> None:
         new.sort(key=len)
@@ -151,11 +170,16 @@ class Pieces:
         coded = pieces.dictionary_encode()
         words = coded.dictionary.to_pylist()
         if len(self.known) + len(words) > self.most:
-            self._clear()
+            self._drop_rare()
+            if len(self.known) + len(words) > self.most or len(self.known) > self.most // 2:
+                self._clear()
+        before = len(self.known)
         new = [w for w in words if w not in self.known]
         if new:
             self._learn(new)
         numbers = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        self.again = _room(self.again, len(self.known))
+        self.again[numbers[numbers < before]] = True
         return numbers[coded.indices.to_numpy(zero_copy_only=False)] if len(words) else np.zeros(0, np.int64)
 
 
@@ -185,6 +209,7 @@ _WORKER: dict[tuple, Pieces] = {}
 def forget() -> None:
     """Frees what a worker remembers, for tasks of other kinds that run in it later."""
     _WORKER.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def pieces_of(name: str, with_ids: bool) -> Pieces:

@@ -83,6 +83,32 @@ def test_memory_is_bounded():
         assert len(known.known) <= 50
 
 
+def test_pieces_met_again_are_kept(monkeypatch):
+    """Ten batches overflow the memory several times; a word of every batch is learned once, with its ids."""
+    learned = []
+    learn = tokens.Pieces._learn
+    monkeypatch.setattr(tokens.Pieces, "_learn", lambda self, new: (learned.extend(new), learn(self, new)))
+    for with_ids in (True, False):
+        known = tokens.Pieces(public_tokenizers.path(WORD), with_ids, most=50)
+        learned.clear()
+        for k in range(10):
+            words = [f"w{k}x{i}" for i in range(20)] + ["often", "unquestionably"]
+            numbers = known.look_up(pa.array(words))
+            want = library(WORD, words)
+            assert [int(known.counts[n]) for n in numbers] == [len(x) for x in want]
+            if with_ids:
+                assert [known.ids[known.starts[n] : known.starts[n] + len(x)].tolist() for n, x in zip(numbers, want)] == want
+        assert learned.count("often") == learned.count("unquestionably") == 1
+
+
+def test_signs_that_end_words_are_pieces():
+    texts = ["Word, word. No... a) b! é. 5; it's.", "end.", "a . b.c", None]
+    assert tokens.blank_kept(pa.array(texts)).to_pylist() == [
+        ["Word", ",", " word", ".", " No...", " a)", " b", "!", " é.", " 5", ";", " it's", "."],
+        ["end", "."], ["a", " .", " b.c"], [""],
+    ]
+
+
 def test_counts_of_edge_rows(edge_docs, edge_rows):
     got = token_counts(edge_docs, limit=60).collect()
     ids = library(BYTE, [t or "" for _, t in edge_rows])
