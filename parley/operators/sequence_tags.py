@@ -4,13 +4,15 @@ The table gives each word its possible tags (``"JJ|NN"``); a word without an ent
 follow each other is learned from all texts by expectation maximisation over neighbouring words. Two
 words matter only by their sets of tags, so one aggregate counts pairs of sets, and the rounds of
 learning run on that table, which the sets bound. A token with one possible tag cuts the sequence, so
-the best path is sought run by run between such tokens, within the row.
+the best path is sought run by run between such tokens, within the row. Short runs have few forms, so
+their paths are a table.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
-from collections.abc import Iterable, Mapping
+from collections.abc import Collection, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +30,8 @@ SMOOTHING = 0.1
 MOST_SETS = 500
 #: Costs are whole millionths of a natural logarithm, so that ties are ties everywhere.
 SCALE = 1_000_000
+#: Runs of open tokens whose paths are worked out beforehand, at most.
+MOST_RUNS = 2000
 
 
 def tag_sets(df: DataFrame, options: Dictionary, tokens: str = "lemmatized") -> DataFrame:
@@ -88,11 +92,52 @@ def learn(df: DataFrame, rounds: int = ROUNDS, smoothing: float = SMOOTHING) ->
     return learned_costs([tuple(r) for r in rows], rounds, smoothing)
 
 
-def sequence_tag(df: DataFrame, costs: Mapping[tuple[str, str], int]) -> DataFrame:
+def open_sets(options: Mapping[str, str]) -> list[str]:
+    """The sets of several tags that a tag table uses, as ``tag_sets`` writes them."""
+    sets = {"|".join(sorted(set(tags.split("|")))) for tags in options.values() if tags is not None}
+    return sorted(s for s in sets if "|" in s)
+
+
+def short_runs(costs: Mapping[tuple[str, str], int], sets: Collection[str]) -> dict[str, str]:
+    """The cheapest path of every run of few open tokens, by the tag before it, its sets and the tag after it.
+
+    All runs of one token, then of two and so on, as long as there are MOST_RUNS of them at most.
+    """
+    lefts, rights = (sorted({pair[k] for pair in costs}) for k in (0, 1))
+    out: dict[str, str] = {}
+    length, count = 1, len(lefts) * len(rights) * len(sets)
+    while 0 < len(out) + count <= MOST_RUNS and count:
+        for before, run, after in itertools.product(lefts, itertools.product(sets, repeat=length), rights):
+            try:
+                out[" ".join([before, *run, after])] = " ".join(_cheapest(before, run, after, costs))
+            except KeyError:  # tags that never meet
+                continue
+        length, count = length + 1, count * len(sets)
+    return out
+
+
+def _cheapest(before: str, run: Iterable[str], after: str, costs: Mapping[tuple[str, str], int]) -> tuple[str, ...]:
+    """What ``sequence_tag`` gives a run, for one that is known beforehand."""
+    states: list[tuple[int, str, tuple[str, ...]]] = [(0, before, ())]
+    for tags in run:
+        found = []
+        for tag in tags.split("|"):
+            cost, _, path = min((c + costs[last, tag], last, (*path, tag)) for c, last, path in states)
+            found.append((cost, tag, path))
+        states = found
+    return min((c + costs[last, after], last, path) for c, last, path in states)[2]
+
+
+def sequence_tag(
+    df: DataFrame, costs: Mapping[tuple[str, str], int], sets: Collection[str] = ()
+) -> DataFrame:
     """Adds ``pos``: the cheapest sequence of possible tags; among equals the smaller tag earlier on.
 
-    ``costs`` must know every pair of tags that can meet. Tags must hold no blank.
+    ``costs`` must know every pair of tags that can meet. Tags must hold no blank. ``sets`` (see
+    ``open_sets``) changes no result: short runs of them are looked up.
     """
+    known = short_runs(costs, sets)
+    short = inline_lookup(known, "string") if known else lambda key: F.lit(None).cast("string")
     find = inline_lookup({f"{a} {b}": cost for (a, b), cost in costs.items()}, "bigint")
 
     def cost(a: Column, b: Column) -> Column:
@@ -132,13 +177,15 @@ def sequence_tag(df: DataFrame, costs: Mapping[tuple[str, str], int]) -> DataFra
     runs = F.regexp_extract_all(line, F.lit(r"(?:[^ |]++ )++|(?:[^ |]*+\|[^ ]*+ )++"), F.lit(0))
 
     def tags_of(runs: Column) -> Column:
-        def one(run: Column, i: Column) -> Column:
-            sets = F.split(F.rtrim(run), " ")
-            before = F.coalesce(F.element_at(F.split(F.rtrim(F.get(runs, i - 1)), " "), -1), F.lit(START))
-            after = F.coalesce(F.get(F.split(F.get(runs, i + 1), " "), F.lit(0)), F.lit(END))
-            return F.when(run.contains("|"), best(sets, before, after)).otherwise(sets)
-
-        return F.flatten(F.transform(runs, one))
+        def open_run(run: Column, i: Column) -> Column:
+            before = F.coalesce(F.substring_index(F.rtrim(F.get(runs, i - 1)), " ", -1), F.lit(START))
+            after = F.coalesce(F.substring_index(F.get(runs, i + 1), " ", 1), F.lit(END))
+            path = short(F.concat(before, F.lit(" "), run, after))
+            sought = F.array_join(best(F.split(F.rtrim(run), " "), before, after), " ")
+            return F.concat(F.coalesce(path, sought), F.lit(" "))
+
+        tagged = F.transform(runs, lambda run, i: F.when(run.contains("|"), open_run(run, i)).otherwise(run))
+        return F.split(F.rtrim(F.array_join(tagged, "")), " ")
 
     empty = F.array().cast("array<string>")
     return df.withColumn("pos", F.when(F.size("tag_sets") > 0, let(runs, tags_of)).otherwise(empty))

@@ -51,6 +51,27 @@ def test_against_every_sequence(spark):
         assert all(tag in options.split("|") for tag, options in zip(pos, sets[k], strict=True))
 
 
+def test_short_runs_give_the_same_paths(spark, monkeypatch):
+    """Runs from the table, beyond it and of sets that it lacks; with equal costs too."""
+    sets = st.open_sets(OPTIONS | {"none": None})
+    assert sets == ["JJ|RB", "NN|VB"]
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices([*OPTIONS, "cat"], k=rng.randint(1, 12))) for _ in range(60)] + ["run " * 40, "", None]
+    plain, _, costs = tagged(spark, texts)
+    flat = dict.fromkeys(costs, 1)
+    rows = [(k, t.split() if t is not None else None) for k, t in enumerate(texts)]
+    df = st.tag_sets(spark.createDataFrame(rows, "id int, lemmatized array<string>"), OPTIONS)
+    table = st.short_runs(costs, sets)
+    assert "^ NN|VB JJ|RB $" in table and 0 < len(table) <= st.MOST_RUNS
+    for cost in (costs, flat):
+        want = {r.id: r.pos for r in st.sequence_tag(df, cost).collect()}
+        for few in (sets, sets[:1]):
+            assert {r.id: r.pos for r in st.sequence_tag(df, cost, few).collect()} == want
+    assert plain == {r.id: r.pos for r in st.sequence_tag(df, costs, sets).collect()}
+    monkeypatch.setattr(st, "MOST_RUNS", len(sets))
+    assert st.short_runs(costs, sets) == {} and st.short_runs({}, sets) == {}
+
+
 def test_equal_paths_take_the_smaller_tag(spark):
     tags = ["JJ", "NN", "RB", "VB", "DT", "PRP", st.START, st.END]
     flat = {(a, b): 1 for a in tags for b in tags}
