@@ -30,7 +30,7 @@ LANDMARKS = 24
 #: language has no more of them than 100 texts have n-grams, and noise in few texts adds none.
 LEAST_SHARE = 0.01
 #: N-grams that a counting window holds, and steps of the histogram of known shares.
-WINDOW = 4_000_000
+WINDOW = 1_000_000
 STEPS = 1 << 16
 #: The most usual letters, whose n-grams have a dense table; those with others are looked up by code.
 ALPHABET = 126
@@ -186,32 +186,33 @@ def _labelled(docs: DataFrame, which: Column, per_language: int | None) -> DataF
     return known.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
 
 
-def _gram_counts(texts: DataFrame) -> DataFrame:
-    """(lang, gram, n): how many of a language's texts hold an n-gram; 0 stands for any text with a letter."""
+def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, gram, n) of a task's texts (lang, text), reported whenever WINDOW n-grams are held."""
+    tokens.forget()
+    held: dict[str, list[np.ndarray]] = {}
+    size = 0
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens.forget()
-        held: dict[str, list[np.ndarray]] = {}
-        size = 0
+    def report() -> Iterator[pa.RecordBatch]:
+        for lang, found in held.items():
+            gram, n = np.unique(np.concatenate(found), return_counts=True)
+            columns = [pa.array([lang] * len(gram), pa.string()), pa.array(gram), pa.array(n, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "gram", "n"])
 
-        def report() -> Iterator[pa.RecordBatch]:
-            for lang, found in held.items():
-                gram, n = np.unique(np.concatenate(found), return_counts=True)
-                columns = [pa.array([lang] * len(gram), pa.string()), pa.array(gram), pa.array(n, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "gram", "n"])
+    for whole in batches:
+        for batch in tokens.slices(whole, "text", 1 << 20):
+            for lang, found in zip(batch.column("lang").to_pylist(), grams(batch.column("text")), strict=True):
+                if len(found) > 1:
+                    held.setdefault(lang, []).append(np.append(found, 0))
+                    size += len(found)
+            if size >= WINDOW:
+                yield from report()
+                held, size = {}, 0
+    yield from report()
 
-        for whole in batches:
-            for batch in tokens.slices(whole, "text"):
-                for lang, found in zip(batch.column("lang").to_pylist(), grams(batch.column("text")), strict=True):
-                    if len(found) > 1:
-                        held.setdefault(lang, []).append(np.append(found, 0))
-                        size += len(found)
-                if size >= WINDOW:
-                    yield from report()
-                    held, size = {}, 0
-        yield from report()
-
-    rows = texts.select("lang", "text").mapInArrow(count, "lang string, gram long, n long")
+
+def _gram_counts(texts: DataFrame) -> DataFrame:
+    """(lang, gram, n): how many of a language's texts hold an n-gram; 0 stands for any text with a letter."""
+    rows = texts.select("lang", "text").mapInArrow(_count_grams, "lang string, gram long, n long")
     return rows.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parley.llm import tokens
 from parley.llm.common import ship
 from parley.llm.token_counts import VOCABULARY, token_counts
 from parley.session import staged
@@ -94,6 +95,7 @@ def pack(lengths: DataFrame, sizes: Sequence[int] = SIZES, overhead: int = OVERH
     kind = pieces.schema["doc_id"].dataType.simpleString()
 
     def run(rows: pa.Table) -> pa.Table:
+        tokens.forget()  # what counting tokens has left in the worker
         # Arrow and not pandas: there a null among the ids would turn all of them into floats
         order = [(c, "ascending") for c in ("doc_id", "piece", "row_id")]
         rows = rows.sort_by([("length", "descending"), *order])

@@ -166,3 +166,22 @@ def test_levels_count_every_held_out_text(spark):
     (level,) = module.rejection_levels(docs, model)
     known = model.evidence(pa.array(["abab baba zyzy"]))[2][0]
     assert known < 0.8 and abs(level - module.KNOWN_MARGIN * known) < 1e-4
+
+
+def test_counting_holds_few_n_grams():
+    """A task reports its counts after a million n-grams, so it holds some 30 MB; the sums are the same."""
+    rng = np.random.default_rng(1)
+    texts = ["".join(map(chr, rng.integers(0x4E00, 0x9000, 30_000))) for _ in range(20)]
+    taken = []
+
+    def batches():
+        for k, text in enumerate(texts):
+            taken.append(k)
+            yield pa.RecordBatch.from_pydict({"lang": ["x"], "text": [text]})
+
+    total = 0
+    for k, rows in enumerate(module._count_grams(batches())):
+        if not k:
+            assert len(taken) < len(texts)
+        total += sum(n for gram, n in zip(rows["gram"].to_pylist(), rows["n"].to_pylist()) if gram)
+    assert total == sum(len(g) for t in texts for g in grams(pa.array([t])))
