@@ -54,10 +54,6 @@ def within(a: Column, b: Column, limit: int) -> Column:
     mask = F.lit((1 << width) - 1).cast("long")
     zero = F.lit(0).cast("long")
 
-    def let(value: Column, body) -> Column:
-        """``body`` of ``value``, which is computed once."""
-        return F.element_at(F.transform(F.array(value), body), 1)
-
     def matches(strings: Column) -> Column:
         """For each character of b, the cells of the band in which it meets the same in a."""
 
@@ -96,7 +92,12 @@ def within(a: Column, b: Column, limit: int) -> Column:
 
     strings = F.struct(_characters(a).alias("a"), _characters(b).alias("b"))
     apart = F.abs(F.char_length(a) - F.char_length(b)) > limit
-    return F.when(apart, False).otherwise(let(strings, lambda s: let(matches(s), run)))
+    return F.when(apart, False).otherwise(_let(strings, lambda s: _let(matches(s), run)))
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def _characters(text: Column) -> Column:
@@ -133,8 +134,11 @@ def _key(line: str, length: str, begin: str, end: str, longer: str) -> Column:
     )
 
 
-def distinct_lines(docs: DataFrame) -> DataFrame:
-    """(k1, k2, n_chars, first, copies, half_keys): each distinct line, where it stands first."""
+def distinct_lines(docs: DataFrame, halved_to: int | None = None) -> DataFrame:
+    """(k1, k2, n_chars, first, copies, half_keys): each distinct line, where it stands first.
+
+    Lines of more than ``halved_to`` characters get no half keys.
+    """
     n = F.char_length("line")
     sized = corpus_lines(docs).withColumns(
         {
@@ -152,7 +156,8 @@ def distinct_lines(docs: DataFrame) -> DataFrame:
         _key("line", "short", "mid_short", "short", "one"),
         _key("line", "short", "zero", "mid_short", "one"),
     )
-    named = sized.select(*LINE, "n_chars", _place().alias("place"), F.when(n >= LEAST_CHARS, keys).alias("half_keys"))
+    halved = n >= LEAST_CHARS if halved_to is None else n.between(LEAST_CHARS, halved_to)
+    named = sized.select(*LINE, "n_chars", _place().alias("place"), F.when(halved, keys).alias("half_keys"))
     return named.groupBy(*LINE, "n_chars").agg(
         F.min("place").alias("first"), F.count("*").alias("copies"), F.any_value("half_keys").alias("half_keys")
     )
@@ -282,6 +287,16 @@ def _shape(bucket: int, edits: int, percent: int | None) -> tuple[int, int]:
     return k, BUCKET * min(bucket, top) // (k + 1)
 
 
+def _cut_from(edits: int, percent: int | None) -> int | None:
+    """The length from which ``segment_rows`` cuts the shorter line of a pair; None where it cuts none."""
+    if edits <= EDITS or percent == 0:
+        return None
+    bucket = LEAST_CHARS // BUCKET
+    while _shape(bucket, edits, percent)[0] <= EDITS:
+        bucket += 1
+    return BUCKET * bucket
+
+
 def _segments(edits: int, percent: int | None, probes: bool) -> list[list[dict]]:
     """For each length, the substrings that are its segments, or that may be those of other lines.
 
@@ -310,19 +325,29 @@ def _segments(edits: int, percent: int | None, probes: bool) -> list[list[dict]]
     return out
 
 
+def _found(edits: int, percent: int | None, probes: bool) -> Column:
+    """The entry of ``_segments`` for a line of ``n`` characters."""
+    table = _segments(edits, percent, probes)
+    segments = F.from_json(F.lit(json.dumps(table)), "array<array<struct<back:int,i:int,start:int,size:int>>>")
+    return F.get(segments, F.expr(f"int(least(n div {BUCKET}, {len(table) // BUCKET - 1}) * {BUCKET} + n % {BUCKET})"))
+
+
+def _segment_key(s: Column) -> Column:
+    """Hash of a segment ``s`` of ``line``, with its number and the bucket of lengths it is for."""
+    part = F.substring("line", s["start"] + 1, s["size"])
+    return F.xxhash64(F.expr(f"int(n div {BUCKET})") - s["back"], s["i"], part)
+
+
 def segment_rows(lines: DataFrame, edits: int, percent: int | None, probes: bool) -> DataFrame:
     """(key, k1, longer): the segments of each line, or those of other lines that it may hold.
 
     They depend on the shorter line's bucket of lengths, so a line probes two buckets at most and not
     each length. Only buckets with a threshold over one edit are cut; ``longer`` is 1 for probes.
     """
-    table = _segments(edits, percent, probes)
-    segments = F.from_json(F.lit(json.dumps(table)), "array<array<struct<back:int,i:int,start:int,size:int>>>")
-    n = F.char_length("line")
-    lines = lines.select("k1", "line", n.alias("n")).filter(f"n >= {LEAST_CHARS}")
-    like = F.expr(f"int(least(n div {BUCKET}, {len(table) // BUCKET - 1}) * {BUCKET} + n % {BUCKET})")
-    rows = lines.withColumn("s", F.explode(F.get(segments, like)))
-    key = F.expr(f"xxhash64(int(n div {BUCKET}) - s.back, s.i, substring(line, s.start + 1, s.size))")
+    lines = lines.select("k1", "line", F.char_length("line").alias("n")).filter(f"n >= {LEAST_CHARS}")
+    found = _found(edits, percent, probes)
+    rows = lines.withColumn("s", F.explode(found))
+    key = _segment_key(F.col("s"))
     return rows.select(key.alias("key"), "k1", F.lit(int(probes)).alias("longer"))
 
 
@@ -337,6 +362,35 @@ def sketch_distance() -> str:
     return "(" + " + ".join(f"abs(sketch_a[{i}] - sketch[{i}])" for i in range(len(COUNTED))) + ")"
 
 
+def apart(a: str, b: str, limit: str) -> Column:
+    """The edit distance of two strings, -1 where it is over ``limit`` (SQL).
+
+    Eighths of the shorter one that both have at the beginning or the end are left out, which changes nothing.
+    """
+    size = f"int(least(char_length({a}), char_length({b})) div {PARTS})"
+
+    def alike(start: str) -> str:
+        """SQL for the length of the eighths that agree in a row; ``start`` is where each begins."""
+        cases = [
+            f"when substring({a}, {start.format(a, i, size)}, {size}) <> substring({b}, {start.format(b, i, size)}, {size}) then {i}"
+            for i in range(PARTS)
+        ]
+        return f"{size} * (case {' '.join(cases)} else {PARTS} end)"
+
+    ends = F.struct(
+        F.expr(alike("{1} * {2} + 1")).alias("ahead"),
+        F.expr(alike("char_length({0}) - ({1} + 1) * {2} + 1")).alias("behind"),
+        F.expr(f"{PARTS} * {size}").alias("most"),
+    )
+
+    def rest(t: Column) -> Column:
+        behind = F.least(t["behind"], t["most"] - t["ahead"])  # no character is left out twice
+        left = [F.substring(F.col(c), t["ahead"] + 1, F.char_length(c) - t["ahead"] - behind) for c in (a, b)]
+        return F.call_function("levenshtein", *left, F.expr(limit))
+
+    return _let(ends, rest)
+
+
 def far_lines(docs: DataFrame, unique: DataFrame, edits: int, percent: int | None) -> DataFrame:
     """(k1, k2) of distinct lines that have an earlier line within a threshold of two edits or more.
 
@@ -367,12 +421,11 @@ def far_lines(docs: DataFrame, unique: DataFrame, edits: int, percent: int | Non
 
     def later_of(pairs: DataFrame) -> DataFrame:
         """The later line of those pairs (k1_a, k2_a, earlier; k1, k2) that are within the threshold."""
-        b = texts.drop("sketch")
+        b = texts.select(*LINE, "line")
         a = b.toDF("k1_a", "k2_a", "line_a")
         pairs = pairs.select("k1_a", "k2_a", *LINE).distinct().join(a, ["k1_a", "k2_a"]).join(b, LINE)
-        pairs = pairs.withColumn("short", F.expr("least(char_length(line_a), char_length(line))"))
-        pairs = pairs.withColumn("apart", F.levenshtein("line_a", "line", edits))
-        return pairs.filter(f"apart >= 0 and apart <= {_limit('short', edits, percent)}").select(*LINE).distinct()
+        limit = _limit("least(char_length(line_a), char_length(line))", edits, percent)
+        return pairs.filter(apart("line_a", "line", limit) >= 0).select(*LINE).distinct()
 
     def pairs_of(a: DataFrame, b: DataFrame) -> DataFrame:
         a = a.select("key", *[F.col(c).alias(f"{c}_a") for c in (*LINE, "first", "longer", "n_chars", "sketch")])
@@ -406,10 +459,14 @@ def line_dedup(docs: DataFrame, edits: int = EDITS, percent: int | None = None)
     if "maybe" in docs.columns:  # a working column has that name
         out = line_dedup(docs.withColumnRenamed("maybe", "_own_maybe"), edits, percent)
         return out.withColumnRenamed("_own_maybe", "maybe")
-    unique = staged(distinct_lines(docs), "line-unique")
-    near = near_lines(docs, unique)
-    if edits > EDITS:
-        near = staged(near, "line-one-edit").union(far_lines(docs, unique, edits, percent)).distinct()
+    cut_from = _cut_from(edits, percent)
+    unique = staged(distinct_lines(docs, cut_from), "line-unique")  # the longer of two may be one longer
+    if cut_from is None:
+        near = near_lines(docs, unique)
+    else:
+        near = far_lines(docs, unique, edits, percent)
+        if cut_from > LEAST_CHARS:
+            near = near.union(staged(near_lines(docs, unique), "line-one-edit")).distinct()
     near = staged(near, "line-near").withColumn("near", F.lit(True))
     marked = unique.select(*LINE, "first", "copies").join(near, LINE, "left")
     marked = staged(marked.filter("copies > 1 or near"), "line-marked").select(*LINE, "first", "near")

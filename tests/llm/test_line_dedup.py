@@ -147,3 +147,35 @@ def test_filters_of_several_marks_lose_no_key(spark):
         assert maybe_in(keys, "k", words, 1 << 9, marks).filter("maybe").count() == 3000
         passed[marks] = maybe_in(others, "k", words, 1 << 9, marks).filter("maybe").count()
     assert passed[3] < passed[1] / 2
+
+
+def test_distance_without_common_ends(spark):
+    rng = random.Random(10)
+    pairs = [("", ""), ("", "ab"), ("aaaaaaaa", "aaaaaaaaaaaaaaaa"), ("é" * 20, "é" * 19 + "日"), ("ab" * 20, "ab" * 19)]
+    for _ in range(200):
+        line = other = "".join(rng.choices("ab日", k=rng.randint(5, 60)))
+        for _ in range(rng.randint(0, 4)):
+            other = edited(rng, other)
+        pairs.append((line, other))
+    rows = spark.createDataFrame(pairs, "a string, b string")
+    for r in rows.withColumn("n", module.apart("a", "b", "greatest(1, char_length(a) div 10)")).collect():
+        whole, limit = distance(r.a, r.b), max(1, len(r.a) // 10)
+        assert r.n == (whole if whole <= limit else -1), (r.a, r.b)
+
+
+@pytest.mark.parametrize("edits, percent, asked", [(7, 5, [40]), (3, None, []), (1, None, [None]), (7, 0, [None])])
+def test_the_one_edit_join_takes_only_lines_that_no_segments_cut(as_docs, monkeypatch, edits, percent, asked):
+    rng = random.Random(11)
+    lines = ["".join(rng.choices("abcde fgh", k=n)) for n in (19, 20, 39, 40, 41, 59, 60, 200)]
+    lines += [x[:9] + "q" + x[9:] for x in lines] + [x[:12] + "q" + x[13:] for x in lines]
+    seen, joined = [], module.near_lines
+
+    def near_lines(docs, unique):
+        longest = unique.filter("half_keys is not null").agg(F.max("n_chars")).first()[0]
+        seen.append(longest)
+        return joined(docs, unique)
+
+    monkeypatch.setattr(module, "near_lines", near_lines)
+    got = {r.doc_id: r.n_dropped for r in line_dedup(as_docs(list(enumerate(lines))), edits, percent).collect()}
+    assert got == {i: int(i >= 8 and i % 8 > 0) for i in range(24)}
+    assert seen == [201 if n is None else n for n in asked]
