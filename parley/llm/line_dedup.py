@@ -39,7 +39,7 @@ SEGMENT_MARKS = 3
 #: Lengths are cut up alike in buckets of so many characters; a line's segments lie in the first SPAN
 #: characters, or in so many more as it takes to reach the highest threshold.
 BUCKET = 20
-SPAN = 160
+SPAN = 240
 
 
 def within(a: Column, b: Column, limit: int) -> Column:
@@ -416,8 +416,10 @@ def far_lines(docs: DataFrame, unique: DataFrame, edits: int, percent: int | Non
     wanted = rows.select(*LINE).distinct()
     texts = maybe_in(corpus_lines(docs).select(*LINE, "line"), "k1", key_filter(wanted, "k1")).filter("maybe")
     texts = texts.join(wanted, LINE, "left_semi").groupBy(*LINE).agg(F.any_value("line").alias("line"))
-    texts = staged(texts.withColumn("sketch", sketch("line")), "line-segment-texts")
-    rows = rows.join(texts.select(*LINE, "sketch"), LINE)
+    own = F.transform(_found(edits, percent, probes=False), _segment_key)
+    texts = texts.withColumn("n", F.char_length("line")).withColumns({"sketch": sketch("line"), "own": own}).drop("n")
+    texts = staged(texts, "line-segment-texts")
+    rows = rows.join(texts.select(*LINE, "sketch", "own"), LINE)
 
     def later_of(pairs: DataFrame) -> DataFrame:
         """The later line of those pairs (k1_a, k2_a, earlier; k1, k2) that are within the threshold."""
@@ -428,10 +430,13 @@ def far_lines(docs: DataFrame, unique: DataFrame, edits: int, percent: int | Non
         return pairs.filter(apart("line_a", "line", limit) >= 0).select(*LINE).distinct()
 
     def pairs_of(a: DataFrame, b: DataFrame) -> DataFrame:
-        a = a.select("key", *[F.col(c).alias(f"{c}_a") for c in (*LINE, "first", "longer", "n_chars", "sketch")])
+        """Pairs that may be near. Lines that share segments of their own are paired at one of these."""
+        a = a.select("key", *[F.col(c).alias(f"{c}_a") for c in (*LINE, "first", "longer", "n_chars", "sketch", "own")])
         pairs = a.join(b, "key").filter("first_a < first and longer_a + longer < 2")
         budget = _limit("least(n_chars_a, n_chars)", edits, percent)
-        return pairs.filter(f"abs(n_chars_a - n_chars) <= {budget} and {sketch_distance()} <= 2 * {budget}")
+        close = f"abs(n_chars_a - n_chars) <= {budget} and {sketch_distance()} <= 2 * {budget}"
+        # one comparison, so that the arrays of close pairs only are compared
+        return pairs.filter(f"key = if({close}, coalesce(array_min(array_intersect(own_a, own)), key), null)")
 
     size = F.col("n_base") + F.col("n_longer")
     large = rows.filter(size > GROUP)

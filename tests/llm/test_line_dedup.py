@@ -179,3 +179,9 @@ def test_the_one_edit_join_takes_only_lines_that_no_segments_cut(as_docs, monkey
     got = {r.doc_id: r.n_dropped for r in line_dedup(as_docs(list(enumerate(lines))), edits, percent).collect()}
     assert got == {i: int(i >= 8 and i % 8 > 0) for i in range(24)}
     assert seen == [201 if n is None else n for n in asked]
+
+
+def test_segments_of_long_lines_reach_beyond_160_characters():
+    for edits in (4, 7):
+        last = module._segments(edits, 5, probes=False)[-1]
+        assert len(last) == edits + 1 and last[-1]["start"] + last[-1]["size"] == 240
