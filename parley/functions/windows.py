@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parley.session import staged
+
 UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
 
 
@@ -92,20 +94,28 @@ def window_totals(
     return dealt.groupBy("block", *keys, "window_start").agg(*totals).drop("block")
 
 
-def block_totals(
-    panes: DataFrame, keys: Sequence[str], totals: Sequence[Column], size: str, slide: str
+def dealt_stretches(
+    panes: DataFrame, key: str, size: str, blocks: int, most_rows: int
 ) -> DataFrame:
-    """(block, window_start, keys.., totals..): ``window_totals`` with each window whole in one task.
+    """``panes`` (pane, key, ..) with ``stretch`` and ``part``, dealt by both.
 
-    ``block`` is the stretch of time that a window starts in, and rows are dealt by it alone, so what
-    ranks them by block and window needs no further exchange. A task holds the distinct keys of its
-    blocks, not the rows behind them. The number of tasks follows from the windows over a pane, which
-    multiply the rows after the exchange.
+    A stretch is ``blocks`` window sizes of time. It holds the panes of all windows that start in it, so
+    rows of its first window size go to the stretch before as well. A stretch of more than
+    ``most_rows`` rows is cut in parts by the hash of ``key``, and rows of an empty key go to each of
+    them; others have the part -1. ``panes`` is read twice.
     """
-    width = F.expr(f"INTERVAL {duration_seconds(size)} seconds")
-    over = -(-duration_seconds(size) // duration_seconds(slide))
-    tasks = int(panes.sparkSession.conf.get("spark.sql.shuffle.partitions")) * max(1, -(-over // 4))
-    own = panes.withColumn("block", block("pane", size))
-    both = own.withColumn("block", F.explode(F.array(F.col("block"), F.col("block") - width)))
-    dealt = _in_windows(both.repartition(tasks, "block"), size, slide)
-    return dealt.groupBy("block", "window_start", *keys).agg(*totals)
+    seconds = duration_seconds(size)
+    length = F.expr(f"INTERVAL {blocks * seconds} seconds")
+    own = panes.withColumn("stretch", block("pane", f"{blocks * seconds} seconds"))
+    first, last = F.col("stretch"), F.col("pane") - F.expr(f"INTERVAL {seconds} seconds")
+    before = F.when(last < first, F.array(first, first - length)).otherwise(F.array(first))
+    both = own.withColumn("stretch", F.explode(before))
+    sizes = both.groupBy("stretch").agg(F.count("*").alias("rows"))
+    parts = F.ceil(F.col("rows") / most_rows).cast("int").alias("parts")
+    large = staged(sizes.filter(F.col("rows") > most_rows).select("stretch", parts), "large-stretches")
+    sized = both.join(F.broadcast(large), "stretch", "left")
+    hashed = F.array(F.pmod(F.xxhash64(key), F.col("parts")).cast("int"))
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    part = F.when(F.col("parts").isNull(), F.array(F.lit(-1))).when(F.col(key) == "", every).otherwise(hashed)
+    tasks = int(panes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return sized.withColumn("part", F.explode(part)).drop("parts").repartition(tasks, "stretch", "part")

@@ -19,6 +19,9 @@ VOCAB_SIZE = 1000
 TOP_K = 10
 TIE_DECIMALS = 10  # scores equal to this many decimals are a tie
 SALTS = 16
+#: Window-sized blocks whose windows are ranked together, and the rows of their panes up to which they are
+#: ranked in one piece.
+STRETCH, MOST_ROWS = 4, 500_000
 SIZE, SLIDE = "60 seconds", "5 seconds"
 WINDOW = ["window_start", "window_end"]
 
@@ -108,35 +111,90 @@ def windowed_vocabulary(
     texts along, which saves a join.
     """
     terms = pane_terms(df, size, slide, ts, text, [], **options)
-    return _vocabulary(terms, size, slide, vocab_size, min_df).drop("block", "top")
+    return _vocabulary(terms, size, slide, vocab_size, min_df).drop("stretch", "top")
 
 
-def _vocabulary(terms: DataFrame, size: str, slide: str, vocab_size: int, min_df: int) -> DataFrame:
+def _vocabulary(
+    terms: DataFrame, size: str, slide: str, vocab_size: int, min_df: int, k: int | None = None
+) -> DataFrame:
     """``windowed_vocabulary`` of ``pane_terms``, with each word's highest tf in one text (``top``).
 
-    Windows stay whole in a task, dealt by ``block``, from their sums to the ranking of their words.
+    Windows are summed and ranked in arrays, stretch by stretch of time, so a pane is not copied to each
+    window over it. A stretch of many rows is cut by word: its parts give their own first
+    ``vocab_size`` words, among which the window's are. With ``k``, a caller wants the k best scores
+    alone, and of stretches in one part no other words come back.
     """
-    per_pane = terms.groupBy("pane", "word").agg(
+    sums = terms.groupBy("pane", "word").agg(
         F.count("*").alias("df"), F.sum("tf").alias("tf"), F.max("tf").alias("top")
     )
-    totals = [F.sum("df").alias("df"), F.sum("tf").alias("total_tf"), F.max("top").alias("top")]
-    per_window = win.block_totals(per_pane, ["word"], totals, size, slide).filter(
-        (F.col("df") >= min_df) | (F.col("word") == "")
-    )
-    window = Window.partitionBy("block", "window_start")
-    ranked = Window.partitionBy("block", "window_start", "is_marker").orderBy(F.col("total_tf").desc(), "word")
-    kept = (
-        per_window.withColumn("is_marker", F.col("word") == "")
-        .withColumn("place", F.row_number().over(ranked))
-        .filter(F.col("place") <= vocab_size)
-    )
-    texts = F.max(F.when(F.col("is_marker"), F.col("df"))).over(window)
-    return (
-        kept.withColumn("n_docs", texts)
-        .filter(~F.col("is_marker"))
-        .select(*win.bounds(size), "word", "total_tf", "df", "n_docs", "top", "block")
-        .transform(inverse_doc_freq)
-    )
+    dealt = win.dealt_stretches(staged(sums, "pane-sums"), "word", size, STRETCH, MOST_ROWS)
+    time = sums.schema["pane"].dataType.simpleString()
+    schema = f"window_start {time}, word string, total_tf long, df long, n_docs long, top long, stretch {time}"
+    ranked = dealt.groupBy("stretch", "part").applyInArrow(_ranker(size, slide, vocab_size, min_df, k), schema)
+    by_tf = Window.partitionBy("stretch", "window_start").orderBy(F.col("total_tf").desc(), "word")
+    kept = ranked.withColumn("place", F.row_number().over(by_tf)).filter(F.col("place") <= vocab_size)
+    columns = ["word", "total_tf", "df", "n_docs", "top", "stretch"]
+    return kept.select(*win.bounds(size), *columns).transform(inverse_doc_freq)
+
+
+def _ranker(size: str, slide: str, vocab_size: int, min_df: int, k: int | None):
+    """Arrow function: the first words of each window that starts in a stretch, or in a part of one.
+
+    It takes nothing from this module along, so executors need not hold it.
+    """
+    width, step = (1_000_000 * win.duration_seconds(d) for d in (size, slide))
+    length, decimals = STRETCH * width, TIE_DECIMALS
+
+    def rank(table):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        table = table.combine_chunks()
+        time = table.schema.field("pane").type
+        stretch, part = table["stretch"][0].value, table["part"][0].as_py()
+        panes = table["pane"].cast(pa.int64()).to_numpy()
+        by_time = np.argsort(panes, kind="stable")
+        panes = panes[by_time]
+        words = table["word"].combine_chunks().dictionary_encode()
+        words = words.chunk(0) if isinstance(words, pa.ChunkedArray) else words
+        codes, names = words.indices.to_numpy()[by_time], words.dictionary
+        df_of, tf_of, top_of = (table[c].to_numpy()[by_time] for c in ("df", "tf", "top"))
+        place = np.empty(len(names), np.int64)
+        place[pc.sort_indices(names).to_numpy()] = np.arange(len(names))
+        marker = pc.index(names, "").as_py()
+        found = []
+        for start in range(-(-stretch // step) * step, stretch + length, step):
+            rows = slice(*np.searchsorted(panes, [start, start + width]))
+            at = codes[rows]
+            if not len(at):
+                continue
+            df, tf, top = (np.zeros(len(names), np.int64) for _ in range(3))
+            np.add.at(df, at, df_of[rows])
+            np.add.at(tf, at, tf_of[rows])
+            np.maximum.at(top, at, top_of[rows])
+            n_docs, df[marker] = df[marker], 0
+            kept = np.flatnonzero(df >= max(min_df, 1))
+            if len(kept) > vocab_size:
+                least = np.partition(tf[kept], len(kept) - vocab_size)[len(kept) - vocab_size]
+                kept = kept[tf[kept] >= least]
+                kept = kept[np.lexsort((place[kept], -tf[kept]))[:vocab_size]]
+            if k is not None and part < 0 and len(kept) > k:
+                score = np.round(top[kept] * np.log((n_docs + 1) / (df[kept] + 1)), decimals)
+                kept = kept[np.lexsort((place[kept], -score))[:k]]
+            found.append((start, kept, tf[kept], df[kept], np.full(len(kept), n_docs), top[kept]))
+        starts = np.repeat([f[0] for f in found], [len(f[1]) for f in found]).astype(np.int64)
+        columns = [np.concatenate([f[i] for f in found] or [np.zeros(0, np.int64)]) for i in range(1, 6)]
+        return pa.table(
+            {
+                "window_start": pa.array(starts).cast(time),
+                "word": names.take(pa.array(columns[0])),
+                **{n: pa.array(c) for n, c in zip(("total_tf", "df", "n_docs", "top"), columns[1:], strict=True)},
+                "stretch": pa.array(np.full(len(starts), stretch)).cast(time),
+            }
+        )
+
+    return rank
 
 
 def inverse_doc_freq(vocabulary: DataFrame) -> DataFrame:
@@ -189,9 +247,9 @@ def top_of_terms(
     """``windowed_top_keywords`` from stored ``pane_terms``, which are read twice (for words: once)."""
     if grain not in ("doc_word", "word"):
         raise ValueError(f"grain is 'doc_word' or 'word', not {grain!r}")
-    by_score = Window.partitionBy("block", "window_start").orderBy(_best_first(), "word")
+    by_score = Window.partitionBy("stretch", "window_start").orderBy(_best_first(), "word")
     words = (
-        _vocabulary(terms, size, slide, vocab_size, min_df)
+        _vocabulary(terms, size, slide, vocab_size, min_df, k)
         .withColumn("tfidf", F.col("top") * F.col("idf"))
         .withColumn("rank", F.row_number().over(by_score))
         .filter(F.col("rank") <= k)
@@ -251,7 +309,7 @@ def doc_top_keywords(
     can place in some window are copied to its windows.
     """
     terms = staged(pane_terms(df, size, slide, ts, text, [id], **options), "pane-terms")
-    vocabulary = _vocabulary(terms, size, slide, vocab_size, min_df).drop("block", "top")
+    vocabulary = _vocabulary(terms, size, slide, vocab_size, min_df).drop("stretch", "top")
     vocabulary = staged(vocabulary, "vocabulary")
     salt = F.pmod(F.xxhash64(id), F.lit(SALTS)).cast("int")
     pairs = terms.filter(F.col("word") != "").withColumn("salt", salt)

@@ -125,6 +125,31 @@ def test_top_keywords_match_brute_force(spark, grain, size, slide):
     assert mine == [(s, r, w, t + 0.0) for s, r, w, t in brute_force(rows, size, slide, 5, grain, 6)]
 
 
+@pytest.mark.parametrize("most_rows", [40, 500_000])
+def test_windows_are_summed_without_a_copy_of_each_pane(spark, monkeypatch, most_rows):
+    """In one piece or in parts by word; a row goes to one stretch of windows, or two, not to each window over it."""
+    dealt = []
+
+    def noted(*args):
+        dealt.append(deal(*args))
+        return dealt[-1]
+
+    deal = kw.win.dealt_stretches
+    monkeypatch.setattr(kw.win, "dealt_stretches", noted)
+    monkeypatch.setattr(kw, "MOST_ROWS", most_rows)
+    rows = [
+        (f"d{i:03d}", T0 + dt.timedelta(seconds=i * 5), " ".join(f"w{(i * j + j) % (7 + i % 30)}" for j in range(i % 9)))
+        for i in range(200)
+    ]
+    df = spark.createDataFrame(rows, SCHEMA)
+    top = kw.windowed_top_keywords(df, k=4, vocab_size=12).withColumn("s", F.unix_timestamp("window_start"))
+    mine = sorted((r["s"], r["rank"], r["word"], round(r["tfidf"], 6) + 0.0) for r in top.collect())
+    assert mine == [(s, r, w, t + 0.0) for s, r, w, t in brute_force(rows, 60, 5, 4, "doc_word", 12)]
+    words = dealt[0].filter("word <> ''")
+    assert words.count() < 1.4 * words.select("pane", "word").distinct().count()
+    assert (words.agg(F.max("part")).first()[0] > 0) == (most_rows == 40)
+
+
 def test_per_document_keywords(spark):
     df = docs(spark, "cat cat dog", "dog fish", "dog")
     top = kw.doc_top_keywords(df, **ONE, k=1)
