@@ -36,10 +36,11 @@ def best(
     part before it shuffles them.
     """
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)))
-    df = _first_rows(salted, [*group, "_salt"], order, k, "_place").drop("_salt", "_place")
-    return _first_rows(df, group, order, k, place)
+    df = first_rows(salted, [*group, "_salt"], order, k, "_place").drop("_salt", "_place")
+    return first_rows(df, group, order, k, place)
 
 
-def _first_rows(df: DataFrame, group: Sequence[str], order: Sequence, k: int, place: str):
+def first_rows(df: DataFrame, group: Sequence[str], order: Sequence, k: int, place: str) -> DataFrame:
+    """``best`` without salts, in one exchange."""
     rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
     return df.withColumn(place, rank).filter(F.col(place) <= k)

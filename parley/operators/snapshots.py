@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.functions.rows import best
+from parley.functions.rows import first_rows
 
 
 def dedup_records(df: DataFrame, key: str = "id", order: str = "timestamp") -> DataFrame:
@@ -19,7 +19,10 @@ def latest_snapshot(df: DataFrame, key: str = "id", ingested: str = "ingest_ts")
 
 
 def _best(df: DataFrame, key: str, order, ascending: bool) -> DataFrame:
-    """One row per key; ties settled by the other columns so that a re-run picks the same row."""
+    """One row per key; ties settled by the other columns so that a re-run picks the same row.
+
+    Each map task sends one row of a key, so a key of many rows fills no task and nothing is salted.
+    """
     rest = [F.col(c) for c in df.columns if c != key]
     ties = [c.asc() if ascending else c.desc() for c in rest]
-    return best(df, [key], [order, *ties], 1, "_place", key).drop("_place")
+    return first_rows(df, [key], [order, *ties], 1, "_place").drop("_place")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,6 +47,24 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Queries that begin and end in here leave no shuffle files behind.
+
+    Spark otherwise keeps them until the driver's heap is collected, for a stream those of many batches.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the work folder and read back.
 
@@ -52,5 +72,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     costs a re-read and not a recomputation.
     """
     path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructType
 
+from parley.session import shuffles_freed
 from parley.sources.files import write_batches
 
 #: Slots that a caller may name at a time.
@@ -101,7 +102,8 @@ class Ledger:
             ]
         )
         rows = rows.hint("rebalance", F.col(self.by))
-        rows.write.mode("overwrite").partitionBy(self.by).parquet(f"{self.root}/data/src={source}")
+        with shuffles_freed(df.sparkSession):
+            rows.write.mode("overwrite").partitionBy(self.by).parquet(f"{self.root}/data/src={source}")
         mark = f"{self.by}="
         return [n.removeprefix(mark) for n in self._names(f"data/src={source}") if n.startswith(mark)]
 

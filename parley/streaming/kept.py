@@ -26,6 +26,8 @@ BUCKETS = 16
 FILTER_WORDS = 1 << 14
 #: Sources of a slot that are folded into one.
 FOLD_AT = 8
+#: Manifests that are kept for readers, with the folders they name, where a table cleans up by itself.
+KEEP = 10
 _FORMS = {"hour": "yyyy-MM-dd-HH", "day": "yyyy-MM-dd"}
 
 
@@ -71,7 +73,8 @@ class LatestTable:
     """The newest version of each key: ``latest_snapshot`` of all that has arrived.
 
     A batch adds its own newest versions to their key buckets; reading merges a bucket's few sources,
-    and a bucket of ``fold_at`` sources is folded to one row per key.
+    and a bucket of ``fold_at`` sources is folded to one row per key. What was folded is deleted, once
+    ``keep`` newer versions of the table are there.
     """
 
     def __init__(
@@ -83,8 +86,9 @@ class LatestTable:
         ingested: str = "ingest_ts",
         buckets: int = BUCKETS,
         fold_at: int = FOLD_AT,
+        keep: int = KEEP,
     ) -> None:
-        self.key, self.ingested, self.buckets, self.fold_at = key, ingested, buckets, fold_at
+        self.key, self.ingested, self.buckets, self.fold_at, self.keep = key, ingested, buckets, fold_at, keep
         self.ledger = Ledger(spark, root, schema, "bucket")
 
     def _newest(self, rows: DataFrame) -> DataFrame:
@@ -94,6 +98,7 @@ class LatestTable:
         newest = self._newest(batch).withColumn("bucket", key_bucket(self.key, self.buckets))
         self.ledger.add(newest, run, number)
         self.ledger.fold(rewrite=self._newest, least=self.fold_at)
+        self.ledger.vacuum(self.keep)
 
     def read(self) -> DataFrame:
         return self._newest(self.ledger.read().drop("bucket"))

@@ -2,6 +2,8 @@
 
 import datetime as dt
 import json
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -165,6 +167,27 @@ def test_latest_equals_the_snapshot_after_every_batch_and_a_restart(spark, folde
     assert all(len(sources) < 4 for sources in table.ledger.manifest()["slots"].values())
 
 
+def test_latest_leaves_no_folded_rows_and_no_shuffles_on_disk(spark, folder, tmp_path):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: set(re.findall(r"shuffle_\d+_", disk.getAllFiles().mkString(" ")))
+    feed = Feed(spark, folder("in"), "id string, score int, ingest_ts timestamp")
+    schema = spark.createDataFrame([], feed.schema).schema
+    table = kept.LatestTable(spark, folder("t"), schema, buckets=2, fold_at=2, keep=1)
+    assert "_salt" not in snapshots.latest_snapshot(spark.createDataFrame([], schema))._jdf.queryExecution().toString()
+    before = shuffles()
+    for batch in range(4):
+        everything = feed.add([(f"c{k}", batch, START + dt.timedelta(minutes=batch)) for k in range(20)])
+        run(feed, table, folder("ckpt"))
+        held = {f"src={s}/bucket={slot}" for slot, sources in table.ledger.manifest()["slots"].items() for s in sources}
+        assert {str(p.relative_to(tmp_path / "t/data")) for p in (tmp_path / "t/data").glob("src=*/bucket=*")} == held
+        deadline = time.monotonic() + 20
+        while shuffles() - before and time.monotonic() < deadline:
+            time.sleep(0.2)
+        assert not shuffles() - before
+        assert rows_of(table.read()) == rows_of(snapshots.latest_snapshot(everything))
+        before = shuffles()
+
+
 def test_first_seen_however_late(spark, folder):
     feed = Feed(spark, folder("in"), "id string, score int, timestamp timestamp")
     schema = spark.createDataFrame([], feed.schema).schema
