@@ -1,8 +1,8 @@
 """Word dictionaries applied to token arrays.
 
 A mapping becomes one literal in the plan, so no shuffle and no row key are needed and the same
-expression runs on streams. A DataFrame is joined, whatever its size; a stream does that batch by
-batch (``live.start_batches``). ``small`` turns a table of known size into a mapping.
+expression runs on streams. A DataFrame is joined with the words that occur, whatever its size; a
+stream does that batch by batch (``live.score_batches``). ``small`` turns a table of known size into a mapping.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.session import staged
+from parley.functions.rows import each
+from parley.session import shuffles_freed, staged
 
 SMALL = 50_000
 #: Parts that a word's occurrences are dealt into before they meet the dictionary.
@@ -68,6 +69,23 @@ def join_lookup(
 ) -> DataFrame:
     """Adds ``out``, the array of dictionary values (null when absent) aligned with ``tokens``.
 
+    The distinct words of all rows meet the dictionary first. Up to ``SMALL`` that both hold are looked
+    up inside the row: neither the rows nor their tokens are exchanged or written. Otherwise the
+    occurrences of words are joined.
+    """
+    words = each(df, "word", F.col(tokens)).distinct()
+    known = words.join(_unique_words(dictionary), "word").select("word", F.col("value").cast(value_type))
+    with shuffles_freed(df.sparkSession):
+        rows = known.limit(SMALL + 1).collect()
+    if len(rows) > SMALL:
+        return _joined(df, tokens, dictionary, out, value_type)
+    find = inline_lookup({r["word"]: r["value"] for r in rows}, value_type)
+    return df.withColumn(out, F.transform(tokens, find))
+
+
+def _joined(df: DataFrame, tokens: str, dictionary: DataFrame, out: str, value_type: str) -> DataFrame:
+    """``join_lookup`` by a join of all occurrences.
+
     Rows are written once with a number of their own, so copies of one text don't meet in one task.
     Each task's tokens are cut down to distinct words before they meet the dictionary, and only
     words that it holds come back: a copy for each part of their occurrences, so that a word that

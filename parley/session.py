@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,6 +66,23 @@ def shuffles_freed(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
+_STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+@contextmanager
+def stages_deleted(spark: SparkSession) -> Iterator[None]:
+    """Deletes at the end what ``staged`` writes in here: a stream's batch needs it no longer than that."""
+    paths: list[str] = []
+    token = _STAGED.set(paths)
+    try:
+        yield
+    finally:
+        _STAGED.reset(token)
+        for path in paths:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the work folder and read back.
 
@@ -72,6 +90,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     costs a re-read and not a recomputation.
     """
     path = work_dir(df.sparkSession, name)
+    if (paths := _STAGED.get()) is not None:
+        paths.append(path)
     with shuffles_freed(df.sparkSession):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from parley.session import shuffles_freed
+
 
 def read_lines_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Unbounded text lines (``value string``) from files landing in ``path``."""
@@ -74,9 +76,12 @@ def write_batch(df: DataFrame, path: str, name: str, day: Column | None = None)
     """One batch's rows in a folder of their own (by day, if given), replaced when written again.
 
     The name must tell the stream and the batch: batch numbers start anew with a fresh checkpoint.
+    Without a day all rows lie in one folder as they are, so none are exchanged.
     """
-    folders = {"day": day, "batch": F.lit(name)} if day is not None else {"batch": F.lit(name)}
-    write_partitioned(df.withColumns(folders), path, list(folders))
+    if day is None:
+        write_dealt(df.withColumn("batch", F.lit(name)), path, ["batch"])
+    else:
+        write_partitioned(df.withColumns({"day": day, "batch": F.lit(name)}), path, ["day", "batch"])
 
 
 def write_append(df: DataFrame, path: str) -> None:
@@ -98,12 +103,13 @@ def write_partitioned(
 
 def write_dealt(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     """``write_partitioned`` of rows that lie by their partition values already."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*columns)
-        .parquet(path)
-    )
+    with shuffles_freed(df.sparkSession):
+        (
+            df.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*columns)
+            .parquet(path)
+        )
 
 
 def write_json(df: DataFrame, path: str) -> None:

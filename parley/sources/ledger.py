@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructType
 
-from parley.session import shuffles_freed
+from parley.session import shuffles_freed, stages_deleted
 from parley.sources.files import write_batches
 
 #: Slots that a caller may name at a time.
@@ -209,12 +209,13 @@ def start_landing(
     checkpoint: str,
     every: str | None = "5 seconds",
 ) -> StreamingQuery:
-    """Hand each batch to ``land`` with its run's id and its number."""
+    """Hand each batch to ``land`` with its run's id and its number; what it stages goes when it returns."""
     spark, known = stream.sparkSession, []
 
     def each_batch(batch: DataFrame, number: int) -> None:
         if not known:
             known.append(run_of(spark, checkpoint))
-        land(batch, known[0], number)
+        with stages_deleted(spark):
+            land(batch, known[0], number)
 
     return write_batches(stream, each_batch, checkpoint, every)

@@ -74,6 +74,27 @@ def test_lookup_inline_and_joined_agree(spark):
     assert sorted(inline.columns) == sorted(joined.columns)
 
 
+@pytest.mark.parametrize("most", [lookup.SMALL, 1])
+def test_a_table_of_words_moves_rows_only_where_many_are_found(spark, monkeypatch, most):
+    written = []
+
+    def noted(df, name):
+        written.append(name)
+        return stage(df, name)
+
+    stage = lookup.staged
+    monkeypatch.setattr(lookup, "staged", noted)
+    monkeypatch.setattr(lookup, "SMALL", most)
+    df = spark.createDataFrame([(1, ["a", None, "b", "a"]), (2, []), (3, None), (4, ["x"])], "id int, tokens array<string>")
+    table = spark.createDataFrame([("a", 2), ("a", 1), ("b", 3), ("c", 4), (None, 5)], "word string, value int")
+    out = lookup.join_lookup(df, "tokens", table, "out", "double")
+    assert out.columns == ["id", "tokens", "out"]
+    assert {r["id"]: r["out"] for r in out.collect()} == {1: [1.0, None, 3.0, 1.0], 2: [], 3: None, 4: [None]}
+    assert written == (["lookup-rows"] if most == 1 else [])
+    if most > 1:
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_small_mapping_stops_at_the_limit(spark):
     table = spark.createDataFrame([("a", 2), ("a", 1), ("b", 3)], "word string, value int")
     assert lookup.small(table) == {"a": 1, "b": 3}

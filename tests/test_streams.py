@@ -100,6 +100,33 @@ def test_live_sentiment_equals_batch(spark, folder):
     assert sorted(got.collect(), key=str) == sorted(sentiment_table(raw).collect(), key=str)
 
 
+def test_scored_batches_leave_no_stages(spark, folder, monkeypatch):
+    """Also where many words are found and rows are joined; what the query has written is all that stays."""
+    from parley.functions import lookup
+
+    staged = []
+    stage = lookup.staged
+
+    def noted(df, name):
+        staged.append(stage(df, name))
+        return staged[-1]
+
+    monkeypatch.setattr(lookup, "staged", noted)
+    monkeypatch.setattr(lookup, "SMALL", 0)
+    rows = [("a", "good bad word"), ("b", "good"), ("c", None)]
+    for k in range(2):
+        spark.createDataFrame(rows, "id string, text string").coalesce(1).write.mode("append").parquet(folder("in"))
+    stream = files.read_raw_stream(spark, folder("in"), spark.read.parquet(folder("in")).schema, max_files=1)
+    words = spark.createDataFrame([("good", 1.5), ("bad", -1.0)], "word string, value double")
+    live.score_batches(stream, folder("out"), folder("ckpt"), None, lexicon=words).awaitTermination()
+    got = files.read_results(spark, folder("out")).drop("batch")
+    want = sentiment_table(spark.read.parquet(folder("in")), lexicon={"good": 1.5, "bad": -1.0})
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0]) for df in staged]
+    assert len(paths) == 2
+    assert not any(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p) for p in paths)
+
+
 def test_jobs_write_once_and_feed_the_dashboard(spark, folder):
     feed(spark, folder("lines"), range(0, 60))
     land(spark, folder)
