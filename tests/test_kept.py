@@ -248,6 +248,31 @@ def test_keywords_from_stored_counts(spark, folder, monkeypatch):
     assert total > 2 * opened[-1][1]
 
 
+def test_a_long_window_is_ranked_in_parts_by_word(spark, folder, monkeypatch):
+    parts = []
+    deal = keywords.win.dealt_stretches
+
+    def noted(*args):
+        dealt = deal(*args)
+        parts.append(dealt.agg(F.max("part")).first()[0])
+        return dealt
+
+    monkeypatch.setattr(keywords.win, "dealt_stretches", noted)
+    monkeypatch.setattr(keywords, "MOST_ROWS", 5)
+    feed = Feed(spark, folder("in"), "id string, timestamp timestamp, text string")
+    schema = spark.createDataFrame([], feed.schema).schema
+    window = {"size": "6 hours", "slide": "1 hour", "vocab_size": 4}
+    table = kept.KeywordTable(spark, folder("t"), schema, unit="day", **window)
+    for batch in range(2):
+        everything = keyword_feed(feed, range(batch, 120, 7), "ab"[batch])
+        run(feed, table, folder("ckpt"))
+    got = rows_of(table.read())
+    assert len(parts) == 2 and min(parts) > 0
+    monkeypatch.setattr(keywords, "MOST_ROWS", 500_000)
+    want = keywords.windowed_top_keywords(everything, **window)
+    assert got == rows_of(want.select(table.read().columns)) and parts[-1] == -1
+
+
 def test_no_text_is_tokenised_twice(spark, folder):
     feed = Feed(spark, folder("in"), "id string, timestamp timestamp, text string")
     schema = spark.createDataFrame([], feed.schema).schema
