@@ -277,6 +277,8 @@ def _score(
     """
     by_block = win.with_blocks(vocabulary.select(*WINDOW, "word", "idf", *also), size, slide)
     pairs = pairs.withColumn("block", win.block("pane", size))
+    if also:  # copies that Spark's estimate leaves out, so it would broadcast them all
+        by_block = by_block.hint("merge")
     covered = (F.col("pane") >= F.col("window_start")) & (F.col("pane") < F.col("window_end"))
     return (
         pairs.join(by_block, ["block", "word", *also])
@@ -315,13 +317,13 @@ def doc_top_keywords(
     pairs = terms.filter(F.col("word") != "").withColumn("salt", salt)
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     salted = vocabulary.withColumn("salt", salts)
-    scored = _score(_able_to_place(pairs, salted, size, slide, k, id), salted, size, slide, ["salt"])
+    scored = _score(_able_to_place(pairs, vocabulary, salts, size, slide, k, id), salted, size, slide, ["salt"])
     ranked = best(scored, ["window_start", id], [_best_first(), "word"], k, "rank", "word")
     return ranked.select(*WINDOW, id, "word", "tfidf", "rank")
 
 
 def _able_to_place(
-    pairs: DataFrame, vocabulary: DataFrame, size: str, slide: str, k: int, id: str
+    pairs: DataFrame, vocabulary: DataFrame, salts: Column, size: str, slide: str, k: int, id: str
 ) -> DataFrame:
     """The pairs (pane, id, word, tf, salt) that may be among a text's k best in some window.
 
@@ -331,9 +333,10 @@ def _able_to_place(
     step = F.expr(f"INTERVAL {win.pane_width(size, slide)}")
     panes = F.explode(F.sequence(F.col("window_start"), F.col("window_end") - step, step))
     ranges = (
-        vocabulary.select("salt", "word", "idf", panes.alias("pane"))
-        .groupBy("pane", "word", "salt")
+        vocabulary.select("word", "idf", panes.alias("pane"))
+        .groupBy("pane", "word")
         .agg(F.min("idf").alias("low"), F.max("idf").alias("high"), F.count("*").alias("held"))
+        .withColumn("salt", salts)
     )
     windows = -(-win.duration_seconds(size) // win.duration_seconds(slide))
     sure = F.when(F.col("held") >= windows, F.col("tf") * F.col("low"))
@@ -341,7 +344,7 @@ def _able_to_place(
     whole = own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     slack = 2 * 10.0**-TIE_DECIMALS
     return (
-        pairs.join(ranges, ["pane", "word", "salt"])
+        pairs.join(ranges.hint("merge"), ["pane", "word", "salt"])
         .withColumn("sure", sure)
         .withColumn("bar", F.nth_value("sure", k).over(whole))
         .filter(F.col("bar").isNull() | (F.col("tf") * F.col("high") + slack >= F.col("bar")))
